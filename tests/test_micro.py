@@ -1,0 +1,79 @@
+"""Micro-corpus with hand-computed index contents and scores."""
+
+import pytest
+
+from spindle.operators.index import build_index
+from spindle.operators.rank import rank
+
+FORWARD = {
+    "A": {"again": 1, "cat": 1, "hat": 3, "the": 2},
+    "B": {"hello": 2, "world": 1},
+    "C": {"foo bar": 1, "world": 1, "world-wide": 1},
+    "E": {"end": 1, "hat": 1, "hello": 1, "the": 1},
+    "F": {"end": 1, "note": 1},
+}
+
+BM25 = {
+    "hello world": [("B", 0.656121), ("C", 0.252354), ("E", 0.252354)],
+    "hello hello world": [("B", 0.656121), ("C", 0.252354), ("E", 0.252354)],
+    "the hat": [("A", 0.908475), ("E", 0.504708)],
+    "foo bar": [],
+    "foo,bar": [("C", 0.823959)],
+    "zzz": [],
+}
+NAIVE = {
+    "hello world": [("B", 26.498591), ("C", 8.832864), ("E", 8.832864)],
+    "hello hello world": [("B", 44.164319), ("E", 17.665727), ("C", 8.832864)],
+    "the hat": [("A", 44.164319), ("E", 17.665727)],
+    "foo bar": [],
+    "foo,bar": [("C", 0.828535)],
+    "zzz": [],
+}
+TITLES = ["A", "B", "C", "E", "F"]
+
+
+def expected_full(nonzero):
+    named = dict(nonzero)
+    zeros = sorted(t for t in TITLES if t not in named)
+    return list(nonzero) + [(t, 0.0) for t in zeros]
+
+
+def test_forward_index(micro):
+    idx = build_index(micro)
+    got = {}
+    for r in idx.flat().collect():
+        got.setdefault(r.title, {})[r.term] = r.tf
+    assert got == FORWARD
+
+
+def test_stats(micro):
+    idx = build_index(micro)
+    s = idx.stats().first()
+    assert s.d == 5 and s.n_postings == 15 and s.avgdl == 3.0
+
+
+@pytest.mark.parametrize("query", list(BM25))
+def test_bm25(micro, query):
+    idx = build_index(micro)
+    got = [(r.title, r.score) for r in rank(idx, query, "bm25", k=None, decimals=6).collect()]
+    assert got == expected_full(BM25[query])
+
+
+@pytest.mark.parametrize("query", list(NAIVE))
+def test_naive(micro, query):
+    idx = build_index(micro)
+    got = [(r.title, r.score) for r in rank(idx, query, "naive", k=None, decimals=6).collect()]
+    assert got == expected_full(NAIVE[query])
+
+
+def test_top_k_and_matched_only(micro):
+    idx = build_index(micro)
+    top2 = [(r.title, r.score) for r in rank(idx, "hello world", "bm25", k=2, decimals=6).collect()]
+    assert top2 == [("B", 0.656121), ("C", 0.252354)]
+    matched = rank(idx, "hello world", "bm25", k=None, matched_only=True, decimals=6).collect()
+    assert [r.title for r in matched] == ["B", "C", "E"]
+
+
+def test_bad_ranker(micro):
+    with pytest.raises(ValueError):
+        rank(build_index(micro), "hello", "tfidf")
