@@ -119,10 +119,14 @@ class Index:
         return src.select(*POSTINGS_COLUMNS)
 
     def documents(self) -> DataFrame:
-        return self.documents_df if self.documents_df is not None else document_table(self.flat())
+        if self.documents_df is not None:
+            return self.documents_df.select("title", "n_terms", "n_tokens")
+        return document_table(self.flat())
 
     def lexicon(self) -> DataFrame:
-        return self.lexicon_df if self.lexicon_df is not None else lexicon_table(self.flat())
+        if self.lexicon_df is not None:
+            return self.lexicon_df.select("term", "df", "cf")
+        return lexicon_table(self.flat())
 
     def stats(self) -> DataFrame:
         return self.stats_df if self.stats_df is not None else corpus_stats(self.documents())
