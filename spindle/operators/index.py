@@ -238,6 +238,18 @@ def forward_blocks(index: Index, block_size: int = DEFAULT_BLOCK_SIZE) -> DataFr
         F.array_sort(F.collect_list(F.struct("term", "tf"))).alias("vec"))
 
 
+def forward_maps(index: Index, block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
+    """``(title, block, vec MAP<term, tf>)``: the reference's per-document
+    map, one bounded block per row."""
+    blocks = forward_blocks(index, block_size)
+    return blocks.select("title", "block", F.map_from_entries("vec").alias("vec"))
+
+
+def map_tf(vec: Column, term: Column) -> Column:
+    """tf of ``term`` in a forward map, 0 when absent."""
+    return F.coalesce(F.try_element_at(vec, term), F.lit(0)).cast("bigint")
+
+
 def forward_lookup(index: Index, pairs: DataFrame) -> DataFrame:
     """tf of (title, term) pairs, 0 when the document lacks the term
     (the reference's ``getOrElse(term, 0)``)."""

@@ -31,7 +31,7 @@ from pyspark.sql.window import Window
 from spindle.functions.scoring import (BM25_B, BM25_K, DEFAULT_TOP_K, bm25_param, bm25_term,
                                        idf, naive_term, okapi_param, tfidf)
 from spindle.functions.text import tokens
-from spindle.operators.index import Index, lexicon_table
+from spindle.operators.index import Index, lexicon_table, term_bucket
 from spindle.operators.joins import broadcast_if_small
 
 METHODS = ("bm25", "naive")
@@ -213,8 +213,18 @@ def rank_batch(index: Index, queries: DataFrame, method: str = "bm25",
                .select("query_id", "term", "qtf", "df",
                        idf(F.col("d"), F.col("df")).alias("idf"),
                        bm25_param(F.col("d"), F.col("avgdl")).alias("param")))
+    if index.n_buckets:
+        weights = weights.withColumn("term_bucket", term_bucket(F.col("term"), index.n_buckets))
     weights, _ = broadcast_if_small(weights)
-    hits = index.flat().join(weights, "term")
+    if index.n_buckets:
+        # Stored index: read only the bucket directories the queries touch.
+        # At most n_buckets values (a fixed layout parameter, not data size).
+        buckets = [r[0] for r in weights.select("term_bucket").distinct().collect()]
+        postings = (index.postings.where(F.col("term_bucket").isin(buckets))
+                    .select("term_bucket", "title", "term", "tf"))
+        hits = postings.join(weights, ["term_bucket", "term"])
+    else:
+        hits = index.flat().join(weights, "term")
     if method == "naive":
         contrib = naive_term(F.col("qtf"), F.col("tf"), F.col("idf"))
     else:

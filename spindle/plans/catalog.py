@@ -223,6 +223,13 @@ def _batch(method):
     return run
 
 
+def _batch_stored(method):
+    def run(spark, sf):
+        return rank_batch(stored_index(spark, sf), load_table(spark, sf, "benchmark"), method, 10,
+                          "item_id", "text", decimals=DEC)
+    return run
+
+
 def _ap(method):
     def run(spark, sf):
         ranked = rank_batch(docs_index(spark, sf), load_table(spark, sf, "benchmark"), method, 10,
@@ -357,6 +364,7 @@ ENTRIES: dict[str, tuple[Query, str | None]] = {
         "FROM postings p JOIN lexicon l ON p.term = l.term CROSS JOIN stats s")),
     "rank_bm25_batch": (_batch("bm25"), O.batch_rank_sql("bm25", 10)),
     "rank_naive_batch": (_batch("naive"), O.batch_rank_sql("naive", 10)),
+    "rank_bm25_batch_stored": (_batch_stored("bm25"), O.batch_rank_sql("bm25", 10)),
     "average_precision_at_10": (_ap("bm25"), _ap_sql("bm25")),
     "average_precision_naive_at_10": (_ap("naive"), _ap_sql("naive")),
     "index_merge_docs": (q_index_merge_docs, _merge_sql("SELECT title, term, tf FROM merged")),

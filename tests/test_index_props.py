@@ -86,6 +86,14 @@ def test_blocks_flatten_back(spark):
     assert rows(flat_fwd) == rows(idx.flat())
 
 
+def test_forward_maps_lookup(spark):
+    from spindle.operators.index import forward_maps, map_tf
+    idx = build_index(spark.createDataFrame([("A", "hat hat cat")], "title string, text string"))
+    m = forward_maps(idx, block_size=8).select(map_tf(F.col("vec"), F.lit("hat")).alias("h"),
+                                               map_tf(F.col("vec"), F.lit("dog")).alias("d")).first()
+    assert (m.h, m.d) == (2, 0)
+
+
 def test_forward_lookup_defaults_to_zero(spark):
     idx = build_index(spark.createDataFrame([("A", "hat hat cat")], "title string, text string"))
     pairs = spark.createDataFrame([("A", "hat"), ("A", "dog"), ("B", "hat")], "title string, term string")
