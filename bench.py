@@ -53,8 +53,11 @@ def main() -> None:
 
     # Warm-up on the smallest data so class loading and codegen are not timed.
     small = "/root/testdata/sf0.001"
-    if os.path.isdir(small):
-        build_index(corpus(spark, small)).flat().count()
+    if os.path.isdir(small) and small != sf_dir:
+        warm = build_job(corpus(spark, small), scratch_path(spark, "bench-warm"))
+        rank(warm, Q_MID, "bm25", 10).collect()
+        rank(warm, Q_REPEAT, "naive", None).count()
+        rank_batch(warm, load_table(spark, small, "benchmark"), "bm25", 10, "item_id", "text").count()
 
     results: dict[str, float] = {}
     docs = corpus(spark, sf_dir)

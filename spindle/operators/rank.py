@@ -166,9 +166,19 @@ def rank(index: Index, query: str, method: str = "bm25", k: int | None = DEFAULT
     documents without a query term (the report's planned improvement).
     """
     scores = matched_scores(index, query, method, length_norm)
-    if not matched_only:
-        scores = all_document_scores(index, scores)
-    return top_k(scores, k, decimals)
+    if matched_only:
+        return top_k(scores, k, decimals)
+    if k is not None:
+        # Shortcut: when the k-th best matched score is above 0, every
+        # document without a query term (score 0) ranks below it, so the
+        # answer comes from the pruned postings alone. The k rows are the
+        # result itself (a top-k report), not data passing the driver.
+        head = top_k(scores, k, decimals)
+        rows = head.collect()
+        if len(rows) == k and (k == 0 or rows[-1]["score"] > 0):
+            spark = index.postings.sparkSession
+            return spark.createDataFrame(rows, head.schema)
+    return top_k(all_document_scores(index, scores), k, decimals)
 
 
 def tfidf_postings(index: Index) -> DataFrame:

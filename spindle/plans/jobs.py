@@ -12,13 +12,13 @@ from spindle.sources.store import load_index, save_index
 
 
 def build_job(docs: DataFrame, out_root: str, n_buckets: int | None = None,
-              forward: bool = True) -> Index:
+              forward: bool = True, n_files: int | None = None) -> Index:
     """Index a document table ``(title, text)`` and store it at ``out_root``."""
-    return save_index(build_index(docs), out_root, n_buckets, forward)
+    return save_index(build_index(docs), out_root, n_buckets, forward, n_files)
 
 
 def add_job(spark: SparkSession, new_docs: DataFrame, old_root: str, out_root: str,
-            forward: bool = True) -> Index:
+            forward: bool = True, n_files: int | None = None) -> Index:
     """Add documents to a stored index and write the merged index to a new path.
 
     A title that is already indexed keeps its old terms, and every term it
@@ -29,7 +29,7 @@ def add_job(spark: SparkSession, new_docs: DataFrame, old_root: str, out_root: s
     old = load_index(spark, old_root)
     new, _ = broadcast_if_small(term_frequency(new_docs))
     merged = merge_postings(old.flat(), new)
-    return save_index(Index(merged), out_root, old.n_buckets, forward)
+    return save_index(Index(merged), out_root, old.n_buckets, forward, n_files)
 
 
 def rank_job(spark: SparkSession, root: str, method: str, query: str,

@@ -44,21 +44,30 @@ def default_buckets(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
-def write_postings(postings: DataFrame, root: str, n_buckets: int) -> DataFrame:
-    """Write the inverted-order postings; return them read back."""
+def _range(df: DataFrame, n_files: int | None, *cols: str) -> DataFrame:
+    return df.repartitionByRange(n_files, *cols) if n_files else df.repartitionByRange(*cols)
+
+
+def write_postings(postings: DataFrame, root: str, n_buckets: int,
+                   n_files: int | None = None) -> DataFrame:
+    """Write the inverted-order postings; return them read back.
+
+    ``n_files`` is the number of range partitions (output files); by default
+    ``spark.sql.shuffle.partitions``. At scale pick it so that one file is a
+    few hundred MB.
+    """
     spark = postings.sparkSession
     keyed = postings.select("title", "term", "tf").withColumn(
         "term_bucket", term_bucket(F.col("term"), n_buckets))
-    (keyed.repartitionByRange("term_bucket", "term", "title")
+    (_range(keyed, n_files, "term_bucket", "term", "title")
      .sortWithinPartitions("term_bucket", "term", "title")
      .write.mode("errorifexists").partitionBy("term_bucket")
      .parquet(table_path(root, "postings")))
     return spark.read.parquet(table_path(root, "postings"))
 
 
-def write_forward(postings: DataFrame, root: str) -> None:
-    (postings.select("title", "term", "tf")
-     .repartitionByRange("title", "term")
+def write_forward(postings: DataFrame, root: str, n_files: int | None = None) -> None:
+    (_range(postings.select("title", "term", "tf"), n_files, "title", "term")
      .sortWithinPartitions("title", "term")
      .write.mode("errorifexists").parquet(table_path(root, "forward")))
 
@@ -80,14 +89,14 @@ def write_derived(postings: DataFrame, root: str, n_buckets: int) -> None:
 
 
 def save_index(index: Index, root: str, n_buckets: int | None = None,
-               forward: bool = True) -> Index:
+               forward: bool = True, n_files: int | None = None) -> Index:
     """Write the index under ``root`` (which must not exist) and return it
     loaded back from storage."""
     spark = index.postings.sparkSession
     n_buckets = n_buckets or index.n_buckets or default_buckets(spark)
-    stored = write_postings(index.flat(), root, n_buckets)
+    stored = write_postings(index.flat(), root, n_buckets, n_files)
     if forward:
-        write_forward(stored, root)
+        write_forward(stored, root, n_files)
     write_derived(stored, root, n_buckets)
     return load_index(spark, root)
 

@@ -77,3 +77,12 @@ def test_top_k_and_matched_only(micro):
 def test_bad_ranker(micro):
     with pytest.raises(ValueError):
         rank(build_index(micro), "hello", "tfidf")
+
+
+@pytest.mark.parametrize("k", [0, 1, 3, 4, 6])
+def test_top_k_equals_prefix_of_full_ranking(micro, k):
+    idx = build_index(micro)
+    for method in ("bm25", "naive"):
+        full = [(r.title, r.score) for r in rank(idx, "hello world", method, k=None, decimals=6).collect()]
+        top = [(r.title, r.score) for r in rank(idx, "hello world", method, k=k, decimals=6).collect()]
+        assert top == full[:k]
