@@ -148,3 +148,14 @@ def test_deterministic_across_partition_counts(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert a == b
+
+
+def test_rank_job_on_stored_index(spark, scratch):
+    from spindle.plans.jobs import rank_job
+    root = os.path.join(scratch, "idx")
+    idx = build_job(corpus(spark, SF_SMALL), root, n_buckets=3, n_files=5)
+    got = [(r.title, r.score) for r in rank_job(spark, root, "bm25", "esat estion").collect()]
+    want = [(r.title, r.score) for r in rank(build_index(corpus(spark, SF_SMALL)), "esat estion", "bm25").collect()]
+    assert [t for t, _ in got] == [t for t, _ in want]
+    assert all(abs(a - b) < 1e-9 for (_, a), (_, b) in zip(got, want))
+    assert idx.n_buckets == 3
