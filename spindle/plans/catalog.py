@@ -15,6 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spindle.functions.scoring import bm25_param
 from spindle.functions.text import explode_terms, is_term, sanitize, split_pieces, tokens
 from spindle.operators.evaluate import average_precision
 from spindle.operators.index import (Index, build_index, forward_blocks, forward_lookup,
@@ -136,7 +137,6 @@ def q_idf_query_terms(spark, sf):
 
 def q_bm25_param(spark, sf):
     s = docs_index(spark, sf).stats()
-    from spindle.functions.scoring import bm25_param
     return _round(s.select("d", "avgdl", bm25_param(F.col("d"), F.col("avgdl")).alias("param")),
                   "avgdl", "param")
 
@@ -189,13 +189,13 @@ def q_index_merge_stats(spark, sf):
 
 def q_json_document_scan(spark, sf):
     path = scratch_path(spark, "json-docs")
-    write_documents_json(corpus(spark, sf), path, files=4)
+    write_documents_json(corpus(spark, sf), path)
     return read_documents_json(spark, path)
 
 
 def q_json_index_build(spark, sf):
     path = scratch_path(spark, "json-docs")
-    write_documents_json(corpus(spark, sf), path, files=4)
+    write_documents_json(corpus(spark, sf), path)
     return term_frequency(read_documents_json(spark, path))
 
 
@@ -242,7 +242,7 @@ def _ap(method):
 
 
 def q_streaming_index_add(spark, sf):
-    return streaming_build(spark, corpus(spark, sf), files=4).flat()
+    return streaming_build(spark, corpus(spark, sf), batches=4).flat()
 
 
 # ---------------------------------------------------------------------------

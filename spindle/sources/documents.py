@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spindle.operators.index import spread_input
+
 DOCUMENT_SCHEMA = "title string, text string"
 
 
@@ -42,9 +44,7 @@ def corpus(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFra
     return table_documents(load_table(spark, sf_dir, name), key, text)
 
 
-def write_documents_json(docs: DataFrame, path: str, files: int | None = None) -> None:
-    """Write ``(title, text)`` rows as JSON lines (for the JSON scan path)."""
-    out = docs.select("title", "text")
-    if files:
-        out = out.repartition(files)
-    out.write.mode("errorifexists").json(path)
+def write_documents_json(docs: DataFrame, path: str) -> None:
+    """Write ``(title, text)`` rows as JSON lines, one file per partition
+    (spread over the cores only when the input has fewer splits)."""
+    spread_input(docs.select("title", "text")).write.mode("errorifexists").json(path)

@@ -16,13 +16,14 @@ gives the same index as one batch build.
 
 from __future__ import annotations
 
+import math
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from spindle.operators.index import Index, merge_postings, term_frequency
+from spindle.operators.index import Index, merge_postings, spread_input, term_frequency
 from spindle.session import scratch_path
 from spindle.sources.documents import DOCUMENT_SCHEMA
 from spindle.sources.store import load_index, save_index
@@ -92,10 +93,13 @@ def run_streaming_add(spark: SparkSession, source: str, root: str, checkpoint: s
     return appender.current(spark)
 
 
-def streaming_build(spark: SparkSession, docs: DataFrame, files: int = 4) -> Index:
-    """Write ``docs`` as ``files`` Parquet files and index them as a stream,
-    one file per micro-batch."""
+def streaming_build(spark: SparkSession, docs: DataFrame, batches: int = 4) -> Index:
+    """Write ``docs`` as Parquet files and index them as a stream of about
+    ``batches`` micro-batches (files per trigger follows the file count, so
+    a large input does not turn into thousands of index rewrites)."""
     source = scratch_path(spark, "stream-src")
-    docs.select("title", "text").repartition(files).write.parquet(source)
+    spread_input(docs.select("title", "text")).write.parquet(source)
+    n_files = len(spark.read.parquet(source).inputFiles())
+    per_trigger = max(1, math.ceil(n_files / max(1, batches)))
     return run_streaming_add(spark, source, scratch_path(spark, "stream-index"),
-                             scratch_path(spark, "stream-ckpt"))
+                             scratch_path(spark, "stream-ckpt"), files_per_trigger=per_trigger)

@@ -50,7 +50,7 @@ def test_okapi_uses_document_length(spark):
 
 def test_streaming_add_equals_batch_build(spark):
     docs = corpus(spark, SF_SMALL)
-    streamed = streaming_build(spark, docs, files=3).flat()
+    streamed = streaming_build(spark, docs, batches=3).flat()
     batch = build_index(docs).flat()
     assert streamed.exceptAll(batch).count() == 0
     assert batch.exceptAll(streamed).count() == 0
