@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spindle.functions.text import explode_terms
+from spindle.operators.joins import materialize
 
 POSTINGS_COLUMNS = ("title", "term", "tf")
 # Target number of members per nested block (forward or inverted list).
@@ -109,6 +110,7 @@ class Index:
     stats_df: DataFrame | None = None
     n_buckets: int | None = None
     forward_df: DataFrame | None = None
+    materialized: bool = False
 
     def flat(self) -> DataFrame:
         return self.postings.select(*POSTINGS_COLUMNS)
@@ -148,6 +150,11 @@ class Index:
     def with_postings(self, postings: DataFrame) -> "Index":
         return replace(self, postings=postings)
 
+    @property
+    def is_lazy(self) -> bool:
+        """True when the postings are still a plan over the raw documents."""
+        return self.n_buckets is None and not self.materialized
+
 
 def term_bucket(term: Column, n_buckets: int) -> Column:
     """Directory bucket of a term in a stored index."""
@@ -169,6 +176,15 @@ def build_index(docs: DataFrame, key: str = "title", text: str = "text") -> Inde
     return Index(term_frequency(docs, key, text))
 
 
+def materialize_index(index: Index) -> Index:
+    """Write the postings of a lazy index once (Parquet under the shared
+    checkpoint folder), so the several passes of a ranking job read them
+    instead of re-tokenizing the documents each time."""
+    if not index.is_lazy:
+        return index
+    return Index(materialize(index.flat(), "postings"), materialized=True)
+
+
 # ---------------------------------------------------------------------------
 # Merge ("add"): new postings replace old ones for the same (title, term);
 # terms only in the old version of a document survive; titles are unioned.

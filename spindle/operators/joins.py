@@ -3,10 +3,11 @@
 ``F.broadcast`` is used directly only for inputs with a proven bound (the
 terms of one query string, a one-row statistics table). Anything whose size
 grows with the data goes through :func:`broadcast_if_small`: it is first
-materialised in the shared checkpoint folder (which also cuts lineage, so a
-lost executor does not recompute the whole upstream plan), then its rows are
-counted, and only a side under the limit is broadcast. Above the limit the
-caller's plain join runs as a shuffle join.
+written as a Parquet table in the shared checkpoint folder (which also cuts
+lineage, so a lost executor does not recompute the whole upstream plan),
+then its rows are counted from the Parquet footers, and only a side under
+the limit is broadcast. Above the limit the caller's plain join runs as a
+shuffle join.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spindle.session import ensure_checkpoint_dir
+from spindle.session import scratch_path
 
 BROADCAST_ROWS_CONF = "spindle.broadcast.maxRows"
 DEFAULT_BROADCAST_ROWS = 2_000_000
@@ -25,16 +26,18 @@ def broadcast_row_limit(df: DataFrame) -> int:
     return int(value) if value else DEFAULT_BROADCAST_ROWS
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in ``spark.checkpoint.dir`` (never a local one)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` as a Parquet table under ``spark.checkpoint.dir`` (the
+    cluster's shared folder, never a machine-local one) and read it back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, int]:
     """Materialise ``df``; return it with a broadcast hint when it has at most
     ``max_rows`` rows, else unhinted. Also returns the row count."""
     limit = broadcast_row_limit(df) if max_rows is None else max_rows
-    solid = materialize(df)
+    solid = materialize(df, "sized")
     rows = solid.count()
     return (F.broadcast(solid) if rows <= limit else solid), rows

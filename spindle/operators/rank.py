@@ -31,7 +31,7 @@ from pyspark.sql.window import Window
 from spindle.functions.scoring import (BM25_B, BM25_K, DEFAULT_TOP_K, bm25_param, bm25_term,
                                        idf, naive_term, okapi_param, tfidf)
 from spindle.functions.text import tokens
-from spindle.operators.index import Index, lexicon_table, term_bucket
+from spindle.operators.index import Index, lexicon_table, materialize_index, term_bucket
 from spindle.operators.joins import broadcast_if_small
 
 METHODS = ("bm25", "naive")
@@ -165,6 +165,7 @@ def rank(index: Index, query: str, method: str = "bm25", k: int | None = DEFAULT
     ``k=None`` returns every document (ordered). ``matched_only=True`` skips
     documents without a query term (the report's planned improvement).
     """
+    index = materialize_index(index)
     scores = matched_scores(index, query, method, length_norm)
     if matched_only:
         return top_k(scores, k, decimals)
@@ -216,6 +217,7 @@ def rank_batch(index: Index, queries: DataFrame, method: str = "bm25",
     them all in one task.
     """
     check_method(method)
+    index = materialize_index(index)
     qt = batch_query_terms(queries, id_col, text_col)
     stats = index.stats().select("d", "avgdl")
     lex = index.lexicon().select("term", "df")
