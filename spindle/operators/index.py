@@ -41,6 +41,8 @@ def spread_input(df: DataFrame) -> DataFrame:
     unsplittable file (one Parquet row group, one gzip JSON) would otherwise
     tokenize in a single task.
     """
+    if df.isStreaming:
+        return df
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores:

@@ -86,3 +86,12 @@ def test_top_k_equals_prefix_of_full_ranking(micro, k):
         full = [(r.title, r.score) for r in rank(idx, "hello world", method, k=None, decimals=6).collect()]
         top = [(r.title, r.score) for r in rank(idx, "hello world", method, k=k, decimals=6).collect()]
         assert top == full[:k]
+
+
+@pytest.mark.parametrize("query", ["", "   ", "! ? ."])
+def test_query_without_terms_scores_everything_zero(micro, query):
+    idx = build_index(micro)
+    for method in ("bm25", "naive"):
+        got = [(r.title, r.score) for r in rank(idx, query, method, k=None).collect()]
+        assert got == [(t, 0.0) for t in TITLES]
+        assert rank(idx, query, method, k=10, matched_only=True).collect() == []
