@@ -97,6 +97,18 @@ def corpus_stats(documents: DataFrame) -> DataFrame:
         F.try_divide(F.col("n_tokens").cast("double"), F.col("d")).alias("avg_tokens"))
 
 
+@dataclass(frozen=True)
+class CorpusScalars:
+    d: int
+    avgdl: float | None
+    avg_tokens: float | None
+
+    def lit(self, name: str) -> Column:
+        value = getattr(self, name)
+        kind = "bigint" if name == "d" else "double"
+        return F.lit(value).cast(kind)
+
+
 @dataclass(frozen=True)
 class Index:
     """A postings table plus (optionally stored) derived tables.
@@ -135,6 +147,18 @@ class Index:
     def stats(self) -> DataFrame:
         return self.stats_df if self.stats_df is not None else corpus_stats(self.documents())
 
+    def scalars(self) -> "CorpusScalars":
+        """D, avgdl and mean tokens per document as literals.
+
+        One row, read once per ranking job (a stored index reads its stored
+        ``stats``); using literals lets Catalyst fold the BM25 normaliser
+        into a constant instead of joining a statistics table.
+        """
+        row = self.stats().select("d", "avgdl", "avg_tokens").first()
+        if row is None:
+            return CorpusScalars(0, None, None)
+        return CorpusScalars(int(row.d), row.avgdl, row.avg_tokens)
+
     def postings_for_terms(self, terms: list[str]) -> DataFrame:
         """Postings of the given terms, with the predicate on the scan.
 

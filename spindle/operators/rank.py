@@ -8,8 +8,9 @@ Plan of one query (no Python in the hot path)::
       [LEFT JOIN onto all documents, 0 if absent]  -- reference behaviour
       ORDER BY score DESC, title ASC LIMIT k       -- TakeOrderedAndProject
 
-Query weights = lexicon rows of the query terms (df) x the one-row corpus
-statistics (D, avgdl) x the query's own term counts (qtf).
+Query weights = lexicon rows of the query terms (df) joined with the
+query's own term counts (qtf); D and avgdl are literals read from the
+one-row corpus statistics.
 
 Semantics kept from the reference, on purpose:
 * naive  = sum over the query terms in the document of ``qtf * tf / idf^2``
@@ -31,7 +32,7 @@ from pyspark.sql.window import Window
 from spindle.functions.scoring import (BM25_B, BM25_K, DEFAULT_TOP_K, bm25_param, bm25_term,
                                        idf, naive_term, okapi_param, tfidf)
 from spindle.functions.text import tokens
-from spindle.operators.index import Index, lexicon_table, materialize_index, term_bucket
+from spindle.operators.index import Index, materialize_index, term_bucket
 from spindle.operators.joins import broadcast_if_small
 
 METHODS = ("bm25", "naive")
@@ -79,10 +80,9 @@ def query_term_list(spark: SparkSession, query: str) -> list[str]:
 
 def idf_table(index: Index, terms: list[str]) -> DataFrame:
     """``(term, df, idf)`` for the given terms that occur in the index."""
-    stats = index.stats().select("d", "avgdl")
+    c = index.scalars()
     lex = index.lexicon_for_terms(terms).select("term", "df")
-    return lex.crossJoin(F.broadcast(stats)).select(
-        "term", "df", idf(F.col("d"), F.col("df")).alias("idf"))
+    return lex.select("term", "df", idf(c.lit("d"), F.col("df")).alias("idf"))
 
 
 def query_weights(index: Index, spark: SparkSession, query: str,
@@ -90,12 +90,12 @@ def query_weights(index: Index, spark: SparkSession, query: str,
     """One row per distinct query term found in the index:
     ``(term, qtf, df, idf, d, avgdl, param)``. Bounded by the query."""
     profile = query_profile(spark, query) if profile is None else profile
-    stats = index.stats().select("d", "avgdl")
+    c = index.scalars()
     lex = index.lexicon_for_terms([t for t, _ in profile]).select("term", "df")
-    w = (lex.join(F.broadcast(query_terms(spark, query, profile)), "term")
-         .crossJoin(F.broadcast(stats)))
-    return w.select("term", "qtf", "df", idf(F.col("d"), F.col("df")).alias("idf"),
-                    "d", "avgdl", bm25_param(F.col("d"), F.col("avgdl")).alias("param"))
+    w = lex.join(F.broadcast(query_terms(spark, query, profile)), "term")
+    return w.select("term", "qtf", "df", idf(c.lit("d"), F.col("df")).alias("idf"),
+                    c.lit("d").alias("d"), c.lit("avgdl").alias("avgdl"),
+                    bm25_param(c.lit("d"), c.lit("avgdl")).alias("param"))
 
 
 # ---------------------------------------------------------------------------
@@ -122,10 +122,10 @@ def matched_scores(index: Index, query: str, method: str = "bm25",
                             bm25_param(F.col("d"), F.col("avgdl"), k1, b), k1)
     elif length_norm == "document":
         docs = index.documents().select("title", "n_tokens")
-        avg = index.stats().select("avg_tokens")
-        hits = hits.join(docs, "title").crossJoin(F.broadcast(avg))
+        avg_tokens = index.scalars().lit("avg_tokens")
+        hits = hits.join(docs, "title")
         contrib = bm25_term(F.col("idf"), F.col("tf"),
-                            okapi_param(F.col("n_tokens"), F.col("avg_tokens"), k1, b), k1)
+                            okapi_param(F.col("n_tokens"), avg_tokens, k1, b), k1)
     else:
         raise ValueError("length_norm must be 'corpus' or 'document'")
     return hits.groupBy("title").agg(F.sum(contrib).alias("score"))
@@ -184,10 +184,10 @@ def rank(index: Index, query: str, method: str = "bm25", k: int | None = DEFAULT
 
 def tfidf_postings(index: Index) -> DataFrame:
     """``(title, term, tf, df, idf, tfidf)`` for every posting."""
-    stats = index.stats().select("d")
+    d = index.scalars().lit("d")
     lex = index.lexicon().select("term", "df")
-    weighted = index.flat().join(lex, "term").crossJoin(F.broadcast(stats))
-    w_idf = idf(F.col("d"), F.col("df"))
+    weighted = index.flat().join(lex, "term")
+    w_idf = idf(d, F.col("df"))
     return weighted.select("title", "term", "tf", "df", w_idf.alias("idf"),
                            tfidf(F.col("tf"), w_idf).alias("tfidf"))
 
@@ -219,12 +219,12 @@ def rank_batch(index: Index, queries: DataFrame, method: str = "bm25",
     check_method(method)
     index = materialize_index(index)
     qt = batch_query_terms(queries, id_col, text_col)
-    stats = index.stats().select("d", "avgdl")
+    c = index.scalars()
     lex = index.lexicon().select("term", "df")
-    weights = (qt.join(lex, "term").crossJoin(F.broadcast(stats))
+    weights = (qt.join(lex, "term")
                .select("query_id", "term", "qtf", "df",
-                       idf(F.col("d"), F.col("df")).alias("idf"),
-                       bm25_param(F.col("d"), F.col("avgdl")).alias("param")))
+                       idf(c.lit("d"), F.col("df")).alias("idf"),
+                       bm25_param(c.lit("d"), c.lit("avgdl")).alias("param")))
     if index.n_buckets:
         weights = weights.withColumn("term_bucket", term_bucket(F.col("term"), index.n_buckets))
     weights, _ = broadcast_if_small(weights)
@@ -253,7 +253,5 @@ def rank_batch(index: Index, queries: DataFrame, method: str = "bm25",
 
 def lexicon_idf(index: Index) -> DataFrame:
     """``(term, df, idf)`` for every term of the index."""
-    stats = index.stats().select("d")
-    lex = index.lexicon_df if index.lexicon_df is not None else lexicon_table(index.flat())
-    return lex.select("term", "df").crossJoin(F.broadcast(stats)).select(
-        "term", "df", idf(F.col("d"), F.col("df")).alias("idf"))
+    d = index.scalars().lit("d")
+    return index.lexicon().select("term", "df", idf(d, F.col("df")).alias("idf"))

@@ -45,7 +45,7 @@ def main() -> None:
          lazy.flat()),
         ("Rank, one query, stored index: matched scores",
          "PartitionFilters on term_bucket and PushedFilters In(term) on postings and lexicon; "
-         "only bounded broadcasts (query weights, one-row stats); partial + final sum by title.",
+         "only bounded broadcasts (the query weights; D and avgdl are literals from the one-row stats); partial + final sum by title.",
          matched_scores(stored, Q_MID, "bm25")),
         ("Rank, every document kept (fallback path of the top-k)",
          "Documents scanned (title only) and probed against the size-checked broadcast of the "
