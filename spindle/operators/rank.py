@@ -205,7 +205,7 @@ def batch_query_terms(queries: DataFrame, id_col: str = "query_id",
 
 
 def rank_batch(index: Index, queries: DataFrame, method: str = "bm25",
-               k: int | None = DEFAULT_TOP_K, id_col: str = "query_id",
+               k: int = DEFAULT_TOP_K, id_col: str = "query_id",
                text_col: str = "text", decimals: int | None = None) -> DataFrame:
     """Top-k per query for a table of queries: ``(query_id, rank, title, score)``.
 
@@ -214,9 +214,12 @@ def rank_batch(index: Index, queries: DataFrame, method: str = "bm25",
     broadcast only after a size check; top-k per query uses
     ``row_number() <= k``, which Spark plans with a partial group limit
     before the shuffle, so a query matching most documents never sorts
-    them all in one task.
+    them all in one task. ``k`` is therefore required: an unlimited rank
+    per query would put a whole match set into one window partition.
     """
     check_method(method)
+    if k is None or k < 1:
+        raise ValueError("rank_batch needs a positive k (top-k per query)")
     index = materialize_index(index)
     qt = batch_query_terms(queries, id_col, text_col)
     c = index.scalars()
@@ -245,9 +248,7 @@ def rank_batch(index: Index, queries: DataFrame, method: str = "bm25",
     if decimals is not None:
         scores = scores.withColumn("score", F.round("score", decimals))
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("title"))
-    ranked = scores.withColumn("rank", F.row_number().over(w))
-    if k is not None:
-        ranked = ranked.where(F.col("rank") <= k)
+    ranked = scores.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "title", "score")
 
 

@@ -69,3 +69,10 @@ def test_streaming_repeated_title_is_merged(spark, scratch):
     idx = run_streaming_add(spark, flat, os.path.join(scratch, "idx"), os.path.join(scratch, "ck"))
     got = sorted((r.title, r.term, r.tf) for r in idx.flat().collect())
     assert got in ([("A", "xx", 2), ("A", "yy", 1)], [("A", "xx", 1), ("A", "yy", 1)])
+
+
+def test_batch_requires_positive_k(spark, micro):
+    queries = spark.createDataFrame([(1, "hello")], "query_id int, text string")
+    for k in (None, 0):
+        with pytest.raises(ValueError):
+            rank_batch(build_index(micro), queries, "bm25", k=k)
