@@ -4,10 +4,14 @@ each micro-batch of documents into the stored index.
 The index state lives in Parquet, not in the stream's state store: every
 micro-batch writes a new index version (old index merged with the batch's
 postings, new wins on (title, term), as the batch add job does), and then
-appends ``(epoch, path)`` to a small ``_versions`` table. That append is the
-commit point: a batch replayed after a failure finds its epoch already
-recorded and does nothing, and a half-written attempt directory is never
-referenced. Readers open the latest recorded version.
+appends ``(seq, run, epoch, path)`` to a small ``_versions`` table. That
+append is the commit point: a batch replayed after a failure finds its
+``(run, epoch)`` already recorded and does nothing, and a half-written
+attempt directory is never referenced. Readers open the highest ``seq``.
+
+Cost: each micro-batch rewrites the index (like the reference's add), so
+triggers should carry large batches; ``streaming_build`` sizes them by file
+count.
 
 A title that comes back in a later micro-batch is merged like a batch add
 (new terms overwrite, old-only terms stay), so a stream of unique titles
@@ -29,48 +33,66 @@ from spindle.sources.documents import DOCUMENT_SCHEMA
 from spindle.sources.store import load_index, save_index
 
 VERSIONS = "_versions"
+VERSION_SCHEMA = "seq bigint, run string, epoch bigint, path string"
 
 
-def latest_version(spark: SparkSession, root: str) -> tuple[int, str] | None:
+def _versions(spark: SparkSession, root: str) -> DataFrame | None:
     try:
-        versions = spark.read.parquet(f"{root}/{VERSIONS}")
+        return spark.read.schema(VERSION_SCHEMA).parquet(f"{root}/{VERSIONS}")
     except AnalysisException:
         return None
-    row = versions.orderBy(F.desc("epoch")).select("epoch", "path").first()
-    return (int(row.epoch), row.path) if row else None
+
+
+def latest_version(spark: SparkSession, root: str):
+    """The newest committed version row ``(seq, run, epoch, path)`` or None."""
+    versions = _versions(spark, root)
+    return None if versions is None else versions.orderBy(F.desc("seq")).first()
 
 
 class IndexAppender:
-    """``foreachBatch`` sink that keeps a versioned index under ``root``."""
+    """``foreachBatch`` sink that keeps a versioned index under ``root``.
+
+    ``run`` names the stream (its checkpoint location): a replayed
+    ``(run, epoch)`` is skipped, while a new stream on the same index, whose
+    epochs start again at 0, keeps adding. ``base`` optionally names a stored
+    index to start from. One stream writes to a root at a time.
+    """
 
-    def __init__(self, root: str, n_buckets: int | None = None, forward: bool = False):
+    def __init__(self, root: str, run: str, base: str | None = None,
+                 n_buckets: int | None = None, forward: bool = False):
         self.root = root.rstrip("/")
+        self.run = run
+        self.base = base
         self.n_buckets = n_buckets
         self.forward = forward
 
     def __call__(self, batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        last = latest_version(spark, self.root)
-        if last is not None and last[0] >= epoch_id:
+        versions = _versions(spark, self.root)
+        if versions is not None and versions.where(
+                (F.col("run") == self.run) & (F.col("epoch") == epoch_id)).limit(1).count():
             return  # replayed batch, already committed
+        last = latest_version(spark, self.root)
+        old_path = last.path if last is not None else self.base
         new = term_frequency(batch, "title", "text")
-        if last is None:
-            merged = Index(new)
-            buckets = self.n_buckets
+        if old_path is None:
+            merged, buckets = Index(new), self.n_buckets
         else:
-            old = load_index(spark, last[1])
-            merged = Index(merge_postings(old.flat(), new))
-            buckets = old.n_buckets
-        path = f"{self.root}/v{epoch_id:08d}-{uuid.uuid4().hex[:8]}"
+            old = load_index(spark, old_path)
+            merged, buckets = Index(merge_postings(old.flat(), new)), old.n_buckets
+        seq = (last.seq + 1) if last is not None else 1
+        path = f"{self.root}/v{seq:08d}-{uuid.uuid4().hex[:8]}"
         save_index(merged, path, buckets, self.forward)
-        (spark.createDataFrame([(epoch_id, path)], "epoch bigint, path string")
+        (spark.createDataFrame([(seq, self.run, epoch_id, path)], VERSION_SCHEMA)
          .write.mode("append").parquet(f"{self.root}/{VERSIONS}"))
 
     def current(self, spark: SparkSession) -> Index:
         last = latest_version(spark, self.root)
         if last is None:
-            raise ValueError(f"no committed index version under {self.root}")
-        return load_index(spark, last[1])
+            if self.base is None:
+                raise ValueError(f"no committed index version under {self.root}")
+            return load_index(spark, self.base)
+        return load_index(spark, last.path)
 
 
 def stream_documents(spark: SparkSession, source: str, fmt: str = "parquet",
@@ -81,9 +103,10 @@ def stream_documents(spark: SparkSession, source: str, fmt: str = "parquet",
 
 
 def run_streaming_add(spark: SparkSession, source: str, root: str, checkpoint: str,
-                      fmt: str = "parquet", files_per_trigger: int = 1) -> Index:
+                      fmt: str = "parquet", files_per_trigger: int = 1,
+                      base: str | None = None) -> Index:
     """Drain everything currently in ``source`` into the index at ``root``."""
-    appender = IndexAppender(root)
+    appender = IndexAppender(root, run=checkpoint, base=base)
     query = (stream_documents(spark, source, fmt, files_per_trigger).writeStream
              .foreachBatch(appender)
              .option("checkpointLocation", checkpoint)

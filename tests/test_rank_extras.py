@@ -76,3 +76,19 @@ def test_batch_requires_positive_k(spark, micro):
     for k in (None, 0):
         with pytest.raises(ValueError):
             rank_batch(build_index(micro), queries, "bm25", k=k)
+
+
+def test_streaming_sink_skips_replays_and_continues_new_runs(spark, scratch):
+    import os
+    from spindle.streaming.add import IndexAppender
+    root = os.path.join(scratch, "idx")
+    b1 = spark.createDataFrame([("A", "xx yy")], "title string, text string")
+    b2 = spark.createDataFrame([("B", "zz")], "title string, text string")
+    first = IndexAppender(root, run="run-1")
+    first(b1, 0)
+    first(b1, 0)          # replay of the same epoch: no new version
+    second = IndexAppender(root, run="run-2")
+    second(b2, 0)         # a new stream: epoch 0 again, must be added
+    got = sorted((r.title, r.term, r.tf) for r in second.current(spark).flat().collect())
+    assert got == [("A", "xx", 1), ("A", "yy", 1), ("B", "zz", 1)]
+    assert spark.read.parquet(os.path.join(root, "_versions")).count() == 2
