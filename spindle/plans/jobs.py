@@ -6,9 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from spindle.operators.index import Index, build_index, merge_postings, term_frequency
-from spindle.operators.joins import broadcast_if_small
+from spindle.operators.joins import broadcast_if_small, broadcast_row_limit
 from spindle.operators.rank import DEFAULT_TOP_K, check_method, rank
-from spindle.sources.store import load_index, save_index
+from spindle.sources.store import load_index, save_index, save_merged
 
 
 def build_job(docs: DataFrame, out_root: str, n_buckets: int | None = None,
@@ -23,11 +23,20 @@ def add_job(spark: SparkSession, new_docs: DataFrame, old_root: str, out_root: s
 
     A title that is already indexed keeps its old terms, and every term it
     has in the new documents takes the new count ("new wins"). The new
-    postings are materialised first; their keys are broadcast to the anti
-    join only when they are under the row limit, otherwise the join shuffles.
+    postings are materialised and counted first. Under the broadcast row
+    limit the old files are rewritten one to one without a shuffle
+    (:func:`save_merged`); above it the merged index is fully re-sorted.
     """
     old = load_index(spark, old_root)
-    new, _ = broadcast_if_small(term_frequency(new_docs))
+    return merge_into(old, term_frequency(new_docs), out_root, forward, n_files)
+
+
+def merge_into(old: Index, new_postings: DataFrame, out_root: str, forward: bool = True,
+               n_files: int | None = None) -> Index:
+    """Store ``merge(old, new_postings)`` at ``out_root`` (old is stored)."""
+    new, rows = broadcast_if_small(new_postings)
+    if rows <= broadcast_row_limit(new):
+        return save_merged(old, new, out_root, forward)
     merged = merge_postings(old.flat(), new)
     return save_index(Index(merged), out_root, old.n_buckets, forward, n_files)
 

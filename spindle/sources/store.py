@@ -101,6 +101,52 @@ def save_index(index: Index, root: str, n_buckets: int | None = None,
     return load_index(spark, root)
 
 
+def save_merged(old: Index, new: DataFrame, root: str, forward: bool = True) -> Index:
+    """Write ``merge(old, new)`` at ``root`` when ``new`` is small enough to
+    broadcast (the caller has checked its size).
+
+    The old index is not shuffled: each old file is read, the (title, term)
+    keys that ``new`` overwrites are dropped by a broadcast anti join, and
+    the rest is written back one to one after a local sort (files keep
+    their bucket and their term order). Only the small new part is range-
+    partitioned, then appended. A bucket directory then holds the old files
+    plus a few new ones, each sorted, so row-group pruning still works;
+    :func:`compact_index` restores one global order after many adds.
+    """
+    spark = old.postings.sparkSession
+    n_buckets = old.n_buckets
+    new = new.select("title", "term", "tf")
+    keys = F.broadcast(new.select("title", "term"))
+
+    kept = old.postings.join(keys, ["title", "term"], "left_anti")
+    (kept.select("title", "term", "tf", "term_bucket")
+     .sortWithinPartitions("term_bucket", "term", "title")
+     .write.mode("errorifexists").partitionBy("term_bucket")
+     .parquet(table_path(root, "postings")))
+    fresh = new.withColumn("term_bucket", term_bucket(F.col("term"), n_buckets))
+    (fresh.repartitionByRange("term_bucket", "term", "title")
+     .sortWithinPartitions("term_bucket", "term", "title")
+     .write.mode("append").partitionBy("term_bucket")
+     .parquet(table_path(root, "postings")))
+
+    if forward:
+        kept_fwd = old.forward().join(keys, ["title", "term"], "left_anti")
+        (kept_fwd.sortWithinPartitions("title", "term")
+         .write.mode("errorifexists").parquet(table_path(root, "forward")))
+        (new.repartitionByRange("title", "term").sortWithinPartitions("title", "term")
+         .write.mode("append").parquet(table_path(root, "forward")))
+
+    write_derived(spark.read.parquet(table_path(root, "postings")), root, n_buckets)
+    return load_index(spark, root)
+
+
+def compact_index(spark: SparkSession, root: str, out_root: str,
+                  n_files: int | None = None) -> Index:
+    """Rewrite a stored index in one global order (after many adds)."""
+    index = load_index(spark, root)
+    return save_index(index, out_root, index.n_buckets, index.forward_df is not None, n_files)
+
+
 def _read_optional(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)

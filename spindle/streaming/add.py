@@ -9,9 +9,10 @@ append is the commit point: a batch replayed after a failure finds its
 ``(run, epoch)`` already recorded and does nothing, and a half-written
 attempt directory is never referenced. Readers open the highest ``seq``.
 
-Cost: each micro-batch rewrites the index (like the reference's add), so
-triggers should carry large batches; ``streaming_build`` sizes them by file
-count.
+Cost: each micro-batch writes a new version. A small batch rewrites the
+old files one to one without a shuffle (``save_merged``); a batch above the
+broadcast limit re-sorts the whole index. Triggers should carry large
+batches; ``streaming_build`` sizes them by file count.
 
 A title that comes back in a later micro-batch is merged like a batch add
 (new terms overwrite, old-only terms stay), so a stream of unique titles
@@ -27,7 +28,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from spindle.operators.index import Index, merge_postings, spread_input, term_frequency
+from spindle.operators.index import Index, spread_input, term_frequency
+from spindle.plans.jobs import merge_into
 from spindle.session import scratch_path
 from spindle.sources.documents import DOCUMENT_SCHEMA
 from spindle.sources.store import load_index, save_index
@@ -75,14 +77,12 @@ class IndexAppender:
         last = latest_version(spark, self.root)
         old_path = last.path if last is not None else self.base
         new = term_frequency(batch, "title", "text")
-        if old_path is None:
-            merged, buckets = Index(new), self.n_buckets
-        else:
-            old = load_index(spark, old_path)
-            merged, buckets = Index(merge_postings(old.flat(), new)), old.n_buckets
         seq = (last.seq + 1) if last is not None else 1
         path = f"{self.root}/v{seq:08d}-{uuid.uuid4().hex[:8]}"
-        save_index(merged, path, buckets, self.forward)
+        if old_path is None:
+            save_index(Index(new), path, self.n_buckets, self.forward)
+        else:
+            merge_into(load_index(spark, old_path), new, path, self.forward)
         (spark.createDataFrame([(seq, self.run, epoch_id, path)], VERSION_SCHEMA)
          .write.mode("append").parquet(f"{self.root}/{VERSIONS}"))
 

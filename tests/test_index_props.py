@@ -159,3 +159,40 @@ def test_rank_job_on_stored_index(spark, scratch):
     assert [t for t, _ in got] == [t for t, _ in want]
     assert all(abs(a - b) < 1e-9 for (_, a), (_, b) in zip(got, want))
     assert idx.n_buckets == 3
+
+
+def test_add_paths_agree_with_lazy_merge(spark, scratch):
+    from spindle.operators.joins import BROADCAST_ROWS_CONF
+    docs = corpus(spark, SF_SMALL)
+    old_docs = docs.where(F.col("title").cast("int") % 3 != 0)
+    new_docs = docs.where(F.col("title").cast("int") % 2 == 0).withColumn(
+        "text", F.concat(F.col("text"), F.lit(" extra words here")))
+    build_job(old_docs, os.path.join(scratch, "old"), n_buckets=4)
+    want = rows(merge_index(build_index(old_docs), build_index(new_docs)).flat())
+    fast = add_job(spark, new_docs, os.path.join(scratch, "old"), os.path.join(scratch, "fast"))
+    spark.conf.set(BROADCAST_ROWS_CONF, "0")
+    try:
+        full = add_job(spark, new_docs, os.path.join(scratch, "old"), os.path.join(scratch, "full"))
+    finally:
+        spark.conf.unset(BROADCAST_ROWS_CONF)
+    for idx in (fast, full):
+        assert rows(idx.flat()) == want
+        assert rows(idx.forward()) == want
+        assert rows(idx.lexicon()) == rows(lexicon_of(spark, want))
+    assert rows(fast.stats()) == rows(full.stats())
+
+
+def lexicon_of(spark, postings):
+    df = spark.createDataFrame(postings, "title string, term string, tf bigint")
+    return df.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
+
+
+def test_compact_keeps_content(spark, scratch):
+    from spindle.sources.store import compact_index
+    docs = corpus(spark, SF_SMALL)
+    build_job(docs.where(F.col("title").cast("int") < 100), os.path.join(scratch, "a"), n_buckets=4)
+    add_job(spark, docs.where(F.col("title").cast("int") >= 100), os.path.join(scratch, "a"),
+            os.path.join(scratch, "b"))
+    compact = compact_index(spark, os.path.join(scratch, "b"), os.path.join(scratch, "c"))
+    assert compact.n_buckets == 4
+    assert rows(compact.flat()) == rows(build_index(docs).flat())
