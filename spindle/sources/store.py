@@ -136,10 +136,44 @@ def save_merged(old: Index, new: DataFrame, root: str, forward: bool = True) ->
         (new.repartitionByRange("title", "term").sortWithinPartitions("title", "term")
          .write.mode("append").parquet(table_path(root, "forward")))
 
-    write_derived(spark.read.parquet(table_path(root, "postings")), root, n_buckets)
+    write_derived_merged(old, new, spark.read.parquet(table_path(root, "postings")), root)
     return load_index(spark, root)
 
 
+def write_derived_merged(old: Index, new: DataFrame, merged: DataFrame, root: str) -> None:
+    """documents, lexicon and stats of ``merge(old, new)`` with a small ``new``.
+
+    Only the titles and terms that ``new`` touches are re-aggregated (from the
+    merged postings, semi-joined with them); every other row of the old
+    tables is carried over file by file through a broadcast anti join.
+    ``new`` has passed the broadcast size check, so its distinct titles and
+    terms are bounded by it.
+    """
+    spark = merged.sparkSession
+    n_buckets = old.n_buckets
+    flat = merged.select("title", "term", "tf")
+    titles = F.broadcast(new.select("title").distinct())
+    terms = F.broadcast(new.select("term").distinct())
+
+    old.documents().join(titles, "title", "left_anti").write.mode("errorifexists").parquet(
+        table_path(root, "documents"))
+    document_table(flat.join(titles, "title", "left_semi")).write.mode("append").parquet(
+        table_path(root, "documents"))
+
+    kept_lex = old.lexicon_df.join(terms, "term", "left_anti")
+    (kept_lex.select("term", "df", "cf", "term_bucket")
+     .sortWithinPartitions("term_bucket", "term")
+     .write.mode("errorifexists").partitionBy("term_bucket").parquet(table_path(root, "lexicon")))
+    touched = lexicon_table(flat.join(terms, "term", "left_semi")).withColumn(
+        "term_bucket", term_bucket(F.col("term"), n_buckets))
+    (touched.repartition("term_bucket").sortWithinPartitions("term_bucket", "term")
+     .write.mode("append").partitionBy("term_bucket").parquet(table_path(root, "lexicon")))
+
+    docs = spark.read.parquet(table_path(root, "documents"))
+    (corpus_stats(docs).withColumn("n_buckets", F.lit(n_buckets))
+     .coalesce(1).write.mode("errorifexists").parquet(table_path(root, "stats")))
+
+
 def compact_index(spark: SparkSession, root: str, out_root: str,
                   n_files: int | None = None) -> Index:
     """Rewrite a stored index in one global order (after many adds)."""

@@ -180,6 +180,10 @@ def test_add_paths_agree_with_lazy_merge(spark, scratch):
         assert rows(idx.forward()) == want
         assert rows(idx.lexicon()) == rows(lexicon_of(spark, want))
     assert rows(fast.stats()) == rows(full.stats())
+    assert rows(fast.documents()) == rows(full.documents())
+    merged_docs = spark.createDataFrame(want, "title string, term string, tf bigint").groupBy(
+        "title").agg(F.count("*").alias("n_terms"), F.sum("tf").alias("n_tokens"))
+    assert rows(fast.documents()) == rows(merged_docs)
 
 
 def lexicon_of(spark, postings):
