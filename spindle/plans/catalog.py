@@ -162,6 +162,13 @@ def _rank(query, method, k, matched_only=False, length_norm="corpus", stored=Fal
     return run
 
 
+def _rank_corpus(name, query, method, k):
+    def run(spark, sf):
+        idx = build_index(corpus(spark, sf, name))
+        return rank(idx, query, method, k, decimals=DEC)
+    return run
+
+
 def q_tfidf_postings(spark, sf):
     return _round(tfidf_postings(docs_index(spark, sf)), "idf", "tfidf")
 
@@ -354,6 +361,15 @@ ENTRIES: dict[str, tuple[Query, str | None]] = {
     "rank_bm25_stored_top10": (_rank(Q_MID, "bm25", 10, stored=True), O.rank_sql(Q_MID, "bm25", 10)),
     "rank_naive_stored_top10": (_rank(Q_REPEAT, "naive", 10, stored=True),
                                 O.rank_sql(Q_REPEAT, "naive", 10)),
+    "rank_bm25_conversations_top10": (
+        _rank_corpus("conversations", Q_MID, "bm25", 10),
+        O.rank_sql(Q_MID, "bm25", 10, source="conversations", key="conv_id")),
+    "rank_naive_conversations_all": (
+        _rank_corpus("conversations", Q_REPEAT, "naive", None),
+        O.rank_sql(Q_REPEAT, "naive", None, source="conversations", key="conv_id")),
+    "rank_bm25_pages_top10": (
+        _rank_corpus("pages", Q_CABRAL, "bm25", 10),
+        O.rank_sql(Q_CABRAL, "bm25", 10, source="pages", key="page_id", text="html")),
     "rank_bm25_matched": (_rank(Q_MID, "bm25", None, matched_only=True),
                           O.rank_sql(Q_MID, "bm25", None, matched_only=True)),
     "rank_bm25_okapi": (_rank(Q_MID, "bm25", None, length_norm="document"),

@@ -98,7 +98,8 @@ def weights_cte() -> str:
 
 
 def rank_sql(query: str, method: str, k: int | None, matched_only: bool = False,
-             length_norm: str = "corpus") -> str:
+             length_norm: str = "corpus", source: str = "documents", key: str = "doc_id",
+             text: str = "text") -> str:
     if method == "naive":
         contrib = naive_sql("w.qtf", "p.tf", "w.idf")
     elif length_norm == "document":
@@ -117,7 +118,8 @@ def rank_sql(query: str, method: str, k: int | None, matched_only: bool = False,
         scored = ("scored AS (SELECT d.title, round(coalesce(m.score, 0e0), 6) AS score "
                   "FROM docs d LEFT JOIN matched m ON d.title = m.title)")
     limit = f" LIMIT {k}" if k is not None else ""
-    return ("WITH " + ",\n".join([corpus_ctes(), query_profile_cte(query), weights_cte(),
+    return ("WITH " + ",\n".join([corpus_ctes(source, key, text), query_profile_cte(query),
+                                  weights_cte(),
                                   matched, scored])
             + f"\nSELECT title, score FROM scored ORDER BY score DESC, title ASC{limit}")
 
