@@ -20,7 +20,7 @@ whole in one task.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -173,9 +173,6 @@ class Index:
             return _filter_terms(self.lexicon_df, terms, self.n_buckets).select("term", "df", "cf")
         return lexicon_table(self.postings_for_terms(terms))
 
-    def with_postings(self, postings: DataFrame) -> "Index":
-        return replace(self, postings=postings)
-
     @property
     def is_lazy(self) -> bool:
         """True when the postings are still a plan over the raw documents."""

@@ -33,7 +33,6 @@ from pyspark.sql.utils import AnalysisException
 from spindle.operators.index import (Index, corpus_stats, document_table, lexicon_table,
                                      term_bucket)
 
-TABLES = ("postings", "forward", "documents", "lexicon", "stats")
 
 
 def table_path(root: str, name: str) -> str:

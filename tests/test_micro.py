@@ -95,3 +95,20 @@ def test_query_without_terms_scores_everything_zero(micro, query):
         got = [(r.title, r.score) for r in rank(idx, query, method, k=None).collect()]
         assert got == [(t, 0.0) for t in TITLES]
         assert rank(idx, query, method, k=10, matched_only=True).collect() == []
+
+
+def test_idf_table_and_query_terms(spark, micro):
+    from spindle.operators.rank import idf_table, query_term_list, query_terms
+    idx = build_index(micro)
+    got = {r.term: (r.df, round(r.idf, 6)) for r in idf_table(idx, ["hello", "note", "zzz"]).collect()}
+    assert got == {"hello": (2, 0.336472), "note": (1, 1.098612)}
+    assert query_term_list(spark, "Hello, hello world's x") == ["hello", "world"]
+    assert sorted(query_terms(spark, "hello hello world").collect()) == [("hello", 2), ("world", 1)]
+
+
+def test_parquet_document_source(spark, micro, scratch):
+    import os
+    from spindle.sources.documents import read_documents_parquet
+    path = os.path.join(scratch, "docs")
+    micro.write.parquet(path)
+    assert sorted(read_documents_parquet(spark, path).collect()) == sorted(micro.collect())
