@@ -173,6 +173,14 @@ class Index:
             return _filter_terms(self.lexicon_df, terms, self.n_buckets).select("term", "df", "cf")
         return lexicon_table(self.postings_for_terms(terms))
 
+    def register_views(self, prefix: str = "") -> None:
+        """Expose the index to ``spark.sql`` as temp views ``<prefix>postings``,
+        ``<prefix>documents``, ``<prefix>lexicon`` and ``<prefix>stats``."""
+        self.flat().createOrReplaceTempView(f"{prefix}postings")
+        self.documents().createOrReplaceTempView(f"{prefix}documents")
+        self.lexicon().createOrReplaceTempView(f"{prefix}lexicon")
+        self.stats().createOrReplaceTempView(f"{prefix}stats")
+
     @property
     def is_lazy(self) -> bool:
         """True when the postings are still a plan over the raw documents."""

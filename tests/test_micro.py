@@ -112,3 +112,22 @@ def test_parquet_document_source(spark, micro, scratch):
     path = os.path.join(scratch, "docs")
     micro.write.parquet(path)
     assert sorted(read_documents_parquet(spark, path).collect()) == sorted(micro.collect())
+
+
+def test_sql_views_give_the_same_bm25(spark, micro):
+    idx = build_index(micro)
+    idx.register_views("micro_")
+    sql = """
+        SELECT p.title,
+               round(sum((ln((s.d - l.df + 0.5D) / (l.df + 0.5D)) + 1e-10D)
+                         * (p.tf * 3.0D) / (p.tf + 2.0D * (0.25D + 0.75D * s.d / s.avgdl))),
+                     6) AS score
+        FROM micro_postings p
+        JOIN micro_lexicon l ON p.term = l.term
+        CROSS JOIN micro_stats s
+        WHERE p.term IN ('hello', 'world')
+        GROUP BY p.title
+        ORDER BY score DESC, title
+    """
+    got = [(r.title, r.score) for r in spark.sql(sql).collect()]
+    assert got == [("B", 0.656121), ("C", 0.252354), ("E", 0.252354)]
