@@ -40,6 +40,7 @@ Q_CABRAL = ("inhabited by numerous tribal nations prior to the landing in 1500 o
             "explorer Pedro Álvares Cabral")
 BLOCK = 512          # members per nested block in the registered views
 DEC = 6              # decimals of every reported double
+STORED_BUCKETS = 8   # bucket directories of the stored test index
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,7 +57,9 @@ def stored_index(spark: SparkSession, sf: str) -> Index:
     key = (spark.sparkContext.applicationId, sf)
     if key not in _STORED:
         path = scratch_path(spark, "index")
-        save_index(docs_index(spark, sf), path)
+        # 8 bucket directories (more than the data-sized default at these
+        # scales) so the registered queries exercise bucket pruning.
+        save_index(docs_index(spark, sf), path, n_buckets=STORED_BUCKETS)
         _STORED[key] = path
     return load_index(spark, _STORED[key])
 

@@ -26,12 +26,15 @@ is the lineage cut, and a lost executor only recomputes from there.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from spindle.operators.index import (Index, corpus_stats, document_table, lexicon_table,
                                      term_bucket)
+from spindle.operators.joins import materialize
 
 
 
@@ -39,8 +42,20 @@ def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
-def default_buckets(spark: SparkSession) -> int:
-    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+# Layout sizing: about 4 M postings per bucket directory (tens of MB of
+# Parquet), at most 65,536 directories, about 8 M postings per file, and at
+# least one file per core so the write runs in parallel.
+ROWS_PER_BUCKET = 4_000_000
+MAX_BUCKETS = 65_536
+ROWS_PER_FILE = 8_000_000
+
+
+def buckets_for(rows: int) -> int:
+    return int(min(MAX_BUCKETS, max(1, math.ceil(rows / ROWS_PER_BUCKET))))
+
+
+def files_for(spark: SparkSession, rows: int) -> int:
+    return int(max(spark.sparkContext.defaultParallelism, math.ceil(rows / ROWS_PER_FILE)))
 
 
 def _range(df: DataFrame, n_files: int | None, *cols: str) -> DataFrame:
@@ -51,9 +66,8 @@ def write_postings(postings: DataFrame, root: str, n_buckets: int,
                    n_files: int | None = None) -> DataFrame:
     """Write the inverted-order postings; return them read back.
 
-    ``n_files`` is the number of range partitions (output files); by default
-    ``spark.sql.shuffle.partitions``. At scale pick it so that one file is a
-    few hundred MB.
+    ``n_files`` is the number of range partitions (output files); without
+    it ``spark.sql.shuffle.partitions`` applies and AQE may coalesce.
     """
     spark = postings.sparkSession
     keyed = postings.select("title", "term", "tf").withColumn(
@@ -90,10 +104,20 @@ def write_derived(postings: DataFrame, root: str, n_buckets: int) -> None:
 def save_index(index: Index, root: str, n_buckets: int | None = None,
                forward: bool = True, n_files: int | None = None) -> Index:
     """Write the index under ``root`` (which must not exist) and return it
-    loaded back from storage."""
+    loaded back from storage.
+
+    The postings of a lazy index are materialised first (a lineage cut
+    after the tokenize + aggregate stage); their row count, read from the
+    Parquet footers, sizes the bucket directories and files unless given.
+    """
     spark = index.postings.sparkSession
-    n_buckets = n_buckets or index.n_buckets or default_buckets(spark)
-    stored = write_postings(index.flat(), root, n_buckets, n_files)
+    postings = materialize(index.flat(), "postings") if index.is_lazy else index.flat()
+    if not (n_buckets or index.n_buckets) or not n_files:
+        rows = postings.count()
+        n_buckets = n_buckets or index.n_buckets or buckets_for(rows)
+        n_files = n_files or files_for(spark, rows)
+    n_buckets = n_buckets or index.n_buckets
+    stored = write_postings(postings, root, n_buckets, n_files)
     if forward:
         write_forward(stored, root, n_files)
     write_derived(stored, root, n_buckets)

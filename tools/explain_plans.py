@@ -38,7 +38,7 @@ def main() -> None:
     spark = local_session(8, 8)
     docs = corpus(spark, sf)
     lazy = build_index(docs)
-    stored = save_index(lazy, scratch_path(spark, "plans-index"))
+    stored = save_index(lazy, scratch_path(spark, "plans-index"), n_buckets=8)
     new_post, _ = broadcast_if_small(build_index(corpus(spark, sf, "benchmark")).flat())
     sections = [
         ("Build: tokenize + term frequency",
