@@ -106,17 +106,20 @@ def save_index(index: Index, root: str, n_buckets: int | None = None,
     """Write the index under ``root`` (which must not exist) and return it
     loaded back from storage.
 
-    The postings of a lazy index are materialised first (a lineage cut
-    after the tokenize + aggregate stage); their row count, read from the
-    Parquet footers, sizes the bucket directories and files unless given.
+    Unless both ``n_buckets`` and ``n_files`` are given, the postings of a
+    lazy index are materialised first (a lineage cut after the tokenize +
+    aggregate stage) and their row count, read from the Parquet footers,
+    sizes the bucket directories and files.
     """
     spark = index.postings.sparkSession
-    postings = materialize(index.flat(), "postings") if index.is_lazy else index.flat()
-    if not (n_buckets or index.n_buckets) or not n_files:
+    postings = index.flat()
+    n_buckets = n_buckets or index.n_buckets
+    if not n_buckets or not n_files:
+        if index.is_lazy:
+            postings = materialize(postings, "postings")
         rows = postings.count()
-        n_buckets = n_buckets or index.n_buckets or buckets_for(rows)
+        n_buckets = n_buckets or buckets_for(rows)
         n_files = n_files or files_for(spark, rows)
-    n_buckets = n_buckets or index.n_buckets
     stored = write_postings(postings, root, n_buckets, n_files)
     if forward:
         write_forward(stored, root, n_files)
