@@ -36,6 +36,8 @@ from spindle.operators.index import Index, materialize_index, term_bucket
 from spindle.operators.joins import broadcast_if_small
 
 METHODS = ("bm25", "naive")
+# Largest k whose top-k rows may come back to the driver for the shortcut.
+SHORTCUT_MAX_K = 10_000
 
 
 def check_method(method: str) -> str:
@@ -169,11 +171,12 @@ def rank(index: Index, query: str, method: str = "bm25", k: int | None = DEFAULT
     scores = matched_scores(index, query, method, length_norm)
     if matched_only:
         return top_k(scores, k, decimals)
-    if k is not None:
+    if k is not None and k <= SHORTCUT_MAX_K:
         # Shortcut: when the k-th best matched score is above 0, every
         # document without a query term (score 0) ranks below it, so the
         # answer comes from the pruned postings alone. The k rows are the
-        # result itself (a top-k report), not data passing the driver.
+        # result itself (a top-k report of bounded size); a larger k takes
+        # the distributed path below.
         head = top_k(scores, k, decimals)
         rows = head.collect()
         if len(rows) == k and (k == 0 or rows[-1]["score"] > 0):

@@ -131,3 +131,12 @@ def test_sql_views_give_the_same_bm25(spark, micro):
     """
     got = [(r.title, r.score) for r in spark.sql(sql).collect()]
     assert got == [("B", 0.656121), ("C", 0.252354), ("E", 0.252354)]
+
+
+def test_large_k_takes_the_distributed_path(micro, monkeypatch):
+    import spindle.operators.rank as R
+    idx = build_index(micro)
+    want = [(r.title, r.score) for r in rank(idx, "hello world", "bm25", k=2, decimals=6).collect()]
+    monkeypatch.setattr(R, "SHORTCUT_MAX_K", 1)
+    got = [(r.title, r.score) for r in R.rank(idx, "hello world", "bm25", k=2, decimals=6).collect()]
+    assert got == want
