@@ -41,6 +41,7 @@ Q_CABRAL = ("inhabited by numerous tribal nations prior to the landing in 1500 o
 BLOCK = 512          # members per nested block in the registered views
 DEC = 6              # decimals of every reported double
 STORED_BUCKETS = 8   # bucket directories of the stored test index
+STREAM_REFRESH_ROWS = 100_000  # pending postings that trigger a streaming flush
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -252,7 +253,8 @@ def _ap(method):
 
 
 def q_streaming_index_add(spark, sf):
-    return streaming_build(spark, corpus(spark, sf), batches=4).flat()
+    return streaming_build(spark, corpus(spark, sf), batches=4,
+                           refresh_rows=STREAM_REFRESH_ROWS).flat()
 
 
 # ---------------------------------------------------------------------------

@@ -1,22 +1,30 @@
 """Streaming index add: Structured Streaming ``foreachBatch`` that merges
-each micro-batch of documents into the stored index.
-
-The index state lives in Parquet, not in the stream's state store: every
-micro-batch writes a new index version (old index merged with the batch's
-postings, new wins on (title, term), as the batch add job does), and then
-appends ``(seq, run, epoch, path)`` to a small ``_versions`` table. That
-append is the commit point: a batch replayed after a failure finds its
-``(run, epoch)`` already recorded and does nothing, and a half-written
-attempt directory is never referenced. Readers open the highest ``seq``.
-
-Cost: each micro-batch writes a new version. A small batch rewrites the
-old files one to one without a shuffle (``save_merged``); a batch above the
-broadcast limit re-sorts the whole index. Triggers should carry large
-batches; ``streaming_build`` sizes them by file count.
-
-A title that comes back in a later micro-batch is merged like a batch add
-(new terms overwrite, old-only terms stay), so a stream of unique titles
-gives the same index as one batch build.
+micro-batches of documents into the stored index, with a refresh interval.
+
+The index state lives in Parquet, not in the stream's state store, under
+one root:
+
+* ``_pending/``  the postings of each micro-batch, tagged with a sequence
+  number (an O(batch) append);
+* ``v<seq>-*/``  index versions;
+* ``_log``       one row per pending batch or version:
+  ``(seq, kind, run, epoch, path, rows)``.
+
+Each micro-batch only appends its postings to ``_pending`` and logs them.
+When the pending rows since the last version reach ``refresh_rows`` (0 means
+every batch), or on :meth:`IndexAppender.flush`, the pending postings are
+resolved with "latest sequence wins per (title, term)". Rows of one title
+inside one batch add up first (one build). The result is merged into the
+last version like a batch add (new wins, old-only terms stay), giving the
+same index as applying the batches one by one. The log append is the
+commit point. A replayed ``(run, epoch)`` is skipped; a new stream on the
+same root, whose epochs restart at 0, keeps adding; a flush that dies
+before its log row leaves an unreferenced folder and is simply redone.
+One stream writes to a root at a time.
+
+Cost per micro-batch is O(batch). A flush reads and writes the index once
+(without a shuffle of the old index when the pending part is small; see
+``save_merged``), so ``refresh_rows`` trades freshness for write volume.
 """
 
 from __future__ import annotations
@@ -34,59 +42,99 @@ from spindle.session import scratch_path
 from spindle.sources.documents import DOCUMENT_SCHEMA
 from spindle.sources.store import load_index, save_index
 
-VERSIONS = "_versions"
-VERSION_SCHEMA = "seq bigint, run string, epoch bigint, path string"
+LOG = "_log"
+LOG_SCHEMA = "seq bigint, kind string, run string, epoch bigint, path string, rows bigint"
 
 
-def _versions(spark: SparkSession, root: str) -> DataFrame | None:
+def _log(spark: SparkSession, root: str) -> DataFrame | None:
     try:
-        return spark.read.schema(VERSION_SCHEMA).parquet(f"{root}/{VERSIONS}")
+        return spark.read.schema(LOG_SCHEMA).parquet(f"{root}/{LOG}")
     except AnalysisException:
         return None
 
 
+def _append_log(spark: SparkSession, root: str, row: tuple) -> None:
+    spark.createDataFrame([row], LOG_SCHEMA).write.mode("append").parquet(f"{root}/{LOG}")
+
+
 def latest_version(spark: SparkSession, root: str):
-    """The newest committed version row ``(seq, run, epoch, path)`` or None."""
-    versions = _versions(spark, root)
-    return None if versions is None else versions.orderBy(F.desc("seq")).first()
+    """The newest version row of the log, or None."""
+    log = _log(spark, root)
+    if log is None:
+        return None
+    return log.where(F.col("kind") == "version").orderBy(F.desc("seq")).first()
 
 
 class IndexAppender:
     """``foreachBatch`` sink that keeps a versioned index under ``root``.
 
-    ``run`` names the stream (its checkpoint location): a replayed
-    ``(run, epoch)`` is skipped, while a new stream on the same index, whose
-    epochs start again at 0, keeps adding. ``base`` optionally names a stored
-    index to start from. One stream writes to a root at a time.
+    ``run`` names the stream (its checkpoint location); ``base`` optionally
+    names a stored index to start from.
     """
 
     def __init__(self, root: str, run: str, base: str | None = None,
-                 n_buckets: int | None = None, forward: bool = False):
+                 n_buckets: int | None = None, forward: bool = False, refresh_rows: int = 0):
         self.root = root.rstrip("/")
         self.run = run
         self.base = base
         self.n_buckets = n_buckets
         self.forward = forward
+        self.refresh_rows = refresh_rows
+
+    def _next_seq(self, log: DataFrame | None) -> int:
+        if log is None:
+            return 1
+        top = log.agg(F.max("seq")).first()[0]
+        return (top or 0) + 1
 
     def __call__(self, batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        versions = _versions(spark, self.root)
-        if versions is not None and versions.where(
-                (F.col("run") == self.run) & (F.col("epoch") == epoch_id)).limit(1).count():
-            return  # replayed batch, already committed
+        log = _log(spark, self.root)
+        if log is not None and log.where(
+                (F.col("kind") == "pending") & (F.col("run") == self.run)
+                & (F.col("epoch") == epoch_id)).limit(1).count():
+            return  # replayed batch, already logged
+        seq = self._next_seq(log)
+        path = f"{self.root}/_pending/p{seq:08d}-{uuid.uuid4().hex[:8]}"
+        (term_frequency(batch, "title", "text").withColumn("seq", F.lit(seq).cast("bigint"))
+         .write.parquet(path))
+        rows = spark.read.parquet(path).count()
+        _append_log(spark, self.root, (seq, "pending", self.run, epoch_id, path, rows))
+        if self._pending_rows(spark) >= self.refresh_rows:
+            self.flush(spark)
+
+    def _pending(self, spark: SparkSession) -> list:
+        """Pending log rows since the last version (bounded by the refresh
+        policy: it is the list of batches between two flushes)."""
+        log = _log(spark, self.root)
+        if log is None:
+            return []
+        last = latest_version(spark, self.root)
+        after = last.seq if last is not None else 0
+        return log.where((F.col("kind") == "pending") & (F.col("seq") > after)).collect()
+
+    def _pending_rows(self, spark: SparkSession) -> int:
+        return sum(r.rows for r in self._pending(spark))
+
+    def flush(self, spark: SparkSession) -> None:
+        """Merge every pending batch into a new index version."""
+        pending = self._pending(spark)
+        if not pending:
+            return
+        tagged = spark.read.parquet(*[r.path for r in pending])
+        resolved = tagged.groupBy("title", "term").agg(F.max_by("tf", "seq").alias("tf"))
         last = latest_version(spark, self.root)
         old_path = last.path if last is not None else self.base
-        new = term_frequency(batch, "title", "text")
-        seq = (last.seq + 1) if last is not None else 1
+        seq = self._next_seq(_log(spark, self.root))
         path = f"{self.root}/v{seq:08d}-{uuid.uuid4().hex[:8]}"
         if old_path is None:
-            save_index(Index(new), path, self.n_buckets, self.forward)
+            save_index(Index(resolved), path, self.n_buckets, self.forward)
         else:
-            merge_into(load_index(spark, old_path), new, path, self.forward)
-        (spark.createDataFrame([(seq, self.run, epoch_id, path)], VERSION_SCHEMA)
-         .write.mode("append").parquet(f"{self.root}/{VERSIONS}"))
+            merge_into(load_index(spark, old_path), resolved, path, self.forward)
+        _append_log(spark, self.root, (seq, "version", None, None, path, None))
 
     def current(self, spark: SparkSession) -> Index:
+        """The newest version (pending batches are not visible before a flush)."""
         last = latest_version(spark, self.root)
         if last is None:
             if self.base is None:
@@ -104,25 +152,29 @@ def stream_documents(spark: SparkSession, source: str, fmt: str = "parquet",
 
 def run_streaming_add(spark: SparkSession, source: str, root: str, checkpoint: str,
                       fmt: str = "parquet", files_per_trigger: int = 1,
-                      base: str | None = None) -> Index:
-    """Drain everything currently in ``source`` into the index at ``root``."""
-    appender = IndexAppender(root, run=checkpoint, base=base)
+                      base: str | None = None, refresh_rows: int = 0) -> Index:
+    """Drain everything currently in ``source`` into the index at ``root``,
+    then flush what is still pending."""
+    appender = IndexAppender(root, run=checkpoint, base=base, refresh_rows=refresh_rows)
     query = (stream_documents(spark, source, fmt, files_per_trigger).writeStream
              .foreachBatch(appender)
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True)
              .start())
     query.awaitTermination()
+    appender.flush(spark)
     return appender.current(spark)
 
 
-def streaming_build(spark: SparkSession, docs: DataFrame, batches: int = 4) -> Index:
+def streaming_build(spark: SparkSession, docs: DataFrame, batches: int = 4,
+                    refresh_rows: int = 0) -> Index:
     """Write ``docs`` as Parquet files and index them as a stream of about
     ``batches`` micro-batches (files per trigger follows the file count, so
-    a large input does not turn into thousands of index rewrites)."""
+    a large input does not turn into thousands of micro-batches)."""
     source = scratch_path(spark, "stream-src")
     spread_input(docs.select("title", "text")).write.parquet(source)
     n_files = len(spark.read.parquet(source).inputFiles())
     per_trigger = max(1, math.ceil(n_files / max(1, batches)))
     return run_streaming_add(spark, source, scratch_path(spark, "stream-index"),
-                             scratch_path(spark, "stream-ckpt"), files_per_trigger=per_trigger)
+                             scratch_path(spark, "stream-ckpt"), files_per_trigger=per_trigger,
+                             refresh_rows=refresh_rows)

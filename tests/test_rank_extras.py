@@ -91,4 +91,27 @@ def test_streaming_sink_skips_replays_and_continues_new_runs(spark, scratch):
     second(b2, 0)         # a new stream: epoch 0 again, must be added
     got = sorted((r.title, r.term, r.tf) for r in second.current(spark).flat().collect())
     assert got == [("A", "xx", 1), ("A", "yy", 1), ("B", "zz", 1)]
-    assert spark.read.parquet(os.path.join(root, "_versions")).count() == 2
+    log = spark.read.parquet(os.path.join(root, "_log"))
+    assert log.where("kind = 'version'").count() == 2
+    assert log.where("kind = 'pending'").count() == 2
+
+
+def test_streaming_refresh_interval_equals_sequential_adds(spark, scratch):
+    import os
+    from spindle.streaming.add import IndexAppender
+    root = os.path.join(scratch, "idx")
+    batches = [
+        [("A", "xx yy")],
+        [("A", "xx xx"), ("B", "zz")],
+        [("B", "ww")],
+    ]
+    sink = IndexAppender(root, run="r", refresh_rows=1_000_000)
+    for epoch, rows_ in enumerate(batches):
+        sink(spark.createDataFrame(rows_, "title string, text string"), epoch)
+    with pytest.raises(ValueError):
+        sink.current(spark)          # nothing flushed yet: below the refresh size
+    sink.flush(spark)
+    got = sorted((r.title, r.term, r.tf) for r in sink.current(spark).flat().collect())
+    assert got == [("A", "xx", 2), ("A", "yy", 1), ("B", "ww", 1), ("B", "zz", 1)]
+    stats = sink.current(spark).stats().first()
+    assert (stats.d, stats.n_postings) == (2, 4)
