@@ -109,6 +109,14 @@ class CorpusScalars:
         return F.lit(value).cast(kind)
 
 
+def scalars_of(stats: DataFrame) -> CorpusScalars:
+    """Read the one-row statistics table into literals."""
+    row = stats.select("d", "avgdl", "avg_tokens").first()
+    if row is None:
+        return CorpusScalars(0, None, None)
+    return CorpusScalars(int(row.d), row.avgdl, row.avg_tokens)
+
+
 @dataclass(frozen=True)
 class Index:
     """A postings table plus (optionally stored) derived tables.
@@ -125,6 +133,7 @@ class Index:
     n_buckets: int | None = None
     forward_df: DataFrame | None = None
     materialized: bool = False
+    known_scalars: "CorpusScalars | None" = None
 
     def flat(self) -> DataFrame:
         return self.postings.select(*POSTINGS_COLUMNS)
@@ -154,10 +163,9 @@ class Index:
         ``stats``); using literals lets Catalyst fold the BM25 normaliser
         into a constant instead of joining a statistics table.
         """
-        row = self.stats().select("d", "avgdl", "avg_tokens").first()
-        if row is None:
-            return CorpusScalars(0, None, None)
-        return CorpusScalars(int(row.d), row.avgdl, row.avg_tokens)
+        if self.known_scalars is not None:
+            return self.known_scalars
+        return scalars_of(self.stats())
 
     def postings_for_terms(self, terms: list[str]) -> DataFrame:
         """Postings of the given terms, with the predicate on the scan.

@@ -32,8 +32,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from spindle.operators.index import (Index, corpus_stats, document_table, lexicon_table,
-                                     term_bucket)
+from spindle.operators.index import (CorpusScalars, Index, corpus_stats, document_table,
+                                     lexicon_table, term_bucket)
 from spindle.operators.joins import materialize
 
 
@@ -217,7 +217,8 @@ def _read_optional(spark: SparkSession, path: str) -> DataFrame | None:
 def load_index(spark: SparkSession, root: str) -> Index:
     """Open a stored index (lazy apart from reading the one-row stats)."""
     stats = spark.read.parquet(table_path(root, "stats"))
-    n_buckets = int(stats.select("n_buckets").first()[0])
+    row = stats.first()
+    n_buckets = int(row.n_buckets)
     return Index(
         postings=spark.read.parquet(table_path(root, "postings")),
         documents_df=spark.read.parquet(table_path(root, "documents")),
@@ -225,4 +226,5 @@ def load_index(spark: SparkSession, root: str) -> Index:
         stats_df=stats.drop("n_buckets"),
         n_buckets=n_buckets,
         forward_df=_read_optional(spark, table_path(root, "forward")),
+        known_scalars=CorpusScalars(int(row.d), row.avgdl, row.avg_tokens),
     )
