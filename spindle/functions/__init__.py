@@ -1,0 +1 @@
+"""Column expressions: tokenizer and scoring formulas."""

@@ -1,0 +1 @@
+"""DataFrame operators: index build and merge, ranking, evaluation, joins."""

@@ -1,0 +1 @@
+"""User-level jobs and the registered queries with their oracle SQL."""

@@ -1,0 +1 @@
+"""Document sources and index storage."""

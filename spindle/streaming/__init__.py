@@ -1,0 +1 @@
+"""Structured Streaming add into a stored index."""
