@@ -251,7 +251,8 @@ def rank_batch(index: Index, queries: DataFrame, method: str = "bm25",
     if decimals is not None:
         scores = scores.withColumn("score", F.round("score", decimals))
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("title"))
-    ranked = scores.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    ranked = (scores.withColumn("rank", F.row_number().over(w).cast("bigint"))
+              .where(F.col("rank") <= k))
     return ranked.select("query_id", "rank", "title", "score")
 
 
