@@ -90,10 +90,11 @@ def write_derived(postings: DataFrame, root: str, n_buckets: int) -> None:
     spark = postings.sparkSession
     flat = postings.select("title", "term", "tf")
     document_table(flat).write.mode("errorifexists").parquet(table_path(root, "documents"))
-    # Aggregate first (a hot term collapses map-side), then cluster the one
-    # row per term by bucket so each bucket directory gets few files.
+    # Aggregate first (a hot term collapses map-side), then range-cluster the
+    # one row per term by (bucket, term): each bucket directory gets few
+    # files, and an oversized bucket is still cut across tasks.
     lex = lexicon_table(flat).withColumn("term_bucket", term_bucket(F.col("term"), n_buckets))
-    (lex.repartition("term_bucket").sortWithinPartitions("term_bucket", "term")
+    (lex.repartitionByRange("term_bucket", "term").sortWithinPartitions("term_bucket", "term")
      .write.mode("errorifexists").partitionBy("term_bucket")
      .parquet(table_path(root, "lexicon")))
     docs = spark.read.parquet(table_path(root, "documents"))
@@ -192,7 +193,7 @@ def write_derived_merged(old: Index, new: DataFrame, merged: DataFrame, root: st
      .write.mode("errorifexists").partitionBy("term_bucket").parquet(table_path(root, "lexicon")))
     touched = lexicon_table(flat.join(terms, "term", "left_semi")).withColumn(
         "term_bucket", term_bucket(F.col("term"), n_buckets))
-    (touched.repartition("term_bucket").sortWithinPartitions("term_bucket", "term")
+    (touched.repartitionByRange("term_bucket", "term").sortWithinPartitions("term_bucket", "term")
      .write.mode("append").partitionBy("term_bucket").parquet(table_path(root, "lexicon")))
 
     docs = spark.read.parquet(table_path(root, "documents"))
