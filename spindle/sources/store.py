@@ -27,6 +27,7 @@ is the lineage cut, and a lost executor only recomputes from there.
 from __future__ import annotations
 
 import math
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,6 +59,15 @@ def files_for(spark: SparkSession, rows: int) -> int:
     return int(max(spark.sparkContext.defaultParallelism, math.ceil(rows / ROWS_PER_FILE)))
 
 
+def run_concurrently(*jobs) -> None:
+    """Run independent write jobs from separate driver threads, so Spark
+    can schedule their tasks side by side; re-raise the first failure."""
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        futures = [pool.submit(job) for job in jobs]
+        for future in futures:
+            future.result()
+
+
 def _range(df: DataFrame, n_files: int | None, *cols: str) -> DataFrame:
     return df.repartitionByRange(n_files, *cols) if n_files else df.repartitionByRange(*cols)
 
@@ -122,9 +132,10 @@ def save_index(index: Index, root: str, n_buckets: int | None = None,
         n_buckets = n_buckets or buckets_for(rows)
         n_files = n_files or files_for(spark, rows)
     stored = write_postings(postings, root, n_buckets, n_files)
+    jobs = [lambda: write_derived(stored, root, n_buckets)]
     if forward:
-        write_forward(stored, root, n_files)
-    write_derived(stored, root, n_buckets)
+        jobs.append(lambda: write_forward(stored, root, n_files))
+    run_concurrently(*jobs)
     return load_index(spark, root)
 
 
@@ -145,25 +156,27 @@ def save_merged(old: Index, new: DataFrame, root: str, forward: bool = True) ->
     new = new.select("title", "term", "tf")
     keys = F.broadcast(new.select("title", "term"))
 
-    kept = old.postings.join(keys, ["title", "term"], "left_anti")
-    (kept.select("title", "term", "tf", "term_bucket")
-     .sortWithinPartitions("term_bucket", "term", "title")
-     .write.mode("errorifexists").partitionBy("term_bucket")
-     .parquet(table_path(root, "postings")))
-    fresh = new.withColumn("term_bucket", term_bucket(F.col("term"), n_buckets))
-    (fresh.repartitionByRange("term_bucket", "term", "title")
-     .sortWithinPartitions("term_bucket", "term", "title")
-     .write.mode("append").partitionBy("term_bucket")
-     .parquet(table_path(root, "postings")))
-
-    if forward:
+    def postings_then_derived() -> None:
+        kept = old.postings.join(keys, ["title", "term"], "left_anti")
+        (kept.select("title", "term", "tf", "term_bucket")
+         .sortWithinPartitions("term_bucket", "term", "title")
+         .write.mode("errorifexists").partitionBy("term_bucket")
+         .parquet(table_path(root, "postings")))
+        fresh = new.withColumn("term_bucket", term_bucket(F.col("term"), n_buckets))
+        (fresh.repartitionByRange("term_bucket", "term", "title")
+         .sortWithinPartitions("term_bucket", "term", "title")
+         .write.mode("append").partitionBy("term_bucket")
+         .parquet(table_path(root, "postings")))
+        write_derived_merged(old, new, spark.read.parquet(table_path(root, "postings")), root)
+
+    def forward_copy() -> None:
         kept_fwd = old.forward().join(keys, ["title", "term"], "left_anti")
         (kept_fwd.sortWithinPartitions("title", "term")
          .write.mode("errorifexists").parquet(table_path(root, "forward")))
         (new.repartitionByRange("title", "term").sortWithinPartitions("title", "term")
          .write.mode("append").parquet(table_path(root, "forward")))
 
-    write_derived_merged(old, new, spark.read.parquet(table_path(root, "postings")), root)
+    run_concurrently(postings_then_derived, *([forward_copy] if forward else []))
     return load_index(spark, root)
 
 
