@@ -97,16 +97,26 @@ def write_forward(postings: DataFrame, root: str, n_files: int | None = None) ->
 
 def write_derived(postings: DataFrame, root: str, n_buckets: int) -> None:
     """documents, lexicon and stats from stored postings."""
-    spark = postings.sparkSession
     flat = postings.select("title", "term", "tf")
-    document_table(flat).write.mode("errorifexists").parquet(table_path(root, "documents"))
-    # Aggregate first (a hot term collapses map-side), then range-cluster the
-    # one row per term by (bucket, term): each bucket directory gets few
-    # files, and an oversized bucket is still cut across tasks.
-    lex = lexicon_table(flat).withColumn("term_bucket", term_bucket(F.col("term"), n_buckets))
-    (lex.repartitionByRange("term_bucket", "term").sortWithinPartitions("term_bucket", "term")
-     .write.mode("errorifexists").partitionBy("term_bucket")
-     .parquet(table_path(root, "lexicon")))
+
+    def documents_then_stats() -> None:
+        document_table(flat).write.mode("errorifexists").parquet(table_path(root, "documents"))
+        write_stats(postings.sparkSession, root, n_buckets)
+
+    def lexicon() -> None:
+        # Aggregate first (a hot term collapses map-side), then range-cluster
+        # the one row per term by (bucket, term): each bucket directory gets
+        # few files, and an oversized bucket is still cut across tasks.
+        lex = lexicon_table(flat).withColumn("term_bucket", term_bucket(F.col("term"), n_buckets))
+        (lex.repartitionByRange("term_bucket", "term").sortWithinPartitions("term_bucket", "term")
+         .write.mode("errorifexists").partitionBy("term_bucket")
+         .parquet(table_path(root, "lexicon")))
+
+    run_concurrently(documents_then_stats, lexicon)
+
+
+def write_stats(spark: SparkSession, root: str, n_buckets: int) -> None:
+    """The one-row statistics, from the stored documents table."""
     docs = spark.read.parquet(table_path(root, "documents"))
     (corpus_stats(docs).withColumn("n_buckets", F.lit(n_buckets))
      .coalesce(1).write.mode("errorifexists").parquet(table_path(root, "stats")))
@@ -195,23 +205,26 @@ def write_derived_merged(old: Index, new: DataFrame, merged: DataFrame, root: st
     titles = F.broadcast(new.select("title").distinct())
     terms = F.broadcast(new.select("term").distinct())
 
-    old.documents().join(titles, "title", "left_anti").write.mode("errorifexists").parquet(
-        table_path(root, "documents"))
-    document_table(flat.join(titles, "title", "left_semi")).write.mode("append").parquet(
-        table_path(root, "documents"))
-
-    kept_lex = old.lexicon_df.join(terms, "term", "left_anti")
-    (kept_lex.select("term", "df", "cf", "term_bucket")
-     .sortWithinPartitions("term_bucket", "term")
-     .write.mode("errorifexists").partitionBy("term_bucket").parquet(table_path(root, "lexicon")))
-    touched = lexicon_table(flat.join(terms, "term", "left_semi")).withColumn(
-        "term_bucket", term_bucket(F.col("term"), n_buckets))
-    (touched.repartitionByRange("term_bucket", "term").sortWithinPartitions("term_bucket", "term")
-     .write.mode("append").partitionBy("term_bucket").parquet(table_path(root, "lexicon")))
-
-    docs = spark.read.parquet(table_path(root, "documents"))
-    (corpus_stats(docs).withColumn("n_buckets", F.lit(n_buckets))
-     .coalesce(1).write.mode("errorifexists").parquet(table_path(root, "stats")))
+    def documents_then_stats() -> None:
+        old.documents().join(titles, "title", "left_anti").write.mode("errorifexists").parquet(
+            table_path(root, "documents"))
+        document_table(flat.join(titles, "title", "left_semi")).write.mode("append").parquet(
+            table_path(root, "documents"))
+        write_stats(spark, root, n_buckets)
+
+    def lexicon() -> None:
+        kept_lex = old.lexicon_df.join(terms, "term", "left_anti")
+        (kept_lex.select("term", "df", "cf", "term_bucket")
+         .sortWithinPartitions("term_bucket", "term")
+         .write.mode("errorifexists").partitionBy("term_bucket")
+         .parquet(table_path(root, "lexicon")))
+        touched = lexicon_table(flat.join(terms, "term", "left_semi")).withColumn(
+            "term_bucket", term_bucket(F.col("term"), n_buckets))
+        (touched.repartitionByRange("term_bucket", "term")
+         .sortWithinPartitions("term_bucket", "term")
+         .write.mode("append").partitionBy("term_bucket").parquet(table_path(root, "lexicon")))
+
+    run_concurrently(documents_then_stats, lexicon)
 
 
 def compact_index(spark: SparkSession, root: str, out_root: str,
