@@ -26,6 +26,7 @@ from spindle.plans import oracle as O
 from spindle.session import scratch_path
 from spindle.sources.documents import (corpus, load_table, read_documents_json,
                                        write_documents_json)
+from spindle.plans.jobs import add_job
 from spindle.sources.store import load_index, save_index
 from spindle.streaming.add import streaming_build
 
@@ -178,12 +179,43 @@ def q_tfidf_postings(spark, sf):
 
 
 def _merge_parts(spark, sf):
-    old = docs_index(spark, sf)
-    bench = corpus(spark, sf, "benchmark")                    # same ids: overwrite
-    conv = corpus(spark, sf, "conversations").withColumn(     # new ids: insertion
+    # benchmark ids equal document ids (overwrite); conversations get new
+    # titles "c<id>" (insertion)
+    return merge_index(docs_index(spark, sf), build_index(_new_documents(spark, sf)))
+
+
+def _new_documents(spark, sf):
+    bench = corpus(spark, sf, "benchmark")
+    conv = corpus(spark, sf, "conversations").withColumn(
         "title", F.concat(F.lit("c"), F.col("title")))
-    new = build_index(bench.unionByName(conv))
-    return merge_index(old, new)
+    return bench.unionByName(conv)
+
+
+_ADDED: dict[tuple[str, str], str] = {}
+
+
+def added_index(spark: SparkSession, sf: str) -> Index:
+    """The stored documents index with benchmark passages (same ids:
+    overwrite) and conversations (new ids: insertion) added by the add job."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _ADDED:
+        stored_index(spark, sf)
+        path = scratch_path(spark, "index-added")
+        add_job(spark, _new_documents(spark, sf), _STORED[key], path)
+        _ADDED[key] = path
+    return load_index(spark, _ADDED[key])
+
+
+def q_index_add_docs(spark, sf):
+    return added_index(spark, sf).flat()
+
+
+def q_index_add_words(spark, sf):
+    return added_index(spark, sf).lexicon()
+
+
+def q_index_add_stats(spark, sf):
+    return _round(added_index(spark, sf).stats(), "avgdl", "avg_tokens")
 
 
 def q_index_merge_docs(spark, sf):
@@ -395,6 +427,13 @@ ENTRIES: dict[str, tuple[Query, str | None]] = {
         "SELECT count(*) AS d, CAST(sum(n_terms) AS BIGINT) AS n_postings, "
         "CAST(sum(n_tokens) AS BIGINT) AS n_tokens, round(sum(n_terms) / count(*), 6) AS avgdl, "
         "round(sum(n_tokens) / count(*), 6) AS avg_tokens FROM mdocs")),
+    "index_add_docs": (q_index_add_docs, _merge_sql("SELECT title, term, tf FROM merged")),
+    "index_add_words": (q_index_add_words, _merge_sql(
+        "SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS cf FROM merged GROUP BY term")),
+    "index_add_stats": (q_index_add_stats, _merge_sql(
+        "SELECT count(*) AS d, CAST(sum(n_terms) AS BIGINT) AS n_postings, "
+        "CAST(sum(n_tokens) AS BIGINT) AS n_tokens, round(sum(n_terms) / count(*), 6) AS avgdl, "
+        "round(sum(n_tokens) / count(*), 6) AS avg_tokens FROM mdocs")),
     "json_document_scan": (q_json_document_scan,
                            "SELECT CAST(doc_id AS VARCHAR) AS title, text FROM documents"),
     "json_index_build": (q_json_index_build, _with(C) + "SELECT title, term, tf FROM postings"),
