@@ -14,6 +14,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from spindle.functions.scoring import bm25_param
 from spindle.functions.text import explode_terms, is_term, sanitize, split_pieces, tokens
@@ -284,6 +285,27 @@ def _ap(method):
     return run
 
 
+# The report's two published queries, each ranked by both methods (ids are
+# the order below: 1-2 Cabral naive/bm25, 3-4 "Hello world" naive/bm25).
+REPORT_RUNS = ((1, Q_CABRAL, "naive"), (2, Q_CABRAL, "bm25"),
+               (3, "Hello world", "naive"), (4, "Hello world", "bm25"))
+
+
+def q_average_precision_report_queries(spark, sf):
+    idx = stored_index(spark, sf)
+    w = Window.orderBy(F.desc("score"), F.asc("title"))
+    ranked = None
+    for run_id, query, method in REPORT_RUNS:
+        top = rank(idx, query, method, 10, decimals=DEC)       # 10 rows: bounded window
+        top = top.select(F.lit(run_id).cast("bigint").alias("query_id"),
+                         F.row_number().over(w).cast("bigint").alias("rank"), "title", "score")
+        ranked = top if ranked is None else ranked.unionByName(top)
+    labels = load_table(spark, sf, "labels")
+    relevant = labels.where(F.col("quality") == 1).select(
+        F.col("doc_id").cast("string").alias("title"))
+    return _round(average_precision(ranked, relevant), "ap")
+
+
 def q_streaming_index_add(spark, sf):
     return streaming_build(spark, corpus(spark, sf), batches=4,
                            refresh_rows=STREAM_REFRESH_ROWS).flat()
@@ -324,8 +346,20 @@ def _merge_sql(select: str) -> str:
     return _with(C, new_ctes) + select
 
 
+def _report_ap_sql() -> str:
+    parts = []
+    for run_id, query, method in REPORT_RUNS:
+        parts.append(f"SELECT CAST({run_id} AS BIGINT) AS query_id, "
+                     "row_number() OVER (ORDER BY score DESC, title ASC) AS rank, title, score "
+                     f"FROM ({O.rank_sql(query, method, 10)})")
+    return _ap_from_ranked(" UNION ALL ".join(f"({p})" for p in parts))
+
+
 def _ap_sql(method: str) -> str:
-    ranked = O.batch_rank_sql(method, 10)
+    return _ap_from_ranked(O.batch_rank_sql(method, 10))
+
+
+def _ap_from_ranked(ranked: str) -> str:
     return (f"WITH r AS ({ranked}),\n"
             "rel AS (SELECT DISTINCT CAST(doc_id AS VARCHAR) AS title FROM labels WHERE quality = 1),\n"
             "flag AS (SELECT r.query_id, r.rank, CASE WHEN rel.title IS NULL THEN 0 ELSE 1 END AS hit "
@@ -420,6 +454,7 @@ ENTRIES: dict[str, tuple[Query, str | None]] = {
     "rank_bm25_batch_stored": (_batch_stored("bm25"), O.batch_rank_sql("bm25", 10)),
     "average_precision_at_10": (_ap("bm25"), _ap_sql("bm25")),
     "average_precision_naive_at_10": (_ap("naive"), _ap_sql("naive")),
+    "average_precision_report_queries": (q_average_precision_report_queries, _report_ap_sql()),
     "index_merge_docs": (q_index_merge_docs, _merge_sql("SELECT title, term, tf FROM merged")),
     "index_merge_words": (q_index_merge_words, _merge_sql(
         "SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS cf FROM merged GROUP BY term")),
