@@ -200,3 +200,19 @@ def test_compact_keeps_content(spark, scratch):
     compact = compact_index(spark, os.path.join(scratch, "b"), os.path.join(scratch, "c"))
     assert compact.n_buckets == 4
     assert rows(compact.flat()) == rows(build_index(docs).flat())
+
+
+def test_concurrent_writes_propagate_failures():
+    import pytest
+    from spindle.sources.store import run_concurrently
+    done = []
+
+    def ok():
+        done.append(1)
+
+    def boom():
+        raise RuntimeError("write failed")
+
+    with pytest.raises(RuntimeError, match="write failed"):
+        run_concurrently(ok, boom)
+    assert done == [1]
