@@ -30,11 +30,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spindle.llm.common import Batches, batch_of, blobs, id_and_text, solid
+from spindle.llm.common import Batches, batch_of, blobs, solid
 
 BYTES = 8
 CHUNK = 65_536
-FP_SCHEMA = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
 EDGE_SCHEMA = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
@@ -58,14 +57,18 @@ def simhash64(text: bytes | None, shingle: int = 4, seed: int = 42) -> int:
     return int(np.packbits(counts * 2 > n, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 shingle: int = 4) -> DataFrame:
-    """``doc_id``, ``fp`` (the 64 bits as a signed long) of every row."""
+def fingerprints(docs: DataFrame, text_col: str = "text", shingle: int = 4, *keep: Column) -> DataFrame:
+    """``keep`` columns (longs or booleans) and ``fp`` (the 64 bits as a
+    signed long) of every row."""
+    source = docs.select(*keep, F.col(text_col).cast("string").alias("__text"))
+    kept = source.schema.fields[:-1]
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + ["fp long"])
+
     def run(batches: Batches) -> Batches:
         for b in batches:
-            fps = np.array([simhash64(t, shingle) for t in blobs(b, "text")], np.uint64).view(np.int64)
-            yield batch_of(FP_SCHEMA, (b.column("doc_id"), pa.array(fps)))
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, fp long")
+            fps = np.array([simhash64(t, shingle) for t in blobs(b, "__text")], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(fps)], names=[*(f.name for f in kept), "fp"])
+    return source.mapInArrow(run, schema)
 
 
 def posting_keys(fp: Column, shared: int) -> Column:
@@ -206,7 +209,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     shingle: int = 4, max_bits: int = 4, block: int = 2048) -> DataFrame:
     """``doc_id``, ``fp``, ``component_id``: the smallest id reachable by
     links of at most ``max_bits`` differing bits."""
-    prints = solid(fingerprints(docs, id_col, text_col, shingle), "simhash-prints")
+    prints = solid(fingerprints(docs, text_col, shingle, F.col(id_col).cast("long").alias("doc_id")), "simhash-prints")
     kinds = prints.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
     roots = solid(components(links(kinds.select("fp"), max_bits, block)), "simhash-roots")
     of_kind = (kinds.join(roots, kinds["fp"] == roots["node"], "left")
@@ -220,3 +223,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def fp_hex(fp: Column) -> Column:
     """16 lower-case hex digits."""
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
+             max_bits: int = 4, block: int = 2048) -> DataFrame:
+    """The rows of ``docs``, one of each component: the one of smallest
+    (id, text hash), nulls last; of repeated such rows any one. The choice is
+    a combinable minimum, so a large component never meets in one task."""
+    none, number = F.col(id_col).isNull(), F.coalesce(F.col(id_col).cast("long"), F.lit(0))
+    key = {"none": none, "number": number, "text_hash": F.xxhash64(F.col(text_col).cast("string"))}
+    prints = solid(fingerprints(docs, text_col, shingle, *(c.alias(k) for k, c in key.items())), "simhash-rows")
+    kinds = solid(prints.select("fp").distinct(), "simhash-kinds")
+    roots = solid(components(links(kinds, max_bits, block)), "simhash-roots")
+    first = (prints.join(roots, prints["fp"] == roots["node"], "left")
+             .groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min(F.struct(*key)).alias("least"))
+             .select("least.*"))
+    keyed = docs.select(F.struct("*").alias("row"), *(c.alias(k) for k, c in key.items()))
+    return keyed.join(first, [*key], "left_semi").dropDuplicates([*key]).select("row.*")
