@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindle.llm import langid, simhash
+from spindle.llm import langid, simhash, template_decon
 from spindle.llm.common import solid, table
 
 
@@ -30,9 +30,15 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return simhash.keep_one(docs, shingle=4, max_bits=4)
 
 
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark decontamination: documents that contain an item go."""
+    return template_decon.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
 STAGES = [
     ("language_id", keep_language),
     ("simhash_near_dedup", drop_near_copies),
+    ("benchmark_decontamination", drop_benchmark_leaks),
 ]
 ORACLE_SQL = None
 

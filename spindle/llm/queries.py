@@ -8,10 +8,89 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindle.llm import langid, simhash
+from spindle.llm import debruijn, langid, simhash, template_decon
 from spindle.llm.common import crc_of_id, table
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = debruijn.remove_repeats(table(spark, sf_dir, "documents"), width=50)
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+#: Words of every text, windows of 50 as text, the least id of each window.
+OP3_SQL = r"""
+WITH w AS (
+  SELECT doc_id, row_number() OVER () AS r,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents),
+g AS (
+  SELECT r, doc_id, i, sha256(array_to_string(ws[i:i + 49], ' ')) AS win
+  FROM (SELECT r, doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM w WHERE len(ws) >= 50)),
+f AS (
+  SELECT r, i FROM g JOIN (SELECT win, min(doc_id) AS least FROM g GROUP BY win) USING (win) WHERE least < doc_id),
+gone AS (SELECT r, list(DISTINCT p) AS ps FROM (SELECT r, unnest(range(i, i + 50)) AS p FROM f) GROUP BY r)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(len(ps), 0) AS BIGINT) AS n_removed,
+       sha256(array_to_string(CASE WHEN ps IS NULL THEN ws ELSE list_transform(list_filter(
+         list_zip(ws, range(1, len(ws) + 1)), lambda z: NOT list_contains(ps, z[2])), lambda z: z[1]) END, ' ')) AS kept_sha256
+FROM w LEFT JOIN gone USING (r)
+"""
+
+
+def op4_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = template_decon.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return (found.groupBy("doc_id", "item_id", "n_windows")
+            .agg(F.max("n_matched").alias("n_matched"), F.max("n_slots").alias("n_slots"))
+            .select("doc_id", "item_id", "n_windows", "n_matched", "n_slots"))
+
+
+def _template_sql(source: str, key: str) -> str:
+    """Windows of the template of ``source``'s texts, as text."""
+    numbers = ", ".join(f"'{w}'" for w in template_decon.NUMBER_WORDS)
+    units = ", ".join(f"'{w}'" for w in template_decon.UNITS)
+    num = f"(regexp_matches(%s, '^[0-9]') OR %s IN ({numbers}))"
+    return rf"""
+  SELECT {key}, r, array_to_string(list_transform(ps[i:i + 4], lambda p: p[1]), ' ') AS win,
+         array_to_string(list_filter(list_transform(ps[i:i + 4], lambda p: CASE WHEN p[1] <> p[2] THEN ltrim(p[2], chr(2)) END),
+                                     lambda x: x IS NOT NULL), chr(1)) AS slots,
+         len(list_filter(ps[i:i + 4], lambda p: p[1] = p[2])) AS words
+  FROM (
+    SELECT {key}, r, ps, unnest(range(1, len(ps) - 3)) AS i FROM (
+      SELECT {key}, r, list_transform(range(1, len(t) + 1), lambda j: [CASE
+          WHEN {num % ("t[j]", "t[j]")} THEN '<num>'
+          WHEN t[j][1] = chr(2) THEN '<name>'
+          WHEN t[j] IN ('%', '$', '€', '£', '¥', '°') THEN '<unit>'
+          WHEN j > 1 AND {num % ("t[j - 1]", "t[j - 1]")} AND t[j] IN ({units}) THEN '<unit>'
+          ELSE t[j] END, t[j]]) AS ps
+      FROM (
+        SELECT {key}, row_number() OVER () AS r, regexp_extract_all(
+            lower(regexp_replace(text, '([\p{{L}}\p{{N}},;]) (\p{{Lu}})', '\1 ' || chr(2) || '\2', 'g')),
+            chr(2) || '?[\p{{L}}\p{{M}}]+|[0-9]+(?:[.,:/][0-9]+)*|[%$€£¥°]') AS t
+        FROM {source})
+      WHERE len(t) >= 5))"""
+
+
+OP4_SQL = rf"""
+WITH d AS ({_template_sql("documents", "doc_id")}),
+b AS (SELECT item_id, win, min(slots) AS item_slots FROM ({_template_sql("benchmark", "item_id")})
+      WHERE words >= 3 GROUP BY item_id, win),
+n AS (SELECT item_id, count(*) AS n_windows FROM b GROUP BY item_id),
+met AS (SELECT doc_id, r, item_id, win, slots, item_slots, count(*) AS n
+        FROM d JOIN b USING (win) GROUP BY ALL),
+found AS (SELECT doc_id, r, item_id, n_windows, count(DISTINCT win) AS n_matched
+          FROM met JOIN n USING (item_id) GROUP BY ALL HAVING count(DISTINCT win) >= 0.8 * n_windows),
+pairs AS (SELECT r, item_id, n, unnest(list_zip(string_split(item_slots, chr(1)), string_split(slots, chr(1)))) AS p
+          FROM met WHERE item_slots <> ''),
+votes AS (SELECT r, item_id, count(*) AS n_slots, sum(best) / sum(total) AS agreement FROM (
+            SELECT r, item_id, a, max(n) AS best, sum(n) AS total FROM (
+              SELECT r, item_id, p[1] AS a, p[2] AS b, sum(n) AS n FROM pairs GROUP BY ALL) GROUP BY r, item_id, a)
+          GROUP BY r, item_id)
+SELECT doc_id, item_id, n_windows, max(n_matched) AS n_matched, CAST(max(coalesce(n_slots, 0)) AS BIGINT) AS n_slots
+FROM found LEFT JOIN votes USING (r, item_id)
+WHERE agreement IS NULL OR agreement >= 0.8
+GROUP BY doc_id, item_id, n_windows
+"""
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = crc_of_id() % 3 == 1
@@ -26,10 +105,15 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_substring_dedup": op3_substring_dedup,
+        "op4_template_decontamination": op4_template_decontamination,
         "op9_language_id": op9_language_id,
         "op10_simhash": op10_simhash,
     }
 
 
 def sql() -> dict[str, str]:
-    return {}
+    return {
+        "op3_substring_dedup": OP3_SQL,
+        "op4_template_decontamination": OP4_SQL,
+    }
