@@ -12,8 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindle.llm import langid, simhash, template_decon
+from spindle.llm import jump_shard, langid, mixing, simhash, template_decon
 from spindle.llm.common import solid, table
+from spindle.llm.queries import DOMAIN, SHARES
 
 
 def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,10 +36,24 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return template_decon.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
+def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Mixing: each document as often as its fitted rate says."""
+    labels = table(spark, sf_dir, "labels")
+    domains, steps, *_ = mixing.plan(docs, labels, F.expr(DOMAIN), SHARES)
+    return mixing.apply_rates(docs, domains, steps)
+
+
+def assign_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sharding: shard and slot of every document (a row for each copy)."""
+    return jump_shard.assign(docs, shards=40).select("doc_id", "size", "text_crc32", "shard", "slot")
+
+
 STAGES = [
     ("language_id", keep_language),
     ("simhash_near_dedup", drop_near_copies),
     ("benchmark_decontamination", drop_benchmark_leaks),
+    ("mixing", mix_to_targets),
+    ("sharding", assign_shards),
 ]
 ORACLE_SQL = None
 

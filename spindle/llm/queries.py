@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindle.llm import debruijn, langid, simhash, template_decon
+from spindle.llm import debruijn, jump_shard, langid, mixing, simhash, template_decon
 from spindle.llm.common import crc_of_id, table
 
 
@@ -91,6 +91,25 @@ GROUP BY doc_id, item_id, n_windows
 """
 
 
+#: Domains of the labelled table and their wanted shares of the tokens.
+DOMAIN = "CASE WHEN toxic = 1 THEN 'toxic' WHEN quality = 1 THEN 'good' WHEN quality = 0 THEN 'poor' END"
+SHARES = {"good": 0.80, "poor": 0.15, "toxic": 0.05}
+
+
+def op6_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    domains, steps, features, targets, totals = mixing.plan(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), F.expr(DOMAIN), SHARES)
+    posterior = [F.col("p")[i].alias(f"p_{name}") for i, name in enumerate(domains.names)]
+    absent = [F.lit(0.0).alias(f"p_{name}") for name in sorted(SHARES) if name not in domains.names]
+    return features.select("doc_id", F.col("n").alias("n_tokens"), *posterior, *absent,
+                           mixing.rate_column(steps, F.col("p")).alias("rate"))
+
+
+def op7_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jump_shard.assign(table(spark, sf_dir, "documents"), shards=40)
+    return found.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = crc_of_id() % 3 == 1
@@ -107,6 +126,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_substring_dedup": op3_substring_dedup,
         "op4_template_decontamination": op4_template_decontamination,
+        "op6_soft_mixing": op6_soft_mixing,
+        "op7_jump_sharding": op7_jump_sharding,
         "op9_language_id": op9_language_id,
         "op10_simhash": op10_simhash,
     }
