@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindle.llm import debruijn, jump_shard, langid, mixing, simhash, template_decon
+from spindle.llm import debruijn, jump_shard, langid, lattice, mixing, simhash, template_decon
 from spindle.llm.common import crc_of_id, table
 
 
@@ -110,6 +110,10 @@ def op7_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op8_lattice_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.score(table(spark, sf_dir, "documents"), held_out=crc_of_id() % 5 == 1, class_col="lang")
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = crc_of_id() % 3 == 1
@@ -128,6 +132,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_template_decontamination": op4_template_decontamination,
         "op6_soft_mixing": op6_soft_mixing,
         "op7_jump_sharding": op7_jump_sharding,
+        "op8_lattice_scores": op8_lattice_scores,
         "op9_language_id": op9_language_id,
         "op10_simhash": op10_simhash,
     }
