@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,10 +27,34 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        F.col(text_col).cast("string").alias("text"), *more)
 
 
-def solid(df: DataFrame, name: str) -> DataFrame:
+#: Rows of an Arrow batch: few where they carry texts of any length, many where
+#: they are a few numbers. (Spark bounds a batch by rows, not by bytes.)
+BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+TEXT_ROWS, THIN_ROWS = 128, 10_000
+
+
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int):
+    old = spark.conf.get(BATCH_CONF, str(THIN_ROWS))
+    spark.conf.set(BATCH_CONF, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_CONF, old)
+
+
+def small_batches(spark: SparkSession) -> None:
+    """For results that are computed after an operator has returned: the
+    session's Arrow batches hold TEXT_ROWS rows at most from now on."""
+    if int(spark.conf.get(BATCH_CONF, str(THIN_ROWS))) > TEXT_ROWS:
+        spark.conf.set(BATCH_CONF, str(TEXT_ROWS))
+
+
+def solid(df: DataFrame, name: str, rows: int = TEXT_ROWS) -> DataFrame:
     """``df`` as a written table under ``spark.checkpoint.dir``: cuts lineage,
     survives lost executors, and lets the planner see its true size."""
-    return materialize(df, name)
+    with batch_rows(df.sparkSession, rows):
+        return materialize(df, name)
 
 
 def blobs(batch: pa.RecordBatch, name: str) -> list[bytes | None]:

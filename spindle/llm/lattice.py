@@ -30,6 +30,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from dataclasses import dataclass
+from dataclasses import fields as dataclass_fields
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spindle.llm.common import Batches, batch_of, blobs, solid
+from spindle.llm.common import THIN_ROWS, Batches, batch_of, batch_rows, blobs, solid
 
 MARK = "▁".encode()         # the vocabulary's sign for the start of a word
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -324,7 +325,8 @@ def fit(words: DataFrame, classes: int, path: str = VOCABULARY, rounds: int = 3,
             yield batch_of(schema, (held.astype(np.int32), total.ravel()[held]))
 
         weights = np.full(classes * size, smooth)
-        sums = learnt.mapInArrow(run, "unit int, x double").groupBy("unit").agg(F.sum("x").alias("x")).toArrow()
+        with batch_rows(words.sparkSession, THIN_ROWS):
+            sums = learnt.mapInArrow(run, "unit int, x double").groupBy("unit").agg(F.sum("x").alias("x")).toArrow()
         weights[sums["unit"].to_numpy()] += sums["x"].to_numpy()
         weights = weights.reshape(classes, size)
         whole = weights.sum(1) + kinds + smooth
@@ -350,13 +352,13 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_
         kind = F.when(name == r["name"], F.lit(z)).otherwise(kind)
     words = solid(count_words(docs, text_col, ~held_out, kind, classes), "lattice-words")
     model = fit(words, classes, path, rounds)
-    trained = shared(model)
+    trained = shared(tuple(getattr(model, f.name) for f in dataclass_fields(model)))
     values = ["known", "base", *(f"m{z}" for z in range(classes))]
     fields = [("word", pa.binary()), ("every", pa.int64()), ("known", pa.int64()), ("base", pa.float64())]
     scheme = pa.schema(fields + [(f"m{z}", pa.float64()) for z in range(classes)])
 
     def lattice(batches: Batches) -> Batches:
-        m = trained.value
+        m = Model(*trained.value)
         finder = Units(m.units)
         for b in batches:
             w, c = b.column("word").to_pylist(), counts_of(b, classes)
@@ -366,7 +368,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_
             yield batch_of(scheme, (w, b.column("every"), (all_c > 0).astype(np.int64), np.log10((all_c + 0.5) / m.base_floor), *s.T))
 
     scored = solid(words.mapInArrow(lattice, "word binary, every long, known long, base double, "
-                                    + ", ".join(f"m{z} double" for z in range(classes))), "lattice-scores")
+                                    + ", ".join(f"m{z} double" for z in range(classes))), "lattice-scores", THIN_ROWS)
     # The head: counts by powers of two tell the least count that max_head words reach.
     tiers = scored.groupBy(F.floor(F.log2(F.col("every"))).alias("tier")).count().orderBy(F.desc("tier")).collect()
     least, held = None, 0

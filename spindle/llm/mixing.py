@@ -31,7 +31,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spindle.llm.common import Batches, batch_of, solid
+from spindle.llm.common import THIN_ROWS, Batches, batch_of, batch_rows, solid
 
 WORDS = "__words"
 
@@ -112,7 +112,9 @@ def fit_rates(features: DataFrame, targets: np.ndarray, tol: float = 1e-6, max_r
                     total += of(n, p)
             yield batch_of(schema, (np.arange(size, dtype=np.int32), total))
         out = np.zeros(size)
-        for at, x in features.select("n", "p").mapInArrow(run, "at int, x double").groupBy("at").agg(F.sum("x")).collect():
+        with batch_rows(features.sparkSession, THIN_ROWS):
+            got = features.select("n", "p").mapInArrow(run, "at int, x double").groupBy("at").agg(F.sum("x")).collect()
+        for at, x in got:
             out[at] = x
         return out
 

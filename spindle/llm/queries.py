@@ -8,10 +8,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindle.llm import debruijn, jump_shard, langid, lattice, mixing, simhash, template_decon
+from spindle.llm import (bloom_cascade, debruijn, jump_shard, langid, lattice, merkle,
+                         mixing, simhash, template_decon)
 from spindle.llm.common import crc_of_id, table
 
 
+def op2_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = debruijn.remove_repeats(table(spark, sf_dir, "documents"), width=50)
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -91,6 +96,35 @@ GROUP BY doc_id, item_id, n_windows
 """
 
 
+#: URL rules (host and path), and listed hosts: these names under each domain.
+RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+LISTED_NAMES = ["adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm"]
+LISTED_DOMAINS = ["example.com", "example.net", "example.org"]
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hosts = spark.createDataFrame([(f"{n}.{d}",) for n in LISTED_NAMES for d in LISTED_DOMAINS], "host string")
+    return bloom_cascade.judge(table(spark, sf_dir, "pages"), RULES, hosts)
+
+
+OP5_SQL = r"""
+WITH p AS (
+  SELECT page_id, coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+         coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+r AS (SELECT * FROM (VALUES ('net', '/', 'net/', 'block'), ('example.net', '/en/', 'example.net/en/', 'allow'),
+      ('example.com', '/de/', 'example.com/de/', 'block'), ('org', '/fr/', 'org/fr/', 'allow')) AS t(h, pre, rule, verdict)),
+l AS (SELECT n || '.example.' || d AS h FROM (VALUES ('adult-x'), ('ads-track'), ('casino-win'), ('cheap-pills'), ('free-bets'), ('spam-farm')) AS a(n),
+      (VALUES ('com'), ('net'), ('org')) AS b(d))
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN bad THEN 'block' ELSE 'allow' END) AS verdict
+FROM (
+  SELECT p.*, (SELECT rule FROM r WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, pre) ORDER BY length(rule) DESC LIMIT 1) AS rule,
+         (SELECT r.verdict FROM r WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, pre) ORDER BY length(rule) DESC LIMIT 1) AS verdict,
+         EXISTS (SELECT 1 FROM l WHERE host = l.h OR ends_with(host, '.' || l.h)) AS bad
+  FROM p)
+"""
+
+
 #: Domains of the labelled table and their wanted shares of the tokens.
 DOMAIN = "CASE WHEN toxic = 1 THEN 'toxic' WHEN quality = 1 THEN 'good' WHEN quality = 0 THEN 'poor' END"
 SHARES = {"good": 0.80, "poor": 0.15, "toxic": 0.05}
@@ -128,8 +162,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_merkle_fingerprints": op2_merkle_fingerprints,
         "op3_substring_dedup": op3_substring_dedup,
         "op4_template_decontamination": op4_template_decontamination,
+        "op5_url_filter": op5_url_filter,
         "op6_soft_mixing": op6_soft_mixing,
         "op7_jump_sharding": op7_jump_sharding,
         "op8_lattice_scores": op8_lattice_scores,
@@ -142,4 +178,5 @@ def sql() -> dict[str, str]:
     return {
         "op3_substring_dedup": OP3_SQL,
         "op4_template_decontamination": OP4_SQL,
+        "op5_url_filter": OP5_SQL,
     }
