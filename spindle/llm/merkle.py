@@ -1,15 +1,15 @@
 """Document fingerprints: a Merkle tree over sections and paragraphs.
 
 Sections are parted by blank lines, paragraphs are lines, and a paragraph's
-leaves are its sentences (long ones are cut after words that a hash picks, so
-cuts depend on the content alone). All of the text, separators included, is in
+leaves are its sentences (longer ones are cut after words that a hash picks, so
+cuts depend on the content at hand). All of the text, separators included, is in
 some leaf; a node's digest is the digest of its children's, so two texts are
 equal if and only if their roots are (128 bits), and subtrees of equal digest
 can be skipped when two trees are held against each other.
 
 A fingerprint is written as ``root;section|section``, a section as
-``paragraph/paragraph``, a paragraph as ``leaf.leaf``, a leaf as eight hex
-digits of its digest and its length in code points.
+``paragraph/paragraph``, a paragraph as ``leaf.leaf``, a leaf as six hex digits
+of its digest and its length in code points.
 
 To put each document next to its successor in id order, without a single
 ordered task, ids are cut into ranges at quantiles; a range gets a copy of the
@@ -41,7 +41,8 @@ LEAST = -(1 << 63)
 SECTION = re.compile(r"\n[ \t\r]*\n\s*")
 SENTENCE = re.compile(r"[^.!?]*(?:[.!?]+[^\w.!?]*|$)")
 WORD = re.compile(r"\S*\s*")
-LONG = 240
+SHORT, LONG, MARK = 48, 96, 6
+picks = xxhash.xxh3_64_intdigest
 
 Tree = list[list[list[tuple[str, int]]]]
 RESULT = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()),
@@ -63,13 +64,30 @@ def cut(text: str, at: Iterator[int]) -> list[str]:
     return out
 
 
+def runs_of_words(sentence: str) -> Iterator[int]:
+    """Ends of leaves: after words that a hash picks, LONG code points at most."""
+    start = end = 0
+    for word in WORD.findall(sentence):
+        while end + len(word) - start > LONG:
+            if end == start:                       # a word longer than a leaf
+                start = end = end + LONG
+                word = word[LONG:]
+            else:
+                start = end
+            yield end
+        end += len(word)
+        if picks(word) % 6 == 0:
+            yield end
+            start = end
+
+
 def leaves(paragraph: str) -> list[str]:
     out = []
     for s in cut(paragraph, (m.end() for m in SENTENCE.finditer(paragraph))):
-        if len(s) <= LONG:
+        if len(s) <= SHORT:
             out.append(s)
         else:
-            out += cut(s, (m.end() for m in WORD.finditer(s) if xxhash.xxh3_64_intdigest(m.group()) % 16 == 0))
+            out += cut(s, runs_of_words(s))
     return out
 
 
@@ -82,7 +100,7 @@ def fingerprint(text: str) -> str:
             parts = leaves(paragraph)
             marks = [digest(p.encode("utf-8", "surrogatepass")) for p in parts]
             below.append(digest(b"".join(marks)))
-            paragraphs.append(".".join(f"{m[:4].hex()}{len(p)}" for m, p in zip(marks, parts, strict=True)))
+            paragraphs.append(".".join(f"{m.hex()[:MARK]}{len(p)}" for m, p in zip(marks, parts, strict=True)))
         digests.append(digest(b"".join(below)))
         sections.append("/".join(paragraphs))
     return f"{digest(b''.join(digests)).hex()};{'|'.join(sections)}"
@@ -91,7 +109,7 @@ def fingerprint(text: str) -> str:
 def read(written: str) -> tuple[str, Tree]:
     """Root and sections of paragraphs of (leaf digest, length)."""
     root, _, rest = written.partition(";")
-    return root, [[[(x[:8], int(x[8:])) for x in p.split(".")] for p in s.split("/")] for s in rest.split("|")] if rest else []
+    return root, [[[(x[:MARK], int(x[MARK:])) for x in p.split(".")] for p in s.split("/")] for s in rest.split("|")] if rest else []
 
 
 def likeness(one: str, other: str) -> float:
@@ -102,7 +120,7 @@ def likeness(one: str, other: str) -> float:
     for written in (one, other):
         rest = written[33:]
         bags.append(Counter(re.split(r"[./|]", rest)) if rest else Counter())
-    weigh = lambda bag: sum(int(leaf[8:]) * n for leaf, n in bag.items())
+    weigh = lambda bag: sum(int(leaf[MARK:]) * n for leaf, n in bag.items())
     whole = weigh(bags[0]) + weigh(bags[1])
     return 2.0 * weigh(bags[0] & bags[1]) / whole if whole else 1.0
 
