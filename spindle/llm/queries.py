@@ -8,11 +8,41 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindle.llm import (bloom_cascade, debruijn, jump_shard, langid, lattice, merkle,
+from spindle.llm import (bloom_cascade, debruijn, jump_shard, langid, lattice,
+                         license_scan, license_texts, merkle,
                          mixing, simhash, template_decon)
 from spindle.llm.common import crc_of_id, table
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def _op1_sql() -> str:
+    """Canonical forms by list functions, joined as digests."""
+    def quoted(text: str) -> str:
+        return "'" + text.replace("'", "''") + "'"
+
+    def form(lines: str) -> str:
+        return rf"""array_to_string(list_transform(list_filter(string_split(regexp_replace(array_to_string(list_filter({lines}, lambda x:
+            NOT regexp_matches(x, '^[^\p{{L}}\p{{N}}_]*(copyright\s*(\(c\)|©|[0-9]{{4}}|<|\[)|\(c\)\s|©|all rights reserved[^\p{{L}}\p{{N}}_]*$)')),
+            chr(10)), '[^\p{{L}}\p{{N}}]+', ' ', 'g'), ' '), lambda w: w <> ''), lambda w: {spell}), ' ')"""
+
+    known = ", ".join(f"({quoted(n)}, {quoted(t)})" for n, t in license_texts.KNOWN)
+    spell = "CASE w " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in license_texts.EQUIVALENT.items()) + " ELSE w END"
+    return f"""
+WITH k AS (SELECT DISTINCT n AS license, sha256(f) AS key FROM (
+             SELECT n, {form("string_split(lower(t), chr(10))")} AS f FROM (VALUES {known}) AS v(n, t)) WHERE f <> ''),
+d AS (SELECT doc_id, row_number() OVER () AS r, string_split(lower(coalesce(text, '')), chr(10)) AS ls FROM documents),
+w AS (SELECT doc_id, r, {form("ls")} AS f FROM d),
+l AS (SELECT r, {form("[x0]")} AS f FROM (SELECT r, unnest(ls) AS x0 FROM d)),
+a AS (SELECT r, string_agg(DISTINCT license, ',' ORDER BY license) AS license FROM w JOIN k ON sha256(f) = key GROUP BY r),
+b AS (SELECT r, string_agg(DISTINCT license, ',' ORDER BY license) AS notices FROM l JOIN k ON sha256(f) = key GROUP BY r)
+SELECT doc_id, CASE WHEN f = '' THEN 0 ELSE length(f) - length(replace(f, ' ', '')) + 1 END AS n_words, sha256(f) AS digest, license, notices
+FROM w LEFT JOIN a USING (r) LEFT JOIN b USING (r)
+"""
+
+
 def op2_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.fingerprints(table(spark, sf_dir, "documents"))
 
@@ -162,6 +192,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_license_scan": op1_license_scan,
         "op2_merkle_fingerprints": op2_merkle_fingerprints,
         "op3_substring_dedup": op3_substring_dedup,
         "op4_template_decontamination": op4_template_decontamination,
@@ -176,6 +207,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def sql() -> dict[str, str]:
     return {
+        "op1_license_scan": _op1_sql(),
         "op3_substring_dedup": OP3_SQL,
         "op4_template_decontamination": OP4_SQL,
         "op5_url_filter": OP5_SQL,
