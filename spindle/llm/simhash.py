@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spindle.llm.common import Batches, batch_of, blobs, solid
+from spindle.llm.common import THIN_ROWS, Batches, batch_of, blobs, solid
 
 BYTES = 8
 CHUNK = 65_536
@@ -131,7 +131,10 @@ def links(fps: DataFrame, max_bits: int = 4, block: int = 2048) -> DataFrame:
     else is."""
     if not 0 <= max_bits < BYTES:
         raise ValueError("max_bits must be 0 to 7: each may spoil one of 8 bytes")
-    post = fps.select("fp", F.explode(posting_keys(F.col("fp"), BYTES - max_bits)).alias("key"))
+    # Distinct fingerprints are few bytes, which AQE would put into few tasks;
+    # each becomes C(8, shared) rows here, so they are dealt out again.
+    spread = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    post = fps.repartition(spread).select("fp", F.explode(posting_keys(F.col("fp"), BYTES - max_bits)).alias("key"))
     hot = solid(post.groupBy("key").count().where(F.col("count") > block)
                 .select("key", F.ceil(F.col("count") / block).cast("int").alias("blocks")), "simhash-hot")
     # A member of a long list goes to every pair of blocks that has its own.
@@ -189,7 +192,7 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     def state(e: DataFrame):
         return e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
 
-    now = solid(oriented(edges), "components")
+    now = solid(oriented(edges), "components", THIN_ROWS)
     was = state(now)
     for _ in range(max_rounds):
         if not was[0]:
