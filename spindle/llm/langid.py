@@ -27,10 +27,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spindle.llm.common import Batches, batch_of
+from spindle.llm.common import Batches, batch_of, small_batches
 
 UND = "und"
 ROWS = 128
+PARTS = 40
 CHUNK = 1 << 20
 NOT_LETTERS = bytes(b if chr(b).isalpha() or b >= 128 else 32 for b in range(256))
 LATIN = re.compile("[A-Za-z]")
@@ -88,11 +89,13 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     known = labelled.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).cast("string").alias("text"),
                             F.col(lang_col).cast("string").alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
     known = known.where(F.col("text").rlike("\\p{L}")).select("lang", "text", F.xxhash64("i", "text").alias("pick"))
-    # Only the picks are ranked (row limits apply before the shuffle); the few
-    # picked texts are then found by a semi-join of at most max_sample keys.
-    order = Window.partitionBy("lang").orderBy("pick")
-    picked = (known.select("lang", "pick").distinct().withColumn("rank", F.row_number().over(order))
-              .where(F.col("rank") <= per_lang).orderBy("rank", "lang").limit(max_sample).select("lang", "pick"))
+    # Only the picks are ranked, in 40 parts a language, with row limits before
+    # the shuffle; a semi-join of at most max_sample keys then finds the texts.
+    part = F.pmod(F.shiftright("pick", 7), F.lit(PARTS)).alias("part")
+    order = Window.partitionBy("lang", "part").orderBy("pick")
+    picked = (known.select("lang", "pick", part).withColumn("rank", F.row_number().over(order))
+              .where(F.col("rank") <= max(1, per_lang // PARTS)).orderBy("rank", "part", "lang").limit(max_sample)
+              .select("lang", "pick").distinct())
     sample = known.join(F.broadcast(picked), ["lang", "pick"], "left_semi").dropDuplicates(["lang", "pick"])
 
     def run(batches: Batches) -> Batches:
@@ -103,6 +106,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
             yield batch_of(schema, (b.column("lang"), b.column("pick"), [h.astype(np.int32) for h in held],
                                     [c[h] for c, h in zip(counts, held, strict=True)]))
 
+    small_batches(labelled.sparkSession)
     rows = sample.mapInArrow(run, "lang string, pick long, at array<int>, n array<float>").toArrow()
     rows = rows.sort_by([("lang", "ascending"), ("pick", "ascending")])
     counts = np.zeros((rows.num_rows, dims), np.float32)
@@ -126,14 +130,15 @@ def predict(docs: DataFrame, model: Centroids, text_col: str = "text", *keep: Co
     """``keep`` columns, then ``lang_pred``, ``score`` (cosine, 0 to 1) and
     ``rejected`` of every row."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
+    small_batches(spark)
+    shared = spark.sparkContext.broadcast((model.langs, model.matrix, model.idf, model.limits))
     source = docs.select(*keep, F.col(text_col).cast("string").alias("__text"))
     kept = source.columns[:-1]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]]
                        + ["lang_pred string", "score double", "rejected boolean"])
 
     def run(batches: Batches) -> Batches:
-        m = shared.value
+        m = Centroids(*shared.value)
         dims = len(m.idf)
         for b in batches:
             texts = b.column(len(kept)).to_pylist()
