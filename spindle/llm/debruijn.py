@@ -40,13 +40,15 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spindle.llm.common import Batches, batch_of, blobs, solid
+from spindle.llm.common import Batches, batch_of, blobs, small_batches, solid
 
 BASE = 0x9E3779B97F4A7C15
 CHUNK = 1 << 16
 U = np.uint64
-EDGES = pa.schema([("node", pa.int64()), ("path", pa.int64()), ("did", pa.int64()), ("th", pa.int64()),
-                   ("start", pa.int32()), ("len", pa.int32())])
+#: What is shuffled most is packed into four longs: the last bits of a path
+#: are its length less the width, a place is the text's hash and the first word.
+LENGTH_BITS, START_BITS = 6, 31
+EDGES = pa.schema([(c, pa.int64()) for c in ("node", "path", "did", "place")])
 WINDOWS = pa.schema([("node", pa.int64()), ("seen", pa.int64()), ("did", pa.int64()), ("path", pa.int64()),
                      ("off", pa.int32())])
 KEPT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()),
@@ -97,7 +99,7 @@ def rollings(words: list[bytes], powers: Powers) -> tuple[Rolling, Rolling]:
 
 
 def edges_of(words: list[bytes], width: int, k: int, powers: Powers):
-    """(node, path, start, length) of each run of windows."""
+    """(node, path, start) of each run of windows."""
     if len(words) < width:
         return None
     nodes, paths = rollings(words, powers)
@@ -111,15 +113,17 @@ def edges_of(words: list[bytes], width: int, k: int, powers: Powers):
     first = np.flatnonzero(np.concatenate(([True], picked[1:] != picked[:-1])))
     last = np.concatenate((first[1:], [len(picked)])) - 1
     end = last + width
-    label = mix(paths.spans(first, end) + (picked[first] - first).astype(U) * U(BASE) + (end - first).astype(U))
-    return grams[picked[first]].view(np.int64), label.view(np.int64), first.astype(np.int32), (end - first).astype(np.int32)
+    label = mix(paths.spans(first, end) + (picked[first] - first).astype(U) * U(BASE))
+    label = (label << U(LENGTH_BITS)) | (end - first - width).astype(U)
+    return grams[picked[first]].view(np.int64), label.view(np.int64), first.astype(np.int64)
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Rows by non-null keys: ``did`` and the text's hash ``th``."""
+    """Rows by non-null keys: ``did`` and the text's hash ``th`` (it parts rows
+    that repeat an id)."""
     return docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("did"),
-                       F.xxhash64(F.col(text_col).cast("string")).alias("th"),
+                       F.shiftrightunsigned(F.xxhash64(F.col(text_col).cast("string")), 32).alias("th"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
@@ -127,17 +131,24 @@ def edges(rows: DataFrame, width: int, k: int) -> DataFrame:
     def run(batches: Batches) -> Batches:
         powers = Powers()
         for b in batches:
-            out = [[], [], [], [], [], []]
+            out = [[], [], [], []]
             for did, th, text in zip(b.column("did").to_pylist(), b.column("th").to_pylist(), blobs(b, "text"), strict=True):
                 found = edges_of(text.split(), width, k, powers)
                 if found:
                     n = len(found[0])
-                    for column, x in zip(out, (*found[:2], np.full(n, did), np.full(n, th), *found[2:]), strict=True):
+                    for column, x in zip(out, (*found[:2], np.full(n, did), (th << START_BITS) + found[2]), strict=True):
                         column.append(x)
             if out[0]:
                 yield batch_of(EDGES, (pa.array(np.concatenate(c)) for c in out))
     return (rows.where("doc_id IS NOT NULL").select("did", "th", "text")
-            .mapInArrow(run, "node long, path long, did long, th long, start int, len int"))
+            .mapInArrow(run, "node long, path long, did long, place long"))
+
+
+def unpacked(seen: DataFrame, width: int, *keep: str) -> DataFrame:
+    """``did``, ``th``, ``start`` and ``len`` of packed occurrences."""
+    return seen.select("did", F.shiftrightunsigned("place", START_BITS).alias("th"),
+                       F.col("place").bitwiseAND(F.lit((1 << START_BITS) - 1)).cast("int").alias("start"),
+                       (F.col("path").bitwiseAND(F.lit((1 << LENGTH_BITS) - 1)) + width).cast("int").alias("len"), *keep)
 
 
 def open_windows(rows: DataFrame, width: int) -> DataFrame:
@@ -190,6 +201,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     words also start in a document of smaller id."""
     if not 0 < width - k < 63:
         raise ValueError("width must exceed k by 1 to 62")
+    small_batches(docs.sparkSession)
     rows = keyed(docs, id_col, text_col)
     seen = solid(edges(rows, width, k), "debruijn-edges")
     paths = seen.groupBy("node", "path").agg(F.min("did").alias("first"), F.max("did").alias("last"))
@@ -198,15 +210,17 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shared = solid(paths.join(branching, "node", "left").where("branches OR first < last")
                    .select("node", "path", "first", F.col("branches").isNotNull().alias("branches")), "debruijn-shared")
     # Where a node branches: open one occurrence of each of its paths.
-    sources = (seen.join(shared.where("branches"), ["node", "path"]).where("did = first")
+    # (``did <= first`` says ``did = first``, but leaves the join the keys of the
+    # one below, so that both read one shuffle of the occurrences.)
+    sources = (unpacked(seen.join(shared.where("branches"), ["node", "path"]).where("did <= first"), width, "node", "path")
                .groupBy("did", "th").agg(F.collect_list(F.struct("node", "path", "start", "len")).alias("spans")))
     windows = open_windows(rows.join(sources, ["did", "th"]), width)
     least = windows.groupBy("node", "seen").agg(F.min("did").alias("least"))
     again = (windows.join(least, ["node", "seen"]).where("least < did")
              .groupBy("node", "path").agg(F.bit_or(F.expr("shiftleft(1L, off)")).alias("flags")))
     judged = shared.join(again, ["node", "path"], "left").select("node", "path", "first", "flags")
-    hits = (seen.join(judged, ["node", "path"]).where("did > first OR flags IS NOT NULL")
-            .select("did", "th", F.struct("start", "len", F.when(F.col("did") > F.col("first"), F.lit(-1).cast("long"))
-                                          .otherwise(F.col("flags")).alias("flags")).alias("hit"))
+    hits = unpacked(seen.join(judged, ["node", "path"]).where("did > first OR flags IS NOT NULL"), width, "first", "flags")
+    hits = (hits.select("did", "th", F.struct("start", "len", F.when(F.col("did") > F.col("first"), F.lit(-1).cast("long"))
+                                              .otherwise(F.col("flags")).alias("flags")).alias("hit"))
             .groupBy("did", "th").agg(F.collect_list("hit").alias("hits")))
     return cut(rows.join(hits, ["did", "th"], "left"), width)
