@@ -20,8 +20,10 @@ from spindle.llm.queries import DOMAIN, SHARES
 def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language ID: documents that it rejects go."""
     model = langid.fit(docs)
-    judged = langid.predict(docs, model, "text", *(F.col(f"`{c}`") for c in docs.columns))
-    return judged.where("NOT rejected").select(*(F.col(f"`{c}`") for c in docs.columns))
+    # Numbered names, so that no column can clash with the prediction's.
+    numbered = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    judged = langid.predict(numbered, model, f"c{docs.columns.index('text')}", *(F.col(c) for c in numbered.columns))
+    return judged.where("NOT rejected").select(*numbered.columns).toDF(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

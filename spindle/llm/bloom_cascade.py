@@ -20,7 +20,7 @@ empty list refuses all keys; an empty table gives an empty result.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -33,17 +33,32 @@ from spindle.llm.common import THIN_ROWS, Batches, batch_rows, solid
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def scramble(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def positions(h1: np.ndarray, h2: np.ndarray, number: int, size: int, probes: int) -> Iterator[np.ndarray]:
+    """Bit positions of keys at a level. Each level has hashes of its own: keys
+    that meet in one would else meet in all."""
+    step = np.uint64(0x9E3779B97F4A7C15 * (2 * number + 1) % (1 << 64))
+    a, b = scramble(h1.view(np.uint64) + step), scramble(h2.view(np.uint64) ^ step) | np.uint64(1)
+    for i in range(probes):
+        yield (a + np.uint64(i) * b) % np.uint64(size)
+
+
 @dataclass
 class Level:
     bits: np.ndarray      # unsigned 64-bit words
     size: int
     probes: int
+    number: int
 
     def has(self, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
         """Whether all bits of the hash pairs are set."""
         ok = np.ones(len(h1), bool)
-        for i in range(self.probes):
-            at = (h1 + np.uint64(i) * h2) % np.uint64(self.size)
+        for at in positions(h1, h2, self.number, self.size, self.probes):
             ok &= (self.bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
         return ok
 
@@ -53,7 +68,6 @@ class Cascade:
     levels: list[Level] = field(default_factory=list)
 
     def member(self, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
-        h1, h2 = h1.view(np.uint64), h2.view(np.uint64) | np.uint64(1)
         listed = np.zeros(len(h1), bool)
         passing = np.arange(len(h1))
         for number, level in enumerate(self.levels):
@@ -66,7 +80,7 @@ def hashes(key: Column) -> list[Column]:
     return [F.xxhash64(key).alias("h1"), F.xxhash64(key, F.lit(7)).alias("h2")]
 
 
-def make_level(keys: DataFrame, n: int, rate: float, max_bytes: int) -> Level:
+def make_level(keys: DataFrame, n: int, rate: float, max_bytes: int, number: int) -> Level:
     """A Bloom filter of ``n`` keys (columns h1, h2)."""
     size = max(64, math.ceil(n * math.log(1 / rate) / math.log(2) ** 2))
     size = min(size, max_bytes * 8)
@@ -75,9 +89,8 @@ def make_level(keys: DataFrame, n: int, rate: float, max_bytes: int) -> Level:
 
     def run(batches: Batches) -> Batches:
         for b in batches:
-            h1 = b.column("h1").to_numpy().view(np.uint64)
-            h2 = b.column("h2").to_numpy().view(np.uint64) | np.uint64(1)
-            at = np.unique(np.concatenate([(h1 + np.uint64(i) * h2) % np.uint64(size) for i in range(probes)]))
+            h1, h2 = (b.column(c).to_numpy() for c in ("h1", "h2"))
+            at = np.unique(np.concatenate(list(positions(h1, h2, number, size, probes))))
             word, first = np.unique(at >> np.uint64(6), return_index=True)
             if len(word):
                 held = np.bitwise_or.reduceat(np.uint64(1) << (at & np.uint64(63)), first)
@@ -87,7 +100,7 @@ def make_level(keys: DataFrame, n: int, rate: float, max_bytes: int) -> Level:
                .groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow())
     bits = np.zeros((size + 63) // 64, np.uint64)
     bits[got["word"].to_numpy()] = got["bits"].to_numpy().view(np.uint64)
-    return Level(bits, size, probes)
+    return Level(bits, size, probes, number)
 
 
 def build(universe: DataFrame, listed: DataFrame, rate: float = 0.01, max_bytes: int = 64 << 20, max_levels: int = 60) -> Cascade:
@@ -100,26 +113,26 @@ def build(universe: DataFrame, listed: DataFrame, rate: float = 0.01, max_bytes:
         n = encode.count()
         if not n:
             return cascade
-        level = make_level(encode, n, rate if number == 0 else 0.5, max_bytes)
+        level = make_level(encode, n, rate if number == 0 else 0.5, max_bytes, number)
         cascade.levels.append(level)
         encode, refuse = solid(passing(refuse, level), f"cascade-{number}", THIN_ROWS), encode
     raise RuntimeError(f"the cascade did not end in {max_levels} levels: raise max_bytes")
 
 
 def passing(keys: DataFrame, level: Level) -> DataFrame:
-    shared = keys.sparkSession.sparkContext.broadcast((level.bits, level.size, level.probes))
+    shared = keys.sparkSession.sparkContext.broadcast((level.bits, level.size, level.probes, level.number))
 
     def run(batches: Batches) -> Batches:
         own = Level(*shared.value)
         for b in batches:
-            ok = own.has(b.column("h1").to_numpy().view(np.uint64), b.column("h2").to_numpy().view(np.uint64) | np.uint64(1))
+            ok = own.has(*(b.column(c).to_numpy() for c in ("h1", "h2")))
             yield b.filter(pa.array(ok))
     return keys.select("h1", "h2").mapInArrow(run, "h1 long, h2 long")
 
 
 def members(rows: DataFrame, keys: str, cascade: Cascade) -> DataFrame:
     """``rows`` with ``listed``: those of the array column ``keys`` that are members."""
-    shared = rows.sparkSession.sparkContext.broadcast([(x.bits, x.size, x.probes) for x in cascade.levels])
+    shared = rows.sparkSession.sparkContext.broadcast([(x.bits, x.size, x.probes, x.number) for x in cascade.levels])
     names = rows.columns
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
     each = lambda seed: F.transform(F.col(keys), lambda k: F.xxhash64(k, *seed))

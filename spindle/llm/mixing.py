@@ -6,7 +6,7 @@
    domain token totals, sum of w * tokens * p over all documents, and their
    targets, by projected gradient from w = 1. The distance is measured in the
    metric of the posteriors' token-weighted second moments, for which the step
-   length is known and convergence needs few rounds. A round is one pass over
+   length is known, and rounds carry momentum. A round is one pass over
    the small table of tokens and posteriors, which returns one total a domain;
    no vector of all documents ever exists in one place: a document's rate
    follows from its posteriors and the rounds' gradients.
@@ -89,16 +89,20 @@ def with_posteriors(docs: DataFrame, domains: Domains, text_col: str = "text") -
     return made.withColumn("__n", F.size(WORDS).cast("long")).withColumn("__p", posterior)
 
 
-def fold(p: np.ndarray, steps: list[np.ndarray]) -> np.ndarray:
-    w = np.ones(len(p))
-    for g in steps:
-        w = np.maximum(0.0, w - p @ g)
+def fold(p: np.ndarray, steps: list[tuple[float, np.ndarray]]) -> np.ndarray:
+    """Rates after ``steps``, each a momentum and a gradient."""
+    w = before = np.ones(len(p))
+    for momentum, g in steps:
+        w, before = np.maximum(0.0, w + momentum * (w - before) - p @ g), w
     return w
 
 
-def fit_rates(features: DataFrame, targets: np.ndarray, tol: float = 1e-6, max_rounds: int = 100) -> tuple[list[np.ndarray], np.ndarray]:
-    """Gradients of the rounds, and the totals reached. ``features`` (written
-    table): ``n``, ``p``. ``targets`` are token totals."""
+def fit_rates(features: DataFrame, targets: np.ndarray, tol: float = 1e-6,
+              max_rounds: int = 200) -> tuple[list[tuple[float, np.ndarray]], np.ndarray]:
+    """Momentum and gradient of each round, and the totals reached. ``features``
+    (written table): ``n``, ``p``. ``targets`` are token totals. Totals are
+    linear in the rates, so those of a point ahead need no pass of their own;
+    the momentum starts anew when the distance grows."""
     k = len(targets)
     schema = pa.schema([("at", pa.int32()), ("x", pa.float64())])
 
@@ -119,31 +123,39 @@ def fit_rates(features: DataFrame, targets: np.ndarray, tol: float = 1e-6, max_r
         return out
 
     moments = summed(lambda n, p: ((p * n[:, None]).T @ p).ravel(), k * k).reshape(k, k)
-    steps: list[np.ndarray] = []
+    steps: list[tuple[float, np.ndarray]] = []
     inverse = np.linalg.pinv(moments, rcond=1e-12, hermitian=True)
+    before, since, distance = None, 0, np.inf
     while True:
         totals = summed(lambda n, p, s=tuple(steps): p.T @ (n * fold(p, s)), k)
         miss = totals - targets
-        gradient = inverse @ miss
         if len(steps) >= max_rounds or np.abs(miss).sum() <= tol * max(1.0, targets.sum()):
             return steps, totals
+        now = miss @ inverse @ miss
+        since, distance = (0 if now > distance else since), now
+        momentum = since / (since + 3)
+        gradient = inverse @ (miss + momentum * (totals - (totals if before is None else before)))
         if steps and np.abs(gradient).max() < 1e-9:
             return steps, totals
-        steps.append(gradient)
+        steps.append((momentum, gradient))
+        before, since = totals, since + 1
 
 
-def rate_column(steps: list[np.ndarray], p: Column) -> Column:
+def rate_column(steps: list[tuple[float, np.ndarray]], p: Column) -> Column:
     """The rate that ``fold`` gives, as an expression."""
-    w = F.lit(1.0)
-    if steps:
-        history = F.array(*(F.array(*(F.lit(float(x)) for x in g)) for g in steps))
-        dot = lambda g: F.aggregate(F.zip_with(p, g, lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
-        w = F.aggregate(history, F.lit(1.0), lambda w, g: F.greatest(F.lit(0.0), w - dot(g)))
-    return w
+    if not steps:
+        return F.lit(1.0)
+    row = lambda m, g: F.struct(F.lit(float(m)).alias("m"), F.array(*(F.lit(float(x)) for x in g)).alias("g"))
+    dot = lambda g: F.aggregate(F.zip_with(p, g, lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
+    state = lambda w, before: F.struct(w.alias("w"), before.alias("before"))
+    return F.aggregate(
+        F.array(*(row(m, g) for m, g in steps)), state(F.lit(1.0), F.lit(1.0)),
+        lambda a, s: state(F.greatest(F.lit(0.0), a["w"] + s["m"] * (a["w"] - a["before"]) - dot(s["g"])), a["w"]),
+        lambda a: a["w"])
 
 
 def plan(docs: DataFrame, labels: DataFrame, domain: Column, shares: dict[str, float], id_col: str = "doc_id",
-         text_col: str = "text", budget: float | None = None) -> tuple[Domains, list[np.ndarray], DataFrame, np.ndarray, np.ndarray]:
+         text_col: str = "text", budget: float | None = None) -> tuple[Domains, list, DataFrame, np.ndarray, np.ndarray]:
     """Classifier, rounds, features (``doc_id``, ``n``, ``p``), targets and
     reached totals for token ``shares`` by domain; ``budget`` is the number of
     tokens wanted in all (default: as many as there are)."""
@@ -157,7 +169,7 @@ def plan(docs: DataFrame, labels: DataFrame, domain: Column, shares: dict[str, f
     return domains, steps, features, targets, totals
 
 
-def apply_rates(docs: DataFrame, domains: Domains, steps: list[np.ndarray], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def apply_rates(docs: DataFrame, domains: Domains, steps: list[tuple[float, np.ndarray]], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` as often as their rates say: the whole part of the
     rate, and once more where a hash of id and text falls under the rest."""
     names = docs.columns
