@@ -26,40 +26,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spindle.functions.text import explode_terms
-from spindle.operators.joins import materialize
+from spindle.operators.joins import broadcast_if_small, join_null_safe, materialize
 
 POSTINGS_COLUMNS = ("title", "term", "tf")
 # Target number of members per nested block (forward or inverted list).
 DEFAULT_BLOCK_SIZE = 4096
 
 
-def spread_input(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that has fewer splits than the cluster has cores.
-
-    A large input already arrives in many splits and is left alone (a
-    repartition there would shuffle raw text for nothing); a single
-    unsplittable file (one Parquet row group, one gzip JSON) would otherwise
-    tokenize in a single task.
-    """
-    if df.isStreaming:
-        return df
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
-
 def term_frequency(docs: DataFrame, key: str = "title", text: str = "text") -> DataFrame:
     """Postings ``(title, term, tf)`` from a document table.
 
     Rows that share a title are one document: their counts add up. The
     aggregate is partial+final (map-side combine), and the shuffle key is
     the pair (title, term), so neither a hot title nor a hot term lands
-    in one task.
+    in one task. Nothing runs here: readers spread inputs of few splits.
     """
-    docs = spread_input(docs.select(F.col(key).cast("string").alias("title"),
-                                    F.col(text).alias("text")))
+    docs = docs.select(F.col(key).cast("string").alias("title"), F.col(text).alias("text"))
     terms = explode_terms(docs, "title", "text")
     return terms.groupBy("title", "term").agg(F.count(F.lit(1)).alias("tf"))
 
@@ -99,11 +81,17 @@ def corpus_stats(documents: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class CorpusScalars:
-    d: int
-    avgdl: float | None
-    avg_tokens: float | None
+    """D, avgdl and mean tokens: as values, or as the one-row table ``stats``
+    that a plan reads when it runs."""
+
+    d: int | None = None
+    avgdl: float | None = None
+    avg_tokens: float | None = None
+    stats: DataFrame | None = None
 
     def lit(self, name: str) -> Column:
+        if self.stats is not None:
+            return self.stats.select(name).scalar()
         value = getattr(self, name)
         kind = "bigint" if name == "d" else "double"
         return F.lit(value).cast(kind)
@@ -157,15 +145,16 @@ class Index:
         return self.stats_df if self.stats_df is not None else corpus_stats(self.documents())
 
     def scalars(self) -> "CorpusScalars":
-        """D, avgdl and mean tokens per document as literals.
+        """D, avgdl and mean tokens per document.
 
-        One row, read once per ranking job (a stored index reads its stored
-        ``stats``); using literals lets Catalyst fold the BM25 normaliser
-        into a constant instead of joining a statistics table.
+        An index loaded from storage knows them as literals, which lets
+        Catalyst fold the BM25 normaliser into a constant; any other index
+        gives scalar subqueries of its statistics, so building a plan runs
+        nothing.
         """
         if self.known_scalars is not None:
             return self.known_scalars
-        return scalars_of(self.stats())
+        return CorpusScalars(stats=self.stats())
 
     def postings_for_terms(self, terms: list[str]) -> DataFrame:
         """Postings of the given terms, with the predicate on the scan.
@@ -235,11 +224,11 @@ def merge_postings(old: DataFrame, new: DataFrame) -> DataFrame:
     Expressed as an anti join plus a union instead of a re-aggregation: the
     old side is streamed, and when the new side is small the planner (or the
     size-checked caller) broadcasts its keys so the old index is not
-    shuffled at all.
+    shuffled at all. A null title is a title like any other.
     """
     old = old.select(*POSTINGS_COLUMNS)
     new = new.select(*POSTINGS_COLUMNS)
-    kept = old.join(new.select("title", "term"), ["title", "term"], "left_anti")
+    kept = join_null_safe(old, new.select("title", "term"), ["title", "term"], "left_anti")
     return kept.unionByName(new)
 
 
@@ -271,24 +260,33 @@ def block_count(size: Column, block_size: int) -> Column:
 
 def inverted_blocks(index: Index, block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
     """``(term, block, df, n, titles)``: each row holds at most about
-    ``block_size`` titles of one term's posting list, sorted."""
-    lex = index.lexicon().select("term", "df")
+    ``block_size`` titles of one term's posting list, sorted.
+
+    The term sizes are materialised, so the join's only aggregate is the block
+    aggregate behind an exchange of its own: the join of a hot term can be
+    split, and its blocks are spread over tasks.
+    """
+    index = materialize_index(index)
+    lex = materialize(index.lexicon().select("term", "df"), "lexicon")
     sized = index.flat().join(lex, "term")
     keyed = sized.withColumn(
-        "block", F.pmod(stable_hash(F.col("title")), block_count(F.col("df"), block_size)))
-    return keyed.groupBy("term", "block", "df").agg(
+        "block", F.pmod(stable_hash(F.coalesce("title", F.lit(""))), block_count(F.col("df"), block_size)))
+    return keyed.repartition("term", "block", "df").groupBy("term", "block", "df").agg(
         F.count(F.lit(1)).alias("n"),
-        F.array_sort(F.collect_list("title")).alias("titles"))
+        F.array_sort(F.collect_list(F.struct("title"))).alias("titles")).withColumn(
+        "titles", F.transform("titles", lambda t: t["title"]))
 
 
 def forward_blocks(index: Index, block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
     """``(title, block, n_terms, n, vec)``: each row holds at most about
-    ``block_size`` (term, tf) entries of one document vector, sorted by term."""
-    docs = index.documents().select("title", "n_terms")
-    sized = index.flat().join(docs, "title")
+    ``block_size`` (term, tf) entries of one document vector, sorted by term.
+    Spread like :func:`inverted_blocks`."""
+    index = materialize_index(index)
+    docs = materialize(index.documents().select("title", "n_terms"), "documents")
+    sized = join_null_safe(index.flat(), docs, ["title"])
     keyed = sized.withColumn(
         "block", F.pmod(stable_hash(F.col("term")), block_count(F.col("n_terms"), block_size)))
-    return keyed.groupBy("title", "block", "n_terms").agg(
+    return keyed.repartition("title", "block", "n_terms").groupBy("title", "block", "n_terms").agg(
         F.count(F.lit(1)).alias("n"),
         F.array_sort(F.collect_list(F.struct("term", "tf"))).alias("vec"))
 
@@ -305,8 +303,28 @@ def map_tf(vec: Column, term: Column) -> Column:
     return F.coalesce(F.try_element_at(vec, term), F.lit(0)).cast("bigint")
 
 
+def map_lookup(index: Index, pairs: DataFrame, block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
+    """``forward_lookup`` through the nested maps: each pair goes to the one
+    block of its document that its term would stand in."""
+    index = materialize_index(index)
+    docs = materialize(index.documents().select("title", "n_terms"), "documents")
+    asked = join_null_safe(pairs.select("title", "term"), docs, ["title"], "left")
+    asked = asked.select("title", "term", F.pmod(stable_hash(F.col("term")), block_count(
+        F.coalesce("n_terms", F.lit(0)), block_size)).alias("block"))
+    found = join_null_safe(asked, forward_maps(index, block_size), ["title", "block"], "left")
+    return found.select("title", "term", map_tf(F.col("vec"), F.col("term")).alias("tf"))
+
+
 def forward_lookup(index: Index, pairs: DataFrame) -> DataFrame:
     """tf of (title, term) pairs, 0 when the document lacks the term
-    (the reference's ``getOrElse(term, 0)``)."""
-    found = pairs.join(index.forward(), ["title", "term"], "left")
+    (the reference's ``getOrElse(term, 0)``).
+
+    The index is first reduced to the pairs asked for (a semi-join that
+    broadcasts them if their measured size allows), so a lookup of few pairs
+    neither shuffles nor broadcasts the index.
+    """
+    pairs = pairs.select("title", "term")
+    asked = broadcast_if_small(pairs.distinct())
+    hits = join_null_safe(index.forward(), asked, ["title", "term"], "left_semi")
+    found = join_null_safe(pairs, hits, ["title", "term"], "left")
     return found.select("title", "term", F.coalesce(F.col("tf"), F.lit(0)).cast("bigint").alias("tf"))

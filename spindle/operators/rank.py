@@ -33,11 +33,12 @@ from spindle.functions.scoring import (BM25_B, BM25_K, DEFAULT_TOP_K, bm25_param
                                        idf, naive_term, okapi_param, tfidf)
 from spindle.functions.text import tokens
 from spindle.operators.index import Index, materialize_index, term_bucket
-from spindle.operators.joins import broadcast_if_small
+from spindle.operators.joins import broadcast_if_small, join_null_safe, materialize
 
 METHODS = ("bm25", "naive")
-# Largest k whose top-k rows may come back to the driver for the shortcut.
-SHORTCUT_MAX_K = 10_000
+# Scores are sums whose last bits depend on the order of summation; rounded to
+# this many decimals they order the same way on every run.
+DEFAULT_DECIMALS = 9
 
 
 def check_method(method: str) -> str:
@@ -125,7 +126,7 @@ def matched_scores(index: Index, query: str, method: str = "bm25",
     elif length_norm == "document":
         docs = index.documents().select("title", "n_tokens")
         avg_tokens = index.scalars().lit("avg_tokens")
-        hits = hits.join(docs, "title")
+        hits = join_null_safe(hits, docs, ["title"])
         contrib = bm25_term(F.col("idf"), F.col("tf"),
                             okapi_param(F.col("n_tokens"), avg_tokens, k1, b), k1)
     else:
@@ -134,24 +135,20 @@ def matched_scores(index: Index, query: str, method: str = "bm25",
 
 
 def all_document_scores(index: Index, scores: DataFrame) -> DataFrame:
-    """Every indexed document with its score, 0.0 when it matched nothing.
-
-    The matched scores are materialised and counted first: under the row
-    limit they are broadcast and the documents table is only scanned (no
-    shuffle of it); above it the left join runs as a shuffle join.
-    """
-    small, _ = broadcast_if_small(scores)
+    """Every indexed document with its score, 0.0 when it matched nothing
+    (one left join, whose strategy the planner picks by the sizes it meets)."""
     docs = index.documents().select("title")
-    joined = docs.join(small, "title", "left")
+    joined = join_null_safe(docs, scores, ["title"], "left")
     return joined.select("title", F.coalesce(F.col("score"), F.lit(0.0)).alias("score"))
 
 
 def top_k(scores: DataFrame, k: int | None = DEFAULT_TOP_K,
-          decimals: int | None = None) -> DataFrame:
+          decimals: int | None = DEFAULT_DECIMALS) -> DataFrame:
     """Order by score descending, title ascending; keep ``k`` rows.
 
-    With ``decimals`` the score is rounded first and the order uses the
-    rounded value (so engines that sum in a different order agree).
+    The score is rounded to ``decimals`` first and the order uses the rounded
+    value (so runs and engines that sum in a different order agree); None
+    leaves raw sums, whose near-ties may change places between runs.
     """
     if decimals is not None:
         scores = scores.withColumn("score", F.round("score", decimals))
@@ -161,38 +158,32 @@ def top_k(scores: DataFrame, k: int | None = DEFAULT_TOP_K,
 
 def rank(index: Index, query: str, method: str = "bm25", k: int | None = DEFAULT_TOP_K,
          matched_only: bool = False, length_norm: str = "corpus",
-         decimals: int | None = None) -> DataFrame:
-    """Ranked ``(title, score)`` for one query string.
-
-    ``k=None`` returns every document (ordered). ``matched_only=True`` skips
-    documents without a query term (the report's planned improvement).
+         decimals: int | None = DEFAULT_DECIMALS) -> DataFrame:
+    """Ranked ``(title, score)`` for one query string: one lazy plan, the same
+    for every ``k`` (None returns every document, ordered).
+
+    ``matched_only=True`` skips documents without a query term (the report's
+    planned improvement) and with them the join onto all documents. Rank a
+    stored or materialised index: over a lazy one each branch of the plan would
+    tokenize the documents again.
     """
-    index = materialize_index(index)
     scores = matched_scores(index, query, method, length_norm)
     if matched_only:
         return top_k(scores, k, decimals)
-    if k is not None and k <= SHORTCUT_MAX_K:
-        # Shortcut: when the k-th best matched score is above 0, every
-        # document without a query term (score 0) ranks below it, so the
-        # answer comes from the pruned postings alone. The k rows are the
-        # result itself (a top-k report of bounded size); a larger k takes
-        # the distributed path below.
-        head = top_k(scores, k, decimals)
-        rows = head.collect()
-        if len(rows) == k and (k == 0 or rows[-1]["score"] > 0):
-            spark = index.postings.sparkSession
-            return spark.createDataFrame(rows, head.schema)
     return top_k(all_document_scores(index, scores), k, decimals)
 
 
 def tfidf_postings(index: Index) -> DataFrame:
-    """``(title, term, tf, df, idf, tfidf)`` for every posting."""
+    """``(title, term, tf, df, idf, tfidf)`` for every posting. The postings
+    of a lazy index and the term sizes are materialised first: documents are
+    tokenized once, and the join of a hot term can be split."""
+    index = materialize_index(index)
     d = index.scalars().lit("d")
-    lex = index.lexicon().select("term", "df")
+    lex = materialize(index.lexicon().select("term", "df"), "lexicon")
     weighted = index.flat().join(lex, "term")
     w_idf = idf(d, F.col("df"))
-    return weighted.select("title", "term", "tf", "df", w_idf.alias("idf"),
-                           tfidf(F.col("tf"), w_idf).alias("tfidf"))
+    return (weighted.select("title", "term", "tf", "df", w_idf.alias("idf"))
+            .select("*", tfidf(F.col("tf"), F.col("idf")).alias("tfidf")))
 
 
 # ---------------------------------------------------------------------------
@@ -209,7 +200,7 @@ def batch_query_terms(queries: DataFrame, id_col: str = "query_id",
 
 def rank_batch(index: Index, queries: DataFrame, method: str = "bm25",
                k: int = DEFAULT_TOP_K, id_col: str = "query_id",
-               text_col: str = "text", decimals: int | None = None) -> DataFrame:
+               text_col: str = "text", decimals: int | None = DEFAULT_DECIMALS) -> DataFrame:
     """Top-k per query for a table of queries: ``(query_id, rank, title, score)``.
 
     Only documents that hold at least one term of the query are ranked.
@@ -226,23 +217,21 @@ def rank_batch(index: Index, queries: DataFrame, method: str = "bm25",
     index = materialize_index(index)
     qt = batch_query_terms(queries, id_col, text_col)
     c = index.scalars()
-    lex = index.lexicon().select("term", "df")
-    weights = (qt.join(lex, "term")
-               .select("query_id", "term", "qtf", "df",
+    # A stored index is joined on its bucket directories as well: Spark prunes
+    # those that no query term falls into when it runs the plan. (It considers
+    # that for a side with a comparison; this one holds for every row.)
+    on, every = ["term"], F.lit(True)
+    if index.n_buckets:
+        on, every = ["term_bucket", "term"], F.col("term_bucket") >= 0
+        qt = qt.withColumn("term_bucket", term_bucket(F.col("term"), index.n_buckets))
+    qt = broadcast_if_small(qt)
+    lex = index.lexicon_df if index.n_buckets else index.lexicon()
+    weights = (lex.select(*on, "df").join(qt.where(every), on)
+               .select("query_id", *on, "qtf", "df",
                        idf(c.lit("d"), F.col("df")).alias("idf"),
                        bm25_param(c.lit("d"), c.lit("avgdl")).alias("param")))
-    if index.n_buckets:
-        weights = weights.withColumn("term_bucket", term_bucket(F.col("term"), index.n_buckets))
-    weights, _ = broadcast_if_small(weights)
-    if index.n_buckets:
-        # Stored index: read only the bucket directories the queries touch.
-        # At most n_buckets values (a fixed layout parameter, not data size).
-        buckets = [r[0] for r in weights.select("term_bucket").distinct().collect()]
-        postings = (index.postings.where(F.col("term_bucket").isin(buckets))
-                    .select("term_bucket", "title", "term", "tf"))
-        hits = postings.join(weights, ["term_bucket", "term"])
-    else:
-        hits = index.flat().join(weights, "term")
+    weights = broadcast_if_small(weights)
+    hits = index.postings.select(*on, "title", "tf").join(weights.where(every), on)
     if method == "naive":
         contrib = naive_term(F.col("qtf"), F.col("tf"), F.col("idf"))
     else:
@@ -258,5 +247,6 @@ def rank_batch(index: Index, queries: DataFrame, method: str = "bm25",
 
 def lexicon_idf(index: Index) -> DataFrame:
     """``(term, df, idf)`` for every term of the index."""
+    index = materialize_index(index)
     d = index.scalars().lit("d")
     return index.lexicon().select("term", "df", idf(d, F.col("df")).alias("idf"))

@@ -20,19 +20,21 @@ from spindle.functions.scoring import bm25_param
 from spindle.functions.text import explode_terms, is_term, sanitize, split_pieces, tokens
 from spindle.operators.evaluate import average_precision
 from spindle.operators.index import (Index, build_index, forward_blocks, forward_lookup,
-                                     inverted_blocks, merge_index, term_frequency)
-from spindle.operators.rank import (batch_query_terms, lexicon_idf, query_weights, rank,
-                                    rank_batch, tfidf_postings)
+                                     inverted_blocks, map_lookup, materialize_index, merge_index,
+                                     term_frequency)
+from spindle.operators.rank import (METHODS, batch_query_terms, check_method, lexicon_idf,
+                                    query_weights, rank, rank_batch, tfidf_postings)
 from spindle.plans import oracle as O
 from spindle.session import scratch_path
-from spindle.sources.documents import (corpus, load_table, read_documents_json,
+from spindle.sources.documents import (corpus, load_table, read_documents_json, table_documents,
                                        write_documents_json)
 from spindle.plans.jobs import add_job
-from spindle.sources.store import load_index, save_index
+from spindle.sources.store import compact_index, load_index, save_index
 from spindle.streaming.add import streaming_build
 
 # ---------------------------------------------------------------------------
-# Fixed query strings (parameters of the single-query rankers).
+# Query strings, parameters of the single-query rankers. Q_CABRAL
+# and "hello world" must equal the report's published queries.
 # ---------------------------------------------------------------------------
 Q_MID = "esat estion aiment"
 Q_REPEAT = "esat estion estion aiment aiment aiment"
@@ -137,7 +139,7 @@ def q_idf_all_terms(spark, sf):
 
 
 def q_idf_query_terms(spark, sf):
-    w = query_weights(docs_index(spark, sf), spark, Q_CABRAL + " " + Q_MID)
+    w = query_weights(materialize_index(docs_index(spark, sf)), spark, Q_CABRAL + " " + Q_MID)
     return _round(w.select("term", "qtf", "df", "idf"), "idf")
 
 
@@ -152,25 +154,93 @@ def q_query_term_postings(spark, sf):
     return idx.postings_for_terms(sorted(set(Q_MID.split())))
 
 
-def q_forward_index_lookup(spark, sf):
+def _passage_pairs(spark, sf):
     # (title, term) pairs: each benchmark passage's terms looked up in the
     # document with the same id; absent pairs read tf = 0.
     bench = load_table(spark, sf, "benchmark")
-    pairs = (bench.select(F.col("item_id").cast("string").alias("title"),
-                          F.explode(tokens(F.col("text"))).alias("term")).distinct())
-    return forward_lookup(stored_index(spark, sf), pairs)
+    return bench.select(F.col("item_id").cast("string").alias("title"),
+                        F.explode(tokens(F.col("text"))).alias("term")).distinct()
+
+
+def q_forward_index_lookup(spark, sf):
+    return forward_lookup(stored_index(spark, sf), _passage_pairs(spark, sf))
+
+
+def q_forward_map_lookup(spark, sf):
+    return map_lookup(stored_index(spark, sf), _passage_pairs(spark, sf), BLOCK)
+
+
+def null_title_corpus(spark, sf, name="documents", key="doc_id"):
+    """Every table row, where ids that end in 7 have no title (together they
+    are one document)."""
+    docs = load_table(spark, sf, name)
+    return table_documents(docs.withColumn(key, F.when(F.col(key) % 10 != 7, F.col(key))), key)
+
+
+def q_rank_null_title(spark, sf):
+    idx = materialize_index(build_index(null_title_corpus(spark, sf)))
+    return rank(idx, Q_MID, "bm25", None, decimals=DEC)
+
+
+def q_rank_okapi_null_title(spark, sf):
+    idx = materialize_index(build_index(null_title_corpus(spark, sf)))
+    return rank(idx, Q_MID, "bm25", None, length_norm="document", decimals=DEC)
+
+
+def q_forward_index_null_title(spark, sf):
+    blocks = forward_blocks(build_index(null_title_corpus(spark, sf)), BLOCK)
+    vec = F.array_join(F.transform("vec", lambda e: F.concat(e.term, F.lit(":"), e.tf.cast("string"))), "|")
+    return blocks.select("title", "block", "n_terms", "n", vec.alias("vec"))
+
+
+_ADDED_NULL: dict[tuple[str, str], str] = {}
+
+
+def added_null_title(spark: SparkSession, sf: str) -> Index:
+    """Documents with a null title stored, passages with a null title added."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _ADDED_NULL:
+        old, path = scratch_path(spark, "index"), scratch_path(spark, "index-added")
+        save_index(build_index(null_title_corpus(spark, sf)), old, n_buckets=STORED_BUCKETS)
+        add_job(spark, null_title_corpus(spark, sf, "benchmark", "item_id"), old, path)
+        _ADDED_NULL[key] = path
+    return load_index(spark, _ADDED_NULL[key])
+
+
+def q_add_null_title_docs(spark, sf):
+    return added_null_title(spark, sf).flat()
+
+
+def q_add_null_title_stats(spark, sf):
+    return _round(added_null_title(spark, sf).stats(), "avgdl", "avg_tokens")
+
+
+def q_add_null_title_words(spark, sf):
+    return added_null_title(spark, sf).lexicon()
+
+
+def q_compacted_index(spark, sf):
+    added_index(spark, sf)
+    key = (spark.sparkContext.applicationId, sf)
+    return compact_index(spark, _ADDED[key], scratch_path(spark, "index-compacted")).flat()
+
+
+def q_index_add_resorted(spark, sf):
+    stored_index(spark, sf)
+    old = _STORED[(spark.sparkContext.applicationId, sf)]
+    return add_job(spark, _new_documents(spark, sf), old, scratch_path(spark, "index-resorted"), layout="resort").flat()
 
 
 def _rank(query, method, k, matched_only=False, length_norm="corpus", stored=False):
     def run(spark, sf):
-        idx = stored_index(spark, sf) if stored else docs_index(spark, sf)
+        idx = stored_index(spark, sf) if stored else materialize_index(docs_index(spark, sf))
         return rank(idx, query, method, k, matched_only, length_norm, decimals=DEC)
     return run
 
 
 def _rank_corpus(name, query, method, k):
     def run(spark, sf):
-        idx = build_index(corpus(spark, sf, name))
+        idx = materialize_index(build_index(corpus(spark, sf, name)))
         return rank(idx, query, method, k, decimals=DEC)
     return run
 
@@ -306,9 +376,36 @@ def q_average_precision_report_queries(spark, sf):
     return _round(average_precision(ranked, relevant), "ap")
 
 
+_STREAMED: dict[tuple[str, str], Index] = {}
+
+
+def streamed_index(spark: SparkSession, sf: str) -> Index:
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _STREAMED:
+        _STREAMED[key] = streaming_build(spark, corpus(spark, sf), batches=4, refresh_rows=STREAM_REFRESH_ROWS)
+    return _STREAMED[key]
+
+
 def q_streaming_index_add(spark, sf):
-    return streaming_build(spark, corpus(spark, sf), batches=4,
-                           refresh_rows=STREAM_REFRESH_ROWS).flat()
+    return streamed_index(spark, sf).flat()
+
+
+def q_streaming_index_lexicon(spark, sf):
+    return streamed_index(spark, sf).lexicon()
+
+
+def q_streaming_index_stats(spark, sf):
+    return _round(streamed_index(spark, sf).stats(), "avgdl", "avg_tokens")
+
+
+def q_ranker_choice(spark, sf):
+    """The ranker chosen by name, each name once."""
+    idx = stored_index(spark, sf)
+    ranked = None
+    for method in METHODS:
+        one = rank(idx, Q_MID, check_method(method), 10, decimals=DEC).select(F.lit(method).alias("method"), "title", "score")
+        ranked = one if ranked is None else ranked.unionByName(one)
+    return ranked
 
 
 # ---------------------------------------------------------------------------
@@ -330,20 +427,55 @@ def _nblocks(size: str) -> str:
     return f"greatest(1, CAST(ceil({size} / {float(BLOCK)!r}) AS BIGINT))"
 
 
-def _merge_sql(select: str) -> str:
-    new_ctes = ",\n".join([
+def _untitled(key: str) -> str:
+    return f"CASE WHEN {key} % 10 <> 7 THEN {key} END"
+
+
+def _merge_sql(select: str, null_titles: bool = False) -> str:
+    base = O.corpus_ctes(key=_untitled("doc_id")) if null_titles else C
+    new_pieces = [O.pieces_cte("npieces", "benchmark", f"CAST({_untitled('item_id')} AS VARCHAR)", "text")] if null_titles else [
         O.pieces_cte("bpieces", "benchmark", "CAST(item_id AS VARCHAR)", "text"),
         O.pieces_cte("cpieces", "conversations", "'c' || CAST(conv_id AS VARCHAR)", "text"),
-        "npieces AS (SELECT * FROM bpieces UNION ALL SELECT * FROM cpieces)",
+        "npieces AS (SELECT * FROM bpieces UNION ALL SELECT * FROM cpieces)"]
+    new_ctes = ",\n".join([
+        *new_pieces,
         O.terms_cte("nterms", "npieces"),
         O.postings_cte("npostings", "nterms"),
         "merged AS (SELECT o.title, o.term, o.tf FROM postings o WHERE NOT EXISTS "
-        "(SELECT 1 FROM npostings n WHERE n.title = o.title AND n.term = o.term) "
+        "(SELECT 1 FROM npostings n WHERE n.title IS NOT DISTINCT FROM o.title AND n.term = o.term) "
         "UNION ALL SELECT title, term, tf FROM npostings)",
         "mdocs AS (SELECT title, count(*) AS n_terms, CAST(sum(tf) AS BIGINT) AS n_tokens "
         "FROM merged GROUP BY title)",
     ])
-    return _with(C, new_ctes) + select
+    return _with(base, new_ctes) + select
+
+
+MERGED_WORDS = "SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS cf FROM merged GROUP BY term"
+MERGED_STATS = ("SELECT count(*) AS d, CAST(sum(n_terms) AS BIGINT) AS n_postings, "
+                "CAST(sum(n_tokens) AS BIGINT) AS n_tokens, round(sum(n_terms) / count(*), 6) AS avgdl, "
+                "round(sum(n_tokens) / count(*), 6) AS avg_tokens FROM mdocs")
+STATS_SQL = ("SELECT d, n_postings, n_tokens, round(avgdl, 6) AS avgdl, "
+             "round(avg_tokens, 6) AS avg_tokens FROM stats")
+
+
+def _forward_sql(key: str = "doc_id") -> str:
+    return _with(O.corpus_ctes(key=key)) + (
+        "SELECT p.title, " + f"{_blocks_hash('p.term')} % {_nblocks('d.n_terms')}" + " AS block, "
+        "d.n_terms, count(*) AS n, string_agg(p.term || ':' || CAST(p.tf AS VARCHAR), '|' "
+        "ORDER BY p.term) AS vec FROM postings p JOIN docs d ON p.title IS NOT DISTINCT FROM d.title "
+        "GROUP BY 1, 2, 3")
+
+
+def _lookup_sql() -> str:
+    return _with(
+        C, O.pieces_cte("qp", "benchmark", "CAST(item_id AS VARCHAR)", "text"), O.terms_cte("qt", "qp"),
+        "pairs AS (SELECT DISTINCT title, term FROM qt)") + (
+        "SELECT a.title, a.term, CAST(coalesce(p.tf, 0) AS BIGINT) AS tf FROM pairs a "
+        "LEFT JOIN postings p ON a.title = p.title AND a.term = p.term")
+
+
+def _choice_sql() -> str:
+    return " UNION ALL ".join(f"(SELECT '{m}' AS method, title, score FROM ({O.rank_sql(Q_MID, m, 10)}))" for m in ("bm25", "naive"))
 
 
 def _report_ap_sql() -> str:
@@ -388,11 +520,18 @@ ENTRIES: dict[str, tuple[Query, str | None]] = {
         O.corpus_ctes("conversations", "conv_id", "text")) + "SELECT title, term, tf FROM postings"),
     "pages_term_frequency": (q_pages_term_frequency, _with(
         O.corpus_ctes("pages", "page_id", "html")) + "SELECT title, term, tf FROM postings"),
-    "forward_index": (q_forward_index, _with(C) + (
-        "SELECT p.title, " + f"{_blocks_hash('p.term')} % {_nblocks('d.n_terms')}" + " AS block, "
-        "d.n_terms, count(*) AS n, string_agg(p.term || ':' || CAST(p.tf AS VARCHAR), '|' "
-        "ORDER BY p.term) AS vec FROM postings p JOIN docs d ON p.title = d.title "
-        "GROUP BY 1, 2, 3")),
+    "forward_index": (q_forward_index, _forward_sql()),
+    "forward_index_null_title": (q_forward_index_null_title, _forward_sql(_untitled("doc_id"))),
+    "forward_map_lookup": (q_forward_map_lookup, _lookup_sql()),
+    "rank_bm25_null_title_all": (q_rank_null_title, O.rank_sql(Q_MID, "bm25", None, key=_untitled("doc_id"))),
+    "rank_bm25_okapi_null_title": (q_rank_okapi_null_title, O.rank_sql(
+        Q_MID, "bm25", None, length_norm="document", key=_untitled("doc_id"))),
+    "index_add_null_title_docs": (q_add_null_title_docs, _merge_sql("SELECT title, term, tf FROM merged", True)),
+    "index_add_null_title_words": (q_add_null_title_words, _merge_sql(MERGED_WORDS, True)),
+    "index_add_null_title_stats": (q_add_null_title_stats, _merge_sql(MERGED_STATS, True)),
+    "index_add_resorted": (q_index_add_resorted, _merge_sql("SELECT title, term, tf FROM merged")),
+    "index_compacted": (q_compacted_index, _merge_sql("SELECT title, term, tf FROM merged")),
+    "ranker_choice": (q_ranker_choice, _choice_sql()),
     "inverted_index": (q_inverted_index, _with(C) + (
         "SELECT p.term, " + f"{_blocks_hash('p.title')} % {_nblocks('l.df')}" + " AS block, "
         "l.df, count(*) AS n, string_agg(p.title, ',' ORDER BY p.title) AS titles "
@@ -414,11 +553,7 @@ ENTRIES: dict[str, tuple[Query, str | None]] = {
     "query_term_postings": (q_query_term_postings, _with(C) + (
         "SELECT title, term, tf FROM postings WHERE term IN ("
         + ", ".join(O._sql_str(t) for t in sorted(set(Q_MID.split()))) + ")")),
-    "forward_index_lookup": (q_forward_index_lookup, _with(
-        C, O.pieces_cte("qp", "benchmark", "CAST(item_id AS VARCHAR)", "text"), O.terms_cte("qt", "qp"),
-        "pairs AS (SELECT DISTINCT title, term FROM qt)")
-        + ("SELECT a.title, a.term, CAST(coalesce(p.tf, 0) AS BIGINT) AS tf FROM pairs a "
-           "LEFT JOIN postings p ON a.title = p.title AND a.term = p.term")),
+    "forward_index_lookup": (q_forward_index_lookup, _lookup_sql()),
     "rank_bm25_top10": (_rank(Q_MID, "bm25", 10), O.rank_sql(Q_MID, "bm25", 10)),
     "rank_bm25_all": (_rank(Q_MID, "bm25", None), O.rank_sql(Q_MID, "bm25", None)),
     "rank_naive_top10": (_rank(Q_REPEAT, "naive", 10), O.rank_sql(Q_REPEAT, "naive", 10)),
@@ -480,6 +615,8 @@ ENTRIES: dict[str, tuple[Query, str | None]] = {
         "SELECT d, n_postings, n_tokens, round(avgdl, 6) AS avgdl, "
         "round(avg_tokens, 6) AS avg_tokens FROM stats")),
     "streaming_index_add": (q_streaming_index_add, _with(C) + "SELECT title, term, tf FROM postings"),
+    "streaming_index_lexicon": (q_streaming_index_lexicon, _with(C) + "SELECT term, df, cf FROM lexicon"),
+    "streaming_index_stats": (q_streaming_index_stats, _with(C) + STATS_SQL),
 }
 
 

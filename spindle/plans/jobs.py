@@ -6,9 +6,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from spindle.operators.index import Index, build_index, merge_postings, term_frequency
-from spindle.operators.joins import broadcast_if_small, broadcast_row_limit
+from spindle.operators.joins import materialize
 from spindle.operators.rank import DEFAULT_TOP_K, check_method, rank
-from spindle.sources.store import load_index, save_index, save_merged
+from spindle.session import drop_scratch
+from spindle.sources.store import append_merged, load_index, save_index, scratch_of
 
 
 def build_job(docs: DataFrame, out_root: str, n_buckets: int | None = None,
@@ -18,27 +19,32 @@ def build_job(docs: DataFrame, out_root: str, n_buckets: int | None = None,
 
 
 def add_job(spark: SparkSession, new_docs: DataFrame, old_root: str, out_root: str,
-            forward: bool = True, n_files: int | None = None) -> Index:
+            forward: bool = True, n_files: int | None = None, layout: str = "append") -> Index:
     """Add documents to a stored index and write the merged index to a new path.
 
     A title that is already indexed keeps its old terms, and every term it
-    has in the new documents takes the new count ("new wins"). The new
-    postings are materialised and counted first. Under the broadcast row
-    limit the old files are rewritten one to one without a shuffle
-    (:func:`save_merged`); above it the merged index is fully re-sorted.
+    has in the new documents takes the new count ("new wins"). ``layout`` says
+    how the result is stored: ``append`` carries the old files over without a
+    shuffle and appends the new part, which must fit a broadcast; ``resort``
+    writes all of it in one global order, whatever the sizes. The contents are
+    the same.
     """
     old = load_index(spark, old_root)
-    return merge_into(old, term_frequency(new_docs), out_root, forward, n_files)
+    return merge_into(old, term_frequency(new_docs), out_root, forward, n_files, layout)
 
 
 def merge_into(old: Index, new_postings: DataFrame, out_root: str, forward: bool = True,
-               n_files: int | None = None) -> Index:
+               n_files: int | None = None, layout: str = "append") -> Index:
     """Store ``merge(old, new_postings)`` at ``out_root`` (old is stored)."""
-    new, rows = broadcast_if_small(new_postings)
-    if rows <= broadcast_row_limit(new):
-        return save_merged(old, new, out_root, forward)
-    merged = merge_postings(old.flat(), new)
-    return save_index(Index(merged), out_root, old.n_buckets, forward, n_files)
+    if layout not in ("append", "resort"):
+        raise ValueError(f"layout must be append or resort, got {layout!r}")
+    new = materialize(new_postings, "new-postings")
+    if layout == "append":
+        made = append_merged(old, new, out_root, forward, n_files)
+    else:
+        made = save_index(Index(merge_postings(old.flat(), new), materialized=True), out_root, old.n_buckets, forward, n_files)
+    drop_scratch(new.sparkSession, *scratch_of(new))
+    return made
 
 
 def rank_job(spark: SparkSession, root: str, method: str, query: str,

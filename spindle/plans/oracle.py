@@ -9,11 +9,12 @@ formulas. Doubles are rounded to 6 places on both sides.
 
 from __future__ import annotations
 
-from spindle.functions.scoring import BM25_B, BM25_K, IDF_HALF, IDF_NOISE
-from spindle.functions.text import PUNCTUATION
-
-K = repr(BM25_K)
-B = repr(BM25_B)
+# Written out here, not taken from the engine, so that a wrong constant there
+# cannot agree with itself.
+K = "2.0"
+B = "0.75"
+IDF_HALF = 0.5
+IDF_NOISE = 1e-10
 
 
 def _sql_str(s: str) -> str:
@@ -21,14 +22,13 @@ def _sql_str(s: str) -> str:
 
 
 TRIM_SET = " || ".join(f"chr({c})" for c in range(0x00, 0x21))
-PUNCT_SQL = _sql_str(PUNCTUATION)
-SPACES_SQL = _sql_str(" " * len(PUNCTUATION))
+#: Possessive, or ASCII punctuation other than the hyphen.
+JUNK_SQL = r"""'''s|[!-,./:-@\[-`{-~]'"""
 SPLIT_SQL = r"'[ \t\n\x0B\f\r]'"
 
 
 def sanitize_sql(x: str) -> str:
-    return (f"lower(trim(translate(replace({x}, '''s', ' '), {PUNCT_SQL}, {SPACES_SQL}), "
-            f"{TRIM_SET}))")
+    return f"lower(trim(regexp_replace({x}, {JUNK_SQL}, ' ', 'g'), {TRIM_SET}))"
 
 
 def keep_sql(x: str) -> str:
@@ -109,14 +109,14 @@ def rank_sql(query: str, method: str, k: int | None, matched_only: bool = False,
         contrib = bm25_sql("w.idf", "p.tf", "w.param")
     extra = ""
     if length_norm == "document" and method == "bm25":
-        extra = " JOIN docs dd ON dd.title = p.title CROSS JOIN stats s"
+        extra = " JOIN docs dd ON dd.title IS NOT DISTINCT FROM p.title CROSS JOIN stats s"
     matched = (f"matched AS (SELECT p.title, sum({contrib}) AS score FROM postings p "
                f"JOIN weights w ON p.term = w.term{extra} GROUP BY p.title)")
     if matched_only:
         scored = "scored AS (SELECT title, round(score, 6) AS score FROM matched)"
     else:
         scored = ("scored AS (SELECT d.title, round(coalesce(m.score, 0e0), 6) AS score "
-                  "FROM docs d LEFT JOIN matched m ON d.title = m.title)")
+                  "FROM docs d LEFT JOIN matched m ON d.title IS NOT DISTINCT FROM m.title)")
     limit = f" LIMIT {k}" if k is not None else ""
     return ("WITH " + ",\n".join([corpus_ctes(source, key, text), query_profile_cte(query),
                                   weights_cte(),

@@ -9,6 +9,7 @@ names in ``spark.checkpoint.dir`` for lineage cuts and scratch tables.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -39,10 +40,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, setting a local one only when
-    the cluster has not named one (tests, local runs)."""
+    """Return the session's checkpoint folder. A temporary one is set only for
+    a master in one process (``local``, ``local[N]``: tests, local runs); on a
+    cluster a folder of one machine would lose data, so there the setting must
+    name a folder that all machines share."""
     path = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(f"{CHECKPOINT_CONF} is not set: on {master} it must name a shared folder")
         path = tempfile.mkdtemp(prefix="spindle-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, path)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -54,3 +60,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark)
     return os.path.join(root.rstrip("/"), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def drop_scratch(spark: SparkSession, *paths: str) -> None:
+    """Delete scratch tables of a finished job (paths of :func:`scratch_path`)."""
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

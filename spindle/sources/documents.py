@@ -11,18 +11,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindle.operators.index import spread_input
-
 DOCUMENT_SCHEMA = "title string, text string"
 
 
+def spread_input(scan: DataFrame) -> DataFrame:
+    """Round-robin a scan that has fewer splits than the cluster has cores.
+
+    For readers only: ``scan`` must be a plain scan, whose splits are known
+    without running anything. A large input already arrives in many splits and
+    is left alone (a repartition would shuffle raw text for nothing); a single
+    unsplittable file (one Parquet row group, one gzip JSON) would otherwise
+    tokenize in a single task.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def read_documents_json(spark: SparkSession, path: str) -> DataFrame:
     """JSON-lines documents from one file or a directory."""
-    return spark.read.schema(DOCUMENT_SCHEMA).json(path)
+    return spread_input(spark.read.schema(DOCUMENT_SCHEMA).json(path))
 
 
 def read_documents_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).select("title", "text")
+    return spread_input(spark.read.parquet(path).select("title", "text"))
 
 
 def table_documents(df: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -41,10 +52,9 @@ def corpus(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFra
     keys = {"documents": ("doc_id", "text"), "conversations": ("conv_id", "text"),
             "pages": ("page_id", "html"), "benchmark": ("item_id", "text")}
     key, text = keys[name]
-    return table_documents(load_table(spark, sf_dir, name), key, text)
+    return spread_input(table_documents(load_table(spark, sf_dir, name), key, text))
 
 
 def write_documents_json(docs: DataFrame, path: str) -> None:
-    """Write ``(title, text)`` rows as JSON lines, one file per partition
-    (spread over the cores only when the input has fewer splits)."""
-    spread_input(docs.select("title", "text")).write.mode("errorifexists").json(path)
+    """Write ``(title, text)`` rows as JSON lines, one file per partition."""
+    docs.select("title", "text").write.mode("errorifexists").json(path)

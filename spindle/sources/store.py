@@ -35,8 +35,8 @@ from pyspark.sql.utils import AnalysisException
 
 from spindle.operators.index import (CorpusScalars, Index, corpus_stats, document_table,
                                      lexicon_table, term_bucket)
-from spindle.operators.joins import materialize
-
+from spindle.operators.joins import fits_broadcast, join_null_safe, materialize
+from spindle.session import drop_scratch
 
 
 def table_path(root: str, name: str) -> str:
@@ -135,9 +135,11 @@ def save_index(index: Index, root: str, n_buckets: int | None = None,
     spark = index.postings.sparkSession
     postings = index.flat()
     n_buckets = n_buckets or index.n_buckets
+    scratch = []
     if not n_buckets or not n_files:
         if index.is_lazy:
             postings = materialize(postings, "postings")
+            scratch = scratch_of(postings)
         rows = postings.count()
         n_buckets = n_buckets or buckets_for(rows)
         n_files = n_files or files_for(spark, rows)
@@ -146,85 +148,96 @@ def save_index(index: Index, root: str, n_buckets: int | None = None,
     if forward:
         jobs.append(lambda: write_forward(stored, root, n_files))
     run_concurrently(*jobs)
+    drop_scratch(spark, *scratch)
     return load_index(spark, root)
 
 
-def save_merged(old: Index, new: DataFrame, root: str, forward: bool = True) -> Index:
-    """Write ``merge(old, new)`` at ``root`` when ``new`` is small enough to
-    broadcast (the caller has checked its size).
+def scratch_of(table: DataFrame) -> list[str]:
+    """The folder of a materialised table, which its job can drop at its end."""
+    return sorted({f.rpartition("/")[0] for f in table.inputFiles()})
+
 
-    The old index is not shuffled: each old file is read, the (title, term)
-    keys that ``new`` overwrites are dropped by a broadcast anti join, and
-    the rest is written back one to one after a local sort (files keep
-    their bucket and their term order). Only the small new part is range-
-    partitioned, then appended. A bucket directory then holds the old files
-    plus a few new ones, each sorted, so row-group pruning still works;
-    :func:`compact_index` restores one global order after many adds.
+def append_merged(old: Index, new: DataFrame, root: str, forward: bool = True,
+                  n_files: int | None = None) -> Index:
+    """Write ``merge(old, new)`` at ``root``, carrying the old files over.
+
+    ``new`` (a written table, unique on (title, term)) must fit a broadcast by
+    its measured size; a ValueError says so if it does not. The old index is
+    not shuffled: each old file is read, the (title, term) keys that ``new``
+    overwrites are dropped by a broadcast anti join, and the rest is written
+    back one to one after a local sort (files keep their bucket and their term
+    order). Only the new part is range-partitioned (into ``n_files``), then
+    appended. A bucket directory then holds the old files plus a few new ones,
+    each sorted, so row-group pruning still works; :func:`compact_index`
+    restores one global order after many adds.
+
+    documents and lexicon change by differences: the overwritten rows, read
+    once (from the bucket directories that ``new`` touches) and no more than
+    ``new`` has, are taken off the old sizes and the new rows added, so the
+    merged postings are not read again. A forward copy that the old index does
+    not have is written in order from the merged postings.
     """
     spark = old.postings.sparkSession
     n_buckets = old.n_buckets
     new = new.select("title", "term", "tf")
-    keys = F.broadcast(new.select("title", "term"))
-
-    def postings_then_derived() -> None:
-        kept = old.postings.join(keys, ["title", "term"], "left_anti")
+    if not fits_broadcast(new):
+        raise ValueError("the new part is too large to carry the old files over: add it with layout='resort'")
+    keyed = new.withColumn("term_bucket", term_bucket(F.col("term"), n_buckets))
+    gone = materialize(join_null_safe(old.postings, F.broadcast(keyed.select("term_bucket", "title", "term")),
+                                      ["term_bucket", "title", "term"], "left_semi").select("title", "term", "tf"), "overwritten")
+    change = gone.select("title", "term", (-F.col("tf")).alias("tf"), F.lit(-1).cast("bigint").alias("n")).unionByName(
+        new.select("title", "term", "tf", F.lit(1).cast("bigint").alias("n")))
+
+    def postings() -> None:
+        kept = join_null_safe(old.postings, F.broadcast(gone.select("title", "term")), ["title", "term"], "left_anti")
         (kept.select("title", "term", "tf", "term_bucket")
          .sortWithinPartitions("term_bucket", "term", "title")
          .write.mode("errorifexists").partitionBy("term_bucket")
          .parquet(table_path(root, "postings")))
-        fresh = new.withColumn("term_bucket", term_bucket(F.col("term"), n_buckets))
-        (fresh.repartitionByRange("term_bucket", "term", "title")
+        (_range(keyed, n_files, "term_bucket", "term", "title")
          .sortWithinPartitions("term_bucket", "term", "title")
          .write.mode("append").partitionBy("term_bucket")
          .parquet(table_path(root, "postings")))
-        write_derived_merged(old, new, spark.read.parquet(table_path(root, "postings")), root)
-
-    def forward_copy() -> None:
-        kept_fwd = old.forward().join(keys, ["title", "term"], "left_anti")
-        (kept_fwd.sortWithinPartitions("title", "term")
-         .write.mode("errorifexists").parquet(table_path(root, "forward")))
-        (new.repartitionByRange("title", "term").sortWithinPartitions("title", "term")
-         .write.mode("append").parquet(table_path(root, "forward")))
-
-    run_concurrently(postings_then_derived, *([forward_copy] if forward else []))
-    return load_index(spark, root)
-
-
-def write_derived_merged(old: Index, new: DataFrame, merged: DataFrame, root: str) -> None:
-    """documents, lexicon and stats of ``merge(old, new)`` with a small ``new``.
-
-    Only the titles and terms that ``new`` touches are re-aggregated (from the
-    merged postings, semi-joined with them); every other row of the old
-    tables is carried over file by file through a broadcast anti join.
-    ``new`` has passed the broadcast size check, so its distinct titles and
-    terms are bounded by it.
-    """
-    spark = merged.sparkSession
-    n_buckets = old.n_buckets
-    flat = merged.select("title", "term", "tf")
-    titles = F.broadcast(new.select("title").distinct())
-    terms = F.broadcast(new.select("term").distinct())
+        if forward and old.forward_df is None:
+            write_forward(spark.read.parquet(table_path(root, "postings")), root, n_files)
 
     def documents_then_stats() -> None:
-        old.documents().join(titles, "title", "left_anti").write.mode("errorifexists").parquet(
-            table_path(root, "documents"))
-        document_table(flat.join(titles, "title", "left_semi")).write.mode("append").parquet(
-            table_path(root, "documents"))
+        delta = change.groupBy("title").agg(F.sum("n").alias("n_terms"), F.sum("tf").cast("bigint").alias("n_tokens"))
+        _apply_change(old.documents(), delta, ["title"], ["n_terms", "n_tokens"]).write.mode(
+            "errorifexists").parquet(table_path(root, "documents"))
         write_stats(spark, root, n_buckets)
 
     def lexicon() -> None:
-        kept_lex = old.lexicon_df.join(terms, "term", "left_anti")
-        (kept_lex.select("term", "df", "cf", "term_bucket")
+        delta = (change.groupBy("term").agg(F.sum("n").alias("df"), F.sum("tf").cast("bigint").alias("cf"))
+                 .withColumn("term_bucket", term_bucket(F.col("term"), n_buckets)))
+        (_apply_change(old.lexicon_df, delta, ["term_bucket", "term"], ["df", "cf"])
          .sortWithinPartitions("term_bucket", "term")
          .write.mode("errorifexists").partitionBy("term_bucket")
          .parquet(table_path(root, "lexicon")))
-        touched = lexicon_table(flat.join(terms, "term", "left_semi")).withColumn(
-            "term_bucket", term_bucket(F.col("term"), n_buckets))
-        (touched.repartitionByRange("term_bucket", "term")
-         .sortWithinPartitions("term_bucket", "term")
-         .write.mode("append").partitionBy("term_bucket").parquet(table_path(root, "lexicon")))
 
-    run_concurrently(documents_then_stats, lexicon)
+    def forward_copy() -> None:
+        kept = join_null_safe(old.forward(), F.broadcast(gone.select("title", "term")), ["title", "term"], "left_anti")
+        (kept.sortWithinPartitions("title", "term")
+         .write.mode("errorifexists").parquet(table_path(root, "forward")))
+        (_range(new, n_files, "title", "term").sortWithinPartitions("title", "term")
+         .write.mode("append").parquet(table_path(root, "forward")))
+
+    run_concurrently(postings, documents_then_stats, lexicon,
+                     *([forward_copy] if forward and old.forward_df is not None else []))
+    return load_index(spark, root)
+
+
+def _apply_change(old: DataFrame, delta: DataFrame, key: list[str], sums: list[str]) -> DataFrame:
+    """``old`` with ``delta`` added to its ``sums``, and the keys that only
+    ``delta`` has. ``delta`` is bounded by a new part that fits a broadcast, so
+    ``old`` is only scanned."""
+    delta = materialize(delta, "change")
+    named = delta.select(*key, *(F.col(c).alias(f"__{c}") for c in sums))
+    moved = join_null_safe(old, F.broadcast(named), key, "left").select(
+        *key, *((F.col(c) + F.coalesce(F.col(f"__{c}"), F.lit(0))).cast("bigint").alias(c) for c in sums))
+    known = join_null_safe(old, F.broadcast(delta.select(*key)), key, "left_semi").select(*key)
+    fresh = join_null_safe(delta, materialize(known, "known"), key, "left_anti").select(*key, *sums)
+    return moved.unionByName(fresh).where(F.col(sums[0]) > 0)
 
 
 def compact_index(spark: SparkSession, root: str, out_root: str,

@@ -7,12 +7,14 @@ one root:
 * ``_pending/``  the postings of each micro-batch, tagged with a sequence
   number (an O(batch) append);
 * ``v<seq>-*/``  index versions;
-* ``_log``       one row per pending batch or version:
-  ``(seq, kind, run, epoch, path, rows)``.
+* ``_log/gen=<version>/``  one row per pending batch or version:
+  ``(seq, kind, run, epoch, path, rows)``. A version starts a generation, and
+  only the newest is read; the version's row keeps the last epoch it holds.
 
 Each micro-batch only appends its postings to ``_pending`` and logs them.
-When the pending rows since the last version reach ``refresh_rows`` (0 means
-every batch), or on :meth:`IndexAppender.flush`, the pending postings are
+When the pending rows since the last version reach ``refresh_rows`` (by
+default REFRESH_ROWS; 0 means every batch, which rewrites the index each time),
+or on :meth:`IndexAppender.flush`, the pending postings are
 resolved with "latest sequence wins per (title, term)". Rows of one title
 inside one batch add up first (one build). The result is merged into the
 last version like a batch add (new wins, old-only terms stay), giving the
@@ -22,9 +24,13 @@ same root, whose epochs restart at 0, keeps adding; a flush that dies
 before its log row leaves an unreferenced folder and is simply redone.
 One stream writes to a root at a time.
 
-Cost per micro-batch is O(batch). A flush reads and writes the index once
-(without a shuffle of the old index when the pending part is small; see
-``save_merged``), so ``refresh_rows`` trades freshness for write volume.
+Pending batches are visible at once: :meth:`IndexAppender.current` merges them
+into the last version when it is read, so ``refresh_rows`` trades the work of a
+read for write volume, not freshness.
+
+Cost per micro-batch is O(batch). A flush reads and writes the index once, in
+the layout given (``append``: the old files are carried over, see
+``append_merged``).
 """
 
 from __future__ import annotations
@@ -36,25 +42,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from spindle.operators.index import Index, spread_input, term_frequency
+from spindle.operators.index import Index, merge_index, term_frequency
 from spindle.plans.jobs import merge_into
 from spindle.session import scratch_path
 from spindle.sources.documents import DOCUMENT_SCHEMA
 from spindle.sources.store import load_index, save_index
 
 LOG = "_log"
+REFRESH_ROWS = 4_000_000
 LOG_SCHEMA = "seq bigint, kind string, run string, epoch bigint, path string, rows bigint"
 
 
 def _log(spark: SparkSession, root: str) -> DataFrame | None:
+    """The log since the last version: its newest generation."""
     try:
-        return spark.read.schema(LOG_SCHEMA).parquet(f"{root}/{LOG}")
+        log = spark.read.schema(f"{LOG_SCHEMA}, gen bigint").parquet(f"{root}/{LOG}")
     except AnalysisException:
         return None
+    newest = log.agg(F.max("gen")).first()[0]
+    return log.where(F.col("gen") == newest).drop("gen")
 
 
-def _append_log(spark: SparkSession, root: str, row: tuple) -> None:
-    spark.createDataFrame([row], LOG_SCHEMA).write.mode("append").parquet(f"{root}/{LOG}")
+def _append_log(spark: SparkSession, root: str, row: tuple, gen: int) -> None:
+    spark.createDataFrame([row], LOG_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/{LOG}/gen={gen}")
 
 
 def latest_version(spark: SparkSession, root: str):
@@ -73,13 +83,15 @@ class IndexAppender:
     """
 
     def __init__(self, root: str, run: str, base: str | None = None,
-                 n_buckets: int | None = None, forward: bool = False, refresh_rows: int = 0):
+                 n_buckets: int | None = None, forward: bool | None = None,
+                 refresh_rows: int = REFRESH_ROWS, layout: str = "append"):
         self.root = root.rstrip("/")
         self.run = run
         self.base = base
         self.n_buckets = n_buckets
         self.forward = forward
         self.refresh_rows = refresh_rows
+        self.layout = layout
 
     def _next_seq(self, log: DataFrame | None) -> int:
         if log is None:
@@ -91,15 +103,15 @@ class IndexAppender:
         spark = batch.sparkSession
         log = _log(spark, self.root)
         if log is not None and log.where(
-                (F.col("kind") == "pending") & (F.col("run") == self.run)
-                & (F.col("epoch") == epoch_id)).limit(1).count():
+                (F.col("run") == self.run) & (F.col("epoch") >= epoch_id)).limit(1).count():
             return  # replayed batch, already logged
         seq = self._next_seq(log)
         path = f"{self.root}/_pending/p{seq:08d}-{uuid.uuid4().hex[:8]}"
         (term_frequency(batch, "title", "text").withColumn("seq", F.lit(seq).cast("bigint"))
          .write.parquet(path))
         rows = spark.read.parquet(path).count()
-        _append_log(spark, self.root, (seq, "pending", self.run, epoch_id, path, rows))
+        last = latest_version(spark, self.root)
+        _append_log(spark, self.root, (seq, "pending", self.run, epoch_id, path, rows), last.seq if last is not None else 0)
         if self._pending_rows(spark) >= self.refresh_rows:
             self.flush(spark)
 
@@ -121,26 +133,38 @@ class IndexAppender:
         pending = self._pending(spark)
         if not pending:
             return
-        tagged = spark.read.parquet(*[r.path for r in pending])
-        resolved = tagged.groupBy("title", "term").agg(F.max_by("tf", "seq").alias("tf"))
+        resolved = self._resolved(spark, pending)
         last = latest_version(spark, self.root)
         old_path = last.path if last is not None else self.base
         seq = self._next_seq(_log(spark, self.root))
         path = f"{self.root}/v{seq:08d}-{uuid.uuid4().hex[:8]}"
         if old_path is None:
-            save_index(Index(resolved), path, self.n_buckets, self.forward)
+            save_index(Index(resolved), path, self.n_buckets, bool(self.forward))
         else:
-            merge_into(load_index(spark, old_path), resolved, path, self.forward)
-        _append_log(spark, self.root, (seq, "version", None, None, path, None))
+            old = load_index(spark, old_path)
+            # The forward copy of the base is kept unless the caller says otherwise.
+            forward = old.forward_df is not None if self.forward is None else self.forward
+            merge_into(old, resolved, path, forward, layout=self.layout)
+        epochs = [r.epoch for r in pending if r.run == self.run]
+        _append_log(spark, self.root, (seq, "version", self.run, max(epochs) if epochs else None, path, None), seq)
+
+    @staticmethod
+    def _resolved(spark: SparkSession, pending: list) -> DataFrame:
+        tagged = spark.read.parquet(*[r.path for r in pending])
+        return tagged.groupBy("title", "term").agg(F.max_by("tf", "seq").alias("tf"))
 
     def current(self, spark: SparkSession) -> Index:
-        """The newest version (pending batches are not visible before a flush)."""
+        """The newest version with every logged batch: those after it are merged
+        in lazily."""
         last = latest_version(spark, self.root)
-        if last is None:
-            if self.base is None:
+        path = last.path if last is not None else self.base
+        pending = self._pending(spark)
+        if not pending:
+            if path is None:
                 raise ValueError(f"no committed index version under {self.root}")
-            return load_index(spark, self.base)
-        return load_index(spark, last.path)
+            return load_index(spark, path)
+        new = Index(self._resolved(spark, pending))
+        return new if path is None else merge_index(load_index(spark, path), new)
 
 
 def stream_documents(spark: SparkSession, source: str, fmt: str = "parquet",
@@ -152,7 +176,7 @@ def stream_documents(spark: SparkSession, source: str, fmt: str = "parquet",
 
 def run_streaming_add(spark: SparkSession, source: str, root: str, checkpoint: str,
                       fmt: str = "parquet", files_per_trigger: int = 1,
-                      base: str | None = None, refresh_rows: int = 0) -> Index:
+                      base: str | None = None, refresh_rows: int = REFRESH_ROWS) -> Index:
     """Drain everything currently in ``source`` into the index at ``root``,
     then flush what is still pending."""
     appender = IndexAppender(root, run=checkpoint, base=base, refresh_rows=refresh_rows)
@@ -167,12 +191,12 @@ def run_streaming_add(spark: SparkSession, source: str, root: str, checkpoint: s
 
 
 def streaming_build(spark: SparkSession, docs: DataFrame, batches: int = 4,
-                    refresh_rows: int = 0) -> Index:
+                    refresh_rows: int = REFRESH_ROWS) -> Index:
     """Write ``docs`` as Parquet files and index them as a stream of about
     ``batches`` micro-batches (files per trigger follows the file count, so
     a large input does not turn into thousands of micro-batches)."""
     source = scratch_path(spark, "stream-src")
-    spread_input(docs.select("title", "text")).write.parquet(source)
+    docs.select("title", "text").write.parquet(source)
     n_files = len(spark.read.parquet(source).inputFiles())
     per_trigger = max(1, math.ceil(n_files / max(1, batches)))
     return run_streaming_add(spark, source, scratch_path(spark, "stream-index"),

@@ -161,7 +161,8 @@ def test_rank_job_on_stored_index(spark, scratch):
     assert idx.n_buckets == 3
 
 
-def test_add_paths_agree_with_lazy_merge(spark, scratch):
+def test_add_layouts_agree_with_lazy_merge(spark, scratch):
+    import pytest
     from spindle.operators.joins import BROADCAST_ROWS_CONF
     docs = corpus(spark, SF_SMALL)
     old_docs = docs.where(F.col("title").cast("int") % 3 != 0)
@@ -170,9 +171,11 @@ def test_add_paths_agree_with_lazy_merge(spark, scratch):
     build_job(old_docs, os.path.join(scratch, "old"), n_buckets=4)
     want = rows(merge_index(build_index(old_docs), build_index(new_docs)).flat())
     fast = add_job(spark, new_docs, os.path.join(scratch, "old"), os.path.join(scratch, "fast"))
+    full = add_job(spark, new_docs, os.path.join(scratch, "old"), os.path.join(scratch, "full"), layout="resort")
     spark.conf.set(BROADCAST_ROWS_CONF, "0")
     try:
-        full = add_job(spark, new_docs, os.path.join(scratch, "old"), os.path.join(scratch, "full"))
+        with pytest.raises(ValueError, match="too large"):
+            add_job(spark, new_docs, os.path.join(scratch, "old"), os.path.join(scratch, "refused"))
     finally:
         spark.conf.unset(BROADCAST_ROWS_CONF)
     for idx in (fast, full):
@@ -216,3 +219,50 @@ def test_concurrent_writes_propagate_failures():
     with pytest.raises(RuntimeError, match="write failed"):
         run_concurrently(ok, boom)
     assert done == [1]
+
+
+NULL_DOCS = [(None, "alpha beta"), ("A", "beta gamma"), ("B", "gamma"), (None, "beta delta")]
+
+
+def test_null_title_is_a_title(spark, scratch):
+    docs = spark.createDataFrame(NULL_DOCS, "title string, text string")
+    old = build_job(docs, os.path.join(scratch, "old"), n_buckets=2)
+    new = spark.createDataFrame([(None, "beta beta omega"), ("C", "beta")], "title string, text string")
+    want = {(None, "alpha", 1), (None, "beta", 2), (None, "delta", 1), (None, "omega", 1), ("A", "beta", 1), ("A", "gamma", 1),
+            ("B", "gamma", 1), ("C", "beta", 1)}
+    lazy = merge_index(old, build_index(new))
+    assert {tuple(r) for r in lazy.flat().collect()} == want
+    for layout in ("append", "resort"):
+        idx = add_job(spark, new, os.path.join(scratch, "old"), os.path.join(scratch, layout), layout=layout)
+        for table in (idx.flat(), idx.forward()):
+            assert {tuple(r) for r in table.collect()} == want and table.count() == len(want)
+        assert {tuple(r) for r in idx.documents().collect()} == {(None, 4, 5), ("A", 2, 2), ("B", 1, 1), ("C", 1, 1)}
+        assert {tuple(r) for r in idx.lexicon().collect()} == {tuple(r) for r in lazy.lexicon().collect()}
+        assert tuple(idx.stats().first()) == tuple(lazy.stats().first())
+        okapi = {r.title: r.score for r in rank(idx, "omega", "bm25", None, length_norm="document").collect()}
+        assert set(okapi) == {None, "A", "B", "C"} and okapi[None] > 0
+
+
+def test_add_without_a_forward_copy_writes_an_ordered_one(spark, scratch):
+    docs = corpus(spark, SF_SMALL)
+    build_job(docs.where("title < '3'"), os.path.join(scratch, "old"), n_buckets=4, forward=False)
+    idx = add_job(spark, docs.where("title >= '3'"), os.path.join(scratch, "old"), os.path.join(scratch, "new"), forward=True)
+    assert rows(idx.forward()) == rows(build_index(docs).flat())
+    assert add_job(spark, docs.limit(1), os.path.join(scratch, "old"), os.path.join(scratch, "no"), forward=False).forward_df is None
+
+
+def test_lookup_does_not_move_the_index(spark, scratch):
+    from spindle.operators.index import forward_lookup, map_lookup
+    idx = build_job(corpus(spark, SF_SMALL), os.path.join(scratch, "idx"), n_buckets=4)
+    pairs = spark.createDataFrame([("1", "the"), ("1", "nowhere"), (None, "the"), ("1", "the")], "title string, term string")
+    found = forward_lookup(idx, pairs)
+    want = {(r.title, r.term): r.tf for r in idx.flat().collect()}
+    expected = sorted(((t, w, want.get((t, w), 0)) for t, w in [("1", "the"), ("1", "nowhere"), (None, "the"), ("1", "the")]), key=str)
+    assert sorted(map(tuple, found.collect()), key=str) == expected
+    assert sorted(map(tuple, map_lookup(idx, pairs, 16).collect()), key=str) == expected
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    scan = next(i for i, x in enumerate(plan.split("\n")) if "/forward" in x or "forward]" in x)
+    above = plan.split("\n")[:scan]
+    depth = len(plan.split("\n")[scan]) - len(plan.split("\n")[scan].lstrip(" :+-*()0123456789"))
+    joins = [x for x in above if "LeftSemi" in x]
+    assert joins and "BroadcastHashJoin" in joins[0] and depth > 0

@@ -2,7 +2,7 @@
 
 import pytest
 
-from spindle.operators.index import build_index
+from spindle.operators.index import build_index, materialize_index
 from spindle.operators.rank import rank
 
 FORWARD = {
@@ -133,10 +133,26 @@ def test_sql_views_give_the_same_bm25(spark, micro):
     assert got == [("B", 0.656121), ("C", 0.252354), ("E", 0.252354)]
 
 
-def test_large_k_takes_the_distributed_path(micro, monkeypatch):
-    import spindle.operators.rank as R
-    idx = build_index(micro)
-    want = [(r.title, r.score) for r in rank(idx, "hello world", "bm25", k=2, decimals=6).collect()]
-    monkeypatch.setattr(R, "SHORTCUT_MAX_K", 1)
-    got = [(r.title, r.score) for r in R.rank(idx, "hello world", "bm25", k=2, decimals=6).collect()]
-    assert got == want
+def test_scores_do_not_depend_on_k(spark, micro):
+    docs = micro.unionByName(spark.createDataFrame([(None, "world cat"), (None, "hello")], "title string, text string"))
+    idx = materialize_index(build_index(docs))
+    for query in ("hello world", "in", "zzz", "hello cat"):
+        want = {r.title: r.score for r in rank(idx, query, "bm25", k=None).collect()}
+        assert None in want
+        for k in (1, 2, 10_000, 10_001):
+            got = rank(idx, query, "bm25", k=k).collect()
+            assert len(got) == min(k, len(want))
+            assert all(want[r.title] == r.score for r in got)
+
+
+def test_building_a_rank_plan_reads_no_data(spark, micro):
+    idx = materialize_index(build_index(micro))
+    tracker, group = spark.sparkContext.statusTracker(), "rank-plan"
+    spark.sparkContext.setJobGroup(group, "")
+    try:
+        rank(idx, "hello world", "bm25", k=3)
+        jobs = tracker.getJobIdsForGroup(group)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # The query's own tokens are the only thing that is computed.
+    assert len(jobs) <= 1

@@ -56,3 +56,32 @@ def test_hot_term_posting_list_is_cut_into_bounded_blocks(spark):
     assert sum(b.n for b in blocks) == top.df
     assert len(blocks) >= top.df // 8
     assert max(b.n for b in blocks) <= 8 * 4
+
+
+def test_blocks_of_a_hot_term_come_from_several_tasks(spark):
+    """A term in every document: its join can be split, and its blocks are
+    dealt out by an exchange of their own."""
+    docs = spark.range(20_000).select(F.col("id").cast("string").alias("title"), F.lit("hot words").alias("text"))
+    old = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        blocks = inverted_blocks(build_index(docs), 64)
+        rows = blocks.select("term", "block", "n", F.spark_partition_id().alias("task")).where("term = 'hot'").collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    assert sum(r.n for r in rows) == 20_000 and len(rows) == 313
+    assert len({r.task for r in rows}) > 1
+
+
+def test_planning_term_frequency_runs_nothing(spark):
+    docs = spark.createDataFrame([("A", "xx yy"), ("A", "xx yy")], "title string, text string").dropDuplicates()
+    group = "plan-only"
+    spark.sparkContext.setJobGroup(group, "")
+    try:
+        term_frequency(docs)
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) == 0
