@@ -28,22 +28,23 @@ gives an empty result, and with no training text every word is unknown.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from dataclasses import dataclass
 from dataclasses import fields as dataclass_fields
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spindle.llm.common import THIN_ROWS, Batches, batch_of, batch_rows, blobs, solid
+from spindle.llm.common import THIN_ROWS, Batches, batch_of, batch_rows, solid
 
 MARK = "▁".encode()         # the vocabulary's sign for the start of a word
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
-FLUSH = 200_000
+GATHER = 8 << 20
 CELLS = 1 << 20
+PLAIN = 24
 BASE = 0x9E3779B97F4A7C15
 LOG2_10 = math.log2(10)
 U = np.uint64
@@ -157,6 +158,38 @@ def backward(logp: np.ndarray, found: np.ndarray, lengths: np.ndarray) -> np.nda
     return beta
 
 
+def by_end(arc: np.ndarray, lengths: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each end: the starts of the arcs into it and their probabilities.
+    Arcs that no word of the group has are left out."""
+    n = arc.shape[1]
+    used = (arc > 0).any(0)
+    out = []
+    for j in range(1, n + 1):
+        fits = np.flatnonzero(lengths <= j)
+        fits = fits[used[j - lengths[fits], fits]]
+        out.append((j - lengths[fits], arc[:, j - lengths[fits], fits]))
+    return out
+
+
+def prefix_sums(ends: list[tuple[np.ndarray, np.ndarray]], words: int) -> np.ndarray:
+    """``forward`` for words of PLAIN bytes at most, whose probabilities are
+    too large to leave the range of doubles: sums instead of logs of sums."""
+    alpha = np.zeros((words, len(ends) + 1))
+    alpha[:, 0] = 1.0
+    for j, (start, p) in enumerate(ends, 1):
+        alpha[:, j] = np.einsum("ij,ij->i", alpha[:, start], p)
+    return alpha
+
+
+def suffix_sums(ends: list[tuple[np.ndarray, np.ndarray]], words: int) -> np.ndarray:
+    beta = np.zeros((words, len(ends) + 1))
+    beta[:, len(ends)] = 1.0
+    for j in range(len(ends), 0, -1):
+        start, p = ends[j - 1]
+        beta[:, start] += beta[:, j, None] * p
+    return beta
+
+
 def groups(finder: Units, words: list[bytes]):
     """Indices of words of equal length, few enough for CELLS cells."""
     by: dict[int, list[int]] = {}
@@ -200,7 +233,9 @@ def word_scores(finder: Units, logp: np.ndarray, words: list[bytes]) -> np.ndarr
             lengths = np.array([x for x in finder.lengths if x <= n])
             found = arcs(finder, [marked[i] for i in members], n)
             for z, p in enumerate(logp):
-                out[members, z] = forward(p, found, lengths)[:, -1]
+                out[members, z] = (
+                    np.log(prefix_sums(by_end(np.exp(p)[found], lengths), len(found))[:, -1]) if n <= PLAIN
+                    else forward(p, found, lengths)[:, -1])
     return out
 
 
@@ -223,13 +258,20 @@ def expected_units(finder: Units, logp: np.ndarray, words: list[bytes], has: np.
             found = every[has[members, z]]
             if not len(found):
                 continue
-            alpha, beta = forward(p, found, lengths), backward(p, found, lengths)
-            for k, size in enumerate(lengths):
-                unit = found[:, :n - size + 1, k]
-                row, start = np.nonzero(unit >= 0)
-                u = unit[row, start]
-                share = np.exp(alpha[row, start] + p[u] + beta[row, start + size] - alpha[row, -1])
-                total[z] += np.bincount(u, share, minlength=total.shape[1])
+            if n <= PLAIN:
+                arc = np.exp(p)[found]
+                ends = by_end(arc, lengths)
+                alpha, beta = prefix_sums(ends, len(arc)), suffix_sums(ends, len(arc))
+                share = arc * (alpha[:, :-1] / alpha[:, -1:])[:, :, None]
+                for k, size in enumerate(lengths):
+                    share[:, :n - size + 1, k] *= beta[:, size:]
+            else:
+                alpha, beta = forward(p, found, lengths), backward(p, found, lengths)
+                share = p[found] + (alpha[:, :-1] - alpha[:, -1:])[:, :, None]
+                for k, size in enumerate(lengths):
+                    share[:, :n - size + 1, k] += beta[:, size:]
+                share = np.exp(share)
+            total[z] += np.bincount(found.ravel() + 1, share.ravel(), minlength=total.shape[1] + 1)[1:]
 
 
 @dataclass
@@ -262,27 +304,42 @@ class Model:
         return np.logaddexp2((np.log10(rest) + spelled) * LOG2_10, known * LOG2_10) / LOG2_10 + np.log10(1 - self.ends())
 
 
+def words_of(texts: pa.Array) -> pa.ListArray:
+    """The lower-cased words of each text (null: none), as bytes."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.string()), "")))
+    flat = split.flatten()
+    held = pc.not_equal(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)
+    kept = np.concatenate(([0], np.cumsum(held)))[split.offsets.to_numpy() - split.offsets[0].as_py()]
+    return pa.ListArray.from_arrays(pa.array(kept.astype(np.int32)), flat.filter(pa.array(held)).cast(pa.binary()))
+
+
+def gathered(batches: Batches, most: int) -> Batches:
+    """Batches put together to about ``most`` bytes: counting pays over many texts."""
+    held, size = [], 0
+    for b in batches:
+        held.append(b)
+        size += b.nbytes
+        if size >= most:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+    if size:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def count_words(docs: DataFrame, text_col: str, train: Column, kind: Column, classes: int) -> DataFrame:
     """``word``, ``every`` (all tokens), ``c0``, ``c1``, ... (training tokens
     by class number ``kind``). The end of a text is the word of no bytes."""
     schema = pa.schema([("word", pa.binary()), ("kind", pa.int32()), ("n", pa.int64())])
 
     def run(batches: Batches) -> Batches:
-        bags: dict[int, Counter] = {}
-
-        def out():
-            for z, bag in bags.items():
-                yield batch_of(schema, (list(bag), np.full(len(bag), z, np.int32), list(bag.values())))
-            bags.clear()
-
-        for b in batches:
-            for text, z in zip(blobs(b, "text"), b.column("kind").to_pylist(), strict=True):
-                bag = bags.setdefault(z, Counter())
-                bag.update((text or b"").lower().split())
-                bag[b""] += 1
-                if len(bag) >= FLUSH:
-                    yield from out()
-        yield from out()
+        for b in gathered(batches, GATHER):
+            kinds = b.column("kind")
+            for z in pc.unique(kinds):
+                texts = b.column("text").filter(pc.equal(kinds, z))
+                counts = words_of(texts).flatten().value_counts()
+                yield batch_of(schema, (pa.concat_arrays([counts.field(0), pa.array([b""], pa.binary())]),
+                                        np.full(len(counts) + 1, z.as_py(), np.int32),
+                                        pa.concat_arrays([counts.field(1), pa.array([len(texts)], pa.int64())])))
 
     own = lambda z: F.sum(F.when(F.col("kind") == z, F.col("n")).otherwise(0)).alias(f"c{z}")
     return (docs.select(F.col(text_col).cast("string").alias("text"), F.when(train, kind).otherwise(-1).cast("int").alias("kind"))
@@ -379,42 +436,40 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_
         least = 2 ** tier
     at_head = F.lit(False) if least is None else F.col("every") >= least
     top = scored.where(at_head).select("word", *values).toArrow()
-    head = shared(({w: i for i, w in enumerate(top["word"].to_pylist())},
-                   np.column_stack([top[c].to_numpy() for c in values]).astype(float)))
+    head = shared((top["word"].to_pylist(), np.column_stack([top[c].to_numpy() for c in values]).astype(float)))
+    end_row = scored.where("word = X''").select(*values).first()
+    end_values = np.array(end_row if end_row else [0.0] * len(values), float)
 
     def texts(batches: Batches) -> Batches:
-        number, known = head.value
+        words, known = head.value
+        head_words = pa.array(words, pa.binary())
         row = TaskContext.get().partitionId() << 40
-        for b in batches:
-            ids, tokens, sums, rest = [], [], np.zeros((b.num_rows, len(values))), []
-            for r, text in enumerate(blobs(b, "text")):
-                bag = Counter((text or b"").lower().split())
-                bag[b""] += 1
-                at, tf, other = [], [], []
-                for w, n in bag.items():
-                    i = number.get(w)
-                    if i is None:
-                        other.append({"word": w, "tf": n})
-                    else:
-                        at.append(i)
-                        tf.append(n)
-                if at:
-                    sums[r] = np.array(tf, float) @ known[at]
-                row += 1
-                ids.append(row)
-                tokens.append(bag.total())
-                rest.append(other)
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("held_out"), pa.array(ids, pa.int64()), pa.array(tokens, pa.int64()),
-                 *(pa.array(x) for x in sums.T.copy()), pa.array(rest, pa.list_(pa.struct([("word", pa.binary()), ("tf", pa.int64())])))],
+        for b in gathered(batches, GATHER):
+            lists = words_of(b.column("text"))
+            flat, starts = lists.flatten(), lists.offsets.to_numpy()
+            at = pc.index_in(flat, value_set=head_words).fill_null(-1).to_numpy() if len(words) else np.full(len(flat), -1)
+            sums = np.tile(end_values, (b.num_rows, 1))
+            some = np.flatnonzero(np.diff(starts))
+            if len(some):
+                of_head = known[at] if len(words) else np.zeros((len(at), len(values)))
+                of_head[at < 0] = 0.0
+                sums[some] += np.add.reduceat(of_head, starts[some], axis=0)
+            other = np.concatenate(([0], np.cumsum(at < 0)))[starts]
+            ids = np.arange(row + 1, row + 1 + b.num_rows)
+            row += b.num_rows
+            made = pa.RecordBatch.from_arrays(
+                [b.column("doc_id"), b.column("held_out"), pa.array(ids), pa.array((np.diff(starts) + 1).astype(np.int64)),
+                 *(pa.array(x) for x in sums.T.copy()), pa.ListArray.from_arrays(pa.array(other.astype(np.int32)), flat.filter(pa.array(at < 0)))],
                 names=["doc_id", "held_out", "row", "n_tokens", *values, "rest"])
+            for i in range(0, made.num_rows, THIN_ROWS):
+                yield made.slice(i, THIN_ROWS)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out.alias("held_out"), F.col(text_col).cast("string").alias("text"))
     rows = solid(rows.mapInArrow(texts, "doc_id long, held_out boolean, row long, n_tokens long, "
-                                 + "".join(f"{c} double, " for c in values) + "rest array<struct<word:binary,tf:long>>"), "lattice-rows")
-    rest = (rows.select("row", F.explode("rest").alias("r")).select("row", "r.word", "r.tf")
+                                 + "".join(f"{c} double, " for c in values) + "rest array<binary>"), "lattice-rows")
+    rest = (rows.select("row", F.explode("rest").alias("word"))
             .join(scored.where(~at_head).select("word", *values), "word")
-            .groupBy("row").agg(*(F.sum(F.col("tf") * F.col(c)).alias(f"{c}_rest") for c in values)))
+            .groupBy("row").agg(*(F.sum(c).alias(f"{c}_rest") for c in values)))
     plus = {c: F.col(c) + F.coalesce(F.col(f"{c}_rest"), F.lit(0)) for c in values}
     prior = np.log10((model.texts + 1) / (model.texts.sum() + classes))
     joint = rows.join(rest, "row", "left").select("doc_id", "held_out", "n_tokens", *(x.alias(c) for c, x in plus.items()))
