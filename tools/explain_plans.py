@@ -39,7 +39,7 @@ def main() -> None:
     docs = corpus(spark, sf)
     lazy = build_index(docs)
     stored = save_index(lazy, scratch_path(spark, "plans-index"), n_buckets=8)
-    new_post, _ = broadcast_if_small(build_index(corpus(spark, sf, "benchmark")).flat())
+    new_post = broadcast_if_small(build_index(corpus(spark, sf, "benchmark")).flat())
     sections = [
         ("Build: tokenize + term frequency",
          "One scan of (doc_id, text), round-robin spread only because the test file is one "
@@ -49,9 +49,9 @@ def main() -> None:
          "PartitionFilters on term_bucket and PushedFilters In(term) on postings and lexicon; "
          "only bounded broadcasts (the query weights; D and avgdl are literals from the one-row stats); partial + final sum by title.",
          matched_scores(stored, Q_MID, "bm25")),
-        ("Rank, every document kept (fallback path of the top-k)",
-         "Documents scanned (title only) and probed against the size-checked broadcast of the "
-         "matched scores; TakeOrderedAndProject for the top 10.",
+        ("Rank, every document kept",
+         "Documents (title only) left-joined null-safely with the matched scores; "
+         "TakeOrderedAndProject for the top 10. The same plan for every k.",
          top_k(all_document_scores(stored, matched_scores(stored, Q_MID, "bm25")), 10)),
         ("Batch ranking over the benchmark table",
          "Bucket directories pruned to the queries' terms, size-checked broadcast of the query "
