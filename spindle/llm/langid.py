@@ -65,8 +65,11 @@ class Centroids:
     limits: dict[str, float] = field(default_factory=dict)
 
     def vectors(self, counts: np.ndarray) -> np.ndarray:
-        v = np.log1p(counts) * self.idf
-        return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+        """Unit vectors, made in the place of ``counts``."""
+        np.log1p(counts, out=counts)
+        counts *= self.idf
+        counts /= np.maximum(np.sqrt(np.einsum("ij,ij->i", counts, counts)), 1e-12)[:, None]
+        return counts
 
 
 def kmeans(x: np.ndarray, k: int, rounds: int = 15) -> np.ndarray:
@@ -83,7 +86,7 @@ def kmeans(x: np.ndarray, k: int, rounds: int = 15) -> np.ndarray:
 
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        dims: int = 8192, clusters: int = 3, per_lang: int = 400, max_sample: int = 4000,
+        dims: int = 4096, clusters: int = 3, per_lang: int = 400, max_sample: int = 4000,
         reject_share: float = 0.2) -> Centroids:
     """Fit on a bounded sample of ``labelled`` rows."""
     known = labelled.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).cast("string").alias("text"),
@@ -110,11 +113,13 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     rows = sample.mapInArrow(run, "lang string, pick long, at array<int>, n array<float>").toArrow()
     rows = rows.sort_by([("lang", "ascending"), ("pick", "ascending")])
     counts = np.zeros((rows.num_rows, dims), np.float32)
-    for i, (at, n) in enumerate(zip(rows["at"], rows["n"], strict=True)):
-        counts[i, at.values.to_numpy()] = n.values.to_numpy()
+    for i in range(rows.num_rows):
+        counts[i, rows["at"][i].values.to_numpy()] = rows["n"][i].values.to_numpy()
     model = Centroids([], np.zeros((dims, 0), np.float32),
-                      (np.log((1 + rows.num_rows) / (1 + (counts > 0).sum(0))) + 1).astype(np.float32))
-    x, langs = model.vectors(counts), np.array(rows["lang"].to_pylist(), dtype=object)
+                      (np.log((1 + rows.num_rows) / (1 + np.count_nonzero(counts, axis=0))) + 1).astype(np.float32))
+    langs = np.array(rows["lang"].to_pylist(), dtype=object)
+    del rows
+    x = model.vectors(counts)
     parts = []
     for lang in sorted(set(langs)):
         own = x[langs == lang]

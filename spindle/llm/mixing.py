@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from spindle.llm.common import THIN_ROWS, Batches, batch_of, batch_rows, solid
 
 WORDS = "__words"
+TRAIN_PARTS = 8            # partitions of the bounded training sample, read once in every round of the fit
 
 
 def words(text: Column) -> Column:
@@ -63,7 +64,7 @@ def fit_domains(docs: DataFrame, labels: DataFrame, domain: Column, names: list[
               .orderBy(F.xxhash64("__id"), "__id").limit(max_labelled))
     # At most max_labelled pairs of numbers: a proven bound for the broadcast.
     train = solid(docs.select(F.col(id_col).cast("long").alias("__id"), words(F.col(text_col)).alias(WORDS))
-                  .join(F.broadcast(chosen), "__id").select("__id", WORDS, "__label"), "mixing-train")
+                  .join(F.broadcast(chosen), "__id").select("__id", WORDS, "__label").repartition(TRAIN_PARTS), "mixing-train")
     seen = sorted(r[0] for r in train.select("__label").distinct().collect())
     if len(seen) < 2:
         return Domains(names if not seen else [names[int(seen[0])]], None)
