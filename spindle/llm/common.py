@@ -11,22 +11,11 @@ from pyspark.sql import functions as F
 
 from spindle.operators.joins import materialize
 
-#: Words are runs of anything but these; ``bytes.split()`` splits at just them.
-WORD_BREAKS = " \t\n\x0b\x0c\r"
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                *more: Column) -> DataFrame:
-    """Only ``doc_id`` and ``text`` (and ``more``), so that further columns of
-    the input can have any name."""
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                       F.col(text_col).cast("string").alias("text"), *more)
-
-
 #: Rows of an Arrow batch: few where they carry texts of any length, many where
 #: they are a few numbers. (Spark bounds a batch by rows, not by bytes.)
 BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
