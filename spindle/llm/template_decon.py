@@ -9,10 +9,11 @@ has at least 0.8 of the item's distinct windows, and if the slots agree: an
 item's slot value must stand for one value of the document throughout (0.8 of
 the matched slots at least), as in a question asked again with other numbers.
 
-DataFrame expressions only. Documents are not shuffled: windows are made and
-joined in the task that reads the text, the benchmark's windows are broadcast
-if their measured size allows it (else the join shuffles), and only matching
-windows go on, counted by combinable aggregates.
+DataFrame expressions only. Windows are made and joined in the task that reads
+the text, the benchmark's windows are broadcast if their measured size allows it
+(else the join shuffles), and only matching windows go on, counted by combinable
+aggregates. Slots are looked at in a second reading of those documents that
+have enough windows of an item with slots.
 
 Nulls and edges: null or empty texts and documents of fewer than five tokens
 contain nothing; items of fewer than five tokens, or without a window of at
@@ -48,40 +49,45 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.regexp_replace(text, NAME, "$1 " + MARK + "$2")), F.lit(TOKEN), F.lit(0))
 
 
+def any_of(words: list[str]) -> str:
+    """A pattern for the words, branching at their first letters."""
+    heads = sorted({w[0] for w in words})
+    return "(?:" + "|".join(f"{h}(?:{'|'.join(sorted((w[1:] for w in words if w[0] == h), key=len, reverse=True))})" for h in heads) + ")"
+
+
 def template(tok: Column) -> Column:
-    """The template of an array of tokens."""
-    def number(x: Column) -> Column:
-        return F.ascii(x).between(48, 57) | x.isin(NUMBER_WORDS)
-
-    def one(x: Column, i: Column) -> Column:
-        return (F.when(number(x), F.lit("<num>"))
-                .when(x.startswith(MARK), F.lit("<name>"))
-                .when(x.isin(list(SIGNS)), F.lit("<unit>"))
-                .when((i > 0) & number(F.coalesce(F.get(tok, i - 1), F.lit(""))) & x.isin(UNITS), F.lit("<unit>"))
-                .otherwise(x))
-    return F.transform(tok, one)
-
-
-def windows(texts: DataFrame, width: int = 5) -> DataFrame:
-    """``h``, ``slots`` (values in order, joined by GAP) and ``words`` (tokens
-    that are no placeholders) of every window; other columns are kept."""
+    """The template of an array of tokens: patterns over the tokens joined by
+    spaces, which cost far less than an expression for each token."""
+    line = F.concat(F.lit(" "), F.array_join(tok, " "), F.lit(" "))
+    for pattern, mark in (("[0-9][^ ]*", "<num>"), (f" {any_of(NUMBER_WORDS)}(?= )", " <num>"), (f"{MARK}[^ ]*", "<name>"),
+                          (f"[{SIGNS}]", "<unit>"), (f"<num> {any_of(UNITS)}(?= )", "<num> <unit>")):
+        line = F.regexp_replace(line, pattern, mark)
+    return F.split(F.btrim(line, F.lit(" ")), " ")
+
+
+def windows(texts: DataFrame, width: int = 5, detail: bool = True) -> DataFrame:
+    """``h`` of every window; in ``detail`` also its ``slots`` (values in order,
+    joined by GAP) and ``words`` (tokens that are no placeholders). Columns
+    other than ``text`` are kept."""
     kept = [c for c in texts.columns if c != "text"]
     # No filter on a computed array, here or below: it would be moved beneath
     # the projections and tokenize the text once more for each token.
-    step = (texts.select(*kept, tokens(F.col("text")).alias("t"))
-            .select(*kept, "t", template(F.col("t")).alias("c"))
-            .select(*kept, "c", F.zip_with("c", "t", lambda c, t: F.when(c != t, F.ltrim(t, F.lit(MARK)))).alias("v")))
-    c, v = F.col("c"), F.col("v")
+    step = texts.select(*kept, tokens(F.col("text")).alias("t")).select(*kept, "t", template(F.col("t")).alias("c"))
+    if detail:
+        step = step.select(*kept, "c", F.zip_with("c", "t", lambda c, t: F.when(c != t, F.ltrim(t, F.lit(MARK)))).alias("v"))
 
     def window(i: Column) -> Column:
-        span = range(width)
-        return F.struct(F.xxhash64(*(F.get(c, i + j) for j in span)).alias("h"),
-                        F.concat_ws(GAP, *(F.get(v, i + j) for j in span)).alias("slots"),
-                        sum((F.get(v, i + j).isNull().cast("int") for j in span), F.lit(0)).alias("words"))
+        # Single elements: a slice would copy the whole array for each window.
+        made = F.xxhash64(*(F.get("c", i + j if j else i) for j in range(width)))
+        if not detail:
+            return made
+        values = [F.get("v", i + j) for j in range(width)]
+        return F.struct(made.alias("h"), F.concat_ws(GAP, *values).alias("slots"),
+                        sum((x.isNull().cast("int") for x in values), F.lit(0)).alias("words"))
     made = step.select(*kept, F.when(F.size("c") >= width, F.transform(
         F.sequence(F.lit(0), F.greatest(F.size("c") - width, F.lit(0))), window)).alias("w"))
-    return (made.select(*kept, F.explode_outer("w").alias("w"))
-            .select(*kept, "w.h", "w.slots", "w.words").where("h IS NOT NULL"))
+    found = made.select(*kept, F.explode_outer("w").alias("h" if not detail else "w"))
+    return (found.select(*kept, "w.*") if detail else found).where("h IS NOT NULL")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -97,17 +103,27 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     sizes = items.groupBy("item_id").agg(F.count("*").alias("n_windows"))
     items = items.alias("i").join(sizes.alias("s"), F.col("i.item_id").eqNullSafe(F.col("s.item_id")))
     items = solid(items.select("i.item_id", F.col("i.h").alias("item_h"), "item_slots", "n_windows"), "decon-items")
-    measured = items.agg(F.sum(F.length("item_slots") + 64)).first()[0] or 0
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                         F.xxhash64(F.col(text_col).cast("string")).alias("th"), F.col(text_col).cast("string").alias("text"))
-    made = windows(texts, width).select("doc_id", "th", "h", "slots")
-    met = made.join(F.broadcast(items) if measured <= MAX_BROADCAST else items, F.col("h") == F.col("item_h"))
     key = ["doc_id", "th", "item_id"]
-    met = solid(met.groupBy(*key, "h", "slots", "item_slots", "n_windows").agg(F.count("*").alias("n")), "decon-met")
-    found = (met.groupBy(*key, "n_windows").agg(F.count_distinct("h").alias("n_matched"))
-             .where(F.col("n_matched") >= F.lit(share) * F.col("n_windows")))
+
+    def meet(made: DataFrame, *more: str) -> DataFrame:
+        """Windows of documents that some item has, with their number."""
+        listed = items if more else items.drop("item_slots")
+        met = made.join(small(listed), F.col("h") == F.col("item_h"))
+        return met.groupBy(*key, "h", "n_windows", *more).agg(F.count("*").alias("n"))
+
+    found = solid(meet(windows(texts, width, detail=False)).groupBy(*key, "n_windows").agg(F.count("*").alias("n_matched"))
+                  .where(F.col("n_matched") >= F.lit(share) * F.col("n_windows")), "decon-found")
+    # Only where an item has slots, the documents that may contain it are opened
+    # again to hold their slots against the item's.
+    slotted = items.where("item_slots <> ''").select(F.col("item_id").alias("slotted")).distinct()
+    doubtful = solid(found.join(small(slotted), F.col("item_id").eqNullSafe(F.col("slotted")), "left_semi").select(*key), "decon-doubtful")
+    again = doubtful.select(F.col("doc_id").alias("a"), F.col("th").alias("b")).distinct()
+    opened = texts.join(small(again), null_safe([(F.col("doc_id"), F.col("a"))]) & (F.col("th") == F.col("b")), "left_semi")
+    met = meet(windows(opened, width), "slots", "item_slots").where("item_slots <> ''")
     pair = F.explode(F.arrays_zip(F.split("item_slots", GAP).alias("a"), F.split("slots", GAP).alias("b")))
-    votes = (met.where("item_slots <> ''").select(*key, "n", pair.alias("p"))
+    votes = (met.select(*key, "n", pair.alias("p"))
              .groupBy(*key, F.col("p.a").alias("a"), F.col("p.b").alias("b")).agg(F.sum("n").alias("n"))
              .groupBy(*key, "a").agg(F.max("n").alias("best"), F.sum("n").alias("n"))
              .groupBy(*key).agg(F.count("*").alias("n_slots"), (F.sum("best") / F.sum("n")).alias("agreement")))
@@ -118,6 +134,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
             .where(F.col("agreement").isNull() | (F.col("agreement") >= agree)))
 
 
+def small(table: DataFrame) -> DataFrame:
+    """With a broadcast hint if its measured size allows it."""
+    size = F.lit(16 * len(table.columns))
+    for f in table.schema.fields:
+        if f.dataType.typeName() == "string":
+            size = size + F.coalesce(F.octet_length(F.col(f.name)), F.lit(0))
+    return F.broadcast(table) if (table.agg(F.sum(size)).first()[0] or 0) <= MAX_BROADCAST else table
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits) -> DataFrame:
     """The rows of ``docs`` that contain no item of ``benchmark``."""
     found = (contaminated(docs, benchmark, id_col, text_col, **limits)
