@@ -18,8 +18,8 @@ cut.
 Two windows count as equal if node (64 bits) and path or window digest (64
 independent bits) agree.
 
-Skew: a path that many documents share is reduced by combinable minima; the
-joins on (node, path) and (node, window) can be split by Spark. What meets per
+Skew: a path that many documents share is reduced by combinable minima, and
+salted in the joins on (node, path). What meets per
 document is bounded by its own length.
 
 Nulls and edges: null, empty and short texts (under ``width`` words) keep all
@@ -204,22 +204,32 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     small_batches(docs.sparkSession)
     rows = keyed(docs, id_col, text_col)
     seen = solid(edges(rows, width, k), "debruijn-edges")
-    paths = seen.groupBy("node", "path").agg(F.min("did").alias("first"), F.max("did").alias("last"))
-    branching = (paths.groupBy("node").agg(F.count("*").alias("n"), F.min("first").alias("lo"), F.max("first").alias("hi"))
-                 .where("n > 1 AND lo < hi").select("node", F.lit(True).alias("branches")))
+    paths = seen.groupBy("node", "path").agg(F.min("did").alias("first"), F.max("did").alias("last"), F.count("*").alias("n"))
+    branching = (paths.groupBy("node").agg(F.count("*").alias("paths"), F.min("first").alias("lo"), F.max("first").alias("hi"))
+                 .where("paths > 1 AND lo < hi").select("node", F.lit(True).alias("branches")))
     shared = solid(paths.join(branching, "node", "left").where("branches OR first < last")
-                   .select("node", "path", "first", F.col("branches").isNotNull().alias("branches")), "debruijn-shared")
+                   .select("node", "path", "first", "n", F.col("branches").isNotNull().alias("branches")), "debruijn-shared")
+    # Paths with more than a partition's share of the occurrences are fewer than
+    # there are partitions: a bounded list. Each is dealt out by a salt.
+    share = max(1000, seen.count() // int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    hot = {r["path"]: r["n"] for r in shared.where(F.col("n") > share).select("path", "n").collect()}
+    is_hot = F.col("path").isin(list(hot)) if hot else F.lit(False)
+    ways = -(-max(hot.values(), default=1) // share)
+    seen = seen.withColumn("salt", F.when(is_hot, F.pmod(F.xxhash64("did", "place"), F.lit(ways))).otherwise(0).cast("int"))
+    every = F.when(is_hot, F.sequence(F.lit(0), F.lit(ways - 1))).otherwise(F.array(F.lit(0)))
+    salted = lambda table: table.withColumn("salt", F.explode(every))
+    key = ["node", "path", "salt"]
     # Where a node branches: open one occurrence of each of its paths.
     # (``did <= first`` says ``did = first``, but leaves the join the keys of the
     # one below, so that both read one shuffle of the occurrences.)
-    sources = (unpacked(seen.join(shared.where("branches"), ["node", "path"]).where("did <= first"), width, "node", "path")
+    sources = (unpacked(seen.join(salted(shared.where("branches")), key).where("did <= first"), width, "node", "path")
                .groupBy("did", "th").agg(F.collect_list(F.struct("node", "path", "start", "len")).alias("spans")))
     windows = open_windows(rows.join(sources, ["did", "th"]), width)
     least = windows.groupBy("node", "seen").agg(F.min("did").alias("least"))
     again = (windows.join(least, ["node", "seen"]).where("least < did")
              .groupBy("node", "path").agg(F.bit_or(F.expr("shiftleft(1L, off)")).alias("flags")))
     judged = shared.join(again, ["node", "path"], "left").select("node", "path", "first", "flags")
-    hits = unpacked(seen.join(judged, ["node", "path"]).where("did > first OR flags IS NOT NULL"), width, "first", "flags")
+    hits = unpacked(seen.join(salted(judged), key).where("did > first OR flags IS NOT NULL"), width, "first", "flags")
     hits = (hits.select("did", "th", F.struct("start", "len", F.when(F.col("did") > F.col("first"), F.lit(-1).cast("long"))
                                               .otherwise(F.col("flags")).alias("flags")).alias("hit"))
             .groupBy("did", "th").agg(F.collect_list("hit").alias("hits")))

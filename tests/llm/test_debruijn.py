@@ -84,3 +84,11 @@ def test_a_text_of_many_chunks(spark):
     got = {r.doc_id: r.n_removed for r in D.remove_repeats(df).collect()}
     assert got == {1: 0, 2: 150_000, 3: 150_000}
     assert df.where(F.length("text") > 0).count() == 3
+
+
+def test_a_hot_path_is_dealt_out(spark):
+    """4,000 near copies of one text: more occurrences of each path than a partition's share."""
+    text = " ".join(f"w{i}" for i in range(70))
+    rows = [(i, f"{text} tail{i % 3}") for i in range(4_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert run(df) == plain(rows, 50)
