@@ -6,8 +6,11 @@ typed placeholders ``<num>``, ``<name>``, ``<unit>``; what a placeholder stands
 for is its slot value. Every window of five template tokens of every document
 is hash-joined to the benchmark's windows. A document contains an item if it
 has at least 0.8 of the item's distinct windows, and if the slots agree: an
-item's slot value must stand for one value of the document throughout (0.8 of
-the matched slots at least), as in a question asked again with other numbers.
+item's slot value must stand for one value (0.8 of the matched slots at least),
+as in a question asked again with other numbers. This holds throughout the
+document, or in any one occurrence of the item: matched windows that have one
+offset (position in the document less position in the item), or offsets within
+a quarter of the item, and at least 0.8 of the item's windows.
 
 DataFrame expressions only. Windows are made and joined in the task that reads
 the text, the benchmark's windows are broadcast if their measured size allows it
@@ -24,7 +27,7 @@ reported together; an empty table on either side gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spindle.llm.common import null_safe, solid
@@ -66,9 +69,9 @@ def template(tok: Column) -> Column:
 
 
 def windows(texts: DataFrame, width: int = 5, detail: bool = True) -> DataFrame:
-    """``h`` of every window; in ``detail`` also its ``slots`` (values in order,
-    joined by GAP) and ``words`` (tokens that are no placeholders). Columns
-    other than ``text`` are kept."""
+    """``h`` of every window; in ``detail`` also its ``pos``, its ``slots``
+    (values in order, joined by GAP) and ``words`` (tokens that are no
+    placeholders). Columns other than ``text`` are kept."""
     kept = [c for c in texts.columns if c != "text"]
     # No filter on a computed array, here or below: it would be moved beneath
     # the projections and tokenize the text once more for each token.
@@ -82,7 +85,7 @@ def windows(texts: DataFrame, width: int = 5, detail: bool = True) -> DataFrame:
         if not detail:
             return made
         values = [F.get("v", i + j) for j in range(width)]
-        return F.struct(made.alias("h"), F.concat_ws(GAP, *values).alias("slots"),
+        return F.struct(made.alias("h"), i.alias("pos"), F.concat_ws(GAP, *values).alias("slots"),
                         sum((x.isNull().cast("int") for x in values), F.lit(0)).alias("words"))
     made = step.select(*kept, F.when(F.size("c") >= width, F.transform(
         F.sequence(F.lit(0), F.greatest(F.size("c") - width, F.lit(0))), window)).alias("w"))
@@ -96,24 +99,28 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """Rows ``doc_id``, ``th`` (hash of the text), ``item_id``, ``n_windows``
     (of the item), ``n_matched``, ``n_slots``, ``agreement`` (of the slots;
     null without any)."""
-    items = (windows(benchmark.select(F.col(item_id_col).alias("item_id"),
-                                      F.col(item_text_col).cast("string").alias("text")), width)
-             .where(F.col("words") >= least_words)
-             .groupBy("item_id", "h").agg(F.min("slots").alias("item_slots")))
-    sizes = items.groupBy("item_id").agg(F.count("*").alias("n_windows"))
-    items = items.alias("i").join(sizes.alias("s"), F.col("i.item_id").eqNullSafe(F.col("s.item_id")))
-    items = solid(items.select("i.item_id", F.col("i.h").alias("item_h"), "item_slots", "n_windows"), "decon-items")
+    own = F.col(item_text_col).cast("string")
+    made = (windows(benchmark.select(F.col(item_id_col).alias("item_id"), F.xxhash64(own).alias("it"), own.alias("text")), width)
+            .where(F.col("words") >= least_words)
+            .select("item_id", "it", F.col("pos").alias("item_pos"), F.col("h").alias("item_h"), F.col("slots").alias("item_slots")).distinct())
+    # One position of each window, with the least slots, votes for the whole document.
+    first = Window.partitionBy("item_id", "item_h").orderBy("item_slots", "it", "item_pos")
+    places = solid(made.withColumn("first", F.row_number().over(first) == 1), "decon-places")
+    sizes = places.where("first").groupBy("item_id").agg(F.count("*").alias("n_windows"))
+    lengths = places.groupBy("item_id", "it").agg(F.count("*").alias("n_places"))
+    p, n, m = places.alias("p"), sizes.alias("s"), lengths.alias("m")
+    items = (p.join(n, F.col("p.item_id").eqNullSafe(F.col("s.item_id")))
+             .join(m, F.col("p.item_id").eqNullSafe(F.col("m.item_id")) & (F.col("p.it") == F.col("m.it"))))
+    items = solid(items.select("p.item_id", "p.it", "item_pos", "item_h", "item_slots", "first", "n_windows", "n_places"), "decon-items")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                         F.xxhash64(F.col(text_col).cast("string")).alias("th"), F.col(text_col).cast("string").alias("text"))
     key = ["doc_id", "th", "item_id"]
 
-    def meet(made: DataFrame, *more: str) -> DataFrame:
-        """Windows of documents that some item has, with their number."""
-        listed = items if more else items.drop("item_slots")
-        met = made.join(small(listed), F.col("h") == F.col("item_h"))
-        return met.groupBy(*key, "h", "n_windows", *more).agg(F.count("*").alias("n"))
-
-    found = solid(meet(windows(texts, width, detail=False)).groupBy(*key, "n_windows").agg(F.count("*").alias("n_matched"))
+    # Windows of documents that some item has.
+    listed = items.where("first").select("item_id", "item_h", "n_windows")
+    met = windows(texts, width, detail=False).join(small(listed), F.col("h") == F.col("item_h"))
+    found = solid(met.groupBy(*key, "item_h", "n_windows").agg(F.count("*").alias("n"))
+                  .groupBy(*key, "n_windows").agg(F.count("*").alias("n_matched"))
                   .where(F.col("n_matched") >= F.lit(share) * F.col("n_windows")), "decon-found")
     # Only where an item has slots, the documents that may contain it are opened
     # again to hold their slots against the item's.
@@ -121,12 +128,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     doubtful = solid(found.join(small(slotted), F.col("item_id").eqNullSafe(F.col("slotted")), "left_semi").select(*key), "decon-doubtful")
     again = doubtful.select(F.col("doc_id").alias("a"), F.col("th").alias("b")).distinct()
     opened = texts.join(small(again), null_safe([(F.col("doc_id"), F.col("a"))]) & (F.col("th") == F.col("b")), "left_semi")
-    met = meet(windows(opened, width), "slots", "item_slots").where("item_slots <> ''")
-    pair = F.explode(F.arrays_zip(F.split("item_slots", GAP).alias("a"), F.split("slots", GAP).alias("b")))
-    votes = (met.select(*key, "n", pair.alias("p"))
-             .groupBy(*key, F.col("p.a").alias("a"), F.col("p.b").alias("b")).agg(F.sum("n").alias("n"))
-             .groupBy(*key, "a").agg(F.max("n").alias("best"), F.sum("n").alias("n"))
-             .groupBy(*key).agg(F.count("*").alias("n_slots"), (F.sum("best") / F.sum("n")).alias("agreement")))
+    votes = solid(judged(windows(opened, width).join(small(items), F.col("h") == F.col("item_h")), doubtful, key, share), "decon-votes")
     f, s = found.alias("f"), votes.alias("v")
     return (f.join(s, null_safe((F.col(f"f.{k}"), F.col(f"v.{k}")) for k in key), "left")
             .select(*(F.col(f"f.{k}") for k in key), "n_windows", "n_matched",
@@ -134,6 +136,42 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
             .where(F.col("agreement").isNull() | (F.col("agreement") >= agree)))
 
 
+def judged(met: DataFrame, doubtful: DataFrame, key: list[str], share: float) -> DataFrame:
+    """For each pair of ``doubtful`` with slots the number of slots that the
+    whole document votes on, and the best ``agreement``: of the whole document
+    or of an occurrence that has ``share`` of the item's windows (1 if it has
+    none with slots)."""
+    m, d = met.alias("m"), small(doubtful).alias("d")
+    met = m.join(d, null_safe((F.col(f"m.{k}"), F.col(f"d.{k}")) for k in key), "left_semi")
+    off, near = F.col("pos") - F.col("item_pos"), F.greatest(F.lit(1), F.floor(F.col("n_places") / 4))
+    half = F.floor(near / 2)
+
+    def group(level: int, at: Column) -> Column:
+        return F.struct(F.lit(level).alias("level"), at.cast("long").alias("at"))
+    # Offsets that differ by half of ``near`` at most share a band of level 1 or 2.
+    levels = [group(0, off), group(1, F.floor(off / near)), group(2, F.floor((off + half) / near))]
+    every = met.select(*key, "it", "item_pos", "n_places", "item_slots", "slots", F.explode(F.array(*levels)).alias("g"))
+    own = [*key, "it", "level", "at"]
+    every = every.select(*key, "it", "g.*", "item_pos", "n_places", "item_slots", "slots")
+    whole = met.where("first").select(*key, F.lit(0).cast("long").alias("it"), F.lit(-1).alias("level"), F.lit(0).cast("long").alias("at"),
+                                      "item_slots", "slots")
+    pair = F.explode(F.arrays_zip(F.split("item_slots", GAP).alias("a"), F.split("slots", GAP).alias("b")))
+    votes = (every.select(whole.columns).unionByName(whole).where("item_slots <> ''").select(*own, pair.alias("p"))
+             .groupBy(*own, F.col("p.a").alias("a"), F.col("p.b").alias("b")).agg(F.count("*").alias("n"))
+             .groupBy(*own, "a").agg(F.max("n").alias("best"), F.sum("n").alias("n"))
+             .groupBy(*own).agg(F.count("*").alias("n_slots"), (F.sum("best") / F.sum("n")).alias("agreement"), F.lit(False).alias("held")))
+    held = (every.groupBy(*own, "n_places", "item_pos").agg(F.count("*").alias("n"))
+            .groupBy(*own, "n_places").agg(F.count("*").alias("n")).where(F.col("n") >= F.lit(share) * F.col("n_places"))
+            .select(*own, F.lit(None).cast("long").alias("n_slots"), F.lit(None).cast("double").alias("agreement"), F.lit(True).alias("held")))
+    counted = F.col("held") | (F.col("level") == -1)
+    return (votes.unionByName(held).groupBy(*own)
+            .agg(F.max("n_slots").alias("n_slots"), F.max("agreement").alias("agreement"), F.max("held").alias("held")).where(counted)
+            .groupBy(*key).agg(F.max(F.when(F.col("level") == -1, F.col("n_slots"))).alias("n_slots"),
+                               F.max(F.coalesce("agreement", F.lit(1.0))).alias("agreement"))
+            # Without any vote of the whole document there are no slots to agree.
+            .where("n_slots IS NOT NULL"))
+
+
 def small(table: DataFrame) -> DataFrame:
     """With a broadcast hint if its measured size allows it."""
     size = F.lit(16 * len(table.columns))

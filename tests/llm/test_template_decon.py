@@ -89,6 +89,19 @@ def test_slots_must_agree(spark):
     assert pairs(docs, bench) == {(1, 1)}
 
 
+def test_each_occurrence_is_judged(spark):
+    boxes = ("Here the red box holds 12 small pens in it and then the red box holds 30 small pens in it and then "
+             "the red box holds 55 small pens in it so how many small pens are there in all of them")
+    other = boxes.replace("12", "13").replace("30", "31").replace("55", "56")
+    mixed = boxes.replace("12", "13").replace("30", "31").replace("55", "56").replace("pens", "pads")
+    bench = spark.createDataFrame([(1, QUESTION), (2, boxes)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, QUESTION + " Next. " + OTHER), (2, OTHER + " Next. " + OTHER.replace("15", "16").replace("Maria", "Nadia")),
+                                  (3, "Before. " + boxes), (4, other + " Next. " + boxes), (5, other), (6, mixed),
+                                  (7, OTHER.replace("of apples", "of nice apples") + " Next. " + QUESTION.replace("of apples", "of nice apples")),
+                                  (8, "Some words. " + OTHER + " Next. " + QUESTION[:90])], "doc_id long, text string")
+    assert pairs(docs, bench) == {(1, 1), (2, 1), (3, 2), (4, 2), (5, 2), (7, 1), (8, 1)}
+
+
 def test_against_a_plain_version(spark, small_docs):
     from spindle.llm.common import table
     from tests.llm.conftest import SMALL
