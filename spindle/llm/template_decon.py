@@ -12,6 +12,11 @@ document, or in any one occurrence of the item: matched windows that have one
 offset (position in the document less position in the item), or offsets within
 a quarter of the item, and at least 0.8 of the item's windows.
 
+A window of a document in which a word is capitalised has a second, case-free
+form, whose names are not replaced; so does every window of an item. An item's
+window is matched by either form, so upper-case and title-case copies and names
+after a line break, a tab or several spaces are found too.
+
 DataFrame expressions only. Windows are made and joined in the task that reads
 the text, the benchmark's windows are broadcast if their measured size allows it
 (else the join shuffles), and only matching windows go on, counted by combinable
@@ -27,6 +32,8 @@ reported together; an empty table on either side gives an empty result.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,14 +49,17 @@ UNITS = ("mm cm m km inch inches foot feet yard yards mile miles mg g kg gram gr
          "euros percent degree degrees kmh mph hz khz mhz ghz kb mb gb tb w kw v volt volts watt watts").split()
 SIGNS = "%$€£¥°"
 MARK = "\u0002"          # put before a word that is capitalised inside a sentence
+BREAK = "\u0003"         # the same after other white space: no name, only capitalised
 GAP = "\u0001"
 NAME = "([\\p{L}\\p{N},;]) (\\p{Lu})"
-TOKEN = MARK + "?[\\p{L}\\p{M}]+|[0-9]+(?:[.,:/][0-9]+)*|[" + SIGNS + "]"
+BROKEN = "([\\p{L}\\p{N},;])[\\s\\p{Z}]+(\\p{Lu})"
+TOKEN = "[" + MARK + BREAK + "]?[\\p{L}\\p{M}]+|[0-9]+(?:[.,:/][0-9]+)*|[" + SIGNS + "]"
 MAX_BROADCAST = 64 << 20
 
 
 def tokens(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(F.regexp_replace(text, NAME, "$1 " + MARK + "$2")), F.lit(TOKEN), F.lit(0))
+    marked = F.regexp_replace(F.regexp_replace(text, NAME, "$1 " + MARK + "$2"), BROKEN, "$1 " + BREAK + "$2")
+    return F.regexp_extract_all(F.lower(marked), F.lit(TOKEN), F.lit(0))
 
 
 def any_of(words: list[str]) -> str:
@@ -58,26 +68,33 @@ def any_of(words: list[str]) -> str:
     return "(?:" + "|".join(f"{h}(?:{'|'.join(sorted((w[1:] for w in words if w[0] == h), key=len, reverse=True))})" for h in heads) + ")"
 
 
-def template(tok: Column) -> Column:
+def template(tok: Column, unmarked: str = BREAK) -> Column:
     """The template of an array of tokens: patterns over the tokens joined by
-    spaces, which cost far less than an expression for each token."""
-    line = F.concat(F.lit(" "), F.array_join(tok, " "), F.lit(" "))
+    spaces, which cost far less than an expression for each token. The marks in
+    ``unmarked`` go first, so that their words stay."""
+    line = F.translate(F.concat(F.lit(" "), F.array_join(tok, " "), F.lit(" ")), unmarked, "")
     for pattern, mark in (("[0-9][^ ]*", "<num>"), (f" {any_of(NUMBER_WORDS)}(?= )", " <num>"), (f"{MARK}[^ ]*", "<name>"),
                           (f"[{SIGNS}]", "<unit>"), (f"<num> {any_of(UNITS)}(?= )", "<num> <unit>")):
         line = F.regexp_replace(line, pattern, mark)
     return F.split(F.btrim(line, F.lit(" ")), " ")
 
 
-def windows(texts: DataFrame, width: int = 5, detail: bool = True) -> DataFrame:
-    """``h`` of every window; in ``detail`` also its ``pos``, its ``slots``
-    (values in order, joined by GAP) and ``words`` (tokens that are no
-    placeholders). Columns other than ``text`` are kept."""
+def windows(texts: DataFrame, width: int = 5, detail: bool = True, item: bool = False) -> DataFrame:
+    """``h`` of every window and of its case-free form (all windows of an
+    ``item``, else those with a capitalised word); in ``detail`` also its
+    ``pos``, its ``slots`` (values in order, joined by GAP), ``plain`` (hash of
+    the first form), ``words`` (tokens that are no placeholders in it) and
+    ``form`` (1, or 2 for case-free). Columns other than ``text`` are kept."""
     kept = [c for c in texts.columns if c != "text"]
     # No filter on a computed array, here or below: it would be moved beneath
     # the projections and tokenize the text once more for each token.
-    step = texts.select(*kept, tokens(F.col("text")).alias("t")).select(*kept, "t", template(F.col("t")).alias("c"))
+    step = texts.select(*kept, tokens(F.col("text")).alias("t"))
+    marked = F.lit(True) if item else F.array_join("t", " ").rlike(f"[{MARK}{BREAK}]")
+    step = step.select(*kept, "t", template(F.col("t")).alias("c"), F.when(marked, template(F.col("t"), MARK + BREAK)).alias("free"))
     if detail:
-        step = step.select(*kept, "c", F.zip_with("c", "t", lambda c, t: F.when(c != t, F.ltrim(t, F.lit(MARK)))).alias("v"))
+        def values(name: str) -> Column:
+            return F.zip_with(name, "t", lambda c, t: F.when(c != F.translate(t, MARK + BREAK, ""), F.translate(t, MARK + BREAK, "")))
+        step = step.select(*kept, "t", "c", "free", values("c").alias("v"), values("free").alias("fv"))
 
     def window(i: Column) -> Column:
         # Single elements: a slice would copy the whole array for each window.
@@ -85,10 +102,21 @@ def windows(texts: DataFrame, width: int = 5, detail: bool = True) -> DataFrame:
         if not detail:
             return made
         values = [F.get("v", i + j) for j in range(width)]
-        return F.struct(made.alias("h"), i.alias("pos"), F.concat_ws(GAP, *values).alias("slots"),
-                        sum((x.isNull().cast("int") for x in values), F.lit(0)).alias("words"))
-    made = step.select(*kept, F.when(F.size("c") >= width, F.transform(
-        F.sequence(F.lit(0), F.greatest(F.size("c") - width, F.lit(0))), window)).alias("w"))
+        return F.struct(made.alias("h"), i.alias("pos"), F.concat_ws(GAP, *values).alias("slots"), made.alias("plain"),
+                        sum((x.isNull().cast("int") for x in values), F.lit(0)).alias("words"), F.lit(1).alias("form"))
+
+    def free(i: Column) -> Column:
+        heads = [F.substring(F.get("t", i + j), 1, 1).isin(MARK, BREAK) for j in range(width)]
+        # Salted: an unmarked window is no case-free one.
+        made = F.xxhash64(F.lit(MARK), *(F.get("free", i + j) for j in range(width)))
+        if detail:
+            values, first = [F.get("fv", i + j) for j in range(width)], window(i)
+            made = F.struct(made.alias("h"), i.alias("pos"), F.concat_ws(GAP, *values).alias("slots"), first["plain"].alias("plain"),
+                            first["words"].alias("words"), F.lit(2).alias("form"))
+        return made if item else F.when(reduce(Column.__or__, heads), made)
+    at = F.sequence(F.lit(0), F.greatest(F.size("c") - width, F.lit(0)))
+    both = F.when(F.col("free").isNotNull(), F.concat(F.transform(at, window), F.transform(at, free))).otherwise(F.transform(at, window))
+    made = step.select(*kept, F.when(F.size("c") >= width, both).alias("w"))
     found = made.select(*kept, F.explode_outer("w").alias("h" if not detail else "w"))
     return (found.select(*kept, "w.*") if detail else found).where("h IS NOT NULL")
 
@@ -100,35 +128,36 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     (of the item), ``n_matched``, ``n_slots``, ``agreement`` (of the slots;
     null without any)."""
     own = F.col(item_text_col).cast("string")
-    made = (windows(benchmark.select(F.col(item_id_col).alias("item_id"), F.xxhash64(own).alias("it"), own.alias("text")), width)
+    made = (windows(benchmark.select(F.col(item_id_col).alias("item_id"), F.xxhash64(own).alias("it"), own.alias("text")), width, item=True)
             .where(F.col("words") >= least_words)
-            .select("item_id", "it", F.col("pos").alias("item_pos"), F.col("h").alias("item_h"), F.col("slots").alias("item_slots")).distinct())
+            .select("item_id", "it", F.col("pos").alias("item_pos"), F.col("h").alias("item_h"), F.col("slots").alias("item_slots"), "plain", F.col("form").alias("item_form")).distinct())
     # One position of each window, with the least slots, votes for the whole document.
-    first = Window.partitionBy("item_id", "item_h").orderBy("item_slots", "it", "item_pos")
+    first = Window.partitionBy("item_id", "item_h").orderBy("item_slots", "it", "item_pos", "plain")
     places = solid(made.withColumn("first", F.row_number().over(first) == 1), "decon-places")
-    sizes = places.where("first").groupBy("item_id").agg(F.count("*").alias("n_windows"))
-    lengths = places.groupBy("item_id", "it").agg(F.count("*").alias("n_places"))
+    sizes = places.where("first AND item_form = 1").groupBy("item_id").agg(F.count("*").alias("n_windows"))
+    lengths = places.where("item_form = 1").groupBy("item_id", "it").agg(F.count("*").alias("n_places"))
     p, n, m = places.alias("p"), sizes.alias("s"), lengths.alias("m")
     items = (p.join(n, F.col("p.item_id").eqNullSafe(F.col("s.item_id")))
              .join(m, F.col("p.item_id").eqNullSafe(F.col("m.item_id")) & (F.col("p.it") == F.col("m.it"))))
-    items = solid(items.select("p.item_id", "p.it", "item_pos", "item_h", "item_slots", "first", "n_windows", "n_places"), "decon-items")
+    items = solid(items.select("p.item_id", "p.it", "item_pos", "item_h", "item_slots", "plain", "item_form", "first", "n_windows", "n_places"), "decon-items")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                         F.xxhash64(F.col(text_col).cast("string")).alias("th"), F.col(text_col).cast("string").alias("text"))
     key = ["doc_id", "th", "item_id"]
 
     # Windows of documents that some item has.
-    listed = items.where("first").select("item_id", "item_h", "n_windows")
+    listed = items.select("item_id", "item_h", "plain", "item_form", "n_windows").distinct()
     met = windows(texts, width, detail=False).join(small(listed), F.col("h") == F.col("item_h"))
-    found = solid(met.groupBy(*key, "item_h", "n_windows").agg(F.count("*").alias("n"))
-                  .groupBy(*key, "n_windows").agg(F.count("*").alias("n_matched"))
-                  .where(F.col("n_matched") >= F.lit(share) * F.col("n_windows")), "decon-found")
+    enough = F.lit(share) * F.col("n_windows")
+    found = solid(met.groupBy(*key, "plain", "n_windows").agg(F.min("item_form").alias("form"))
+                  .groupBy(*key, "n_windows").agg(F.count("*").alias("n_matched"), F.count(F.when(F.col("form") == 1, 1)).alias("n_first"))
+                  .where(F.col("n_matched") >= enough).select(*key, "n_windows", "n_matched", (F.col("n_first") >= enough).alias("first_form")), "decon-found")
     # Only where an item has slots, the documents that may contain it are opened
     # again to hold their slots against the item's.
     slotted = items.where("item_slots <> ''").select(F.col("item_id").alias("slotted")).distinct()
-    doubtful = solid(found.join(small(slotted), F.col("item_id").eqNullSafe(F.col("slotted")), "left_semi").select(*key), "decon-doubtful")
+    doubtful = solid(found.join(small(slotted), F.col("item_id").eqNullSafe(F.col("slotted")), "left_semi").select(*key, "first_form"), "decon-doubtful")
     again = doubtful.select(F.col("doc_id").alias("a"), F.col("th").alias("b")).distinct()
     opened = texts.join(small(again), null_safe([(F.col("doc_id"), F.col("a"))]) & (F.col("th") == F.col("b")), "left_semi")
-    votes = solid(judged(windows(opened, width).join(small(items), F.col("h") == F.col("item_h")), doubtful, key, share), "decon-votes")
+    votes = solid(judged(windows(opened, width).select(*key[:2], "h", "pos", "slots").join(small(items), F.col("h") == F.col("item_h")), doubtful, key, share), "decon-votes")
     f, s = found.alias("f"), votes.alias("v")
     return (f.join(s, null_safe((F.col(f"f.{k}"), F.col(f"v.{k}")) for k in key), "left")
             .select(*(F.col(f"f.{k}") for k in key), "n_windows", "n_matched",
@@ -142,7 +171,7 @@ def judged(met: DataFrame, doubtful: DataFrame, key: list[str], share: float) ->
     or of an occurrence that has ``share`` of the item's windows (1 if it has
     none with slots)."""
     m, d = met.alias("m"), small(doubtful).alias("d")
-    met = m.join(d, null_safe((F.col(f"m.{k}"), F.col(f"d.{k}")) for k in key), "left_semi")
+    met = m.join(d, null_safe((F.col(f"m.{k}"), F.col(f"d.{k}")) for k in key)).select("m.*", "first_form")
     off, near = F.col("pos") - F.col("item_pos"), F.greatest(F.lit(1), F.floor(F.col("n_places") / 4))
     half = F.floor(near / 2)
 
@@ -153,8 +182,9 @@ def judged(met: DataFrame, doubtful: DataFrame, key: list[str], share: float) ->
     every = met.select(*key, "it", "item_pos", "n_places", "item_slots", "slots", F.explode(F.array(*levels)).alias("g"))
     own = [*key, "it", "level", "at"]
     every = every.select(*key, "it", "g.*", "item_pos", "n_places", "item_slots", "slots")
-    whole = met.where("first").select(*key, F.lit(0).cast("long").alias("it"), F.lit(-1).alias("level"), F.lit(0).cast("long").alias("at"),
-                                      "item_slots", "slots")
+    # Case-free windows vote there only where the first form alone has too few.
+    whole = met.where("first AND (item_form = 1 OR NOT first_form)").select(
+        *key, F.lit(0).cast("long").alias("it"), F.lit(-1).alias("level"), F.lit(0).cast("long").alias("at"), "item_slots", "slots")
     pair = F.explode(F.arrays_zip(F.split("item_slots", GAP).alias("a"), F.split("slots", GAP).alias("b")))
     votes = (every.select(whole.columns).unionByName(whole).where("item_slots <> ''").select(*own, pair.alias("p"))
              .groupBy(*own, F.col("p.a").alias("a"), F.col("p.b").alias("b")).agg(F.count("*").alias("n"))

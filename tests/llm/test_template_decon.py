@@ -102,6 +102,16 @@ def test_each_occurrence_is_judged(spark):
     assert pairs(docs, bench) == {(1, 1), (2, 1), (3, 2), (4, 2), (5, 2), (7, 1), (8, 1)}
 
 
+def test_other_case_and_white_space(spark):
+    plain = "the little boat had gone over the wide sea when a storm came and all the men in it were lost for good"
+    bench = spark.createDataFrame([(1, QUESTION), (2, plain)], "item_id long, text string")
+    numbers = QUESTION.replace("12", "13").replace("30", "31").replace("96", "97").upper()
+    docs = spark.createDataFrame([(1, QUESTION.upper()), (2, QUESTION.title()), (3, "Clean words first. " + plain.upper()), (4, plain.title()),
+                                  (5, QUESTION.replace(" ", "\n")), (6, QUESTION.replace(" ", "  ")), (7, numbers),
+                                  (8, "CLEAN WORDS ABOUT A FARMER AND A BOAT")], "doc_id long, text string")
+    assert pairs(docs, bench) == {(1, 1), (2, 1), (3, 2), (4, 2), (5, 1), (6, 1), (7, 1)}
+
+
 def test_against_a_plain_version(spark, small_docs):
     from spindle.llm.common import table
     from tests.llm.conftest import SMALL
