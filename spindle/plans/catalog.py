@@ -202,7 +202,7 @@ def added_null_title(spark: SparkSession, sf: str) -> Index:
     if key not in _ADDED_NULL:
         old, path = scratch_path(spark, "index"), scratch_path(spark, "index-added")
         save_index(build_index(null_title_corpus(spark, sf)), old, n_buckets=STORED_BUCKETS)
-        add_job(spark, null_title_corpus(spark, sf, "benchmark", "item_id"), old, path)
+        add_job(spark, null_title_corpus(spark, sf, "benchmark", "item_id"), old, path, layout="auto")
         _ADDED_NULL[key] = path
     return load_index(spark, _ADDED_NULL[key])
 
@@ -272,7 +272,7 @@ def added_index(spark: SparkSession, sf: str) -> Index:
     if key not in _ADDED:
         stored_index(spark, sf)
         path = scratch_path(spark, "index-added")
-        add_job(spark, _new_documents(spark, sf), _STORED[key], path)
+        add_job(spark, _new_documents(spark, sf), _STORED[key], path, layout="auto")
         _ADDED[key] = path
     return load_index(spark, _ADDED[key])
 

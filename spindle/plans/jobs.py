@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from spindle.operators.index import Index, build_index, merge_postings, term_frequency
-from spindle.operators.joins import materialize
+from spindle.operators.joins import fits_broadcast, materialize
 from spindle.operators.rank import DEFAULT_TOP_K, check_method, rank
 from spindle.session import drop_scratch
 from spindle.sources.store import append_merged, load_index, save_index, scratch_of
@@ -26,8 +26,8 @@ def add_job(spark: SparkSession, new_docs: DataFrame, old_root: str, out_root: s
     has in the new documents takes the new count ("new wins"). ``layout`` says
     how the result is stored: ``append`` carries the old files over without a
     shuffle and appends the new part, which must fit a broadcast; ``resort``
-    writes all of it in one global order, whatever the sizes. The contents are
-    the same.
+    writes all of it in one global order, whatever the sizes; ``auto`` appends
+    what fits a broadcast and re-sorts otherwise. The contents are the same.
     """
     old = load_index(spark, old_root)
     return merge_into(old, term_frequency(new_docs), out_root, forward, n_files, layout)
@@ -36,9 +36,11 @@ def add_job(spark: SparkSession, new_docs: DataFrame, old_root: str, out_root: s
 def merge_into(old: Index, new_postings: DataFrame, out_root: str, forward: bool = True,
                n_files: int | None = None, layout: str = "append") -> Index:
     """Store ``merge(old, new_postings)`` at ``out_root`` (old is stored)."""
-    if layout not in ("append", "resort"):
-        raise ValueError(f"layout must be append or resort, got {layout!r}")
+    if layout not in ("append", "resort", "auto"):
+        raise ValueError(f"layout must be append, resort or auto, got {layout!r}")
     new = materialize(new_postings, "new-postings")
+    if layout == "auto":
+        layout = "append" if fits_broadcast(new) else "resort"
     if layout == "append":
         made = append_merged(old, new, out_root, forward, n_files)
     else:

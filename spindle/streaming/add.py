@@ -30,7 +30,8 @@ read for write volume, not freshness.
 
 Cost per micro-batch is O(batch). A flush reads and writes the index once, in
 the layout given (``append``: the old files are carried over, see
-``append_merged``).
+``append_merged``; ``auto``, the default: that if the pending part fits a
+broadcast, else one global order, so that no size ends in an error).
 """
 
 from __future__ import annotations
@@ -84,7 +85,7 @@ class IndexAppender:
 
     def __init__(self, root: str, run: str, base: str | None = None,
                  n_buckets: int | None = None, forward: bool | None = None,
-                 refresh_rows: int = REFRESH_ROWS, layout: str = "append"):
+                 refresh_rows: int = REFRESH_ROWS, layout: str = "auto"):
         self.root = root.rstrip("/")
         self.run = run
         self.base = base

@@ -189,6 +189,30 @@ def test_add_layouts_agree_with_lazy_merge(spark, scratch):
     assert rows(fast.documents()) == rows(merged_docs)
 
 
+def test_no_size_stops_the_stream_or_a_registered_add(spark, scratch):
+    from spindle.operators.joins import BROADCAST_ROWS_CONF
+    from spindle.plans import catalog
+    from spindle.streaming.add import IndexAppender
+    docs = corpus(spark, SF_SMALL)
+    parts = [docs.where(F.col("title").cast("int") % 3 == i) for i in range(3)]
+    app = IndexAppender(os.path.join(scratch, "idx"), "run", refresh_rows=1)
+    spark.conf.set(BROADCAST_ROWS_CONF, "10")
+    try:
+        for epoch, part in enumerate(parts):
+            app(part, epoch)
+        assert not app._pending(spark)
+        got = app.current(spark)
+        want = rows(build_index(docs).flat())
+        assert rows(got.flat()) == want and rows(got.lexicon()) == rows(lexicon_of(spark, want))
+        catalog._ADDED.clear()
+        catalog._ADDED_NULL.clear()
+        assert catalog.added_index(spark, SF_SMALL).flat().count() and catalog.added_null_title(spark, SF_SMALL).flat().count()
+    finally:
+        spark.conf.unset(BROADCAST_ROWS_CONF)
+        catalog._ADDED.clear()
+        catalog._ADDED_NULL.clear()
+
+
 def lexicon_of(spark, postings):
     df = spark.createDataFrame(postings, "title string, term string, tf bigint")
     return df.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
