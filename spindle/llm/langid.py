@@ -2,8 +2,11 @@
 
 Texts become normalised TF-IDF vectors of hashed byte n-grams; each language
 has several centroids from spherical k-means; a text takes the language of the
-centroid of largest cosine. A text whose cosine is below its language's limit
-(``reject_share`` of a low quantile seen in training) is rejected.
+centroid of largest cosine. A text whose cosine is below the limit of its
+language and length class is rejected. The limit is a low quantile
+(``reject_share``) of the cosines of training texts, and of their beginnings, of
+that class with centroids that were fitted without them; languages of fewer than
+``LEAST`` rows share the quantile of all, and fewer rows in all give no limit.
 
 The classifier is fitted on a bounded sample of labelled rows: at most
 ``per_lang`` rows of each language and ``max_sample`` rows in all, taken in the
@@ -33,6 +36,9 @@ UND = "und"
 ROWS = 128
 PARTS = 40
 CHUNK = 1 << 20
+SIZES = (16, 32, 64, 128, 256)       # bytes from which the length classes after the first begin
+FOLDS = 4
+LEAST = 20
 NOT_LETTERS = bytes(b if chr(b).isalpha() or b >= 128 else 32 for b in range(256))
 LATIN = re.compile("[A-Za-z]")
 
@@ -57,12 +63,17 @@ def gram_counts(text: str, dims: int) -> np.ndarray:
     return counts
 
 
+def size_class(counts: np.ndarray) -> np.ndarray:
+    """Length class of each row of counts, which hold three grams a byte."""
+    return np.searchsorted(SIZES, counts.sum(-1) / 3, side="right")
+
+
 @dataclass
 class Centroids:
     langs: list[str]                     # of each centroid
     matrix: np.ndarray                   # dims x centroids, unit columns
     idf: np.ndarray
-    limits: dict[str, float] = field(default_factory=dict)
+    limits: dict[str, list[float]] = field(default_factory=dict)      # of each length class
 
     def vectors(self, counts: np.ndarray) -> np.ndarray:
         """Unit vectors, made in the place of ``counts``."""
@@ -87,7 +98,7 @@ def kmeans(x: np.ndarray, k: int, rounds: int = 15) -> np.ndarray:
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
         dims: int = 4096, clusters: int = 3, per_lang: int = 400, max_sample: int = 4000,
-        reject_share: float = 0.2) -> Centroids:
+        reject_share: float = 0.005) -> Centroids:
     """Fit on a bounded sample of ``labelled`` rows."""
     known = labelled.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).cast("string").alias("text"),
                             F.col(lang_col).cast("string").alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
@@ -102,30 +113,50 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     sample = known.join(F.broadcast(picked), ["lang", "pick"], "left_semi").dropDuplicates(["lang", "pick"])
 
     def run(batches: Batches) -> Batches:
-        schema = pa.schema([("lang", pa.string()), ("pick", pa.int64()), ("at", pa.list_(pa.int32())), ("n", pa.list_(pa.float32()))])
+        schema = pa.schema([("lang", pa.string()), ("pick", pa.int64()), ("cut", pa.int32()), ("at", pa.list_(pa.int32())), ("n", pa.list_(pa.float32()))])
         for b in batches:
-            counts = [gram_counts(t, dims) for t in b.column("text").to_pylist()]
+            texts = b.column("text").to_pylist()
+            whole = [(i, 0, t) for i, t in enumerate(texts)]
+            starts = [(i, c, t.lstrip()[:c * 5 // 4]) for i, t in enumerate(texts) for c in (4, *SIZES) if len(t.lstrip()) > c * 5 // 4]
+            kept = [(i, c, t) for i, c, t in whole + starts if has_letter(t)]
+            counts = [gram_counts(t, dims) for *_, t in kept]
             held = [np.flatnonzero(c) for c in counts]
-            yield batch_of(schema, (b.column("lang"), b.column("pick"), [h.astype(np.int32) for h in held],
-                                    [c[h] for c, h in zip(counts, held, strict=True)]))
+            rows = pa.array([i for i, *_ in kept], pa.int32())
+            yield batch_of(schema, (b.column("lang").take(rows), b.column("pick").take(rows), [c for _, c, _ in kept],
+                                    [h.astype(np.int32) for h in held], [c[h] for c, h in zip(counts, held, strict=True)]))
 
     small_batches(labelled.sparkSession)
-    rows = sample.mapInArrow(run, "lang string, pick long, at array<int>, n array<float>").toArrow()
-    rows = rows.sort_by([("lang", "ascending"), ("pick", "ascending")])
-    counts = np.zeros((rows.num_rows, dims), np.float32)
-    for i in range(rows.num_rows):
-        counts[i, rows["at"][i].values.to_numpy()] = rows["n"][i].values.to_numpy()
+    rows = sample.mapInArrow(run, "lang string, pick long, cut int, at array<int>, n array<float>").toArrow()
+    rows = rows.sort_by([("cut", "ascending"), ("lang", "ascending"), ("pick", "ascending")])
+    cuts, all_langs, picks = rows["cut"].to_numpy(), np.array(rows["lang"].to_pylist(), dtype=object), rows["pick"].to_numpy()
+
+    def dense(chosen: np.ndarray) -> np.ndarray:
+        counts = np.zeros((len(chosen), dims), np.float32)
+        for k, i in enumerate(chosen):
+            counts[k, rows["at"][int(i)].values.to_numpy()] = rows["n"][int(i)].values.to_numpy()
+        return counts
+    counts = dense(np.flatnonzero(cuts == 0))
     model = Centroids([], np.zeros((dims, 0), np.float32),
-                      (np.log((1 + rows.num_rows) / (1 + np.count_nonzero(counts, axis=0))) + 1).astype(np.float32))
-    langs = np.array(rows["lang"].to_pylist(), dtype=object)
-    del rows
+                      (np.log((1 + len(counts)) / (1 + np.count_nonzero(counts, axis=0))) + 1).astype(np.float32))
+    langs, folds = all_langs[cuts == 0], (picks >> 16) % FOLDS
     x = model.vectors(counts)
-    parts = []
+    parts, seen = [], {}
     for lang in sorted(set(langs)):
-        own = x[langs == lang]
+        own, fold = x[langs == lang], folds[cuts == 0][langs == lang]
         parts.append(kmeans(own, clusters))
         model.langs += [lang] * len(parts[-1])
-        model.limits[lang] = reject_share * float(np.quantile((own @ parts[-1].T).max(1), 0.005))
+        seen[lang] = [np.zeros((0, 2))]
+        for k in range(FOLDS):
+            if 0 < (fold == k).sum() < len(fold):
+                c = kmeans(own[fold != k], clusters)
+                out = dense(np.flatnonzero((all_langs == lang) & (folds == k)))
+                sizes = size_class(out)
+                seen[lang].append(np.stack([sizes, (model.vectors(out) @ c.T).max(1)], 1))
+        seen[lang] = np.concatenate(seen[lang])
+    for lang, own in seen.items():
+        own = own if (langs == lang).sum() >= LEAST else np.concatenate(list(seen.values()))
+        scores = [own[own[:, 0] == k, 1] for k in range(len(SIZES) + 1)]
+        model.limits[lang] = [float(np.quantile(v, reject_share)) if len(v) >= LEAST else 0.0 for v in scores]
     if parts:
         model.matrix = np.ascontiguousarray(np.concatenate(parts).T.astype(np.float32))
     return model
@@ -147,14 +178,16 @@ def predict(docs: DataFrame, model: Centroids, text_col: str = "text", *keep: Co
         dims = len(m.idf)
         for b in batches:
             texts = b.column(len(kept)).to_pylist()
-            langs, scores = [UND] * len(texts), [0.0] * len(texts)
+            langs, scores, limits = [UND] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
             for at in range(0, len(texts), ROWS):
                 rows = [i for i in range(at, min(at + ROWS, len(texts))) if has_letter(texts[i])] if m.langs else []
                 if rows:
-                    cosines = m.vectors(np.stack([gram_counts(texts[i], dims) for i in rows])) @ m.matrix
-                    for i, j, c in zip(rows, cosines.argmax(1), cosines.max(1), strict=True):
-                        langs[i], scores[i] = m.langs[j], min(1.0, max(0.0, float(c)))
-            rejected = [x == UND or s < m.limits[x] for x, s in zip(langs, scores, strict=True)]
+                    counts = np.stack([gram_counts(texts[i], dims) for i in rows])
+                    sizes = size_class(counts)
+                    cosines = m.vectors(counts) @ m.matrix
+                    for i, j, c, k in zip(rows, cosines.argmax(1), cosines.max(1), sizes, strict=True):
+                        langs[i], scores[i], limits[i] = m.langs[j], min(1.0, max(0.0, float(c))), m.limits[m.langs[j]][k]
+            rejected = [x == UND or s < limit for x, s, limit in zip(langs, scores, limits, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [*b.columns[:-1], pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())],
                 names=[*kept, "lang_pred", "score", "rejected"])

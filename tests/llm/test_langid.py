@@ -2,7 +2,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from spindle.llm import langid as L
-from spindle.llm.common import crc_of_id
+from spindle.llm.common import crc_of_id, table
 from tests.llm.conftest import EDGE_ROWS
 
 
@@ -17,6 +17,23 @@ def test_held_out_accuracy(small_docs):
     assert sum(r.rejected for r in rows) <= 0.01 * len(rows)
 
 
+def test_unlearned_languages_are_rejected(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    held_out = crc_of_id() % 3 == 1
+    model = L.fit(docs.where(~held_out))
+    rng = np.random.default_rng(0)
+    letters = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz   "), n)) for n in (150, 400, 2000)]
+    texts = ["La vita è bella e il sole splende sopra le montagne mentre i bambini giocano nel giardino della nonna con il cane e il gatto dorme. ",
+             "Suomen kesä on lyhyt mutta kaunis, ja monet ihmiset viettävät aikaa järvien rannalla mökillä ystävien kanssa ja uivat joka ilta. ",
+             "Wczoraj wieczorem poszliśmy do kina, aby zobaczyć nowy film o historii naszego miasta i jego mieszkańców sprzed wielu lat. ",
+             "Bugün hava çok güzel olduğu için arkadaşlarımla birlikte parka gittik ve uzun süre yürüyüş yaptık, sonra eve döndük. ",
+             "今天天气很好我们一起去公园散步然后在河边吃了一顿美味的午餐大家都很开心。" * 2, *letters]
+    odd = spark.createDataFrame([(t * n,) for t in texts for n in (1, 5)], "text string")
+    assert [r.lang_pred for r in L.predict(odd, model, "text").collect() if not r.rejected] == []
+    held = L.predict(docs.where(held_out & F.col("text").rlike("\\p{L}")), model, "text").collect()
+    assert len(held) > 200 and sum(r.rejected for r in held) <= 0.02 * len(held)
+
+
 def test_prediction_is_the_nearest_centroid(small_docs):
     model = L.fit(small_docs, dims=1024, clusters=2, per_lang=80)
     for r in L.predict(small_docs.limit(40), model, "text", F.col("text")).collect():
