@@ -177,17 +177,16 @@ def candidate_keys(host: Column, path: Column, shapes: Iterable[tuple[str, int,
 
 
 def judge(pages: DataFrame, rules: dict[str, str], listed_hosts: DataFrame, id_col: str = "page_id", url_col: str = "url",
-          max_labels: int = 8, **limits) -> DataFrame:
+          **limits) -> DataFrame:
     """``page_id``, ``host``, ``path``, ``rule``, ``verdict`` of every row.
 
     ``rules`` map ``host/path`` to block or allow; the longest rule that fits
     wins. Without a rule, urls whose host or a parent of it is in
-    ``listed_hosts`` (column ``host``, of at most ``max_labels`` labels) are
-    blocked."""
+    ``listed_hosts`` (column ``host``, of any number of labels) are blocked."""
     spark: SparkSession = pages.sparkSession
     parts = {r: (r.partition("/")[0], "/" + r.partition("/")[2]) for r in rules}
     shapes = sorted({(len(h.split(".")), len(p)) for h, p in parts.values()})
-    lengths = [r["n"] for r in listed_hosts.select(F.size(F.split("host", "\\.")).alias("n")).where(F.col("n") <= max_labels).distinct().collect()]
+    lengths = [r["n"] for r in listed_hosts.select(F.size(F.split("host", "\\.")).alias("n")).where("n >= 1").distinct().collect()]
     kinds = [(tag, n, m) for tag in ("rule", "block") for n, m in shapes] + [("host", n, None) for n in sorted(lengths)]
     rows = pages.select(F.col(id_col).alias("page_id"), host_of(F.col(url_col).cast("string")).alias("host"),
                         path_of(F.col(url_col).cast("string")).alias("path"))

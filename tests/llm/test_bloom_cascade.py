@@ -68,3 +68,11 @@ def test_edges(spark):
     assert B.judge(empty, RULES, hosts).collect() == []
     one = spark.createDataFrame([(1, "http://a.org/")], "page_id long, url string")
     assert [tuple(r) for r in B.judge(one, {}, hosts).collect()] == [(1, "a.org", "/", None, "allow")]
+
+
+def test_listed_hosts_of_many_labels(spark):
+    deep = "a.b.c.d.e.f.g.h.i.example.com"
+    pages = spark.createDataFrame([(1, f"http://{deep}/x"), (2, f"http://w.{deep}/"), (3, "http://b.c.d.e.f.g.h.i.example.com/")], "page_id long, url string")
+    hosts = spark.createDataFrame([(deep,)], "host string")
+    judged = B.judge(pages, {}, hosts).collect()
+    assert {r.page_id for r in judged if r.verdict == "block"} == {1, 2}
