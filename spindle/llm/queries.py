@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from spindle.llm import (bloom_cascade, debruijn, jump_shard, langid, lattice,
                          license_scan, license_texts, merkle,
-                         mixing, simhash, template_decon)
+                         mixing, quality, simhash, template_decon,
+                         whitening)
 from spindle.llm.common import crc_of_id, table
 
 
@@ -190,6 +191,16 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.fp_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), crc_of_id() % 3 == 1
+    model = quality.fit(docs.where(~held_out), table(spark, sf_dir, "labels"), F.col("quality"))
+    return quality.score(docs, model, "text", F.col("doc_id"), held_out.alias("held_out"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_license_scan": op1_license_scan,
@@ -202,6 +213,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_lattice_scores": op8_lattice_scores,
         "op9_language_id": op9_language_id,
         "op10_simhash": op10_simhash,
+        "op11_embedding_whitening": op11_embedding_whitening,
+        "op12_quality_classifier": op12_quality_classifier,
     }
 
 
