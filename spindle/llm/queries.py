@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from spindle.llm import (bloom_cascade, debruijn, jump_shard, langid, lattice,
                          license_scan, license_texts, merkle,
-                         mixing, quality, simhash, template_decon,
+                         mixing, phrases, quality, simhash, template_decon,
                          whitening)
 from spindle.llm.common import crc_of_id, table
 
@@ -201,6 +201,44 @@ def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model, "text", F.col("doc_id"), held_out.alias("held_out"))
 
 
+def op13_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = phrases.collocations(table(spark, sf_dir, "documents"), least=100, most_words=5, top=2000)
+    return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+#: All phrases of 1 to 5 words as text, all cuts, and containment as text.
+OP13_SQL = r"""
+WITH w AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents)),
+f AS (
+  SELECT lang, k, ws[i:i + k - 1] AS p, count(*) AS f
+  FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM w, (VALUES (1), (2), (3), (4), (5)) AS s(k) WHERE len(ws) >= k)
+  GROUP BY lang, k, p),
+t AS (SELECT lang, sum(f)::HUGEINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT * FROM f WHERE k >= 2 AND f >= 100),
+closed AS (
+  SELECT * FROM c WHERE NOT EXISTS (
+    SELECT 1 FROM c AS b WHERE b.lang = c.lang AND b.k > c.k AND 100 * b.f >= 100 * c.f
+      AND contains(' ' || array_to_string(b.p, ' ') || ' ', ' ' || array_to_string(c.p, ' ') || ' '))),
+cuts AS (
+  SELECT lang, p, k, f, unnest(range(1, k)) AS cut FROM closed),
+scored AS (
+  SELECT cuts.lang, cuts.p, cuts.f AS a, cut, x.f AS l, y.f AS r, n,
+         (1000::HUGEINT * cuts.f * n) // (x.f::HUGEINT * y.f) AS score
+  FROM cuts JOIN t ON t.lang = cuts.lang
+  JOIN f AS x ON x.lang = cuts.lang AND x.p = cuts.p[1:cut]
+  JOIN f AS y ON y.lang = cuts.lang AND y.p = cuts.p[cut + 1:]),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) = 1),
+named AS (SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, n, score FROM best)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r,
+       n::BIGINT AS n, score::BIGINT AS score
+FROM named QUALIFY rank <= 2000
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_license_scan": op1_license_scan,
@@ -215,6 +253,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_simhash": op10_simhash,
         "op11_embedding_whitening": op11_embedding_whitening,
         "op12_quality_classifier": op12_quality_classifier,
+        "op13_phrase_mining": op13_phrase_mining,
     }
 
 
@@ -224,4 +263,5 @@ def sql() -> dict[str, str]:
         "op3_substring_dedup": OP3_SQL,
         "op4_template_decontamination": OP4_SQL,
         "op5_url_filter": OP5_SQL,
+        "op13_phrase_mining": OP13_SQL,
     }
