@@ -79,51 +79,101 @@ def op4_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "item_id", "n_windows", "n_matched", "n_slots"))
 
 
+#: The words of the SQL are its own: number words, and units after a number.
+SQL_NUMBERS = """two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen
+twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion half dozen"""
+SQL_UNITS = """mm cm m km inch inches foot feet yard yards mile miles mg g kg gram grams kilogram kilograms pound pounds lb lbs oz ounce ounces
+ton tons ml l liter liters litre litres gallon gallons second seconds minute minutes hour hours day days week weeks month months year years
+dollar dollars cent cents euro euros percent degree degrees kmh mph hz khz mhz ghz kb mb gb tb w kw v volt volts watt watts"""
+
+
 def _template_sql(source: str, key: str) -> str:
-    """Windows of the template of ``source``'s texts, as text."""
-    numbers = ", ".join(f"'{w}'" for w in template_decon.NUMBER_WORDS)
-    units = ", ".join(f"'{w}'" for w in template_decon.UNITS)
-    num = f"(regexp_matches(%s, '^[0-9]') OR %s IN ({numbers}))"
+    """Windows of five tokens of ``source``'s texts, as text: the template (form
+    1) and the case-free form where it differs (form 2). chr(2) marks names,
+    chr(3) words capitalised after other white space."""
+    def listed(words: str) -> str:
+        return "(" + ", ".join(f"'{w}'" for w in words.split()) + ")"
+
+    number = f"(regexp_matches(%s, '^[0-9]') OR %s IN {listed(SQL_NUMBERS)})"
     return rf"""
-  SELECT {key}, r, array_to_string(list_transform(ps[i:i + 4], lambda p: p[1]), ' ') AS win,
-         array_to_string(list_filter(list_transform(ps[i:i + 4], lambda p: CASE WHEN p[1] <> p[2] THEN ltrim(p[2], chr(2)) END),
-                                     lambda x: x IS NOT NULL), chr(1)) AS slots,
-         len(list_filter(ps[i:i + 4], lambda p: p[1] = p[2])) AS words
+  SELECT {key}, r, pos, UNNEST([
+           {{form: 1, win: named, slots: named_slots, plain: named, words: words}},
+           CASE WHEN free <> named THEN {{form: 2, win: free, slots: free_slots, plain: named, words: words}} END], recursive := true)
   FROM (
-    SELECT {key}, r, ps, unnest(range(1, len(ps) - 3)) AS i FROM (
-      SELECT {key}, r, list_transform(range(1, len(t) + 1), lambda j: [CASE
-          WHEN {num % ("t[j]", "t[j]")} THEN '<num>'
-          WHEN t[j][1] = chr(2) THEN '<name>'
-          WHEN t[j] IN ('%', '$', '€', '£', '¥', '°') THEN '<unit>'
-          WHEN j > 1 AND {num % ("t[j - 1]", "t[j - 1]")} AND t[j] IN ({units}) THEN '<unit>'
-          ELSE t[j] END, t[j]]) AS ps
-      FROM (
-        SELECT {key}, row_number() OVER () AS r, regexp_extract_all(
-            lower(regexp_replace(text, '([\p{{L}}\p{{N}},;]) (\p{{Lu}})', '\1 ' || chr(2) || '\2', 'g')),
-            chr(2) || '?[\p{{L}}\p{{M}}]+|[0-9]+(?:[.,:/][0-9]+)*|[%$€£¥°]') AS t
-        FROM {source})
-      WHERE len(t) >= 5))"""
+    SELECT {key}, r, i - 1 AS pos, array_to_string([p.named for p in ps[i:i + 4]], ' ') AS named,
+           array_to_string([p.free for p in ps[i:i + 4]], ' ') AS free,
+           array_to_string([p.word for p in ps[i:i + 4] if p.named <> p.word], chr(1)) AS named_slots,
+           array_to_string([p.word for p in ps[i:i + 4] if p.free <> p.word], chr(1)) AS free_slots,
+           len([p.word for p in ps[i:i + 4] if p.named = p.word]) AS words
+    FROM (
+      SELECT {key}, r, ps, unnest(range(1, len(ps) - 3)) AS i FROM (
+        SELECT {key}, r, list_transform(fs, lambda f: {{word: f.word, free: f.free,
+                 named: CASE WHEN f.mark = chr(2) AND f.free = f.word THEN '<name>' ELSE f.free END}}) AS ps
+        FROM (
+          SELECT {key}, r, list_transform(range(1, len(t) + 1), lambda j: {{word: t[j], mark: m[j][1], free: CASE
+              WHEN {number % ("t[j]", "t[j]")} THEN '<num>'
+              WHEN t[j] IN ('%', '$', '€', '£', '¥', '°') THEN '<unit>'
+              WHEN j > 1 AND {number % ("t[j - 1]", "t[j - 1]")} AND t[j] IN {listed(SQL_UNITS)} THEN '<unit>'
+              ELSE t[j] END}}) AS fs
+          FROM (
+            SELECT {key}, r, m, list_transform(m, lambda x: ltrim(x, chr(2) || chr(3))) AS t
+            FROM (
+              SELECT {key}, row_number() OVER () AS r, regexp_extract_all(lower(regexp_replace(regexp_replace(
+                  text, '([\p{{L}}\p{{N}},;]) (\p{{Lu}})', '\1 ' || chr(2) || '\2', 'g'),
+                  '([\p{{L}}\p{{N}},;])[\t\n\x0B\f\r\p{{Z}}]+(\p{{Lu}})', '\1 ' || chr(3) || '\2', 'g')),
+                  '[\x02\x03]?[\p{{L}}\p{{M}}]+|[0-9]+(?:[.,:/][0-9]+)*|[%$€£¥°]') AS m
+              FROM (SELECT DISTINCT {key}, text FROM {source}))
+            WHERE len(m) >= 5)))))"""
 
 
 OP4_SQL = rf"""
-WITH d AS ({_template_sql("documents", "doc_id")}),
-b AS (SELECT item_id, win, min(slots) AS item_slots FROM ({_template_sql("benchmark", "item_id")})
-      WHERE words >= 3 GROUP BY item_id, win),
-n AS (SELECT item_id, count(*) AS n_windows FROM b GROUP BY item_id),
-met AS (SELECT doc_id, r, item_id, win, slots, item_slots, count(*) AS n
-        FROM d JOIN b USING (win) GROUP BY ALL),
-found AS (SELECT doc_id, r, item_id, n_windows, count(DISTINCT win) AS n_matched
-          FROM met JOIN n USING (item_id) GROUP BY ALL HAVING count(DISTINCT win) >= 0.8 * n_windows),
-pairs AS (SELECT r, item_id, n, unnest(list_zip(string_split(item_slots, chr(1)), string_split(slots, chr(1)))) AS p
-          FROM met WHERE item_slots <> ''),
-votes AS (SELECT r, item_id, count(*) AS n_slots, sum(best) / sum(total) AS agreement FROM (
-            SELECT r, item_id, a, max(n) AS best, sum(n) AS total FROM (
-              SELECT r, item_id, p[1] AS a, p[2] AS b, sum(n) AS n FROM pairs GROUP BY ALL) GROUP BY r, item_id, a)
-          GROUP BY r, item_id)
-SELECT doc_id, item_id, n_windows, max(n_matched) AS n_matched, CAST(max(coalesce(n_slots, 0)) AS BIGINT) AS n_slots
-FROM found LEFT JOIN votes USING (r, item_id)
-WHERE agreement IS NULL OR agreement >= 0.8
-GROUP BY doc_id, item_id, n_windows
+WITH d AS (SELECT * FROM ({_template_sql("documents", "doc_id")}) WHERE form IS NOT NULL),
+b AS (SELECT * FROM ({_template_sql("benchmark", "item_id")}) WHERE form IS NOT NULL AND words >= 3),
+places AS (SELECT item_id, r AS it, pos AS item_pos, win, slots AS item_slots, plain, form AS item_form,
+             row_number() OVER (PARTITION BY item_id, win ORDER BY form, slots, r, pos, plain) = 1 AS first FROM b),
+items AS (
+  SELECT p.*, n_windows, n_places FROM places AS p
+  JOIN (SELECT item_id, count(*) AS n_windows FROM places WHERE first AND item_form = 1 GROUP BY item_id) AS s ON p.item_id IS NOT DISTINCT FROM s.item_id
+  JOIN (SELECT item_id, it, count(*) AS n_places FROM places WHERE item_form = 1 GROUP BY item_id, it) AS m
+    ON p.item_id IS NOT DISTINCT FROM m.item_id AND p.it = m.it),
+met AS (SELECT doc_id, r, item_id, plain, n_windows, min(item_form) AS form
+        FROM (SELECT DISTINCT doc_id, r, win FROM d) JOIN (SELECT DISTINCT item_id, win, plain, item_form, n_windows FROM items) USING (win) GROUP BY ALL),
+found AS (SELECT doc_id, r, item_id, n_windows, count(*) AS n_matched, count(*) FILTER (form = 1) >= 0.8 * n_windows AS first_form
+          FROM met GROUP BY doc_id, r, item_id, n_windows HAVING count(*) >= 0.8 * n_windows),
+-- Windows of documents that may contain an item with slots, beside every place of that window in the item.
+beside AS (
+  SELECT f.r, f.item_id, f.first_form, i.it, i.item_pos, i.item_slots, i.item_form, i.first, i.n_places, d.slots, d.pos - i.item_pos AS off,
+         greatest(1, n_places // 4) AS near
+  FROM found AS f JOIN items AS i ON f.item_id IS NOT DISTINCT FROM i.item_id JOIN d ON d.r = f.r AND d.win = i.win
+  WHERE EXISTS (SELECT 1 FROM items AS x WHERE x.item_slots <> '' AND x.item_id IS NOT DISTINCT FROM f.item_id)),
+-- Occurrences: equal offsets, or offsets in one band of either kind; level -1 is the whole document.
+grouped AS (
+  SELECT r, item_id, it, level, CASE level WHEN 0 THEN off WHEN 1 THEN floor(off / near) ELSE floor((off + near // 2) / near) END AS spot,
+         item_pos, n_places, item_slots, slots
+  FROM beside, (VALUES (0), (1), (2)) AS l(level)),
+pairs AS (
+  SELECT r, item_id, it, level, spot, unnest(list_zip(string_split(item_slots, chr(1)), string_split(slots, chr(1)))) AS p
+  FROM (SELECT r, item_id, it, level, spot, item_slots, slots FROM grouped
+        UNION ALL SELECT r, item_id, 0, -1, 0, item_slots, slots FROM beside WHERE first AND (item_form = 1 OR NOT first_form))
+  WHERE item_slots <> ''),
+votes AS (
+  SELECT r, item_id, it, level, spot, count(*) AS n_slots, sum(best) / sum(n) AS agreement FROM (
+    SELECT r, item_id, it, level, spot, a, max(n) AS best, sum(n) AS n FROM (
+      SELECT r, item_id, it, level, spot, p[1] AS a, p[2] AS b, count(*) AS n FROM pairs GROUP BY ALL)
+    GROUP BY r, item_id, it, level, spot, a)
+  GROUP BY r, item_id, it, level, spot),
+held AS (SELECT r, item_id, it, level, spot FROM grouped GROUP BY r, item_id, it, level, spot, n_places HAVING count(DISTINCT item_pos) >= 0.8 * n_places),
+whole AS (SELECT r, item_id, n_slots, agreement FROM votes WHERE level = -1),
+best AS (
+  SELECT r, item_id, max(coalesce(agreement, 1.0)) AS agreement
+  FROM (SELECT held.r, held.item_id, agreement FROM held LEFT JOIN votes ON votes.r = held.r AND votes.item_id IS NOT DISTINCT FROM held.item_id AND votes.it = held.it
+    AND votes.level = held.level AND votes.spot = held.spot)
+  GROUP BY ALL)
+SELECT f.doc_id, f.item_id, f.n_windows, max(f.n_matched) AS n_matched, CAST(max(coalesce(w.n_slots, 0)) AS BIGINT) AS n_slots
+FROM found AS f LEFT JOIN whole AS w ON f.r = w.r AND f.item_id IS NOT DISTINCT FROM w.item_id
+LEFT JOIN best ON f.r = best.r AND f.item_id IS NOT DISTINCT FROM best.item_id
+WHERE w.agreement IS NULL OR greatest(w.agreement, coalesce(best.agreement, 0)) >= 0.8
+GROUP BY f.doc_id, f.item_id, f.n_windows
 """
 
 

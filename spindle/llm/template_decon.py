@@ -12,10 +12,10 @@ document, or in any one occurrence of the item: matched windows that have one
 offset (position in the document less position in the item), or offsets within
 a quarter of the item, and at least 0.8 of the item's windows.
 
-A window of a document in which a word is capitalised has a second, case-free
-form, whose names are not replaced; so does every window of an item. An item's
-window is matched by either form, so upper-case and title-case copies and names
-after a line break, a tab or several spaces are found too.
+A window has a second, case-free form, in which names are words like others; for
+a window without a name both are the same. An item's window is matched by either
+form, so lower-case, upper-case and title-case copies and names after a line
+break, a tab or several spaces are found too.
 
 DataFrame expressions only. Windows are made and joined in the task that reads
 the text, the benchmark's windows are broadcast if their measured size allows it
@@ -52,7 +52,7 @@ MARK = "\u0002"          # put before a word that is capitalised inside a senten
 BREAK = "\u0003"         # the same after other white space: no name, only capitalised
 GAP = "\u0001"
 NAME = "([\\p{L}\\p{N},;]) (\\p{Lu})"
-BROKEN = "([\\p{L}\\p{N},;])[\\s\\p{Z}]+(\\p{Lu})"
+BROKEN = "([\\p{L}\\p{N},;])[\\t\\n\\x0B\\f\\r\\p{Z}]+(\\p{Lu})"
 TOKEN = "[" + MARK + BREAK + "]?[\\p{L}\\p{M}]+|[0-9]+(?:[.,:/][0-9]+)*|[" + SIGNS + "]"
 MAX_BROADCAST = 64 << 20
 
@@ -68,57 +68,80 @@ def any_of(words: list[str]) -> str:
     return "(?:" + "|".join(f"{h}(?:{'|'.join(sorted((w[1:] for w in words if w[0] == h), key=len, reverse=True))})" for h in heads) + ")"
 
 
-def template(tok: Column, unmarked: str = BREAK) -> Column:
-    """The template of an array of tokens: patterns over the tokens joined by
-    spaces, which cost far less than an expression for each token. The marks in
-    ``unmarked`` go first, so that their words stay."""
-    line = F.translate(F.concat(F.lit(" "), F.array_join(tok, " "), F.lit(" ")), unmarked, "")
-    for pattern, mark in (("[0-9][^ ]*", "<num>"), (f" {any_of(NUMBER_WORDS)}(?= )", " <num>"), (f"{MARK}[^ ]*", "<name>"),
-                          (f"[{SIGNS}]", "<unit>"), (f"<num> {any_of(UNITS)}(?= )", "<num> <unit>")):
+def typed(tok: Column) -> Column:
+    """An array of tokens as one line, a space around each, with numbers and
+    units replaced: patterns over the line cost far less than an expression for
+    each token. Marks stay before the other words."""
+    line = F.concat(F.lit(" "), F.array_join(tok, " "), F.lit(" "))
+    for pattern, mark in (("[0-9][^ ]*", "<num>"), (f" [{MARK}{BREAK}]?{any_of(NUMBER_WORDS)}(?= )", " <num>"),
+                          (f"[{SIGNS}]", "<unit>"), (f"<num> [{MARK}{BREAK}]?{any_of(UNITS)}(?= )", "<num> <unit>")):
         line = F.regexp_replace(line, pattern, mark)
+    return line
+
+
+def split(line: Column) -> Column:
     return F.split(F.btrim(line, F.lit(" ")), " ")
 
 
-def windows(texts: DataFrame, width: int = 5, detail: bool = True, item: bool = False) -> DataFrame:
-    """``h`` of every window and of its case-free form (all windows of an
-    ``item``, else those with a capitalised word); in ``detail`` also its
-    ``pos``, its ``slots`` (values in order, joined by GAP), ``plain`` (hash of
-    the first form), ``words`` (tokens that are no placeholders in it) and
-    ``form`` (1, or 2 for case-free). Columns other than ``text`` are kept."""
+def case_free(line: Column) -> Column:
+    return split(F.translate(line, MARK + BREAK, ""))
+
+
+def template(line: Column) -> Column:
+    return split(F.regexp_replace(F.translate(line, BREAK, ""), f"{MARK}[^ ]*", "<name>"))
+
+
+def window_hashes(texts: DataFrame, width: int) -> DataFrame:
+    """``h`` of every window, in its case-free form and, where this differs, as
+    a template. Columns other than ``text`` are kept."""
     kept = [c for c in texts.columns if c != "text"]
+
+    def hashes(tok: Column) -> Column:
+        return F.transform(tok, lambda x: F.xxhash64(x))
     # No filter on a computed array, here or below: it would be moved beneath
     # the projections and tokenize the text once more for each token.
+    step = texts.select(*kept, typed(tokens(F.col("text"))).alias("line"))
+    step = step.select(*kept, hashes(case_free(F.col("line"))).alias("free"),
+                       F.when(F.col("line").contains(MARK), hashes(template(F.col("line")))).alias("c"))
+
+    # Single elements: a slice would copy the whole array for each window.
+    def window(of: str, i: Column) -> Column:
+        return F.xxhash64(*(F.get(of, i + j if j else i) for j in range(width)))
+    name = F.xxhash64(F.lit("<name>"))
+    at = F.sequence(F.lit(0), F.greatest(F.size("free") - width, F.lit(0)))
+    named = F.transform(at, lambda i: F.when(reduce(Column.__or__, (F.get("c", i + j) == name for j in range(width))), window("c", i)))
+    plain = F.transform(at, lambda i: window("free", i))
+    both = F.when(F.col("c").isNotNull(), F.concat(plain, named)).otherwise(plain)
+    made = step.select(*kept, F.when(F.size("free") >= width, both).alias("w"))
+    return made.select(*kept, F.explode_outer("w").alias("h")).where("h IS NOT NULL")
+
+
+def windows(texts: DataFrame, width: int = 5) -> DataFrame:
+    """Windows in detail: ``h``, ``pos``, ``slots`` (values in order, joined by
+    GAP), ``plain`` (``h`` of the template), ``words`` (tokens that are no
+    placeholders in it) and ``form`` (1 for the template; 2 for the case-free
+    form, if that differs). Columns other than ``text`` are kept."""
+    kept = [c for c in texts.columns if c != "text"]
     step = texts.select(*kept, tokens(F.col("text")).alias("t"))
-    marked = F.lit(True) if item else F.array_join("t", " ").rlike(f"[{MARK}{BREAK}]")
-    step = step.select(*kept, "t", template(F.col("t")).alias("c"), F.when(marked, template(F.col("t"), MARK + BREAK)).alias("free"))
-    if detail:
-        def values(name: str) -> Column:
-            return F.zip_with(name, "t", lambda c, t: F.when(c != F.translate(t, MARK + BREAK, ""), F.translate(t, MARK + BREAK, "")))
-        step = step.select(*kept, "t", "c", "free", values("c").alias("v"), values("free").alias("fv"))
-
-    def window(i: Column) -> Column:
-        # Single elements: a slice would copy the whole array for each window.
-        made = F.xxhash64(*(F.get("c", i + j if j else i) for j in range(width)))
-        if not detail:
-            return made
-        values = [F.get("v", i + j) for j in range(width)]
-        return F.struct(made.alias("h"), i.alias("pos"), F.concat_ws(GAP, *values).alias("slots"), made.alias("plain"),
-                        sum((x.isNull().cast("int") for x in values), F.lit(0)).alias("words"), F.lit(1).alias("form"))
-
-    def free(i: Column) -> Column:
-        heads = [F.substring(F.get("t", i + j), 1, 1).isin(MARK, BREAK) for j in range(width)]
-        # Salted: an unmarked window is no case-free one.
-        made = F.xxhash64(F.lit(MARK), *(F.get("free", i + j) for j in range(width)))
-        if detail:
-            values, first = [F.get("fv", i + j) for j in range(width)], window(i)
-            made = F.struct(made.alias("h"), i.alias("pos"), F.concat_ws(GAP, *values).alias("slots"), first["plain"].alias("plain"),
-                            first["words"].alias("words"), F.lit(2).alias("form"))
-        return made if item else F.when(reduce(Column.__or__, heads), made)
+    step = step.select(*kept, F.transform("t", lambda x: F.translate(x, MARK + BREAK, "")).alias("t"), typed(F.col("t")).alias("line"))
+    step = step.select(*kept, "t", template(F.col("line")).alias("c"), case_free(F.col("line")).alias("free"))
+
+    def values(name: str) -> Column:
+        return F.zip_with(name, "t", lambda c, t: F.when(c != t, t))
+    step = step.select(*kept, "c", "free", values("c").alias("v"), values("free").alias("fv"))
+
+    def window(i: Column, of: str, values: str, form: int) -> Column:
+        def made(name: str) -> Column:
+            return F.xxhash64(*(F.xxhash64(F.get(name, i + j)) for j in range(width)))
+        own = [F.get(values, i + j) for j in range(width)]
+        words = sum((F.get("v", i + j).isNull().cast("int") for j in range(width)), F.lit(0))
+        found = F.struct(made(of).alias("h"), i.alias("pos"), F.concat_ws(GAP, *own).alias("slots"), made("c").alias("plain"),
+                         words.alias("words"), F.lit(form).alias("form"))
+        return found if form == 1 else F.when(made(of) != made("c"), found)
     at = F.sequence(F.lit(0), F.greatest(F.size("c") - width, F.lit(0)))
-    both = F.when(F.col("free").isNotNull(), F.concat(F.transform(at, window), F.transform(at, free))).otherwise(F.transform(at, window))
+    both = F.concat(F.transform(at, lambda i: window(i, "c", "v", 1)), F.transform(at, lambda i: window(i, "free", "fv", 2)))
     made = step.select(*kept, F.when(F.size("c") >= width, both).alias("w"))
-    found = made.select(*kept, F.explode_outer("w").alias("h" if not detail else "w"))
-    return (found.select(*kept, "w.*") if detail else found).where("h IS NOT NULL")
+    return made.select(*kept, F.explode_outer("w").alias("w")).select(*kept, "w.*").where("h IS NOT NULL")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -128,11 +151,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     (of the item), ``n_matched``, ``n_slots``, ``agreement`` (of the slots;
     null without any)."""
     own = F.col(item_text_col).cast("string")
-    made = (windows(benchmark.select(F.col(item_id_col).alias("item_id"), F.xxhash64(own).alias("it"), own.alias("text")), width, item=True)
+    made = (windows(benchmark.select(F.col(item_id_col).alias("item_id"), F.xxhash64(own).alias("it"), own.alias("text")), width)
             .where(F.col("words") >= least_words)
             .select("item_id", "it", F.col("pos").alias("item_pos"), F.col("h").alias("item_h"), F.col("slots").alias("item_slots"), "plain", F.col("form").alias("item_form")).distinct())
     # One position of each window, with the least slots, votes for the whole document.
-    first = Window.partitionBy("item_id", "item_h").orderBy("item_slots", "it", "item_pos", "plain")
+    first = Window.partitionBy("item_id", "item_h").orderBy("item_form", "item_slots", "it", "item_pos", "plain")
     places = solid(made.withColumn("first", F.row_number().over(first) == 1), "decon-places")
     sizes = places.where("first AND item_form = 1").groupBy("item_id").agg(F.count("*").alias("n_windows"))
     lengths = places.where("item_form = 1").groupBy("item_id", "it").agg(F.count("*").alias("n_places"))
@@ -146,7 +169,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     # Windows of documents that some item has.
     listed = items.select("item_id", "item_h", "plain", "item_form", "n_windows").distinct()
-    met = windows(texts, width, detail=False).join(small(listed), F.col("h") == F.col("item_h"))
+    met = window_hashes(texts, width).join(small(listed), F.col("h") == F.col("item_h"))
     enough = F.lit(share) * F.col("n_windows")
     found = solid(met.groupBy(*key, "plain", "n_windows").agg(F.min("item_form").alias("form"))
                   .groupBy(*key, "n_windows").agg(F.count("*").alias("n_matched"), F.count(F.when(F.col("form") == 1, 1)).alias("n_first"))
@@ -213,8 +236,7 @@ def small(table: DataFrame) -> DataFrame:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits) -> DataFrame:
     """The rows of ``docs`` that contain no item of ``benchmark``."""
-    found = (contaminated(docs, benchmark, id_col, text_col, **limits)
-             .select(F.col("doc_id").alias("__id"), F.col("th").alias("__th")).distinct())
-    own = F.xxhash64(F.col(text_col).cast("string"))
-    return docs.join(solid(found, "decon-found"),
-                     F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (own == F.col("__th")), "left_anti")
+    found = solid(contaminated(docs, benchmark, id_col, text_col, **limits).select("doc_id", "th").distinct(), "decon-found")
+    # Rows travel boxed, so that none of their names can clash with another.
+    boxed = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("text_hash"))
+    return boxed.join(found, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("text_hash") == F.col("th")), "left_anti").select("row.*")

@@ -6,7 +6,7 @@ SMALL = "/root/testdata/sf0.001"
 
 # Names that the operators use inside; as columns of the input they must not matter.
 CLASHES = ("fp", "key", "row", "word", "part", "th", "node", "path", "did", "hits", "score", "rejected", "rate",
-           "shard", "slot", "doc", "h1", "listed", "c0", "n", "p", "license", "train", "kind")
+           "shard", "slot", "id", "text_hash", "__id", "__th", "__text", "__hash", "h", "doc", "h1", "listed", "c0", "n", "p", "license", "train", "kind")
 
 
 def with_clashes(df):
