@@ -11,10 +11,10 @@ text, so a text of any length has values that sum to 1, times SCALE.
 Training. FTRL-proximal: each coordinate keeps z and n, and its weight is 0
 where |z| <= l1, else -(z - sign(z) l1) / ((beta + sqrt n) / alpha + l2). The
 classifier is fitted on a bounded sample: the ``max_train`` different labelled
-(id, text) of least hash. Rows are dealt into ``shards`` parts; in each of ``epochs``
-rounds a task runs through its part, update by update, from the common z and n,
-and the parts' changes are averaged by Spark. What reaches the driver is
-bounded by ``dims``.
+(id, text) of least hash. Their n-gram counts are written in ``shards`` parts; in
+each of ``epochs`` rounds every task that reads a part runs through it, update by
+update, from the common z and n, and the tasks' changes are averaged. What
+reaches the driver is bounded by ``shards`` and ``dims``.
 
 Scores are sparse dot products with the weights, over every whole text, in the
 task that reads it, without a shuffle; the weights (``dims`` floats) are
@@ -98,12 +98,6 @@ def places(text: str | None, codes: Codes, dims: int) -> np.ndarray:
     return (mixed >> np.uint64(64 - (int(dims).bit_length() - 1))).astype(np.int64)
 
 
-def values(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct places and their values."""
-    where, count = np.unique(at, return_counts=True)
-    return where, count * (SCALE / max(1, len(at)))
-
-
 @dataclass
 class Ftrl:
     """State of the learner; place ``dims`` is the bias."""
@@ -139,8 +133,8 @@ def labelled(labels: DataFrame, label: Column, id_col: str) -> DataFrame:
             .select("id", (F.col("share") >= 0.5).cast("int").alias("label")))
 
 
-EXAMPLES = pa.schema([("label", pa.int32()), ("at", pa.list_(pa.int32())), ("x", pa.list_(pa.float32()))])
-CHANGES = pa.schema([("at", pa.int32()), ("z", pa.float64()), ("n", pa.float64())])
+EXAMPLES = pa.schema([("label", pa.int32()), ("at", pa.list_(pa.int32())), ("n", pa.list_(pa.int32()))])
+CHANGES = pa.schema([("z", pa.list_(pa.float64())), ("n", pa.list_(pa.float64()))])
 
 
 @dataclass
@@ -155,19 +149,21 @@ class Quality:
 
 
 def epoch(start: Ftrl, spark: SparkSession):
-    """The pass of one part through its examples, from a common state: the
-    changes that it makes."""
+    """The pass of one task through its examples, from a common state: the
+    changes that it makes, in one row (none without examples)."""
     shared = spark.sparkContext.broadcast((start.z.copy(), start.n.copy(), start.alpha, start.beta, start.l1, start.l2))
 
-    def run(table: pa.Table) -> pa.Table:
+    def run(batches: Batches) -> Batches:
         z, n, *how = shared.value
-        state = Ftrl(z.copy(), n.copy(), *how)
-        for b in table.to_batches():
-            label, at, x = b.column("label").to_numpy(), b.column("at"), b.column("x")
+        state, seen = Ftrl(z.copy(), n.copy(), *how), False
+        for b in batches:
+            label, at, count = b.column("label").to_numpy(), b.column("at"), b.column("n")
             for i in range(b.num_rows):
-                state.learn(np.append(at[i].values.to_numpy(), len(z) - 1), np.append(x[i].values.to_numpy(), 1.0), int(label[i]))
-        moved = np.flatnonzero(state.n != n)
-        return pa.Table.from_batches([batch_of(CHANGES, (moved.astype(np.int32), (state.z - z)[moved], (state.n - n)[moved]))])
+                c = count[i].values.to_numpy().astype(np.float64)
+                state.learn(np.append(at[i].values.to_numpy(), len(z) - 1), np.append(c * (SCALE / max(1.0, c.sum())), 1.0), int(label[i]))
+                seen = True
+        if seen:
+            yield batch_of(CHANGES, ([state.z - z], [state.n - n]))
     return run
 
 
@@ -191,21 +187,21 @@ def fit(docs: DataFrame, labels: DataFrame, label: Column, id_col: str = "doc_id
     def examples(batches: Batches) -> Batches:
         codes = Codes()
         for b in batches:
-            made = [values(places(t, codes, dims)) for t in b.column("text").to_pylist()]
-            yield batch_of(EXAMPLES, (b.column("label"), [a.astype(np.int32) for a, _ in made], [x.astype(np.float32) for _, x in made]))
+            made = [np.unique(places(t, codes, dims), return_counts=True) for t in b.column("text").to_pylist()]
+            yield batch_of(EXAMPLES, (b.column("label"), [a.astype(np.int32) for a, _ in made], [c.astype(np.int32) for _, c in made]))
 
     with batch_rows(docs.sparkSession, TEXT_ROWS):
-        made = (rows.repartition(shards, "id", "pick").sortWithinPartitions(F.xxhash64("id", "pick"), "id")
-                .select("label", "text").mapInArrow(examples, "label int, at array<int>, x array<float>"))
-        train = solid(made.withColumn("shard", F.spark_partition_id()), "quality-train")
+        made = rows.repartition(shards, "id", "pick").sortWithinPartitions(F.xxhash64("id", "pick"), "id").select("label", "text")
+        train = solid(made.mapInArrow(examples, "label int, at array<int>, n array<int>"), "quality-train")
     z, n = np.zeros(dims + 1), np.zeros(dims + 1)
-    parts = max(1, train.select("shard").distinct().count())
     for _ in range(epochs):
-        change = (train.groupBy("shard").applyInArrow(epoch(Ftrl(z, n, alpha, beta, l1, l2), docs.sparkSession), "at int, z double, n double")
-                  .groupBy("at").agg(F.sum("z").alias("z"), F.sum("n").alias("n")).orderBy("at").toArrow())
-        at = change["at"].to_numpy()
-        z[at] += change["z"].to_numpy() / parts
-        n[at] += change["n"].to_numpy() / parts
+        # At most ``shards`` tasks, each with its part, return a row of 2 * dims numbers.
+        with batch_rows(docs.sparkSession, TEXT_ROWS):
+            changes = (train.coalesce(shards).mapInArrow(epoch(Ftrl(z, n, alpha, beta, l1, l2), docs.sparkSession),
+                                                         "z array<double>, n array<double>").toArrow())
+        for at in range(changes.num_rows):
+            z += np.asarray(changes["z"][at].values) / changes.num_rows
+            n += np.asarray(changes["n"][at].values) / changes.num_rows
     state = Ftrl(z, n, alpha, beta, l1, l2)
     return Quality(dims, state.weights().astype(np.float32))
 
