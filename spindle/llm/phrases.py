@@ -5,21 +5,25 @@
    its text as numbers, with 0 between pieces. Word counts are summed over
    shards; in each shard rarer words become breaks too, since no phrase of
    ``least`` occurrences holds one.
-2. Each shard's text gets two FM-indexes, forward and reverse: Burrows-Wheeler
-   transforms from a suffix order of ``most_words`` words depth (phrases are no
-   longer), ranks by a stable sort of their symbols. A phrase is an interval in
-   both. It is extended on the right by the symbols that the reverse transform
-   holds in its interval: one backward step there gives the new reverse
-   interval, the count of smaller symbols the new forward interval, and a step
-   in the forward index from that leads to the interval of the phrase without
-   its first word.
-3. Level by level (two words, three, ...) shards return the extensions of
+2. A reverse index of each shard's text gives its pairs of words with local
+   counts. Their hashes and counts are summed over shards; each shard gets back
+   the hashes of ``least`` occurrences, and puts breaks where no such pair
+   stands. (Pairs that only share a hash stay until step 4.)
+3. What is left of each shard gets two FM-indexes, forward and reverse:
+   Burrows-Wheeler transforms from a suffix order of ``most_words`` words depth
+   (phrases are no longer), ranks by a stable sort of their symbols. A phrase is
+   an interval in both. It is extended on the right by the symbols that the
+   reverse transform holds in its interval: one backward step there gives the
+   new reverse interval, the count of smaller symbols the new forward interval,
+   and a step in the forward index from that leads to the interval of the phrase
+   without its first word.
+4. Level by level (two words, three, ...) shards return the extensions of
    phrases that are frequent in the whole corpus and whose other part is too,
    with their local counts. Spark sums them by (first part, last part), keeps
    those of at least ``least`` occurrences and gives them back to their shards.
    So every phrase of ``least`` occurrences is found and its count is exact, and
    a key has at most one row a shard.
-4. The counts of all first and last parts follow along the links of the levels;
+5. The counts of all first and last parts follow along the links of the levels;
    the greatest count of a phrase's one-word extensions to the left and to the
    right tells whether a longer candidate has the same count (a phrase within a
    longer one of equal count is also within one that is longer by one word).
@@ -40,11 +44,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spindle.llm.common import THIN_ROWS, Batches, batch_of, blobs, solid
+from spindle.session import drop_scratch
 
 UND = "und"
 BREAKS = b".,;:!?\n\x0b\x0c\r"
@@ -56,6 +62,14 @@ OUT_ROWS = 1 << 16
 # Shards
 # ---------------------------------------------------------------------------
 
+def packed(numbers: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(numbers.tobytes())
+
+
+def unpacked(data: bytes, kind: type) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
+
+
 class Numbers(dict):
     """Numbers of a language's words, counted on over all languages of a shard."""
 
@@ -93,7 +107,7 @@ class Shard:
     def rows(self, number: int) -> Iterator[pa.RecordBatch]:
         text = np.concatenate(self.parts)
         counts = np.bincount(text, minlength=len(self.words) + 1)
-        yield batch_of(SHARDS, ([number], [None], [None], [None], [None], [text.tobytes()]))
+        yield batch_of(SHARDS, ([number], [None], [None], [None], [None], [packed(text)]))
         for at in range(0, len(self.words), OUT_ROWS):
             own = self.words[at:at + OUT_ROWS]
             k = len(own)
@@ -145,7 +159,7 @@ def transform(text: np.ndarray, depth: int) -> np.ndarray:
     rank, width = text.astype(np.int64), 1
     while True:
         key = rank * (int(rank.max()) + 1) + np.roll(rank, -width)
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         width *= 2
         if width >= depth:
             return np.roll(text, 1)[order]
@@ -165,74 +179,131 @@ def ranges(start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size) + start[owner], owner
 
 
+def symbols_after(reverse: np.ndarray, rlow: np.ndarray, n: np.ndarray):
+    """The symbols that follow each phrase, whose reverse interval starts at
+    ``rlow`` and has ``n`` rows: the phrase, the symbol, how often, and the
+    first row that holds it."""
+    rows, owner = ranges(rlow, n)
+    width = int(reverse.max(initial=0)) + 1
+    key = owner * width + reverse[rows]
+    del owner
+    order = np.argsort(key)
+    key, rows = key[order], rows[order]
+    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.empty(0, np.int64)
+    size = np.diff(np.append(first, len(key)))
+    return key[first] // width, key[first] % width, size, np.minimum.reduceat(rows, first) if len(first) else first
+
+
 class Index:
     """Forward and reverse transform of one shard."""
 
     def __init__(self, forward: np.ndarray, reverse: np.ndarray):
         self.reverse = reverse
-        self.next = forward_steps(forward)
-        self.back = np.empty(len(reverse), np.int64)          # backward steps of the reverse index
-        self.back[forward_steps(reverse)] = np.arange(len(reverse))
+        self.next = forward_steps(forward).astype(np.int32)
+        self.back = np.empty(len(reverse), np.int32)          # backward steps of the reverse index
+        self.back[forward_steps(reverse)] = np.arange(len(reverse), dtype=np.int32)
 
     def extended(self, low: np.ndarray, rlow: np.ndarray, n: np.ndarray, name: np.ndarray):
         """Right extensions of the phrases whose forward and reverse intervals
         start at ``low`` and ``rlow`` and have ``n`` rows: the phrase's
         ``name``, the name of the extension's last part (only extensions that
         have one), and the extension's intervals and size."""
-        names = np.zeros(len(self.next), np.int64)
+        names = np.zeros(len(self.next) + 1, np.int64)
         rows, owner = ranges(low, n)
         names[rows] = name[owner]
-        rows, owner = ranges(rlow, n)
-        symbol = self.reverse[rows].astype(np.int64)
-        key = owner * (int(symbol.max(initial=0)) + 1) + symbol
-        order = np.argsort(key, kind="stable")
-        key, owner = key[order], owner[order]
-        first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.empty(0, np.int64)
-        size = np.diff(np.append(first, len(key)))
-        owner = owner[first]
+        owner, symbol, size, row = symbols_after(self.reverse, rlow, n)
         before = np.cumsum(size) - size
-        start = np.searchsorted(owner, np.arange(len(low)))
-        smaller = before - np.append(before, 0)[start][owner]
-        new_low, new_rlow = low[owner] + smaller, self.back[rows[order[first]]]
-        last = names[self.next[np.minimum(new_low, len(names) - 1)]] if len(names) else new_low
-        good = (symbol[order[first]] != 0) & (last != 0)
+        smaller = before - np.append(before, 0)[np.searchsorted(owner, np.arange(len(low)))][owner]
+        new_low, new_rlow = low[owner] + smaller, self.back[row]
+        last = names[self.next[new_low]]
+        good = (symbol != 0) & (last != 0)
         return name[owner[good]], last[good], new_low[good], new_rlow[good], size[good]
 
 
-LEVEL = "shard long, low int, rlow int, n int, prefix long, suffix long, forward binary, reverse binary"
+LEVEL = "shard long, low int, rlow int, n int, prefix long, suffix long, wide boolean, forward binary, reverse binary"
 LEVEL_ARROW = pa.schema([("shard", pa.int64()), ("low", pa.int32()), ("rlow", pa.int32()), ("n", pa.int32()), ("prefix", pa.int64()),
-                         ("suffix", pa.int64()), ("forward", pa.binary()), ("reverse", pa.binary())])
+                         ("suffix", pa.int64()), ("wide", pa.bool_()), ("forward", pa.binary()), ("reverse", pa.binary())])
+PAIRS = "shard long, pair long, n int"
+PAIRS_ARROW = pa.schema([("shard", pa.int64()), ("pair", pa.int64()), ("n", pa.int32())])
 
 
 def extensions(shard: int, found) -> pa.RecordBatch:
     prefix, suffix, low, rlow, n = found
     none = pa.nulls(len(low), pa.binary())
-    return batch_of(LEVEL_ARROW, (np.full(len(low), shard, np.int64), low.astype(np.int32), rlow.astype(np.int32), n.astype(np.int32), prefix, suffix, none, none))
+    return batch_of(LEVEL_ARROW, (np.full(len(low), shard, np.int64), low.astype(np.int32), rlow.astype(np.int32), n.astype(np.int32),
+                                  prefix, suffix, pa.nulls(len(low), pa.bool_()), none, none))
 
 
 def column(table: pa.Table, name: str) -> np.ndarray:
     return table[name].to_numpy()
 
 
+def frequent_text(texts: pa.Table, at: np.ndarray, name: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A shard's text with its frequent words numbered from 1, all else 0, and
+    the names of these numbers (of 0 first)."""
+    text = unpacked(texts["text"][0].as_py(), np.int32)
+    order = np.argsort(at)
+    dense = np.zeros(max(int(text.max()), int(at.max())) + 1, np.uint16 if len(at) < 1 << 16 else np.uint32)
+    dense[at[order]] = np.arange(1, len(at) + 1)
+    return dense[text], np.concatenate(([0], name[order]))
+
+
+def hashed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hash of two names."""
+    x = a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + b.astype(np.uint64)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return (x ^ (x >> np.uint64(32))).view(np.int64)
+
+
+def pairs(texts: pa.Table, words: pa.Table) -> pa.Table:
+    """Hashes and local counts of a shard's pairs of frequent words."""
+    if not texts.num_rows or not words.num_rows:
+        return PAIRS_ARROW.empty_table()
+    text, names = frequent_text(texts, column(words, "at"), column(words, "name"))
+    text = thinned(text)
+    if not len(text):
+        return PAIRS_ARROW.empty_table()
+    n = np.bincount(text, minlength=len(names))
+    word, symbol, size, _ = symbols_after(transform(text[::-1], 1), (np.cumsum(n) - n)[1:], n[1:])
+    good = symbol != 0
+    pair = hashed(names[1:][word[good]], names[symbol[good]])
+    return pa.Table.from_batches([batch_of(PAIRS_ARROW, (np.full(len(pair), texts["shard"][0].as_py()), pair, size[good].astype(np.int32)))])
+
+
+def cut_at(text: np.ndarray, joined: np.ndarray) -> np.ndarray:
+    """``text`` without the words that are joined to neither neighbour
+    (``joined``: each word to the next), with breaks where words are not joined."""
+    live = joined.copy()
+    live[1:] |= joined[:-1]
+    kept, after = text[live], joined[live]
+    out = np.zeros(len(kept) + int((~after).sum()) + 1, text.dtype)
+    out[1 + np.arange(len(kept)) + np.cumsum(~after) - ~after] = kept
+    return out
+
+
 def built(depth: int):
     """Indexes of a shard, and its phrases of two frequent words."""
-    def run(texts: pa.Table, frequent: pa.Table) -> pa.Table:
-        if not texts.num_rows or not frequent.num_rows:
+    def run(texts: pa.Table, given: pa.Table) -> pa.Table:
+        if not texts.num_rows or not given.num_rows:
             return LEVEL_ARROW.empty_table()
         shard = texts["shard"][0].as_py()
-        text = np.frombuffer(texts["text"][0].as_py(), np.int32)
-        at, name = column(frequent, "at"), column(frequent, "name")
-        order = np.argsort(at)
-        dense = np.zeros(max(int(text.max()), int(at.max())) + 1, np.int64)
-        dense[at[order]] = np.arange(1, len(at) + 1)
-        text = thinned(dense[text].astype(np.uint16 if len(at) < 1 << 16 else np.uint32))
-        if not len(text):
+        is_word = given["at"].is_valid().to_numpy()
+        text, names = frequent_text(texts, given["at"].drop_null().to_numpy(), column(given, "name")[is_word])
+        pair = np.sort(column(given, "name")[~is_word])
+        if not len(pair):
+            return LEVEL_ARROW.empty_table()
+        joined = np.zeros(len(text), bool)
+        both = np.flatnonzero((text[:-1] != 0) & (text[1:] != 0))
+        found = hashed(names[text[both]], names[text[both + 1]])
+        joined[both] = pair[np.minimum(np.searchsorted(pair, found), len(pair) - 1)] == found
+        text = cut_at(text, joined)
+        if len(text) < 2:
             return LEVEL_ARROW.empty_table()
         forward, reverse = transform(text, depth), transform(text[::-1], depth)
-        n = np.bincount(text, minlength=len(at) + 1)
+        n = np.bincount(text, minlength=len(names))
         low = np.cumsum(n) - n
-        found = Index(forward, reverse).extended(low[1:], low[1:], n[1:], name[order])
-        kept = batch_of(LEVEL_ARROW, ([shard], *([None],) * 5, [forward.tobytes()], [reverse.tobytes()]))
+        found = Index(forward, reverse).extended(low[1:], low[1:], n[1:], names[1:])
+        kept = batch_of(LEVEL_ARROW, ([shard], *([None],) * 5, [text.dtype.itemsize > 2], [packed(forward)], [packed(reverse)]))
         return pa.Table.from_batches([kept, extensions(shard, found)])
     return run
 
@@ -241,11 +312,11 @@ def grown(indexes: pa.Table, frequent: pa.Table) -> pa.Table:
     """Phrases of a shard that are one word longer than the frequent ones."""
     if not indexes.num_rows or not frequent.num_rows:
         return LEVEL_ARROW.empty_table()
-    size = indexes["wide"][0].as_py()
-    read = lambda name: np.frombuffer(indexes[name][0].as_py(), np.uint32 if size else np.uint16)
+    kind = np.uint32 if indexes["wide"][0].as_py() else np.uint16
+    forward, reverse = (unpacked(indexes[c][0].as_py(), kind) for c in ("forward", "reverse"))
     frequent = frequent.sort_by("low")
     low, rlow, n = (column(frequent, c).astype(np.int64) for c in ("low", "rlow", "n"))
-    found = Index(read("forward"), read("reverse")).extended(low, rlow, n, column(frequent, "name"))
+    found = Index(forward, reverse).extended(low, rlow, n, column(frequent, "name"))
     return pa.Table.from_batches([extensions(indexes["shard"][0].as_py(), found)])
 
 
@@ -264,7 +335,7 @@ def named(rows: DataFrame, key: list[str], at: str, least: int) -> DataFrame:
 
 
 def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = 100, most_words: int = 5,
-                     shard_words: int = 2_000_000) -> tuple[DataFrame, list[DataFrame]]:
+                     shard_words: int = 3_000_000) -> tuple[DataFrame, list[DataFrame]]:
     """``lang``, ``total`` (word occurrences); and for each number of words a
     table of the frequent phrases: ``name``, ``lang``, ``words``, ``f``, and
     the counts ``heads`` and ``tails`` of their first and last 1, 2, ... words."""
@@ -272,20 +343,23 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
         raise ValueError("most_words must be at least 2 and least at least 1")
     made = solid(shards(docs, text_col, lang_col, shard_words), "phrases-shards")
     words, texts = made.where("text IS NULL").drop("text"), made.where("text IS NOT NULL").select("shard", "text")
-    totals = words.groupBy("lang").agg(F.sum("n").alias("total"))
+    totals = solid(words.groupBy("lang").agg(F.sum("n").alias("total")), "phrases-totals")
     now = solid(named(words, ["lang", "word"], "at", least), "phrases-words", THIN_ROWS)
     levels = [now.where("first").select("name", "lang", F.array("word").alias("words"), "f", F.array("f").alias("heads"), F.array("f").alias("tails"))]
-    indexes = None
+    numbers = now.select("shard", "at", "name")
+    by_shard = texts.groupBy("shard")
+    counted = by_shard.cogroup(numbers.groupBy("shard")).applyInArrow(pairs, PAIRS)
+    kept = solid(counted.withColumn("f", F.sum("n").over(Window.partitionBy("pair"))).where(F.col("f") >= least)
+                 .select("shard", F.lit(None).cast("int").alias("at"), F.col("pair").alias("name")), "phrases-pairs", THIN_ROWS)
+    rows = by_shard.cogroup(numbers.unionByName(kept).groupBy("shard")).applyInArrow(built(most_words), LEVEL)
     for size in range(2, most_words + 1):
-        if indexes is None:
-            rows = texts.groupBy("shard").cogroup(now.select("shard", "at", "name").groupBy("shard")).applyInArrow(built(most_words), LEVEL)
-        else:
-            rows = indexes.groupBy("shard").cogroup(now.select("shard", "low", "rlow", "n", "name").groupBy("shard")).applyInArrow(grown, LEVEL)
         rows = solid(rows, "phrases-extended", THIN_ROWS)
-        if indexes is None:
-            wide = now.groupBy("shard").agg((F.count("*") >= 1 << 16).alias("wide"))
-            indexes = solid(rows.where("forward IS NOT NULL").select("shard", "forward", "reverse").join(wide, "shard"), "phrases-indexes")
-        now = solid(named(rows.where("forward IS NULL").drop("forward", "reverse"), ["prefix", "suffix"], "low", least), "phrases-frequent", THIN_ROWS)
+        if size == 2:
+            indexes = rows.where("forward IS NOT NULL").select("shard", "wide", "forward", "reverse")
+            drop_scratch(docs.sparkSession, *{f.rpartition("/")[0] for f in made.inputFiles()})
+        rows = rows.where("forward IS NULL").select("shard", "low", "rlow", "n", "prefix", "suffix")
+        now = solid(named(rows, ["prefix", "suffix"], "low", least), "phrases-frequent", THIN_ROWS)
+        rows = indexes.groupBy("shard").cogroup(now.select("shard", "low", "rlow", "n", "name").groupBy("shard")).applyInArrow(grown, LEVEL)
         h, t = levels[-1].alias("h"), levels[-1].alias("t")
         own = now.where("first").select("name", "prefix", "suffix", "f").alias("p")
         linked = own.join(h, F.col("p.prefix") == F.col("h.name")).join(t, F.col("p.suffix") == F.col("t.name"))
@@ -322,7 +396,7 @@ def best_cut(total: Column) -> Column:
 
 
 def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = 100, most_words: int = 5,
-                 top: int = 2000, shard_words: int = 2_000_000) -> DataFrame:
+                 top: int = 2000, shard_words: int = 3_000_000) -> DataFrame:
     """The ``top`` phrases of each language: ``lang``, ``rank``, ``phrase``,
     ``a``, ``l``, ``r``, ``n``, ``score``, ``cut`` (words before the cut)."""
     totals, levels = frequent_phrases(docs, text_col, lang_col, least, most_words, shard_words)

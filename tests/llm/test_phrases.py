@@ -70,6 +70,9 @@ def test_transform_and_extension():
 
 
 def test_thinned():
+    cut = P.cut_at(np.array([0, 1, 2, 3, 4, 0, 5, 6, 7], np.uint16), np.array([0, 1, 0, 1, 0, 0, 0, 1, 0], bool))
+    assert cut.tolist() == [0, 1, 2, 0, 3, 4, 0, 6, 7, 0]
+    assert P.cut_at(np.array([0, 1, 2, 0], np.uint16), np.zeros(4, bool)).tolist() == [0]
     assert P.thinned(np.array([0, 1, 0, 0, 2, 3, 0, 4, 0, 5, 6, 7, 0, 0], np.uint16)).tolist() == [0, 2, 3, 0, 5, 6, 7, 0]
     assert P.thinned(np.array([0, 1, 0, 2, 0], np.uint16)).tolist() == []
 
