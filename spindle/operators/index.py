@@ -54,13 +54,14 @@ def document_table(postings: DataFrame) -> DataFrame:
 
 
 def lexicon_table(postings: DataFrame) -> DataFrame:
-    """Inverted-index summary: ``(term, df, cf)`` per term.
+    """Inverted-index summary: ``(term, df, cf, max_tf)`` per term.
 
     Postings are unique per (title, term), so df is a plain count.
     """
     return postings.groupBy("term").agg(
         F.count(F.lit(1)).alias("df"),
-        F.sum("tf").cast("bigint").alias("cf"))
+        F.sum("tf").cast("bigint").alias("cf"),
+        F.max("tf").cast("bigint").alias("max_tf"))
 
 
 def corpus_stats(documents: DataFrame) -> DataFrame:
@@ -122,6 +123,7 @@ class Index:
     forward_df: DataFrame | None = None
     materialized: bool = False
     known_scalars: "CorpusScalars | None" = None
+    lexicon_parts: DataFrame | None = None      # summed up by term they are lexicon_df
 
     def flat(self) -> DataFrame:
         return self.postings.select(*POSTINGS_COLUMNS)
@@ -139,7 +141,7 @@ class Index:
     def lexicon(self) -> DataFrame:
         if self.lexicon_df is not None:
             return self.lexicon_df.select("term", "df", "cf")
-        return lexicon_table(self.flat())
+        return lexicon_table(self.flat()).select("term", "df", "cf")
 
     def stats(self) -> DataFrame:
         return self.stats_df if self.stats_df is not None else corpus_stats(self.documents())
@@ -168,7 +170,7 @@ class Index:
     def lexicon_for_terms(self, terms: list[str]) -> DataFrame:
         if self.lexicon_df is not None:
             return _filter_terms(self.lexicon_df, terms, self.n_buckets).select("term", "df", "cf")
-        return lexicon_table(self.postings_for_terms(terms))
+        return lexicon_table(self.postings_for_terms(terms)).select("term", "df", "cf")
 
     def register_views(self, prefix: str = "") -> None:
         """Expose the index to ``spark.sql`` as temp views ``<prefix>postings``,
@@ -178,6 +180,11 @@ class Index:
         self.lexicon().createOrReplaceTempView(f"{prefix}lexicon")
         self.stats().createOrReplaceTempView(f"{prefix}stats")
 
+    def solid(self, derived: DataFrame, name: str) -> DataFrame:
+        """A derived table without an aggregate beneath it: as it is where it is
+        stored, written once otherwise."""
+        return derived if self.n_buckets and self.lexicon_parts is self.lexicon_df else materialize(derived, name)
+
     @property
     def is_lazy(self) -> bool:
         """True when the postings are still a plan over the raw documents."""
@@ -267,7 +274,7 @@ def inverted_blocks(index: Index, block_size: int = DEFAULT_BLOCK_SIZE) -> DataF
     split, and its blocks are spread over tasks.
     """
     index = materialize_index(index)
-    lex = materialize(index.lexicon().select("term", "df"), "lexicon")
+    lex = index.solid(index.lexicon().select("term", "df"), "lexicon")
     sized = index.flat().join(lex, "term")
     keyed = sized.withColumn(
         "block", F.pmod(stable_hash(F.coalesce("title", F.lit(""))), block_count(F.col("df"), block_size)))
@@ -282,7 +289,7 @@ def forward_blocks(index: Index, block_size: int = DEFAULT_BLOCK_SIZE) -> DataFr
     ``block_size`` (term, tf) entries of one document vector, sorted by term.
     Spread like :func:`inverted_blocks`."""
     index = materialize_index(index)
-    docs = materialize(index.documents().select("title", "n_terms"), "documents")
+    docs = index.solid(index.documents().select("title", "n_terms"), "documents")
     sized = join_null_safe(index.flat(), docs, ["title"])
     keyed = sized.withColumn(
         "block", F.pmod(stable_hash(F.col("term")), block_count(F.col("n_terms"), block_size)))
@@ -305,13 +312,24 @@ def map_tf(vec: Column, term: Column) -> Column:
 
 def map_lookup(index: Index, pairs: DataFrame, block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
     """``forward_lookup`` through the nested maps: each pair goes to the one
-    block of its document that its term would stand in."""
+    block of its document that its term would stand in.
+
+    Only these blocks are built: the postings are first reduced to the
+    documents and blocks asked for, by a semi-join that broadcasts them if their
+    measured size allows, so a lookup of few pairs moves nothing of the index.
+    """
     index = materialize_index(index)
-    docs = materialize(index.documents().select("title", "n_terms"), "documents")
-    asked = join_null_safe(pairs.select("title", "term"), docs, ["title"], "left")
-    asked = asked.select("title", "term", F.pmod(stable_hash(F.col("term")), block_count(
-        F.coalesce("n_terms", F.lit(0)), block_size)).alias("block"))
-    found = join_null_safe(asked, forward_maps(index, block_size), ["title", "block"], "left")
+    titles = broadcast_if_small(pairs.select("title").distinct())
+    docs = join_null_safe(index.documents().select("title", "n_terms"), titles, ["title"], "left_semi")
+    asked = join_null_safe(pairs.select("title", "term"), docs, ["title"], "left").select(
+        "title", "term", block_count(F.coalesce("n_terms", F.lit(0)), block_size).alias("blocks"))
+    asked = materialize(asked.withColumn("block", F.pmod(stable_hash(F.col("term")), F.col("blocks"))), "asked")
+    wanted = broadcast_if_small(asked.select("title", "blocks", "block").distinct())
+    rows = join_null_safe(index.forward(), wanted.withColumnRenamed("block", "wanted"), ["title"])
+    rows = rows.where(F.pmod(stable_hash(F.col("term")), F.col("blocks")) == F.col("wanted"))
+    maps = rows.groupBy("title", F.col("wanted").alias("block")).agg(
+        F.map_from_entries(F.collect_list(F.struct("term", "tf"))).alias("vec"))
+    found = join_null_safe(asked, maps, ["title", "block"], "left")
     return found.select("title", "term", map_tf(F.col("vec"), F.col("term")).alias("tf"))
 
 

@@ -5,8 +5,8 @@ Plan of one query (no Python in the hot path)::
     postings WHERE term IN (query terms)          -- pushed into the scan
       JOIN broadcast(query weights)                -- bounded by the query text
       GROUP BY title  SUM(term score)              -- partial + final
-      [LEFT JOIN onto all documents, 0 if absent]  -- reference behaviour
       ORDER BY score DESC, title ASC LIMIT k       -- TakeOrderedAndProject
+      [UNION the first k other documents, score 0, if fewer than k are positive]
 
 Query weights = lexicon rows of the query terms (df) joined with the
 query's own term counts (qtf); D and avgdl are literals read from the
@@ -25,15 +25,17 @@ Semantics kept from the reference, on purpose:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from spindle.functions.scoring import (BM25_B, BM25_K, DEFAULT_TOP_K, bm25_param, bm25_term,
                                        idf, naive_term, okapi_param, tfidf)
 from spindle.functions.text import tokens
-from spindle.operators.index import Index, materialize_index, term_bucket
-from spindle.operators.joins import broadcast_if_small, join_null_safe, materialize
+from spindle.operators.index import Index, lexicon_table, materialize_index, term_bucket
+from spindle.operators.joins import broadcast_if_small, join_null_safe
+from spindle.operators.pruning import batch_scores, best
 
 METHODS = ("bm25", "naive")
 # Scores are sums whose last bits depend on the order of summation; rounded to
@@ -156,21 +158,39 @@ def top_k(scores: DataFrame, k: int | None = DEFAULT_TOP_K,
     return ordered.limit(k) if k is not None else ordered
 
 
+def top_k_of_all(index: Index, scores: DataFrame, k: int, decimals: int | None = DEFAULT_DECIMALS) -> DataFrame:
+    """The top ``k`` of every indexed document, of which ``scores`` holds those
+    that matched; the others score 0.
+
+    The matched top ``k`` come first. Documents without a match can only enter
+    if fewer than ``k`` of these score above 0: a scalar subquery, which keeps
+    every row of the documents out of the plan's joins otherwise. Of those with
+    score 0 the first ``k`` titles are enough.
+    """
+    matched = top_k(scores, k, decimals)
+    positive = matched.agg(F.count(F.when(F.col("score") > 0, F.lit(1))).alias("n")).scalar()
+    rest = index.documents().select("title").where(positive < k)
+    zeros = (join_null_safe(rest, scores.select("title"), ["title"], "left_anti")
+             .select("title", F.lit(0.0).alias("score")).orderBy(F.asc("title")).limit(k))
+    return matched.unionByName(zeros).orderBy(F.desc("score"), F.asc("title")).limit(k)
+
+
 def rank(index: Index, query: str, method: str = "bm25", k: int | None = DEFAULT_TOP_K,
          matched_only: bool = False, length_norm: str = "corpus",
          decimals: int | None = DEFAULT_DECIMALS) -> DataFrame:
-    """Ranked ``(title, score)`` for one query string: one lazy plan, the same
-    for every ``k`` (None returns every document, ordered).
+    """Ranked ``(title, score)`` for one query string, one lazy plan
+    (``k`` None returns every document, ordered).
 
     ``matched_only=True`` skips documents without a query term (the report's
-    planned improvement) and with them the join onto all documents. Rank a
-    stored or materialised index: over a lazy one each branch of the plan would
-    tokenize the documents again.
+    planned improvement). Rank a stored or materialised index: over a lazy one
+    each branch of the plan would tokenize the documents again.
     """
     scores = matched_scores(index, query, method, length_norm)
     if matched_only:
         return top_k(scores, k, decimals)
-    return top_k(all_document_scores(index, scores), k, decimals)
+    if k is None:
+        return top_k(all_document_scores(index, scores), None, decimals)
+    return top_k_of_all(index, scores, k, decimals)
 
 
 def tfidf_postings(index: Index) -> DataFrame:
@@ -179,7 +199,7 @@ def tfidf_postings(index: Index) -> DataFrame:
     tokenized once, and the join of a hot term can be split."""
     index = materialize_index(index)
     d = index.scalars().lit("d")
-    lex = materialize(index.lexicon().select("term", "df"), "lexicon")
+    lex = index.solid(index.lexicon().select("term", "df"), "lexicon")
     weighted = index.flat().join(lex, "term")
     w_idf = idf(d, F.col("df"))
     return (weighted.select("title", "term", "tf", "df", w_idf.alias("idf"))
@@ -198,12 +218,45 @@ def batch_query_terms(queries: DataFrame, id_col: str = "query_id",
     return toks.groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qtf"))
 
 
+def batch_weights(index: Index, queries: DataFrame, id_col: str = "query_id", text_col: str = "text") -> tuple[list[str], DataFrame]:
+    """The join columns, and a row per query and term of the index:
+    ``query_id``, the join columns, ``qtf``, ``df``, ``max_tf``, ``idf``, ``param``."""
+    qt = batch_query_terms(queries, id_col, text_col)
+    c = index.scalars()
+    # A stored index is joined on its bucket directories as well: Spark prunes
+    # those that no query term falls into when it runs the plan. (It considers
+    # that for a side with a comparison; this one holds for every row.)
+    on, every = ["term"], F.lit(True)
+    if index.n_buckets:
+        on, every = ["term_bucket", "term"], F.col("term_bucket") >= 0
+        qt = qt.withColumn("term_bucket", term_bucket(F.col("term"), index.n_buckets))
+    qt = broadcast_if_small(qt)
+    # Parts of the lexicon are reduced to the queries' terms before they are summed.
+    lex = index.lexicon_parts if index.n_buckets else lexicon_table(index.flat())
+    weights = (lex.select(*on, "df", "max_tf").join(qt.where(every), on)
+               .groupBy("query_id", *on, "qtf").agg(F.sum("df").alias("df"), F.max("max_tf").alias("max_tf"))
+               .select("query_id", *on, "qtf", "df", "max_tf",
+                       idf(c.lit("d"), F.col("df")).alias("idf"),
+                       bm25_param(c.lit("d"), c.lit("avgdl")).alias("param")))
+    return on, weights
+
+
+def batch_contribution(method: str) -> Callable[[Column], Column]:
+    def contribution(tf: Column) -> Column:
+        if method == "naive":
+            return naive_term(F.col("qtf"), tf, F.col("idf"))
+        return bm25_term(F.col("idf"), tf, F.col("param"))
+    return contribution
+
+
 def rank_batch(index: Index, queries: DataFrame, method: str = "bm25",
                k: int = DEFAULT_TOP_K, id_col: str = "query_id",
                text_col: str = "text", decimals: int | None = DEFAULT_DECIMALS) -> DataFrame:
     """Top-k per query for a table of queries: ``(query_id, rank, title, score)``.
 
-    Only documents that hold at least one term of the query are ranked.
+    Only documents that hold at least one term of the query are ranked, and of
+    these only the ones that upper bounds of their scores leave in question are
+    scored in full (:mod:`spindle.operators.pruning`); the result is exact.
     The per-query term table grows with the number of queries, so it is
     broadcast only after a size check; top-k per query uses
     ``row_number() <= k``, which Spark plans with a partial group limit
@@ -215,34 +268,11 @@ def rank_batch(index: Index, queries: DataFrame, method: str = "bm25",
     if k is None or k < 1:
         raise ValueError("rank_batch needs a positive k (top-k per query)")
     index = materialize_index(index)
-    qt = batch_query_terms(queries, id_col, text_col)
-    c = index.scalars()
-    # A stored index is joined on its bucket directories as well: Spark prunes
-    # those that no query term falls into when it runs the plan. (It considers
-    # that for a side with a comparison; this one holds for every row.)
-    on, every = ["term"], F.lit(True)
-    if index.n_buckets:
-        on, every = ["term_bucket", "term"], F.col("term_bucket") >= 0
-        qt = qt.withColumn("term_bucket", term_bucket(F.col("term"), index.n_buckets))
-    qt = broadcast_if_small(qt)
-    lex = index.lexicon_df if index.n_buckets else index.lexicon()
-    weights = (lex.select(*on, "df").join(qt.where(every), on)
-               .select("query_id", *on, "qtf", "df",
-                       idf(c.lit("d"), F.col("df")).alias("idf"),
-                       bm25_param(c.lit("d"), c.lit("avgdl")).alias("param")))
-    weights = broadcast_if_small(weights)
-    hits = index.postings.select(*on, "title", "tf").join(weights.where(every), on)
-    if method == "naive":
-        contrib = naive_term(F.col("qtf"), F.col("tf"), F.col("idf"))
-    else:
-        contrib = bm25_term(F.col("idf"), F.col("tf"), F.col("param"))
-    scores = hits.groupBy("query_id", "title").agg(F.sum(contrib).alias("score"))
+    on, weights = batch_weights(index, queries, id_col, text_col)
+    scores = batch_scores(index.postings.select(*on, "title", "tf"), on, weights, batch_contribution(method), k, decimals).scores
     if decimals is not None:
         scores = scores.withColumn("score", F.round("score", decimals))
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("title"))
-    ranked = (scores.withColumn("rank", F.row_number().over(w).cast("bigint"))
-              .where(F.col("rank") <= k))
-    return ranked.select("query_id", "rank", "title", "score")
+    return best(scores, k, F.desc("score"), F.asc("title")).select("query_id", "rank", "title", "score")
 
 
 def lexicon_idf(index: Index) -> DataFrame:

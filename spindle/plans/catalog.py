@@ -26,7 +26,7 @@ from spindle.operators.rank import (METHODS, batch_query_terms, check_method, le
                                     query_weights, rank, rank_batch, tfidf_postings)
 from spindle.plans import oracle as O
 from spindle.session import scratch_path
-from spindle.sources.documents import (corpus, load_table, read_documents_json, table_documents,
+from spindle.sources.documents import (corpus, load_table, read_documents_json, read_documents_json_checked, table_documents,
                                        write_documents_json)
 from spindle.plans.jobs import add_job
 from spindle.sources.store import compact_index, load_index, save_index
@@ -202,7 +202,7 @@ def added_null_title(spark: SparkSession, sf: str) -> Index:
     if key not in _ADDED_NULL:
         old, path = scratch_path(spark, "index"), scratch_path(spark, "index-added")
         save_index(build_index(null_title_corpus(spark, sf)), old, n_buckets=STORED_BUCKETS)
-        add_job(spark, null_title_corpus(spark, sf, "benchmark", "item_id"), old, path, layout="auto")
+        add_job(spark, null_title_corpus(spark, sf, "benchmark", "item_id"), old, path)
         _ADDED_NULL[key] = path
     return load_index(spark, _ADDED_NULL[key])
 
@@ -272,7 +272,7 @@ def added_index(spark: SparkSession, sf: str) -> Index:
     if key not in _ADDED:
         stored_index(spark, sf)
         path = scratch_path(spark, "index-added")
-        add_job(spark, _new_documents(spark, sf), _STORED[key], path, layout="auto")
+        add_job(spark, _new_documents(spark, sf), _STORED[key], path)
         _ADDED[key] = path
     return load_index(spark, _ADDED[key])
 
@@ -307,6 +307,19 @@ def q_json_document_scan(spark, sf):
     return read_documents_json(spark, path)
 
 
+def q_json_bad_lines(spark, sf):
+    """Every document as a JSON line; of ids that end in 3 cut short, in 4 no JSON."""
+    path = scratch_path(spark, "json-lines")
+    docs = load_table(spark, sf, "documents")
+    line = F.to_json(F.struct(F.col("doc_id").cast("string").alias("title"), "text"))
+    end = F.col("doc_id") % 10
+    docs.select(F.when(end == 3, F.substring(line, F.lit(1), F.length(line) - 1)).when(end == 4, F.lit("no json, doc_id 4"))
+                .otherwise(line).alias("value")).write.text(path)
+    good, bad = read_documents_json_checked(spark, path)
+    return (good.select(F.lit("document").alias("kind"), "title").unionByName(bad.select(F.lit("bad line").alias("kind"), F.lit(None).cast("string").alias("title")))
+            .groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.count("title").alias("n_titles")))
+
+
 def q_json_index_build(spark, sf):
     path = scratch_path(spark, "json-docs")
     write_documents_json(corpus(spark, sf), path)
@@ -606,6 +619,9 @@ ENTRIES: dict[str, tuple[Query, str | None]] = {
         "round(sum(n_tokens) / count(*), 6) AS avg_tokens FROM mdocs")),
     "json_document_scan": (q_json_document_scan,
                            "SELECT CAST(doc_id AS VARCHAR) AS title, text FROM documents"),
+    "json_bad_lines": (q_json_bad_lines,
+                       "SELECT CASE WHEN doc_id % 10 IN (3, 4) THEN 'bad line' ELSE 'document' END AS kind, count(*) AS n, "
+                       "count(*) FILTER (doc_id % 10 NOT IN (3, 4)) AS n_titles FROM documents GROUP BY 1"),
     "json_index_build": (q_json_index_build, _with(C) + "SELECT title, term, tf FROM postings"),
     "index_docs_roundtrip": (q_index_docs_roundtrip, _with(C) + "SELECT title, term, tf FROM postings"),
     "index_words_roundtrip": (q_index_words_roundtrip,

@@ -6,10 +6,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from spindle.operators.index import Index, build_index, merge_postings, term_frequency
-from spindle.operators.joins import fits_broadcast, materialize
+from spindle.operators.joins import materialize
 from spindle.operators.rank import DEFAULT_TOP_K, check_method, rank
-from spindle.session import drop_scratch
-from spindle.sources.store import append_merged, load_index, save_index, scratch_of
+from spindle.session import drop_scratch, shuffle_width
+from spindle.sources.store import add_segment, load_index, save_index, scratch_of
 
 
 def build_job(docs: DataFrame, out_root: str, n_buckets: int | None = None,
@@ -24,28 +24,27 @@ def add_job(spark: SparkSession, new_docs: DataFrame, old_root: str, out_root: s
 
     A title that is already indexed keeps its old terms, and every term it
     has in the new documents takes the new count ("new wins"). ``layout`` says
-    how the result is stored: ``append`` carries the old files over without a
-    shuffle and appends the new part, which must fit a broadcast; ``resort``
-    writes all of it in one global order, whatever the sizes; ``auto`` appends
-    what fits a broadcast and re-sorts otherwise. The contents are the same.
+    how the result is stored, whatever the sizes: ``append`` writes the new part
+    as one more segment and names the old ones (whose folder stays in use);
+    ``resort`` writes all of it in one global order, as an index that needs no
+    other folder. The contents are the same.
     """
-    old = load_index(spark, old_root)
-    return merge_into(old, term_frequency(new_docs), out_root, forward, n_files, layout)
+    return merge_into(spark, old_root, term_frequency(new_docs), out_root, forward, n_files, layout)
 
 
-def merge_into(old: Index, new_postings: DataFrame, out_root: str, forward: bool = True,
+def merge_into(spark: SparkSession, old_root: str, new_postings: DataFrame, out_root: str, forward: bool = True,
                n_files: int | None = None, layout: str = "append") -> Index:
-    """Store ``merge(old, new_postings)`` at ``out_root`` (old is stored)."""
-    if layout not in ("append", "resort", "auto"):
-        raise ValueError(f"layout must be append, resort or auto, got {layout!r}")
-    new = materialize(new_postings, "new-postings")
-    if layout == "auto":
-        layout = "append" if fits_broadcast(new) else "resort"
+    """Store ``merge(index at old_root, new_postings)`` at ``out_root``."""
+    if layout not in ("append", "resort"):
+        raise ValueError(f"layout must be append or resort, got {layout!r}")
+    with shuffle_width(new_postings):
+        new = materialize(new_postings, "new-postings")
     if layout == "append":
-        made = append_merged(old, new, out_root, forward, n_files)
+        made = add_segment(spark, old_root, new, out_root, forward, n_files)
     else:
+        old = load_index(spark, old_root)
         made = save_index(Index(merge_postings(old.flat(), new), materialized=True), out_root, old.n_buckets, forward, n_files)
-    drop_scratch(new.sparkSession, *scratch_of(new))
+    drop_scratch(spark, *scratch_of(new))
     return made
 
 

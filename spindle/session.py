@@ -12,8 +12,9 @@ import os
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -56,6 +57,36 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+#: Bytes of input for each partition that an aggregate starts with.
+BYTES_PER_PARTITION = 64 << 20
+WIDTH_CONF = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the files under a plan, from its statistics: nothing runs."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
+@contextmanager
+def shuffle_width(df: DataFrame, bytes_per_partition: int = BYTES_PER_PARTITION):
+    """While ``df`` runs, its shuffles start with as many partitions as its input
+    calls for, if these are more than ``spark.sql.shuffle.partitions``; adaptive
+    execution merges what turns out small, but never widens."""
+    spark = df.sparkSession
+    width = -(-input_bytes(df) // bytes_per_partition)
+    old = spark.conf.get(WIDTH_CONF, None)
+    most = max(width, int(spark.conf.get("spark.sql.shuffle.partitions")), int(old or 0))
+    spark.conf.set(WIDTH_CONF, str(min(most, 1 << 20)))
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(WIDTH_CONF)
+        else:
+            spark.conf.set(WIDTH_CONF, old)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark)

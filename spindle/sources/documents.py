@@ -32,6 +32,18 @@ def read_documents_json(spark: SparkSession, path: str) -> DataFrame:
     return spread_input(spark.read.schema(DOCUMENT_SCHEMA).json(path))
 
 
+def read_documents_json_checked(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """JSON-lines documents, and beside them the lines that are no JSON object
+    with such fields: ``(file, line)``. Blank lines are neither. Both are lazy
+    and parse each line once."""
+    lines = spark.read.text(path).select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"))
+    schema = f"{DOCUMENT_SCHEMA}, bad_line string"
+    made = F.from_json("line", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "bad_line"})
+    parsed = lines.where(F.length(F.btrim("line")) > 0).select("file", "line", made.alias("doc"))
+    good = F.col("doc").isNotNull() & F.col("doc.bad_line").isNull()
+    return parsed.where(good).select("doc.title", "doc.text"), parsed.where(~good).select("file", "line")
+
+
 def read_documents_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spread_input(spark.read.parquet(path).select("title", "text"))
 

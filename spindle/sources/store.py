@@ -1,15 +1,15 @@
-"""Index storage: Parquet tables under one root path.
+"""Index storage: segments of Parquet tables under one root path, and a manifest.
 
 Layout::
 
-    <root>/postings/term_bucket=B/  (title, term, tf)  inverted order: range-
-                                    partitioned and sorted by (bucket, term, title)
-    <root>/forward/                 (title, term, tf)  forward order: range-
+    <root>/segment-<id>/postings/term_bucket=B/  (title, term, tf)  inverted order:
+                                    range-partitioned and sorted by (bucket, term, title)
+    <root>/segment-<id>/forward/    (title, term, tf)  forward order: range-
                                     partitioned and sorted by (title, term)
-    <root>/documents/               (title, n_terms, n_tokens)
-    <root>/lexicon/term_bucket=B/   (term, df, cf)
-    <root>/stats/                   one row: d, n_postings, n_tokens, avgdl,
-                                    avg_tokens, n_buckets
+    <root>/segment-<id>/documents/  (title, n_terms, n_tokens)
+    <root>/segment-<id>/lexicon/term_bucket=B/  (term, df, cf, max_tf)
+    <root>/manifest/                one row per segment, oldest first, with the
+                                    totals of the index; written last
 
 The reference stores a forward and an inverted index as serialized object
 files; here both are the same flat relation in two sort orders, so a term
@@ -18,6 +18,25 @@ term min/max statistics, and a title lookup does the same on ``forward``.
 D and avgdl are stored (the report's planned improvement), so ranking never
 recounts the corpus.
 
+A build writes one segment. An add of any size writes one more, which is a
+build of the new part, and leaves the old ones where they are; what it replaces
+("new wins") stands in three more tables of its folder::
+
+    overwritten/term_bucket=B/      (title, term, tf, segment): postings of older
+                                    segments that no longer count
+    documents_gone/, lexicon_gone/term_bucket=B/    their part of the sizes, negative
+
+The manifest names the segments of an index, so the segments of the index that
+was added to stay in use: keep its folder, or :func:`compact_index` the new one.
+Segments are merged by size: once the newest ones together have half as many
+postings as the one before them, that one and they become one. So each segment
+has less than half the postings of the one before it, an index of N postings has
+about log2(N) segments at most, and since every rewrite makes a posting's segment
+grow by half or more, none is rewritten more than log(N) / log(1.5) times.
+
+Every table is complete when the manifest is written; a root without one (a save
+that died) is refused, and a manifest whose tables are gone says which.
+
 Range partitioning uses the composite key, so a hot term (or title) is cut
 across several files instead of landing in one task. Every table is read
 back from storage before the next one is derived from it: the written table
@@ -27,16 +46,18 @@ is the lineage cut, and a lost executor only recomputes from there.
 from __future__ import annotations
 
 import math
+import uuid
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from spindle.operators.index import (CorpusScalars, Index, corpus_stats, document_table,
-                                     lexicon_table, term_bucket)
-from spindle.operators.joins import fits_broadcast, join_null_safe, materialize
-from spindle.session import drop_scratch
+from spindle.operators.index import CorpusScalars, Index, document_table, lexicon_table, term_bucket
+from spindle.operators.joins import join_null_safe, materialize
+from spindle.session import drop_scratch, shuffle_width
 
 
 def table_path(root: str, name: str) -> str:
@@ -86,7 +107,7 @@ def write_postings(postings: DataFrame, root: str, n_buckets: int,
      .sortWithinPartitions("term_bucket", "term", "title")
      .write.mode("errorifexists").partitionBy("term_bucket")
      .parquet(table_path(root, "postings")))
-    return spark.read.parquet(table_path(root, "postings"))
+    return spark.read.schema(SCHEMAS["postings"]).parquet(table_path(root, "postings"))
 
 
 def write_forward(postings: DataFrame, root: str, n_files: int | None = None) -> None:
@@ -95,37 +116,181 @@ def write_forward(postings: DataFrame, root: str, n_files: int | None = None) ->
      .write.mode("errorifexists").parquet(table_path(root, "forward")))
 
 
-def write_derived(postings: DataFrame, root: str, n_buckets: int) -> None:
-    """documents, lexicon and stats from stored postings."""
-    flat = postings.select("title", "term", "tf")
+def write_documents(postings: DataFrame, root: str) -> DataFrame:
+    path = table_path(root, "documents")
+    document_table(postings.select("title", "term", "tf")).write.mode("errorifexists").parquet(path)
+    return postings.sparkSession.read.schema(SCHEMAS["documents"]).parquet(path)
+
+
+def write_lexicon(lexicon: DataFrame, path: str, n_buckets: int) -> None:
+    """One row per term, range-clustered by (bucket, term): each bucket
+    directory gets few files, and an oversized bucket is still cut across tasks."""
+    keyed = lexicon.withColumn("term_bucket", term_bucket(F.col("term"), n_buckets))
+    (keyed.repartitionByRange("term_bucket", "term").sortWithinPartitions("term_bucket", "term")
+     .write.mode("errorifexists").partitionBy("term_bucket").parquet(path))
+
 
-    def documents_then_stats() -> None:
-        document_table(flat).write.mode("errorifexists").parquet(table_path(root, "documents"))
-        write_stats(postings.sparkSession, root, n_buckets)
+# ---------------------------------------------------------------------------
+# Segments and their manifest
+# ---------------------------------------------------------------------------
 
-    def lexicon() -> None:
-        # Aggregate first (a hot term collapses map-side), then range-cluster
-        # the one row per term by (bucket, term): each bucket directory gets
-        # few files, and an oversized bucket is still cut across tasks.
-        lex = lexicon_table(flat).withColumn("term_bucket", term_bucket(F.col("term"), n_buckets))
-        (lex.repartitionByRange("term_bucket", "term").sortWithinPartitions("term_bucket", "term")
-         .write.mode("errorifexists").partitionBy("term_bucket")
-         .parquet(table_path(root, "lexicon")))
+@dataclass(frozen=True)
+class Segment:
+    """``rows`` postings; ``gone`` postings of older segments do not count any
+    more, ``shared`` of its titles stand in older segments too."""
+    path: str
+    rows: int
+    gone: int = 0
+    shared: int = 0
+    forward: bool = True
 
-    run_concurrently(documents_then_stats, lexicon)
+    @property
+    def name(self) -> str:
+        return self.path.rpartition("/")[2]
 
 
-def write_stats(spark: SparkSession, root: str, n_buckets: int) -> None:
-    """The one-row statistics, from the stored documents table."""
-    docs = spark.read.parquet(table_path(root, "documents"))
-    (corpus_stats(docs).withColumn("n_buckets", F.lit(n_buckets))
-     .coalesce(1).write.mode("errorifexists").parquet(table_path(root, "stats")))
+@dataclass(frozen=True)
+class Manifest:
+    """The segments of an index, oldest first, and its totals."""
+    segments: tuple[Segment, ...]
+    n_buckets: int
+    d: int
+    n_postings: int
+    n_tokens: int
+
+
+MANIFEST = ("ordinal int, path string, n_rows bigint, gone bigint, shared bigint, forward boolean, n_buckets int, "
+            "d bigint, n_postings bigint, n_tokens bigint")
+SCHEMAS = {
+    "postings": "title string, term string, tf bigint, term_bucket int",
+    "forward": "title string, term string, tf bigint",
+    "documents": "title string, n_terms bigint, n_tokens bigint",
+    "lexicon": "term string, df bigint, cf bigint, max_tf bigint, term_bucket int",
+    "overwritten": "title string, term string, tf bigint, segment string, term_bucket int",
+    "documents_gone": "title string, n_terms bigint, n_tokens bigint",
+    "lexicon_gone": "term string, df bigint, cf bigint, max_tf bigint, term_bucket int",
+}
+
+
+def write_manifest(spark: SparkSession, root: str, m: Manifest) -> None:
+    rows = [(i, s.path, s.rows, s.gone, s.shared, s.forward, m.n_buckets, m.d, m.n_postings, m.n_tokens) for i, s in enumerate(m.segments)]
+    spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("errorifexists").parquet(table_path(root, "manifest"))
+
+
+def manifest_table(spark: SparkSession, root: str) -> DataFrame:
+    try:
+        return spark.read.schema(MANIFEST).parquet(table_path(root, "manifest"))
+    except AnalysisException as missing:
+        raise FileNotFoundError(f"no complete index at {root}: it has no manifest, which a save writes last") from missing
+
+
+def read_manifest(spark: SparkSession, root: str) -> Manifest:
+    rows = sorted(manifest_table(spark, root).collect(), key=lambda r: r.ordinal)
+    if not rows:
+        raise FileNotFoundError(f"no complete index at {root}: its manifest is empty")
+    segments = tuple(Segment(r.path, r.n_rows, r.gone, r.shared, r.forward) for r in rows)
+    return Manifest(segments, rows[0].n_buckets, rows[0].d, rows[0].n_postings, rows[0].n_tokens)
+
+
+def segment_table(spark: SparkSession, segment: Segment, name: str) -> DataFrame:
+    try:
+        return spark.read.schema(SCHEMAS[name]).parquet(table_path(segment.path, name))
+    except AnalysisException as missing:
+        raise FileNotFoundError(f"incomplete index: {segment.path} has no table {name}") from missing
+
+
+def _union(tables: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, tables)
+
+
+def live_rows(spark: SparkSession, segments: tuple[Segment, ...], name: str) -> list[DataFrame]:
+    """``name`` (postings or forward) of each segment without the rows that
+    later segments overwrite. The planner picks the anti join's strategy by the
+    size of the overwritten rows; without any there is no join."""
+    made = []
+    for i, segment in enumerate(segments):
+        rows = segment_table(spark, segment, name)
+        gone = [segment_table(spark, s, "overwritten").where(F.col("segment") == segment.name) for s in segments[i + 1:] if s.gone]
+        if gone:
+            key = ["term_bucket", "title", "term"] if name == "postings" else ["title", "term"]
+            rows = join_null_safe(rows, _union(gone).select(*key), key, "left_anti")
+        made.append(rows)
+    return made
+
+
+def sizes(spark: SparkSession, segments: tuple[Segment, ...], name: str) -> list[DataFrame]:
+    """``name`` (documents or lexicon) of each segment and, negative, what its
+    overwritten rows had."""
+    return ([segment_table(spark, s, name) for s in segments]
+            + [segment_table(spark, s, f"{name}_gone") for s in segments if s.gone])
+
+
+def open_segments(spark: SparkSession, m: Manifest, stats: DataFrame) -> Index:
+    documents = _union(sizes(spark, m.segments, "documents"))
+    if any(s.shared for s in m.segments):
+        documents = documents.groupBy("title").agg(F.sum("n_terms").alias("n_terms"), F.sum("n_tokens").alias("n_tokens"))
+    parts = sizes(spark, m.segments, "lexicon")
+    lexicon = together = _union(parts)
+    if len(parts) > 1:
+        # max_tf may be that of a posting that is gone: still an upper bound.
+        lexicon = (lexicon.groupBy("term_bucket", "term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"), F.max("max_tf").alias("max_tf"))
+                   .select("term", "df", "cf", "max_tf", "term_bucket"))
+    complete = all(s.forward for s in m.segments)
+    return Index(
+        postings=_union(live_rows(spark, m.segments, "postings")),
+        documents_df=documents,
+        lexicon_df=lexicon,
+        lexicon_parts=together,
+        stats_df=stats,
+        n_buckets=m.n_buckets,
+        forward_df=_union(live_rows(spark, m.segments, "forward")) if complete else None,
+        known_scalars=CorpusScalars(m.d, m.n_postings / m.d if m.d else None, m.n_tokens / m.d if m.d else None),
+    )
+
+
+def load_index(spark: SparkSession, root: str) -> Index:
+    """Open a stored index (lazy apart from reading its manifest)."""
+    stats = manifest_table(spark, root).where("ordinal = 0").select(
+        "d", "n_postings", "n_tokens", F.try_divide(F.col("n_postings").cast("double"), F.col("d")).alias("avgdl"),
+        F.try_divide(F.col("n_tokens").cast("double"), F.col("d")).alias("avg_tokens"))
+    return open_segments(spark, read_manifest(spark, root), stats)
+
+
+def scratch_of(table: DataFrame) -> list[str]:
+    """The folder of a materialised table, which its job can drop at its end."""
+    return sorted({f.rpartition("/")[0] for f in table.inputFiles()})
+
+
+def new_segment_path(root: str) -> str:
+    return f"{root.rstrip('/')}/segment-{uuid.uuid4().hex[:12]}"
+
+
+def write_segment(postings: DataFrame, path: str, n_buckets: int, n_files: int | None, forward: bool, then=None):
+    """The tables of one segment from its postings; the tables after the
+    postings are written side by side. ``then`` is called with the stored
+    postings and documents as soon as both are there, beside the others."""
+    spark = postings.sparkSession
+    stored = write_postings(postings, path, n_buckets, n_files)
+    found = []
+
+    def documents() -> None:
+        docs = write_documents(stored, path)
+        # An aggregate first: a hot term collapses map-side.
+        found.append(docs.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_terms"), F.lit(0)), F.coalesce(F.sum("n_tokens"), F.lit(0))).first())
+        found.append(then(stored, docs) if then else None)
+
+    jobs = [documents, lambda: write_lexicon(lexicon_table(stored.select("title", "term", "tf")), table_path(path, "lexicon"), n_buckets)]
+    if forward:
+        jobs.append(lambda: write_forward(stored, path, n_files))
+    run_concurrently(*jobs)
+    (d, rows, tokens), extra = found
+    return Segment(path, int(rows), forward=forward), int(d), int(tokens), extra
 
 
 def save_index(index: Index, root: str, n_buckets: int | None = None,
                forward: bool = True, n_files: int | None = None) -> Index:
-    """Write the index under ``root`` (which must not exist) and return it
-    loaded back from storage.
+    """Write the index under ``root`` (which must hold no index) as one segment
+    and return it loaded back from storage.
 
     Unless both ``n_buckets`` and ``n_files`` are given, the postings of a
     lazy index are materialised first (a lineage cut after the tokenize +
@@ -138,133 +303,110 @@ def save_index(index: Index, root: str, n_buckets: int | None = None,
     scratch = []
     if not n_buckets or not n_files:
         if index.is_lazy:
-            postings = materialize(postings, "postings")
+            with shuffle_width(postings):
+                postings = materialize(postings, "postings")
             scratch = scratch_of(postings)
         rows = postings.count()
         n_buckets = n_buckets or buckets_for(rows)
         n_files = n_files or files_for(spark, rows)
-    stored = write_postings(postings, root, n_buckets, n_files)
-    jobs = [lambda: write_derived(stored, root, n_buckets)]
-    if forward:
-        jobs.append(lambda: write_forward(stored, root, n_files))
-    run_concurrently(*jobs)
+    segment, d, tokens, _ = write_segment(postings, new_segment_path(root), n_buckets, n_files, forward)
+    write_manifest(spark, root, Manifest((segment,), n_buckets, d, segment.rows, tokens))
     drop_scratch(spark, *scratch)
     return load_index(spark, root)
 
 
-def scratch_of(table: DataFrame) -> list[str]:
-    """The folder of a materialised table, which its job can drop at its end."""
-    return sorted({f.rpartition("/")[0] for f in table.inputFiles()})
-
+def write_overwritten(spark: SparkSession, old: Manifest, stored: DataFrame, docs: DataFrame, path: str) -> tuple[int, int, int]:
+    """What the new postings ``stored`` replace in the segments of ``old``, as
+    tables of the new segment: (titles in both, postings gone, their tokens).
 
-def append_merged(old: Index, new: DataFrame, root: str, forward: bool = True,
-                  n_files: int | None = None) -> Index:
-    """Write ``merge(old, new)`` at ``root``, carrying the old files over.
-
-    ``new`` (a written table, unique on (title, term)) must fit a broadcast by
-    its measured size; a ValueError says so if it does not. The old index is
-    not shuffled: each old file is read, the (title, term) keys that ``new``
-    overwrites are dropped by a broadcast anti join, and the rest is written
-    back one to one after a local sort (files keep their bucket and their term
-    order). Only the new part is range-partitioned (into ``n_files``), then
-    appended. A bucket directory then holds the old files plus a few new ones,
-    each sorted, so row-group pruning still works; :func:`compact_index`
-    restores one global order after many adds.
-
-    documents and lexicon change by differences: the overwritten rows, read
-    once (from the bucket directories that ``new`` touches) and no more than
-    ``new`` has, are taken off the old sizes and the new rows added, so the
-    merged postings are not read again. A forward copy that the old index does
-    not have is written in order from the merged postings.
+    Only titles that both sides have can hold such postings, so the old ones
+    are reduced to these titles first; the planner picks both joins by the
+    sizes it meets. Titles that are all new leave the old postings unread.
     """
-    spark = old.postings.sparkSession
-    n_buckets = old.n_buckets
-    new = new.select("title", "term", "tf")
-    if not fits_broadcast(new):
-        raise ValueError("the new part is too large to carry the old files over: add it with layout='resort'")
-    keyed = new.withColumn("term_bucket", term_bucket(F.col("term"), n_buckets))
-    gone = materialize(join_null_safe(old.postings, F.broadcast(keyed.select("term_bucket", "title", "term")),
-                                      ["term_bucket", "title", "term"], "left_semi").select("title", "term", "tf"), "overwritten")
-    change = gone.select("title", "term", (-F.col("tf")).alias("tf"), F.lit(-1).cast("bigint").alias("n")).unionByName(
-        new.select("title", "term", "tf", F.lit(1).cast("bigint").alias("n")))
-
-    def postings() -> None:
-        kept = join_null_safe(old.postings, F.broadcast(gone.select("title", "term")), ["title", "term"], "left_anti")
-        (kept.select("title", "term", "tf", "term_bucket")
-         .sortWithinPartitions("term_bucket", "term", "title")
-         .write.mode("errorifexists").partitionBy("term_bucket")
-         .parquet(table_path(root, "postings")))
-        (_range(keyed, n_files, "term_bucket", "term", "title")
-         .sortWithinPartitions("term_bucket", "term", "title")
-         .write.mode("append").partitionBy("term_bucket")
-         .parquet(table_path(root, "postings")))
-        if forward and old.forward_df is None:
-            write_forward(spark.read.parquet(table_path(root, "postings")), root, n_files)
-
-    def documents_then_stats() -> None:
-        delta = change.groupBy("title").agg(F.sum("n").alias("n_terms"), F.sum("tf").cast("bigint").alias("n_tokens"))
-        _apply_change(old.documents(), delta, ["title"], ["n_terms", "n_tokens"]).write.mode(
-            "errorifexists").parquet(table_path(root, "documents"))
-        write_stats(spark, root, n_buckets)
-
-    def lexicon() -> None:
-        delta = (change.groupBy("term").agg(F.sum("n").alias("df"), F.sum("tf").cast("bigint").alias("cf"))
-                 .withColumn("term_bucket", term_bucket(F.col("term"), n_buckets)))
-        (_apply_change(old.lexicon_df, delta, ["term_bucket", "term"], ["df", "cf"])
-         .sortWithinPartitions("term_bucket", "term")
-         .write.mode("errorifexists").partitionBy("term_bucket")
-         .parquet(table_path(root, "lexicon")))
-
-    def forward_copy() -> None:
-        kept = join_null_safe(old.forward(), F.broadcast(gone.select("title", "term")), ["title", "term"], "left_anti")
-        (kept.sortWithinPartitions("title", "term")
-         .write.mode("errorifexists").parquet(table_path(root, "forward")))
-        (_range(new, n_files, "title", "term").sortWithinPartitions("title", "term")
-         .write.mode("append").parquet(table_path(root, "forward")))
-
-    run_concurrently(postings, documents_then_stats, lexicon,
-                     *([forward_copy] if forward and old.forward_df is not None else []))
+    known = _union([segment_table(spark, s, "documents").select("title") for s in old.segments])
+    shared = materialize(join_null_safe(docs.select("title"), known, ["title"], "left_semi"), "shared-titles")
+    n_shared, gone, tokens = shared.count(), 0, 0
+    if n_shared:
+        keys = stored.select("term_bucket", "title", "term")
+        rows = [join_null_safe(join_null_safe(r, shared, ["title"], "left_semi"), keys, ["term_bucket", "title", "term"], "left_semi")
+                .select("title", "term", "tf", F.lit(s.name).alias("segment"), "term_bucket")
+                for s, r in zip(old.segments, live_rows(spark, old.segments, "postings"), strict=True)]
+        lost = materialize(_union(rows), "overwritten")
+        gone, tokens = write_gone(lost, path, old.n_buckets)
+        drop_scratch(spark, *scratch_of(lost))
+    drop_scratch(spark, *scratch_of(shared))
+    return n_shared, gone, tokens
+
+
+def write_gone(lost: DataFrame, path: str, n_buckets: int) -> tuple[int, int]:
+    """The overwritten postings of a segment and their sizes as negative
+    numbers; nothing if there are none. Returns their number and tokens."""
+    gone, tokens = lost.agg(F.count(F.lit(1)), F.coalesce(F.sum("tf"), F.lit(0))).first()
+    if not gone:
+        return 0, 0
+
+    def negative(table: DataFrame, *names: str) -> DataFrame:
+        return table.withColumns({n: -F.col(n) for n in names})
+    (lost.repartitionByRange("term_bucket", "term", "title").sortWithinPartitions("term_bucket", "term", "title")
+     .write.mode("errorifexists").partitionBy("term_bucket").parquet(table_path(path, "overwritten")))
+    negative(document_table(lost), "n_terms", "n_tokens").write.mode("errorifexists").parquet(table_path(path, "documents_gone"))
+    write_lexicon(negative(lexicon_table(lost), "df", "cf"), table_path(path, "lexicon_gone"), n_buckets)
+    return int(gone), int(tokens)
+
+
+def add_segment(spark: SparkSession, old_root: str, new: DataFrame, root: str, forward: bool = True,
+                n_files: int | None = None) -> Index:
+    """Write ``merge(old, new)`` at ``root``: the segments of the index at
+    ``old_root``, and one of the postings ``new`` (a written table, unique on
+    (title, term)). The old postings are neither rewritten nor shuffled; they
+    are read only where titles of both sides meet. Then segments are merged
+    where the newer ones have become as large as an older one."""
+    old = read_manifest(spark, old_root)
+    n_files = n_files or files_for(spark, new.count())
+    path = new_segment_path(root)
+    segment, d, tokens, (shared, gone, gone_tokens) = write_segment(
+        new, path, old.n_buckets, n_files, forward, lambda stored, docs: write_overwritten(spark, old, stored, docs, path))
+    segment = Segment(path, segment.rows, gone, shared, forward)
+    m = Manifest((*old.segments, segment), old.n_buckets, old.d + d - shared, old.n_postings + segment.rows - gone,
+                 old.n_tokens + tokens - gone_tokens)
+    write_manifest(spark, root, settled(spark, m, root, forward))
     return load_index(spark, root)
 
 
-def _apply_change(old: DataFrame, delta: DataFrame, key: list[str], sums: list[str]) -> DataFrame:
-    """``old`` with ``delta`` added to its ``sums``, and the keys that only
-    ``delta`` has. ``delta`` is bounded by a new part that fits a broadcast, so
-    ``old`` is only scanned."""
-    delta = materialize(delta, "change")
-    named = delta.select(*key, *(F.col(c).alias(f"__{c}") for c in sums))
-    moved = join_null_safe(old, F.broadcast(named), key, "left").select(
-        *key, *((F.col(c) + F.coalesce(F.col(f"__{c}"), F.lit(0))).cast("bigint").alias(c) for c in sums))
-    known = join_null_safe(old, F.broadcast(delta.select(*key)), key, "left_semi").select(*key)
-    fresh = join_null_safe(delta, materialize(known, "known"), key, "left_anti").select(*key, *sums)
-    return moved.unionByName(fresh).where(F.col(sums[0]) > 0)
+def first_to_merge(rows: list[int]) -> int:
+    """Position from which the segments become one: an older segment is taken
+    in while the newer ones together have at least half as many rows."""
+    at, total = len(rows) - 1, rows[-1]
+    while at > 0 and rows[at - 1] <= 2 * total:
+        at -= 1
+        total += rows[at]
+    return at
+
+
+def settled(spark: SparkSession, m: Manifest, root: str, forward: bool) -> Manifest:
+    """``m`` with its newest segments merged into one where sizes call for it."""
+    at = first_to_merge([s.rows for s in m.segments])
+    if at == len(m.segments) - 1:
+        return m
+    inside, before = m.segments[at:], m.segments[:at]
+    path = new_segment_path(root)
+    rows = _union(live_rows(spark, inside, "postings")).select("title", "term", "tf")
+    total = sum(s.rows for s in inside)
+    forward = forward and all(s.forward for s in inside)
+    segment, _, _, _ = write_segment(rows, path, m.n_buckets, files_for(spark, total), forward)
+    gone, shared = 0, 0
+    replacing = [segment_table(spark, s, "overwritten") for s in inside if s.gone]
+    if before and replacing:
+        # Postings of the segments inside are gone for good, those before them stay listed.
+        gone, _ = write_gone(_union(replacing).where(F.col("segment").isin([s.name for s in before])), path, m.n_buckets)
+    if before:
+        shared = sum(s.shared for s in inside)          # an upper bound: only whether there are any matters
+    return Manifest((*before, Segment(path, segment.rows, gone, shared, forward)), m.n_buckets, m.d, m.n_postings, m.n_tokens)
 
 
 def compact_index(spark: SparkSession, root: str, out_root: str,
                   n_files: int | None = None) -> Index:
-    """Rewrite a stored index in one global order (after many adds)."""
+    """Rewrite a stored index as one segment in one global order: it then
+    needs no folder but its own."""
     index = load_index(spark, root)
     return save_index(index, out_root, index.n_buckets, index.forward_df is not None, n_files)
-
-
-def _read_optional(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
-
-
-def load_index(spark: SparkSession, root: str) -> Index:
-    """Open a stored index (lazy apart from reading the one-row stats)."""
-    stats = spark.read.parquet(table_path(root, "stats"))
-    row = stats.first()
-    n_buckets = int(row.n_buckets)
-    return Index(
-        postings=spark.read.parquet(table_path(root, "postings")),
-        documents_df=spark.read.parquet(table_path(root, "documents")),
-        lexicon_df=spark.read.parquet(table_path(root, "lexicon")),
-        stats_df=stats.drop("n_buckets"),
-        n_buckets=n_buckets,
-        forward_df=_read_optional(spark, table_path(root, "forward")),
-        known_scalars=CorpusScalars(int(row.d), row.avgdl, row.avg_tokens),
-    )

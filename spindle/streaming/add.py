@@ -13,7 +13,7 @@ one root:
 
 Each micro-batch only appends its postings to ``_pending`` and logs them.
 When the pending rows since the last version reach ``refresh_rows`` (by
-default REFRESH_ROWS; 0 means every batch, which rewrites the index each time),
+default REFRESH_ROWS; 0 means every batch),
 or on :meth:`IndexAppender.flush`, the pending postings are
 resolved with "latest sequence wins per (title, term)". Rows of one title
 inside one batch add up first (one build). The result is merged into the
@@ -28,10 +28,10 @@ Pending batches are visible at once: :meth:`IndexAppender.current` merges them
 into the last version when it is read, so ``refresh_rows`` trades the work of a
 read for write volume, not freshness.
 
-Cost per micro-batch is O(batch). A flush reads and writes the index once, in
-the layout given (``append``: the old files are carried over, see
-``append_merged``; ``auto``, the default: that if the pending part fits a
-broadcast, else one global order, so that no size ends in an error).
+Cost per micro-batch is O(batch). A flush writes the pending part as one more
+segment of the index and leaves the others where they are; segments of like size
+are merged, so a posting is rewritten a number of times that grows with the
+logarithm of index / flush only.
 """
 
 from __future__ import annotations
@@ -47,7 +47,7 @@ from spindle.operators.index import Index, merge_index, term_frequency
 from spindle.plans.jobs import merge_into
 from spindle.session import scratch_path
 from spindle.sources.documents import DOCUMENT_SCHEMA
-from spindle.sources.store import load_index, save_index
+from spindle.sources.store import load_index, read_manifest, save_index
 
 LOG = "_log"
 REFRESH_ROWS = 4_000_000
@@ -85,14 +85,13 @@ class IndexAppender:
 
     def __init__(self, root: str, run: str, base: str | None = None,
                  n_buckets: int | None = None, forward: bool | None = None,
-                 refresh_rows: int = REFRESH_ROWS, layout: str = "auto"):
+                 refresh_rows: int = REFRESH_ROWS):
         self.root = root.rstrip("/")
         self.run = run
         self.base = base
         self.n_buckets = n_buckets
         self.forward = forward
         self.refresh_rows = refresh_rows
-        self.layout = layout
 
     def _next_seq(self, log: DataFrame | None) -> int:
         if log is None:
@@ -142,10 +141,9 @@ class IndexAppender:
         if old_path is None:
             save_index(Index(resolved), path, self.n_buckets, bool(self.forward))
         else:
-            old = load_index(spark, old_path)
             # The forward copy of the base is kept unless the caller says otherwise.
-            forward = old.forward_df is not None if self.forward is None else self.forward
-            merge_into(old, resolved, path, forward, layout=self.layout)
+            kept = all(s.forward for s in read_manifest(spark, old_path).segments)
+            merge_into(spark, old_path, resolved, path, kept if self.forward is None else self.forward)
         epochs = [r.epoch for r in pending if r.run == self.run]
         _append_log(spark, self.root, (seq, "version", self.run, max(epochs) if epochs else None, path, None), seq)
 

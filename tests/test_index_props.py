@@ -162,7 +162,6 @@ def test_rank_job_on_stored_index(spark, scratch):
 
 
 def test_add_layouts_agree_with_lazy_merge(spark, scratch):
-    import pytest
     from spindle.operators.joins import BROADCAST_ROWS_CONF
     docs = corpus(spark, SF_SMALL)
     old_docs = docs.where(F.col("title").cast("int") % 3 != 0)
@@ -174,11 +173,10 @@ def test_add_layouts_agree_with_lazy_merge(spark, scratch):
     full = add_job(spark, new_docs, os.path.join(scratch, "old"), os.path.join(scratch, "full"), layout="resort")
     spark.conf.set(BROADCAST_ROWS_CONF, "0")
     try:
-        with pytest.raises(ValueError, match="too large"):
-            add_job(spark, new_docs, os.path.join(scratch, "old"), os.path.join(scratch, "refused"))
+        small = add_job(spark, new_docs, os.path.join(scratch, "old"), os.path.join(scratch, "small"))
     finally:
         spark.conf.unset(BROADCAST_ROWS_CONF)
-    for idx in (fast, full):
+    for idx in (fast, full, small):
         assert rows(idx.flat()) == want
         assert rows(idx.forward()) == want
         assert rows(idx.lexicon()) == rows(lexicon_of(spark, want))

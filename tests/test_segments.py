@@ -1,0 +1,193 @@
+"""Stored indexes of several segments, and their manifest."""
+
+import math
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from spindle.operators.index import build_index, forward_lookup, merge_index
+from spindle.operators.rank import rank, rank_batch
+from spindle.plans.jobs import add_job, build_job
+from spindle.sources.documents import corpus
+from spindle.sources.store import (compact_index, first_to_merge, live_rows, load_index, read_manifest,
+                                   segment_table)
+from spindle.streaming.add import IndexAppender
+
+from conftest import SF_SMALL
+
+SCHEMA = "title string, text string"
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def same(index, other):
+    """Equal contents, through every table and ranker."""
+    assert rows(index.flat()) == rows(other.flat())
+    assert rows(index.forward()) == rows(other.flat())
+    assert rows(index.documents()) == rows(other.documents())
+    assert rows(index.lexicon()) == rows(other.lexicon())
+    assert rows(index.stats()) == rows(other.stats())
+    for method in ("bm25", "naive"):
+        assert rows(rank(index, "esat the xx new", method, None)) == rows(rank(other, "esat the xx new", method, None))
+
+
+def test_chain_of_adds_equals_lazy_merges(spark, scratch):
+    """New titles, shared titles, rows replaced twice, a null title, a large and
+    an empty part; each step against the lazy merge."""
+    docs = corpus(spark, SF_SMALL)
+    parts = [docs.where("title % 4 <> 0"),
+             docs.where("title % 8 = 0").select("title", F.concat("text", F.lit(" new words xx xx")).alias("text")),
+             spark.createDataFrame([("1", "the the the new new"), (None, "xx yy"), ("9", "esat esat")], SCHEMA),
+             spark.createDataFrame([("1", "new"), (None, "xx xx zz")], SCHEMA),
+             docs.limit(0),
+             docs.where("title % 2 = 0").select("title", F.concat(F.lit("replaced "), "text").alias("text"))]
+    root = os.path.join(scratch, "0")
+    build_job(parts[0], root, n_buckets=4)
+    want = build_index(parts[0])
+    for i, part in enumerate(parts[1:], 1):
+        old, root = root, os.path.join(scratch, str(i))
+        found = add_job(spark, part, old, root)
+        want = merge_index(want, build_index(part))
+        same(found, want)
+    queries = spark.createDataFrame([(1, "esat the xx"), (2, "new words")], "query_id int, text string")
+    assert rows(rank_batch(found, queries, "bm25", 7)) == rows(rank_batch(want, queries, "bm25", 7))
+    pairs = spark.createDataFrame([("1", "new"), ("1", "the"), (None, "xx"), ("9", "esat"), ("9", "gone")], "title string, term string")
+    assert rows(forward_lookup(found, pairs)) == rows(forward_lookup(want, pairs))
+    one = compact_index(spark, root, os.path.join(scratch, "one"))
+    assert len(read_manifest(spark, os.path.join(scratch, "one")).segments) == 1
+    same(one, want)
+
+
+def test_an_add_leaves_the_old_segments(spark, scratch):
+    docs = corpus(spark, SF_SMALL)
+    old, new = os.path.join(scratch, "old"), os.path.join(scratch, "new")
+    build_job(docs, old, n_buckets=4)
+    add_job(spark, spark.createDataFrame([("new-1", "the esat words"), ("new-2", "xx")], SCHEMA), old, new)
+    before, after = read_manifest(spark, old), read_manifest(spark, new)
+    assert after.segments[:-1] == before.segments and (after.segments[-1].gone, after.segments[-1].shared) == (0, 0)
+    # Titles that are all new: no join stands above the old postings.
+    for table in live_rows(spark, after.segments, "postings"):
+        assert "Join" not in table._jdf.queryExecution().executedPlan().toString()
+    # A small part that replaces: the planner broadcasts what is gone, the old side does not move.
+    add_job(spark, spark.createDataFrame([("1", "the esat words")], SCHEMA), old, os.path.join(scratch, "newer"))
+    m = read_manifest(spark, os.path.join(scratch, "newer"))
+    assert m.segments[-1].shared == 1 and m.segments[-1].gone > 0
+    plan = live_rows(spark, m.segments, "postings")[0]._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert "hashpartitioning" not in plan
+
+
+def test_large_part_through_the_command_line(spark, scratch):
+    """Beyond every broadcast limit, the planner's own too."""
+    from spindle import cli
+    from spindle.operators.joins import BROADCAST_ROWS_CONF
+    folder = {n: os.path.join(scratch, n) for n in ("old-json", "new-json", "old", "new")}
+    docs = corpus(spark, SF_SMALL)
+    old_docs = docs.where("title % 3 <> 0")
+    new_docs = docs.where("title % 2 = 0").select("title", F.concat("text", F.lit(" more xx")).alias("text"))
+    old_docs.write.json(folder["old-json"])
+    new_docs.write.json(folder["new-json"])
+    limits = {BROADCAST_ROWS_CONF: "2", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    for k, v in limits.items():
+        spark.conf.set(k, v)
+    try:
+        assert cli.main(["index", folder["old-json"], folder["old"], "build"], spark) == 0
+        assert cli.main(["index", folder["new-json"], folder["new"], "add", folder["old"]], spark) == 0
+        same(load_index(spark, folder["new"]), merge_index(build_index(old_docs), build_index(new_docs)))
+    finally:
+        for k in limits:
+            spark.conf.unset(k)
+
+
+def test_first_to_merge():
+    assert first_to_merge([10]) == 0
+    assert first_to_merge([100, 10]) == 1
+    assert first_to_merge([100, 10, 10]) == 1
+    assert first_to_merge([40, 10, 10]) == 0
+    assert first_to_merge([100, 40, 10, 5]) == 2 and first_to_merge([100, 30, 10, 5]) == 1
+    for part in (lambda i: 1000, lambda i: 2000 - i, lambda i: 1000 + i, lambda i: 1 + i * 7919 % 1000):
+        sizes, written, added = [], 0, 0
+        for i in range(1000):
+            sizes.append(part(i))
+            added += sizes[-1]
+            written += sizes[-1]
+            at = first_to_merge(sizes)
+            if at < len(sizes) - 1:
+                written += sum(sizes[at:])
+                sizes[at:] = [sum(sizes[at:])]
+            assert all(b < a / 2 for a, b in zip(sizes, sizes[1:]))
+        assert sum(sizes) == added and written <= added * (math.log(1000) / math.log(1.5) + 1)
+
+
+def test_flushes_write_few_times_what_they_add(spark, scratch):
+    docs = corpus(spark, SF_SMALL)
+    k = 6
+    parts = [docs.where(F.col("title").cast("int") % k == i) for i in range(k)]
+    root = os.path.join(scratch, "idx")
+    app = IndexAppender(root, "run", refresh_rows=0)
+    added, seen, written = 0, set(), 0
+    for epoch, part in enumerate(parts):
+        app(part, epoch)
+        assert not app._pending(spark)
+        for s in read_manifest(spark, newest(spark, root)).segments:
+            if s.path not in seen:
+                seen.add(s.path)
+                written += segment_table(spark, s, "postings").count()
+        added += build_index(part).flat().count()
+        sizes = [s.rows for s in read_manifest(spark, newest(spark, root)).segments]
+        assert all(b < a / 2 for a, b in zip(sizes, sizes[1:]))
+    same_rows = rows(app.current(spark).flat())
+    assert same_rows == rows(build_index(docs).flat())
+    # Each flush writes its segment, and every merge makes a posting's segment grow by half.
+    assert written <= added * (math.log(k) / math.log(1.5) + 1)
+
+
+def newest(spark, root):
+    from spindle.streaming.add import latest_version
+    return latest_version(spark, root).path
+
+
+def test_incomplete_indexes_are_refused(spark, scratch, monkeypatch):
+    from spindle.sources import store
+    docs = corpus(spark, SF_SMALL)
+    whole = os.path.join(scratch, "whole")
+    build_job(docs, whole, n_buckets=2)
+    with pytest.raises(FileNotFoundError, match="no manifest"):
+        load_index(spark, os.path.join(scratch, "nowhere"))
+    for table in ("write_forward", "write_lexicon", "write_documents", "write_manifest"):
+        root = os.path.join(scratch, table)
+
+        def killed(*args, **kw):
+            raise RuntimeError("killed")
+        with monkeypatch.context() as m:
+            m.setattr(store, table, killed)
+            with pytest.raises(RuntimeError, match="killed"):
+                build_job(docs, root, n_buckets=2)
+        with pytest.raises(FileNotFoundError, match="no manifest"):
+            load_index(spark, root)
+    # A table that is gone afterwards is named.
+    lost = store.Segment(os.path.join(scratch, "lost"), 1)
+    store.write_manifest(spark, os.path.join(scratch, "bad"), store.Manifest((lost,), 2, 1, 1, 1))
+    with pytest.raises(FileNotFoundError, match="lost has no table"):
+        load_index(spark, os.path.join(scratch, "bad"))
+
+
+def test_a_flush_that_dies_keeps_the_forward_copy(spark, scratch, monkeypatch):
+    from spindle.sources import store
+    base, root = os.path.join(scratch, "base"), os.path.join(scratch, "idx")
+    build_job(spark.createDataFrame([("A", "xx yy")], SCHEMA), base, n_buckets=2)
+    app = IndexAppender(root, "run", base=base)
+    app(spark.createDataFrame([("B", "yy zz")], SCHEMA), 0)
+
+    def killed(*args, **kw):
+        raise RuntimeError("killed")
+    with monkeypatch.context() as m:
+        m.setattr(store, "write_forward", killed)
+        with pytest.raises(RuntimeError, match="killed"):
+            app.flush(spark)
+    app.flush(spark)
+    found = app.current(spark)
+    assert found.forward_df is not None and rows(found.forward()) == [("A", "xx", 1), ("A", "yy", 1), ("B", "yy", 1), ("B", "zz", 1)]
