@@ -2,17 +2,24 @@
 
 A fingerprint has 8 positional bytes. Two fingerprints that differ in at most
 ``max_bits`` = 4 bits agree in at least 8 - 4 = 4 positional bytes, the
-guaranteed minimum of the count filter. A posting list per single
-(position, byte) would hold 1/256 of the corpus, so the index lists
-fingerprints under every set of that many (position, byte) entries: a pair
-whose tally of shared positional bytes reaches the minimum meets in one of
-these lists at least, and no pair below the minimum meets anywhere. Pairs that
-meet are verified by their differing bits.
+guaranteed minimum of the count filter. The index lists fingerprints under their
+positional bytes. Within a list, the shared positional bytes of each pair are
+tallied; pairs that reach the minimum are retained and verified by their
+differing bits.
+
+A list of a single (position, byte) holds about 1/256 of all fingerprints, and
+its pairs grow with the square of that. So a list stands for ``width``
+(position, byte) entries at once: the smallest width that keeps an average list
+within ``block``, 1 for up to 256 blocks of distinct fingerprints, 2 for up to
+65,536 and so on. A pair that reaches the minimum m meets in every set of
+``width`` of its shared bytes, for any width up to m, so the width changes the
+work and not the result.
 
 Skew: equal fingerprints are one entry; a list longer than ``block`` is cut
 into blocks, and the pairs of blocks go to different tasks. No task emits
 pairs: it gives each list's spanning stars, at most one row per member.
-Components come from alternating large-star and small-star joins.
+Components come from alternating large-star and small-star joins; their ids
+reach the members by a salted join.
 
 Nulls and edges: null or empty text has the fingerprint zero and is linked
 like any other; a null id takes part, is never a component's smallest id, and
@@ -34,6 +41,7 @@ from spindle.llm.common import THIN_ROWS, Batches, batch_of, blobs, solid
 
 BYTES = 8
 CHUNK = 65_536
+SALTS = 16
 EDGE_SCHEMA = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
@@ -71,14 +79,23 @@ def fingerprints(docs: DataFrame, text_col: str = "text", shingle: int = 4, *kee
     return source.mapInArrow(run, schema)
 
 
-def posting_keys(fp: Column, shared: int) -> Column:
-    """Every list the fingerprint stands in: one per set of ``shared`` byte
+def list_width(n: int, block: int, most: int) -> int:
+    """Positional bytes that a list stands for, so that an average list of ``n``
+    fingerprints is within ``block``; at most ``most``."""
+    width = 1
+    while width < most and n > block * 256 ** width:
+        width += 1
+    return width
+
+
+def posting_keys(fp: Column, width: int) -> Column:
+    """Every list the fingerprint stands in: one per set of ``width`` byte
     positions (the set's number, and a hash of these bytes when they are more
     than fit beside it)."""
     byte = [F.shiftrightunsigned(fp, 8 * i).bitwiseAND(F.lit(255)) for i in range(BYTES)]
     keys = []
-    for number, chosen in enumerate(itertools.combinations(range(BYTES), shared)):
-        if shared <= 6:
+    for number, chosen in enumerate(itertools.combinations(range(BYTES), width)):
+        if width <= 6:
             key = F.lit(number)
             for i in chosen:
                 key = F.shiftleft(key.cast("long"), 8).bitwiseOR(byte[i])
@@ -88,6 +105,16 @@ def posting_keys(fp: Column, shared: int) -> Column:
     return F.array(*keys)
 
 
+LOW7, HIGH1 = np.uint64(0x7F7F7F7F7F7F7F7F), np.uint64(0x8080808080808080)
+
+
+def shared_bytes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Tally of equal positional bytes of each pair: the zero bytes of a ^ b."""
+    x = a ^ b
+    x = ((x & LOW7) + LOW7) | x          # the high bit of every byte that is not zero
+    return BYTES - np.bitwise_count(x & HIGH1)
+
+
 def components_of_pairs(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Smallest member index reachable, per member."""
     lab = np.arange(n)
@@ -104,14 +131,16 @@ def components_of_pairs(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def star_links(keys: np.ndarray, fps: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Stars over the verified pairs of each run of equal ``keys`` (sorted).
     Offset by offset: all members are held against the d-th next of their
-    run, and runs that have no member so far apart have ended."""
+    run, and runs that have no member so far apart have ended. A pair is
+    retained by its tally of shared positional bytes, then verified."""
     left, right = [], []
     alive = np.arange(len(keys) - 1) if len(keys) else np.empty(0, np.int64)
     d = 1
     while len(alive):
         alive = alive[alive + d < len(keys)]
         alive = alive[keys[alive] == keys[alive + d]]
-        near = alive[np.bitwise_count(fps[alive] ^ fps[alive + d]) <= max_bits]
+        held = alive[shared_bytes(fps[alive], fps[alive + d]) >= BYTES - max_bits]
+        near = held[np.bitwise_count(fps[held] ^ fps[held + d]) <= max_bits]
         left.append(near)
         right.append(near + d)
         d += 1
@@ -131,10 +160,11 @@ def links(fps: DataFrame, max_bits: int = 4, block: int = 2048) -> DataFrame:
     else is."""
     if not 0 <= max_bits < BYTES:
         raise ValueError("max_bits must be 0 to 7: each may spoil one of 8 bytes")
+    width = list_width(fps.count(), block, BYTES - max_bits)
     # Distinct fingerprints are few bytes, which AQE would put into few tasks;
-    # each becomes C(8, shared) rows here, so they are dealt out again.
+    # each becomes C(8, width) rows here, so they are dealt out again.
     spread = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    post = fps.repartition(spread).select("fp", F.explode(posting_keys(F.col("fp"), BYTES - max_bits)).alias("key"))
+    post = fps.repartition(spread).select("fp", F.explode(posting_keys(F.col("fp"), width)).alias("key"))
     hot = solid(post.groupBy("key").count().where(F.col("count") > block)
                 .select("key", F.ceil(F.col("count") / block).cast("int").alias("blocks")), "simhash-hot")
     # A member of a long list goes to every pair of blocks that has its own.
@@ -215,10 +245,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     prints = solid(fingerprints(docs, text_col, shingle, F.col(id_col).cast("long").alias("doc_id")), "simhash-prints")
     kinds = prints.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
     roots = solid(components(links(kinds.select("fp"), max_bits, block)), "simhash-roots")
-    of_kind = (kinds.join(roots, kinds["fp"] == roots["node"], "left")
-               .select("fp", "least_id", F.coalesce("root", "fp").alias("root")))
-    least = of_kind.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = of_kind.join(least, "root").select(F.col("fp").alias("kind"), "component_id")
+    of_kind = kinds.join(roots, kinds["fp"] == roots["node"], "left").select("fp", "least_id", "root")
+    linked = of_kind.where("root IS NOT NULL")
+    # A component may hold any number of fingerprints: its id goes to SALTS parts of it.
+    least = linked.groupBy("root").agg(F.min("least_id").alias("component_id")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    named = (linked.withColumn("salt", F.pmod(F.xxhash64("fp"), F.lit(SALTS)).cast("int")).join(least, ["root", "salt"])
+             .select(F.col("fp").alias("kind"), "component_id")
+             .unionByName(of_kind.where("root IS NULL").select(F.col("fp").alias("kind"), F.col("least_id").alias("component_id"))))
     return (prints.join(named, prints["fp"] == named["kind"])
             .select("doc_id", "fp", "component_id"))
 

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -106,3 +107,43 @@ def test_keep_one(spark, edge_docs, no_docs, small_docs):
     assert S.keep_one(no_docs).count() == 0
     prints = [plain_print(r.text) for r in small_docs.collect()]
     assert S.keep_one(small_docs).count() == len(set(plain_components(prints)))
+
+
+def test_tally_and_list_width():
+    rng = np.random.default_rng(6)
+    a = rng.integers(0, 1 << 63, 500).astype(np.uint64)
+    b = a.copy()
+    for i in range(500):
+        for byte in rng.choice(8, int(rng.integers(0, 9)), replace=False):
+            b[i] ^= np.uint64(int(rng.integers(0, 256)) << (8 * int(byte)))
+    want = [sum((int(x) >> s & 255) == (int(y) >> s & 255) for s in range(0, 64, 8)) for x, y in zip(a, b, strict=True)]
+    assert S.shared_bytes(a, b).tolist() == want
+    assert [S.list_width(n, 2048, 4) for n in (0, 2048 * 256, 2048 * 256 + 1, 2048 * 65536 + 1, 10 ** 15)] == [1, 1, 2, 3, 4]
+
+
+@pytest.mark.parametrize("width", [1, 2, 3, 4])
+def test_every_width_gives_the_same_components(spark, width, monkeypatch):
+    rng = np.random.default_rng(7)
+    base = rng.integers(-(1 << 62), 1 << 62, 40)
+    near = [int(x) ^ sum(1 << int(k) for k in rng.choice(60, int(rng.integers(0, 6)), replace=False)) for x in base for _ in range(3)]
+    fps = sorted({*map(int, base), *near})
+    df = spark.createDataFrame([(x,) for x in fps], "fp long")
+    monkeypatch.setattr(S, "list_width", lambda n, block, most: width)
+    got = {frozenset(v) for v in grouped(S.components(S.links(df, 4, 16)).collect()).values()}
+    lab = {x: x for x in fps}
+    for i, x in enumerate(fps):
+        for y in fps[:i]:
+            if ((x ^ y) & (2 ** 64 - 1)).bit_count() <= 4:
+                old, new = lab[x], lab[y]
+                lab = {k: new if v == old else v for k, v in lab.items()}
+    want = {}
+    for k, v in lab.items():
+        want.setdefault(v, set()).add(k)
+    assert got == {frozenset(v) for v in want.values() if len(v) > 1}
+
+
+def grouped(rows):
+    out = {}
+    for r in rows:
+        out.setdefault(r.root, set()).add(r.node)
+    return out
