@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
@@ -46,6 +47,13 @@ def solid(df: DataFrame, name: str, rows: int = TEXT_ROWS) -> DataFrame:
         return materialize(df, name)
 
 
+def give_back() -> None:
+    """Return the memory that a collected sample took to the system, after a
+    model has been fitted on the driver."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
 def blobs(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
     """A string column as UTF-8 bytes."""
     return batch.column(name).cast(pa.binary()).to_pylist()

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spindle.llm.common import Batches, batch_of, small_batches
+from spindle.llm.common import Batches, batch_of, give_back, small_batches
 
 UND = "und"
 ROWS = 128
@@ -159,6 +159,8 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
         model.limits[lang] = [float(np.quantile(v, reject_share)) if len(v) >= LEAST else 0.0 for v in scores]
     if parts:
         model.matrix = np.ascontiguousarray(np.concatenate(parts).T.astype(np.float32))
+    del rows, counts, x
+    give_back()
     return model
 
 
