@@ -6,9 +6,9 @@
    shards; in each shard rarer words become breaks too, since no phrase of
    ``least`` occurrences holds one.
 2. A reverse index of each shard's text gives its pairs of words with local
-   counts. Their hashes and counts are summed over shards; each shard gets back
-   the hashes of ``least`` occurrences, and puts breaks where no such pair
-   stands. (Pairs that only share a hash stay until step 4.)
+   counts. Their hashes, packed by ranges, are summed over shards; each shard
+   gets back the hashes of ``least`` occurrences, and puts breaks where no such
+   pair stands. (Pairs that only share a hash stay until step 4.)
 3. What is left of each shard gets two FM-indexes, forward and reverse:
    Burrows-Wheeler transforms from a suffix order of ``most_words`` words depth
    (phrases are no longer), ranks by a stable sort of their symbols. A phrase is
@@ -28,7 +28,7 @@
    right tells whether a longer candidate has the same count (a phrase within a
    longer one of equal count is also within one that is longer by one word).
 
-Nothing is collected: an index holds a shard, a shard's frequent phrases are
+Nothing is collected: an index (made anew from the text at each level) holds a shard, a shard's frequent phrases are
 bounded by its words, and the levels are tables. A single document is never cut,
 so the longest one bounds the size of a shard from below.
 
@@ -203,6 +203,10 @@ class Index:
         self.back = np.empty(len(reverse), np.int32)          # backward steps of the reverse index
         self.back[forward_steps(reverse)] = np.arange(len(reverse), dtype=np.int32)
 
+    @classmethod
+    def of(cls, text: np.ndarray, depth: int) -> "Index":
+        return cls(transform(text, depth), transform(text[::-1], depth))
+
     def extended(self, low: np.ndarray, rlow: np.ndarray, n: np.ndarray, name: np.ndarray):
         """Right extensions of the phrases whose forward and reverse intervals
         start at ``low`` and ``rlow`` and have ``n`` rows: the phrase's
@@ -220,18 +224,20 @@ class Index:
         return name[owner[good]], last[good], new_low[good], new_rlow[good], size[good]
 
 
-LEVEL = "shard long, low int, rlow int, n int, prefix long, suffix long, wide boolean, forward binary, reverse binary"
+LEVEL = "shard long, low int, rlow int, n int, prefix long, suffix long, wide boolean, text binary"
 LEVEL_ARROW = pa.schema([("shard", pa.int64()), ("low", pa.int32()), ("rlow", pa.int32()), ("n", pa.int32()), ("prefix", pa.int64()),
-                         ("suffix", pa.int64()), ("wide", pa.bool_()), ("forward", pa.binary()), ("reverse", pa.binary())])
-PAIRS = "shard long, pair long, n int"
-PAIRS_ARROW = pa.schema([("shard", pa.int64()), ("pair", pa.int64()), ("n", pa.int32())])
+                         ("suffix", pa.int64()), ("wide", pa.bool_()), ("text", pa.binary())])
+PAIRS = "bucket int, shard long, pairs binary, counts binary"
+PAIRS_ARROW = pa.schema([("bucket", pa.int32()), ("shard", pa.int64()), ("pairs", pa.binary()), ("counts", pa.binary())])
+KEPT = "shard long, at int, name long"
+KEPT_ARROW = pa.schema([("shard", pa.int64()), ("at", pa.int32()), ("name", pa.int64())])
+PAIRS_PER_BUCKET = 1 << 21
 
 
 def extensions(shard: int, found) -> pa.RecordBatch:
     prefix, suffix, low, rlow, n = found
-    none = pa.nulls(len(low), pa.binary())
     return batch_of(LEVEL_ARROW, (np.full(len(low), shard, np.int64), low.astype(np.int32), rlow.astype(np.int32), n.astype(np.int32),
-                                  prefix, suffix, pa.nulls(len(low), pa.bool_()), none, none))
+                                  prefix, suffix, pa.nulls(len(low), pa.bool_()), pa.nulls(len(low), pa.binary())))
 
 
 def column(table: pa.Table, name: str) -> np.ndarray:
@@ -255,19 +261,43 @@ def hashed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint64(32))).view(np.int64)
 
 
-def pairs(texts: pa.Table, words: pa.Table) -> pa.Table:
-    """Hashes and local counts of a shard's pairs of frequent words."""
-    if not texts.num_rows or not words.num_rows:
-        return PAIRS_ARROW.empty_table()
-    text, names = frequent_text(texts, column(words, "at"), column(words, "name"))
-    text = thinned(text)
-    if not len(text):
-        return PAIRS_ARROW.empty_table()
-    n = np.bincount(text, minlength=len(names))
-    word, symbol, size, _ = symbols_after(transform(text[::-1], 1), (np.cumsum(n) - n)[1:], n[1:])
-    good = symbol != 0
-    pair = hashed(names[1:][word[good]], names[symbol[good]])
-    return pa.Table.from_batches([batch_of(PAIRS_ARROW, (np.full(len(pair), texts["shard"][0].as_py()), pair, size[good].astype(np.int32)))])
+def pairs(bits: int):
+    """Hashes and local counts of a shard's pairs of frequent words: a row for
+    each of 2 ** ``bits`` buckets that has any, its hashes sorted and packed as
+    differences."""
+    def run(texts: pa.Table, words: pa.Table) -> pa.Table:
+        if not texts.num_rows or not words.num_rows:
+            return PAIRS_ARROW.empty_table()
+        text, names = frequent_text(texts, column(words, "at"), column(words, "name"))
+        text = thinned(text)
+        if not len(text):
+            return PAIRS_ARROW.empty_table()
+        n = np.bincount(text, minlength=len(names))
+        word, symbol, size, _ = symbols_after(transform(text[::-1], 1), (np.cumsum(n) - n)[1:], n[1:])
+        good = symbol != 0
+        pair = hashed(names[1:][word[good]], names[symbol[good]])
+        order = np.argsort(pair)
+        pair, size = pair[order], size[good][order].astype(np.int32)
+        bucket = pair.view(np.uint64) >> np.uint64(64 - bits) if bits else np.zeros(len(pair), np.uint64)
+        # Sorted as signed numbers, each bucket is still one run.
+        starts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(pair) else np.empty(0, np.int64)
+        cuts = list(zip(starts, np.append(starts[1:], len(pair)), strict=True))
+        return pa.Table.from_batches([batch_of(PAIRS_ARROW, (bucket[starts].astype(np.int32), np.full(len(cuts), texts["shard"][0].as_py()),
+                                                             [packed(np.diff(pair[a:b], prepend=0)) for a, b in cuts], [packed(size[a:b]) for a, b in cuts]))])
+    return run
+
+
+def frequent_pairs(least: int):
+    """For each shard of a bucket the hashes that occur ``least`` times in all."""
+    def run(table: pa.Table) -> pa.Table:
+        found = [np.cumsum(unpacked(x, np.int64)) for x in table["pairs"].to_pylist()]
+        counts = np.concatenate([unpacked(x, np.int32) for x in table["counts"].to_pylist()])
+        shard = np.repeat(column(table, "shard"), [len(x) for x in found])
+        pair = np.concatenate(found)
+        kinds, which = np.unique(pair, return_inverse=True)
+        kept = np.bincount(which, weights=counts)[which] >= least          # sums of whole numbers, exact up to 2^53
+        return pa.Table.from_batches([batch_of(KEPT_ARROW, (shard[kept], pa.nulls(int(kept.sum()), pa.int32()), pair[kept]))])
+    return run
 
 
 def cut_at(text: np.ndarray, joined: np.ndarray) -> np.ndarray:
@@ -299,25 +329,25 @@ def built(depth: int):
         text = cut_at(text, joined)
         if len(text) < 2:
             return LEVEL_ARROW.empty_table()
-        forward, reverse = transform(text, depth), transform(text[::-1], depth)
         n = np.bincount(text, minlength=len(names))
         low = np.cumsum(n) - n
-        found = Index(forward, reverse).extended(low[1:], low[1:], n[1:], names[1:])
-        kept = batch_of(LEVEL_ARROW, ([shard], *([None],) * 5, [text.dtype.itemsize > 2], [packed(forward)], [packed(reverse)]))
+        found = Index.of(text, depth).extended(low[1:], low[1:], n[1:], names[1:])
+        kept = batch_of(LEVEL_ARROW, ([shard], *([None],) * 5, [text.dtype.itemsize > 2], [packed(text)]))
         return pa.Table.from_batches([kept, extensions(shard, found)])
     return run
 
 
-def grown(indexes: pa.Table, frequent: pa.Table) -> pa.Table:
+def grown(depth: int):
     """Phrases of a shard that are one word longer than the frequent ones."""
-    if not indexes.num_rows or not frequent.num_rows:
-        return LEVEL_ARROW.empty_table()
-    kind = np.uint32 if indexes["wide"][0].as_py() else np.uint16
-    forward, reverse = (unpacked(indexes[c][0].as_py(), kind) for c in ("forward", "reverse"))
-    frequent = frequent.sort_by("low")
-    low, rlow, n = (column(frequent, c).astype(np.int64) for c in ("low", "rlow", "n"))
-    found = Index(forward, reverse).extended(low, rlow, n, column(frequent, "name"))
-    return pa.Table.from_batches([extensions(indexes["shard"][0].as_py(), found)])
+    def run(texts: pa.Table, frequent: pa.Table) -> pa.Table:
+        if not texts.num_rows or not frequent.num_rows:
+            return LEVEL_ARROW.empty_table()
+        text = unpacked(texts["text"][0].as_py(), np.uint32 if texts["wide"][0].as_py() else np.uint16)
+        frequent = frequent.sort_by("low")
+        low, rlow, n = (column(frequent, c).astype(np.int64) for c in ("low", "rlow", "n"))
+        found = Index.of(text, depth).extended(low, rlow, n, column(frequent, "name"))
+        return pa.Table.from_batches([extensions(texts["shard"][0].as_py(), found)])
+    return run
 
 
 # ---------------------------------------------------------------------------
@@ -348,18 +378,20 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     levels = [now.where("first").select("name", "lang", F.array("word").alias("words"), "f", F.array("f").alias("heads"), F.array("f").alias("tails"))]
     numbers = now.select("shard", "at", "name")
     by_shard = texts.groupBy("shard")
-    counted = by_shard.cogroup(numbers.groupBy("shard")).applyInArrow(pairs, PAIRS)
-    kept = solid(counted.withColumn("f", F.sum("n").over(Window.partitionBy("pair"))).where(F.col("f") >= least)
-                 .select("shard", F.lit(None).cast("int").alias("at"), F.col("pair").alias("name")), "phrases-pairs", THIN_ROWS)
+    # About PAIRS_PER_BUCKET pairs meet in a task; a shard has no more rows than pairs.
+    words_left = now.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    bits = min(30, max(0, (words_left // PAIRS_PER_BUCKET).bit_length()))
+    counted = by_shard.cogroup(numbers.groupBy("shard")).applyInArrow(pairs(bits), PAIRS)
+    kept = solid(counted.groupBy("bucket").applyInArrow(frequent_pairs(least), KEPT), "phrases-pairs", THIN_ROWS)
     rows = by_shard.cogroup(numbers.unionByName(kept).groupBy("shard")).applyInArrow(built(most_words), LEVEL)
     for size in range(2, most_words + 1):
         rows = solid(rows, "phrases-extended", THIN_ROWS)
         if size == 2:
-            indexes = rows.where("forward IS NOT NULL").select("shard", "wide", "forward", "reverse")
+            left = rows.where("text IS NOT NULL").select("shard", "wide", "text")
             drop_scratch(docs.sparkSession, *{f.rpartition("/")[0] for f in made.inputFiles()})
-        rows = rows.where("forward IS NULL").select("shard", "low", "rlow", "n", "prefix", "suffix")
+        rows = rows.where("text IS NULL").select("shard", "low", "rlow", "n", "prefix", "suffix")
         now = solid(named(rows, ["prefix", "suffix"], "low", least), "phrases-frequent", THIN_ROWS)
-        rows = indexes.groupBy("shard").cogroup(now.select("shard", "low", "rlow", "n", "name").groupBy("shard")).applyInArrow(grown, LEVEL)
+        rows = left.groupBy("shard").cogroup(now.select("shard", "low", "rlow", "n", "name").groupBy("shard")).applyInArrow(grown(most_words), LEVEL)
         h, t = levels[-1].alias("h"), levels[-1].alias("t")
         own = now.where("first").select("name", "prefix", "suffix", "f").alias("p")
         linked = own.join(h, F.col("p.prefix") == F.col("h.name")).join(t, F.col("p.suffix") == F.col("t.name"))
