@@ -89,7 +89,10 @@ def assign(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str =
 
 def write_shards(docs: DataFrame, path: str, shards: int, id_col: str = "doc_id", files_per_shard: int = 1) -> None:
     """Whole rows as Parquet under ``path``/shard=N, each shard written by
-    ``files_per_shard`` tasks."""
+    ``files_per_shard`` tasks. The folders are read back as a column ``shard``,
+    so ``docs`` must not have one (ValueError)."""
+    if "shard" in (c.lower() for c in docs.columns):
+        raise ValueError("docs has a column shard, which the folders' names would replace: rename it")
     salt = F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns if docs.schema[c].dataType.typeName() != "map")),
                   F.lit(files_per_shard))
     (docs.withColumn("shard", jump(F.col(id_col), shards)["shard"])

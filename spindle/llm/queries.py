@@ -19,6 +19,16 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+#: Spellings that count as equal, the SQL's own list: each word and the one it becomes.
+SQL_SPELLINGS = """acknowledgement acknowledgment, analogue analog, analyse analyze, artefact artifact, authorisation authorization,
+authorised authorized, calibre caliber, cancelled canceled, capitalisations capitalizations, catalogue catalog, categorise categorize,
+centre center, emphasised emphasized, favour favor, favourite favorite, fulfil fulfill, fulfilment fulfillment, initialise initialize,
+judgement judgment, labelling labeling, labour labor, licence license, licenced licensed, licences licenses, maximise maximize,
+modelled modeled, modelling modeling, offence offense, optimise optimize, organisation organization, organise organize,
+practise practice, programme program, realise realize, recognise recognize, signalling signaling, utilisation utilization,
+whilst while, wilful willful, owner holder"""
+
+
 def _op1_sql() -> str:
     """Canonical forms by list functions, joined as digests."""
     def quoted(text: str) -> str:
@@ -30,7 +40,8 @@ def _op1_sql() -> str:
             chr(10)), '[^\p{{L}}\p{{N}}]+', ' ', 'g'), ' '), lambda w: w <> ''), lambda w: {spell}), ' ')"""
 
     known = ", ".join(f"({quoted(n)}, {quoted(t)})" for n, t in license_texts.KNOWN)
-    spell = "CASE w " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in license_texts.EQUIVALENT.items()) + " ELSE w END"
+    pairs = [x.split() for x in SQL_SPELLINGS.split(",")]
+    spell = "CASE w " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in pairs) + " ELSE w END"
     return f"""
 WITH k AS (SELECT DISTINCT n AS license, sha256(f) AS key FROM (
              SELECT n, {form("string_split(lower(t), chr(10))")} AS f FROM (VALUES {known}) AS v(n, t)) WHERE f <> ''),

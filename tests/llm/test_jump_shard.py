@@ -69,3 +69,9 @@ def test_written_shards(spark, small_docs, scratch):
     back = spark.read.parquet(path)
     assert back.drop("shard").exceptAll(small_docs).count() == 0 and back.count() == small_docs.count()
     assert all(plain_jump(r.doc_id, 5) == r.shard for r in back.select("doc_id", "shard").collect())
+
+
+def test_written_shards_keep_an_own_column(spark, scratch):
+    docs = spark.createDataFrame([(1, "a", "mine")], "doc_id long, text string, Shard string")
+    with pytest.raises(ValueError, match="column shard"):
+        J.write_shards(docs, scratch + "/out", 4)
