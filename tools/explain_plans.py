@@ -12,13 +12,10 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from pyspark.sql import functions as F  # noqa: E402
-
 from spindle.operators.index import build_index, inverted_blocks  # noqa: E402
-from spindle.operators.joins import broadcast_if_small  # noqa: E402
-from spindle.operators.rank import (all_document_scores, matched_scores, rank_batch,  # noqa: E402
-                                    top_k)
+from spindle.operators.rank import matched_scores, rank, rank_batch  # noqa: E402
 from spindle.plans.catalog import Q_MID  # noqa: E402
+from spindle.plans.jobs import add_job  # noqa: E402
 from spindle.session import local_session, scratch_path  # noqa: E402
 from spindle.sources.documents import corpus, load_table  # noqa: E402
 from spindle.sources.store import save_index  # noqa: E402
@@ -38,8 +35,9 @@ def main() -> None:
     spark = local_session(8, 8)
     docs = corpus(spark, sf)
     lazy = build_index(docs)
-    stored = save_index(lazy, scratch_path(spark, "plans-index"), n_buckets=8)
-    new_post = broadcast_if_small(build_index(corpus(spark, sf, "benchmark")).flat())
+    stored_root = scratch_path(spark, "plans-index")
+    stored = save_index(lazy, stored_root, n_buckets=8)
+    added = add_job(spark, corpus(spark, sf, "benchmark"), stored_root, scratch_path(spark, "plans-added"))
     sections = [
         ("Build: tokenize + term frequency",
          "One scan of (doc_id, text), round-robin spread only because the test file is one "
@@ -49,20 +47,21 @@ def main() -> None:
          "PartitionFilters on term_bucket and PushedFilters In(term) on postings and lexicon; "
          "only bounded broadcasts (the query weights; D and avgdl are literals from the one-row stats); partial + final sum by title.",
          matched_scores(stored, Q_MID, "bm25")),
+        ("Rank, top 10 of every document",
+         "The matched top 10, and the first titles of the documents without a match behind a scalar "
+         "subquery: fewer than 10 positive scores. Adaptive execution drops that branch otherwise.",
+         rank(stored, Q_MID, "bm25", 10)),
         ("Rank, every document kept",
-         "Documents (title only) left-joined null-safely with the matched scores; "
-         "TakeOrderedAndProject for the top 10. The same plan for every k.",
-         top_k(all_document_scores(stored, matched_scores(stored, Q_MID, "bm25")), 10)),
+         "Documents (title only) left-joined null-safely with the matched scores.",
+         rank(stored, Q_MID, "bm25", None)),
         ("Batch ranking over the benchmark table",
-         "Bucket directories pruned to the queries' terms, size-checked broadcast of the query "
-         "weights, partial WindowGroupLimit before the shuffle for row_number() <= 10.",
+         "Last step: what upper bounds left (a written table) and its other terms, in pruned bucket "
+         "directories; partial WindowGroupLimit before the shuffle for row_number() <= 10.",
          rank_batch(stored, load_table(spark, sf, "benchmark"), "bm25", 10, "item_id", "text")),
-        ("Add: old files rewritten one to one",
-         "The stored postings go through an anti join against the broadcast keys of the "
-         "materialised, counted new postings, then a local sort; there is no Exchange on the "
-         "old index. (The small new part is range-partitioned and appended separately.)",
-         stored.postings.join(F.broadcast(new_post.select("title", "term")), ["title", "term"],
-                              "left_anti").sortWithinPartitions("term_bucket", "term", "title")),
+        ("Postings of an added index",
+         "The segments as they lie, the older one without the (title, term) that the newer one "
+         "overwrites: a join that the planner picks; no Exchange of the old postings.",
+         added.postings),
         ("Inverted lists in bounded blocks",
          "Postings joined with the lexicon (df), block = hash(title) mod ceil(df / block_size); "
          "every collect_list group is bounded.",
