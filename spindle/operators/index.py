@@ -21,6 +21,8 @@ whole in one task.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -64,6 +66,19 @@ def lexicon_table(postings: DataFrame) -> DataFrame:
         F.max("tf").cast("bigint").alias("max_tf"))
 
 
+def level_table(postings: DataFrame) -> DataFrame:
+    """``(term, tf, n)``: how many postings of a term have one tf."""
+    return postings.groupBy("term", "tf").agg(F.count(F.lit(1)).alias("n"))
+
+
+def lexicon_of_levels(levels: DataFrame) -> DataFrame:
+    """The lexicon from the levels of its terms."""
+    return levels.groupBy("term").agg(
+        F.sum("n").alias("df"),
+        F.sum(F.col("tf") * F.col("n")).cast("bigint").alias("cf"),
+        F.max("tf").cast("bigint").alias("max_tf"))
+
+
 def corpus_stats(documents: DataFrame) -> DataFrame:
     """One row: D, number of postings and tokens, avgdl and mean tokens.
 
@@ -124,6 +139,7 @@ class Index:
     materialized: bool = False
     known_scalars: "CorpusScalars | None" = None
     lexicon_parts: DataFrame | None = None      # summed up by term they are lexicon_df
+    level_parts: DataFrame | None = None        # (term, tf, n) of a stored index, to be summed up
 
     def flat(self) -> DataFrame:
         return self.postings.select(*POSTINGS_COLUMNS)
@@ -158,14 +174,25 @@ class Index:
             return self.known_scalars
         return CorpusScalars(stats=self.stats())
 
-    def postings_for_terms(self, terms: list[str]) -> DataFrame:
-        """Postings of the given terms, with the predicate on the scan.
+    def postings_for_terms(self, terms: list[str], floors: dict[str, int] | None = None) -> DataFrame:
+        """Postings of the given terms, with the predicate on the scan;
+        ``floors`` leaves out a term's postings of a smaller tf.
 
         ``term IN (...)`` is pushed into the Parquet reader (row groups of the
         term-sorted files are skipped by min/max); a stored index also
         prunes whole ``term_bucket`` directories.
         """
-        return _filter_terms(self.postings, terms, self.n_buckets).select(*POSTINGS_COLUMNS)
+        rows = _filter_terms(self.postings, terms, self.n_buckets)
+        if floors:
+            free = sorted(set(terms) - set(floors))
+            heads = [(F.col("term") == t) & (F.col("tf") >= x) for t, x in sorted(floors.items())]
+            rows = rows.where(reduce(or_, [F.col("term").isin(free)] * bool(free) + heads))
+        return rows.select(*POSTINGS_COLUMNS)
+
+    def levels_for_terms(self, terms: list[str]) -> DataFrame:
+        """``(term, tf, n)`` of a stored index for the given terms."""
+        parts = _filter_terms(self.level_parts, terms, self.n_buckets)
+        return parts.groupBy("term", "tf").agg(F.sum("n").alias("n")).where("n > 0")
 
     def lexicon_for_terms(self, terms: list[str]) -> DataFrame:
         if self.lexicon_df is not None:

@@ -19,16 +19,23 @@ where its idf is negative. For each query:
 So the long posting lists of common terms are scanned and met with documents
 that are still in question, but never summed up for all documents. A query with
 fewer than k candidates has no threshold, and all its terms are essential.
+
+One query of a stored index is pruned in its scan: :func:`tf_floors` finds in the
+levels of its terms (how many postings have which tf) the least tf that matters,
+and the stored lists, largest tf first, are read down to it.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
+from spindle.functions.scoring import BM25_K, bm25_param, bm25_term, idf, naive_term
+from spindle.operators.index import Index
 from spindle.operators.joins import fits_broadcast, join_null_safe, materialize
 
 SEEDS, CANDIDATES = 16, 4
@@ -108,3 +115,68 @@ def batch_scores(postings: DataFrame, on: list[str], weights: DataFrame, contrib
     scores = (left.unionByName(rest.select("query_id", "title", add.alias("part")))
               .groupBy("query_id", "title").agg(F.sum("part").alias("score")))
     return BatchScores(scores, left, held)
+
+
+# ---------------------------------------------------------------------------
+# One query: the least tf that a posting needs
+# ---------------------------------------------------------------------------
+
+def term_bounds(index: Index, qtf: dict[str, int], method: str, k: int) -> list[Row]:
+    """A row for each query term of a stored index: ``term``, ``idf``, ``param``,
+    the largest and the least contribution of its postings (``most``, ``least``)
+    and the k-th largest (``kth``, null for shorter lists). Read from the levels,
+    whose number is that of a term's distinct tf."""
+    c = index.scalars()
+    term = Window.partitionBy("term")
+    falling = term.orderBy(F.desc("tf")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counts = F.create_map(*(F.lit(x) for pair in sorted(qtf.items()) for x in pair))
+    levels = index.levels_for_terms(list(qtf)).select(
+        "term", "tf", F.sum("n").over(falling).alias("above"), idf(c.lit("d"), F.sum("n").over(term)).alias("idf"),
+        bm25_param(c.lit("d"), c.lit("avgdl")).alias("param"), F.element_at(counts, F.col("term")).alias("qtf"))
+    part = (naive_term(F.col("qtf"), F.col("tf"), F.col("idf")) if method == "naive"
+            else bm25_term(F.col("idf"), F.col("tf"), F.col("param")))
+    return (levels.withColumn("part", part).groupBy("term", "idf", "param")
+            .agg(F.max("part").alias("most"), F.min("part").alias("least"), F.max(F.when(F.col("above") >= k, F.col("part"))).alias("kth"),
+                 F.max("tf").alias("max_tf")).collect())
+
+
+def least_tf(row: Row, qtf: int, method: str, need: float) -> int:
+    """The least tf whose contribution can reach ``need``; one more than the
+    term's largest tf if none does."""
+    if row.most < need:
+        return row.max_tf + 1
+    if method == "naive":
+        tf = need * row.idf * row.idf / qtf
+    else:
+        tf = need * row.param / (row.idf * (BM25_K + 1.0) - need)
+    return max(1, math.ceil(tf * (1 - 1e-9)))
+
+
+def tf_floors(index: Index, qtf: dict[str, int], method: str, k: int, decimals: int | None) -> dict[str, int]:
+    """For terms of one query (``qtf``: their counts) the least tf of a posting
+    that can stand in a document of the top ``k``; terms without a floor are left
+    out, and without an own k-th score there are none.
+
+    A term with at least k postings puts k documents at its k-th largest
+    contribution or above (less what terms of a negative idf may take away), so
+    the best such value is a threshold that the k-th score reaches. A document
+    with a posting whose contribution stays under it even with all that the other
+    terms can add is out. Leaving such postings unread only lowers the sums of
+    documents that are out: the result is exact. A threshold of 0 or less gives
+    no floors, as documents without a match score 0.
+    """
+    if not qtf:
+        return {}
+    rows = term_bounds(index, qtf, method, k)
+    taken = sum(min(r.least, 0.0) for r in rows)
+    limit = max((r.kth + taken - min(r.least, 0.0) for r in rows if r.kth is not None), default=0.0)
+    limit -= 1e-9 * (1 + abs(limit)) + (10.0 ** -decimals if decimals is not None else 0.0)
+    if limit <= 0:
+        return {}
+    added = sum(max(r.most, 0.0) for r in rows)
+    floors = {}
+    for r in rows:
+        need = limit - (added - max(r.most, 0.0))
+        if r.most > 0 and need > 0 and (at := least_tf(r, qtf[r.term], method, need)) > 1:
+            floors[r.term] = at
+    return floors

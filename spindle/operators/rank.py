@@ -2,7 +2,8 @@
 
 Plan of one query (no Python in the hot path)::
 
-    postings WHERE term IN (query terms)          -- pushed into the scan
+    postings WHERE term IN (query terms)          -- pushed into the scan,
+               AND tf >= the term's floor         -- if stored (operators/pruning.py)
       JOIN broadcast(query weights)                -- bounded by the query text
       GROUP BY title  SUM(term score)              -- partial + final
       ORDER BY score DESC, title ASC LIMIT k       -- TakeOrderedAndProject
@@ -35,7 +36,7 @@ from spindle.functions.scoring import (BM25_B, BM25_K, DEFAULT_TOP_K, bm25_param
 from spindle.functions.text import tokens
 from spindle.operators.index import Index, lexicon_table, materialize_index, term_bucket
 from spindle.operators.joins import broadcast_if_small, join_null_safe
-from spindle.operators.pruning import batch_scores, best
+from spindle.operators.pruning import batch_scores, best, tf_floors
 
 METHODS = ("bm25", "naive")
 # Scores are sums whose last bits depend on the order of summation; rounded to
@@ -109,8 +110,10 @@ def query_weights(index: Index, spark: SparkSession, query: str,
 
 def matched_scores(index: Index, query: str, method: str = "bm25",
                    length_norm: str = "corpus", k1: float = BM25_K,
-                   b: float = BM25_B) -> DataFrame:
-    """``(title, score)`` for the documents holding at least one query term.
+                   b: float = BM25_B, floors: dict[str, int] | None = None) -> DataFrame:
+    """``(title, score)`` for the documents holding at least one query term
+    (with ``floors``, see :func:`~spindle.operators.pruning.tf_floors`, for those
+    that can be among the top k).
 
     ``length_norm="document"`` switches BM25 to the text-book normaliser
     (each document's own token count over the mean token count).
@@ -119,7 +122,7 @@ def matched_scores(index: Index, query: str, method: str = "bm25",
     spark = index.postings.sparkSession
     profile = query_profile(spark, query)
     weights = query_weights(index, spark, query, profile)
-    hits = index.postings_for_terms([t for t, _ in profile]).join(F.broadcast(weights), "term")
+    hits = index.postings_for_terms([t for t, _ in profile], floors).join(F.broadcast(weights), "term")
     if method == "naive":
         contrib = naive_term(F.col("qtf"), F.col("tf"), F.col("idf"))
     elif length_norm == "corpus":
@@ -182,10 +185,15 @@ def rank(index: Index, query: str, method: str = "bm25", k: int | None = DEFAULT
     (``k`` None returns every document, ordered).
 
     ``matched_only=True`` skips documents without a query term (the report's
-    planned improvement). Rank a stored or materialised index: over a lazy one
+    planned improvement). Of a stored index only those postings are read whose
+    tf leaves their document in question (``tf_floors``). Rank a stored or materialised index: over a lazy one
     each branch of the plan would tokenize the documents again.
     """
-    scores = matched_scores(index, query, method, length_norm)
+    floors = None
+    if k and index.level_parts is not None and length_norm == "corpus":
+        profile = query_profile(index.postings.sparkSession, query)
+        floors = tf_floors(index, dict(profile), check_method(method), k, decimals)
+    scores = matched_scores(index, query, method, length_norm, floors=floors)
     if matched_only:
         return top_k(scores, k, decimals)
     if k is None:

@@ -3,7 +3,9 @@
 Layout::
 
     <root>/segment-<id>/postings/term_bucket=B/  (title, term, tf)  inverted order:
-                                    range-partitioned and sorted by (bucket, term, title)
+                                    range-partitioned and sorted by (bucket, term, tf falling, title)
+    <root>/segment-<id>/levels/term_bucket=B/  (term, tf, n)  skip data: each level of a
+                                    term's list, the postings of one tf, with its size
     <root>/segment-<id>/forward/    (title, term, tf)  forward order: range-
                                     partitioned and sorted by (title, term)
     <root>/segment-<id>/documents/  (title, n_terms, n_tokens)
@@ -18,13 +20,18 @@ term min/max statistics, and a title lookup does the same on ``forward``.
 D and avgdl are stored (the report's planned improvement), so ranking never
 recounts the corpus.
 
+Inside a term the postings of the largest tf come first, in pages of
+``PAGE_ROWS`` rows whose least and largest tf stand in the file's page index. A
+filter ``term = t AND tf >= x`` therefore reads the head of a long list only, and
+``levels`` tells, before anything of the list is read, which x leaves enough.
+
 A build writes one segment. An add of any size writes one more, which is a
 build of the new part, and leaves the old ones where they are; what it replaces
 ("new wins") stands in three more tables of its folder::
 
     overwritten/term_bucket=B/      (title, term, tf, segment): postings of older
                                     segments that no longer count
-    documents_gone/, lexicon_gone/term_bucket=B/    their part of the sizes, negative
+    documents_gone/, lexicon_gone/, levels_gone/term_bucket=B/    their part of the sizes, negative
 
 The manifest names the segments of an index, so the segments of the index that
 was added to stay in use: keep its folder, or :func:`compact_index` the new one.
@@ -51,11 +58,11 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from spindle.operators.index import CorpusScalars, Index, document_table, lexicon_table, term_bucket
+from spindle.operators.index import CorpusScalars, Index, document_table, level_table, lexicon_of_levels, term_bucket
 from spindle.operators.joins import join_null_safe, materialize
 from spindle.session import drop_scratch, shuffle_width
 
@@ -70,6 +77,8 @@ def table_path(root: str, name: str) -> str:
 ROWS_PER_BUCKET = 4_000_000
 MAX_BUCKETS = 65_536
 ROWS_PER_FILE = 8_000_000
+# Rows of a Parquet page of the postings, the unit that a scan can skip.
+PAGE_ROWS = 4096
 
 
 def buckets_for(rows: int) -> int:
@@ -89,7 +98,7 @@ def run_concurrently(*jobs) -> None:
             future.result()
 
 
-def _range(df: DataFrame, n_files: int | None, *cols: str) -> DataFrame:
+def _range(df: DataFrame, n_files: int | None, *cols: str | Column) -> DataFrame:
     return df.repartitionByRange(n_files, *cols) if n_files else df.repartitionByRange(*cols)
 
 
@@ -103,9 +112,9 @@ def write_postings(postings: DataFrame, root: str, n_buckets: int,
     spark = postings.sparkSession
     keyed = postings.select("title", "term", "tf").withColumn(
         "term_bucket", term_bucket(F.col("term"), n_buckets))
-    (_range(keyed, n_files, "term_bucket", "term", "title")
-     .sortWithinPartitions("term_bucket", "term", "title")
-     .write.mode("errorifexists").partitionBy("term_bucket")
+    order = ("term_bucket", "term", F.desc("tf"), "title")
+    (_range(keyed, n_files, *order).sortWithinPartitions(*order)
+     .write.mode("errorifexists").option("parquet.page.row.count.limit", PAGE_ROWS).partitionBy("term_bucket")
      .parquet(table_path(root, "postings")))
     return spark.read.schema(SCHEMAS["postings"]).parquet(table_path(root, "postings"))
 
@@ -122,14 +131,24 @@ def write_documents(postings: DataFrame, root: str) -> DataFrame:
     return postings.sparkSession.read.schema(SCHEMAS["documents"]).parquet(path)
 
 
-def write_lexicon(lexicon: DataFrame, path: str, n_buckets: int) -> None:
-    """One row per term, range-clustered by (bucket, term): each bucket
-    directory gets few files, and an oversized bucket is still cut across tasks."""
-    keyed = lexicon.withColumn("term_bucket", term_bucket(F.col("term"), n_buckets))
-    (keyed.repartitionByRange("term_bucket", "term").sortWithinPartitions("term_bucket", "term")
+def write_by_term(table: DataFrame, path: str, n_buckets: int, *then: str) -> None:
+    """Range-clustered by (bucket, term, ``then``): each bucket directory gets
+    few files, and an oversized bucket is still cut across tasks."""
+    keyed = table.withColumn("term_bucket", term_bucket(F.col("term"), n_buckets))
+    (keyed.repartitionByRange("term_bucket", "term", *then).sortWithinPartitions("term_bucket", "term", *then)
      .write.mode("errorifexists").partitionBy("term_bucket").parquet(path))
 
 
+def write_lexicon(postings: DataFrame, root: str, n_buckets: int, suffix: str = "", sign: int = 1) -> None:
+    """The levels of the postings, and from them, read back, one row per term.
+    ``sign`` -1 writes sizes as negative numbers."""
+    spark = postings.sparkSession
+    path = table_path(root, "levels" + suffix)
+    write_by_term(level_table(postings).withColumn("n", F.lit(sign) * F.col("n")), path, n_buckets, "tf")
+    levels = spark.read.schema(SCHEMAS["levels"]).parquet(path)
+    write_by_term(lexicon_of_levels(levels), table_path(root, "lexicon" + suffix), n_buckets)
+
+
 # ---------------------------------------------------------------------------
 # Segments and their manifest
 # ---------------------------------------------------------------------------
@@ -166,9 +185,11 @@ SCHEMAS = {
     "forward": "title string, term string, tf bigint",
     "documents": "title string, n_terms bigint, n_tokens bigint",
     "lexicon": "term string, df bigint, cf bigint, max_tf bigint, term_bucket int",
+    "levels": "term string, tf bigint, n bigint, term_bucket int",
     "overwritten": "title string, term string, tf bigint, segment string, term_bucket int",
     "documents_gone": "title string, n_terms bigint, n_tokens bigint",
     "lexicon_gone": "term string, df bigint, cf bigint, max_tf bigint, term_bucket int",
+    "levels_gone": "term string, tf bigint, n bigint, term_bucket int",
 }
 
 
@@ -219,7 +240,7 @@ def live_rows(spark: SparkSession, segments: tuple[Segment, ...], name: str) ->
 
 
 def sizes(spark: SparkSession, segments: tuple[Segment, ...], name: str) -> list[DataFrame]:
-    """``name`` (documents or lexicon) of each segment and, negative, what its
+    """``name`` (documents, lexicon or levels) of each segment and, negative, what its
     overwritten rows had."""
     return ([segment_table(spark, s, name) for s in segments]
             + [segment_table(spark, s, f"{name}_gone") for s in segments if s.gone])
@@ -241,6 +262,7 @@ def open_segments(spark: SparkSession, m: Manifest, stats: DataFrame) -> Index:
         documents_df=documents,
         lexicon_df=lexicon,
         lexicon_parts=together,
+        level_parts=_union(sizes(spark, m.segments, "levels")),
         stats_df=stats,
         n_buckets=m.n_buckets,
         forward_df=_union(live_rows(spark, m.segments, "forward")) if complete else None,
@@ -279,7 +301,7 @@ def write_segment(postings: DataFrame, path: str, n_buckets: int, n_files: int |
         found.append(docs.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_terms"), F.lit(0)), F.coalesce(F.sum("n_tokens"), F.lit(0))).first())
         found.append(then(stored, docs) if then else None)
 
-    jobs = [documents, lambda: write_lexicon(lexicon_table(stored.select("title", "term", "tf")), table_path(path, "lexicon"), n_buckets)]
+    jobs = [documents, lambda: write_lexicon(stored, path, n_buckets)]
     if forward:
         jobs.append(lambda: write_forward(stored, path, n_files))
     run_concurrently(*jobs)
@@ -345,12 +367,10 @@ def write_gone(lost: DataFrame, path: str, n_buckets: int) -> tuple[int, int]:
     if not gone:
         return 0, 0
 
-    def negative(table: DataFrame, *names: str) -> DataFrame:
-        return table.withColumns({n: -F.col(n) for n in names})
     (lost.repartitionByRange("term_bucket", "term", "title").sortWithinPartitions("term_bucket", "term", "title")
      .write.mode("errorifexists").partitionBy("term_bucket").parquet(table_path(path, "overwritten")))
-    negative(document_table(lost), "n_terms", "n_tokens").write.mode("errorifexists").parquet(table_path(path, "documents_gone"))
-    write_lexicon(negative(lexicon_table(lost), "df", "cf"), table_path(path, "lexicon_gone"), n_buckets)
+    (document_table(lost).withColumns({n: -F.col(n) for n in ("n_terms", "n_tokens")}).write.mode("errorifexists").parquet(table_path(path, "documents_gone")))
+    write_lexicon(lost, path, n_buckets, "_gone", -1)
     return int(gone), int(tokens)
 
 
