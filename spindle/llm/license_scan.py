@@ -7,7 +7,8 @@ document is looked up as a whole, and each of its lines as a whole, which finds
 the licence notices inside other texts.
 
 The known texts are a stated list (``known``, any DataFrame of identifier and
-text); its digests are broadcast after a check of their number, else joined by
+text; without one the texts of :mod:`license_texts` and its published digests of
+long licences); its digests are broadcast after a check of their number, else joined by
 a shuffle. Documents are not shuffled: only digests that matched are.
 
 Nulls and edges: null, empty and wordless texts and lines have the digest of no
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spindle.llm.common import Batches, small_batches, solid
-from spindle.llm.license_texts import EQUIVALENT, KNOWN
+from spindle.llm.license_texts import DIGESTS, EQUIVALENT, KNOWN
 
 #: A line that states a copyright: (c), a year or a placeholder must follow the word.
 COPYRIGHT = re.compile(r"^[^\w]*(?:copyright\s*(?:\(c\)|©|[0-9]{4}|<|\[)|\(c\)\s|©|all rights reserved[^\w]*$)")
@@ -71,6 +72,12 @@ def known_licenses(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(KNOWN, "license string, text string")
 
 
+def published_digests(spark: SparkSession) -> DataFrame:
+    """``license`` and ``key`` of the stated texts and of the long licences
+    whose digests alone are stated."""
+    return known_digests(known_licenses(spark)).unionByName(spark.createDataFrame(DIGESTS, "license string, key string"))
+
+
 def known_digests(known: DataFrame) -> DataFrame:
     """``license`` and ``key``, the digest of each known text."""
     def run(batches: Batches) -> Batches:
@@ -87,7 +94,7 @@ def scan(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id"
     row."""
     spark = docs.sparkSession
     small_batches(spark)
-    table = solid(known_digests(known_licenses(spark) if known is None else known), "license-known")
+    table = solid(published_digests(spark) if known is None else known_digests(known), "license-known")
     table = F.broadcast(table) if table.count() <= MAX_KNOWN else table
     rows = solid(digests(docs, id_col, text_col), "license-digests")
     kinds = F.explode(F.concat(F.array(F.struct(F.lit(True).alias("whole"), F.col("digest").alias("key"))),

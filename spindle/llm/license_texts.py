@@ -108,6 +108,25 @@ KNOWN = [
     ("CC0-1.0", "SPDX-License-Identifier: CC0-1.0"),
 ]
 
+#: Digests (SHA-256 of the canonical form, with the equal spellings below) of whole
+#: published texts that are too long to stand here. The texts are those that
+#: Debian's base-files ships, the GNU ones with the address 51 Franklin Street or
+#: none and with their instructions at the end. A bare text says nothing of later versions.
+DIGESTS = [
+    ("Apache-2.0", "4580e5390400d27df89edd0617548ac0e66eaa029f6e07cf98aac9cd100b3a37"),
+    ("CC0-1.0", "6e4a79b7eaf2cdc3879a899ef330c98026c9d697ee87d41a28ac5159e8e53348"),
+    ("GFDL-1.2-only", "5379e6f33e826ba185b23fd11a414555c2161fda481478babd1e73a3ae098a71"),
+    ("GFDL-1.3-only", "93d6108daecdddc5f284cf8f2512fb0d72f6e9ee12381feb9704ba194b00c3e6"),
+    ("GPL-1.0-only", "8f586b09c093668e2db772bdcfc1d5dc0b03e0e862fccbff035e1bf134e9b224"),
+    ("GPL-2.0-only", "efe73660e5476cf0368fc0fc143f624ff9d1b73c4484b14a9969dd20c5786821"),
+    ("GPL-3.0-only", "a8cd54d6683aa630f0b8d05d56184ad91dc486756da2df61c94d3e4e8d5ecb68"),
+    ("LGPL-2.0-only", "61af4dcea4e412e8ccfb8877fd2762bd6d962f8d42a9fa2c06cf7b4613f2c908"),
+    ("LGPL-2.1-only", "4d55922bdeafabde164d75448bbfb0b474bf952bbb541325364010900acd9891"),
+    ("LGPL-3.0-only", "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"),
+    ("MPL-1.1", "fbe9a0b96f52e03cb474f9a7083781399c011279e85b548118563ec96e659354"),
+    ("MPL-2.0", "95f6a0d094cf3da6a140310541c7b576789031b600469b70877b34f97918e4c9"),
+]
+
 #: Words that licence matching counts as equal, each with the form kept.
 EQUIVALENT = {
     "acknowledgement": "acknowledgment", "analogue": "analog", "analyse": "analyze", "artefact": "artifact",

@@ -40,11 +40,13 @@ def _op1_sql() -> str:
             chr(10)), '[^\p{{L}}\p{{N}}]+', ' ', 'g'), ' '), lambda w: w <> ''), lambda w: {spell}), ' ')"""
 
     known = ", ".join(f"({quoted(n)}, {quoted(t)})" for n, t in license_texts.KNOWN)
+    digests = ", ".join(f"({quoted(n)}, {quoted(k)})" for n, k in license_texts.DIGESTS)
     pairs = [x.split() for x in SQL_SPELLINGS.split(",")]
     spell = "CASE w " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in pairs) + " ELSE w END"
     return f"""
 WITH k AS (SELECT DISTINCT n AS license, sha256(f) AS key FROM (
-             SELECT n, {form("string_split(lower(t), chr(10))")} AS f FROM (VALUES {known}) AS v(n, t)) WHERE f <> ''),
+             SELECT n, {form("string_split(lower(t), chr(10))")} AS f FROM (VALUES {known}) AS v(n, t)) WHERE f <> ''
+      UNION SELECT * FROM (VALUES {digests}) AS p(license, key)),
 d AS (SELECT doc_id, row_number() OVER () AS r, string_split(lower(coalesce(text, '')), chr(10)) AS ls FROM documents),
 w AS (SELECT doc_id, r, {form("ls")} AS f FROM d),
 l AS (SELECT r, {form("[x0]")} AS f FROM (SELECT r, unnest(ls) AS x0 FROM d)),

@@ -1,5 +1,13 @@
+import os
+import re
+
+import pytest
+
 from spindle.llm import license_scan as L
-from spindle.llm.license_texts import KNOWN, MIT
+from spindle.llm.license_texts import DIGESTS, KNOWN, MIT
+
+#: Where a Debian system keeps the published texts.
+PUBLISHED = "/usr/share/common-licenses"
 
 
 def found(df):
@@ -28,6 +36,23 @@ def test_whole_texts_and_lines(spark):
     assert got[104] == (None, None)
 
 
+@pytest.mark.skipif(not os.path.isdir(PUBLISHED), reason="no published texts on this system")
+def test_whole_published_licences(spark):
+    """Whole long licences, as published, in other case, with other line breaks,
+    spellings and an own copyright line; with a word more they are none."""
+    texts, want = [], {}
+    for i, (name, _) in enumerate(DIGESTS):
+        file = name.removesuffix("-only")
+        file = file.removesuffix(".0") if "GPL" in file else file
+        with open(os.path.join(PUBLISHED, file), encoding="utf-8") as f:
+            text = f.read()
+        other = re.sub(r"\bLICENSE(S|D|)\b", r"LICENCE\1", text.upper()).replace("  ", " \t ")
+        texts += [(10 * i, text), (10 * i + 1, "Copyright (c) 2020 Somebody\n\n" + other), (10 * i + 2, text + "\nand more"), (10 * i + 3, text[: len(text) // 2])]
+        want |= {10 * i: name, 10 * i + 1: name, 10 * i + 2: None, 10 * i + 3: None}
+    got = found(L.scan(spark.createDataFrame(texts, "doc_id long, text string")))
+    assert {i: whole for i, (whole, _) in got.items()} == want
+
+
 def test_own_list_and_edges(spark, edge_docs, no_docs):
     known = spark.createDataFrame([("A", "The quick brown fox jumps over the lazy dog it runs away"), ("B", "the QUICK brown fox jumps over the lazy dog. It runs away"),
                                    ("C", ""), (None, "word"), ("D", None)], "license string, text string")
