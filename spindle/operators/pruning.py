@@ -16,6 +16,10 @@ where its idf is negative. For each query:
    are dropped.
 4. Only the documents left are scored by the other terms.
 
+A batch whose essential terms have as many postings as the index (a posting
+counts for each query that asks for it) takes steps 3 and 4 in one pass over the
+postings in title order, where the rows of a document stand together.
+
 So the long posting lists of common terms are scanned and met with documents
 that are still in question, but never summed up for all documents. A query with
 fewer than k candidates has no threshold, and all its terms are essential.
@@ -83,11 +87,12 @@ def best(scores: DataFrame, k: int, *order: Column) -> DataFrame:
 
 
 def batch_scores(postings: DataFrame, on: list[str], weights: DataFrame, contribution: Callable[[Column], Column],
-                 k: int, decimals: int | None) -> BatchScores:
+                 k: int, decimals: int | None, by_title: DataFrame | None = None, n_postings: float = 0) -> BatchScores:
     """``postings`` (``on``, title, tf) scored for the queries of ``weights``
     (query_id, ``on``, df, max_tf and what ``contribution`` of a tf needs).
     ``decimals`` is what scores are rounded to afterwards: documents that could
-    tie by it stay."""
+    tie by it stay. ``by_title`` are the same ``n_postings`` rows in title order
+    (title, term, tf), read where they are the cheaper ones."""
     weights = materialize(bounded(weights, contribution, k), "batch-weights")
     # Everything that is a part of the weights or has a column more is as small.
     hint = F.broadcast if fits_broadcast(weights) else (lambda df: df)
@@ -105,10 +110,21 @@ def batch_scores(postings: DataFrame, on: list[str], weights: DataFrame, contrib
     others = F.max(F.when(~F.col("essential"), F.col("bounds"))).over(Window.partitionBy("query_id"))
     held = materialize(held.withColumn("others", F.coalesce(others, F.lit(0.0))), "batch-held")
 
+    in_question = F.col("limit").isNull() | (F.col("part") + F.col("others") >= F.col("limit"))
+    if by_title is not None and (held.where("essential").agg(F.sum("df")).first()[0] or 0) >= n_postings:
+        # So many rows to sum: in term order those of a (query, title) lie far apart,
+        # often in several tasks. In title order they meet where they are read, and
+        # the other terms are summed beside the essential ones.
+        terms = held.drop(*(c for c in on if c != "term"))
+        parts = (by_title.join(hint(terms), "term").groupBy("query_id", "title")
+                 .agg(F.coalesce(F.sum(F.when(F.col("essential"), add)), F.lit(0.0)).alias("part"), F.sum(add).alias("score"),
+                      F.first("limit").alias("limit"), F.first("others").alias("others")))
+        left = materialize(parts.where(in_question).select("query_id", "title", "score"), "batch-left")
+        return BatchScores(left, left, held)
+
     parts = (postings.join(hint(held.where(F.col("essential") & every(on))), on).groupBy("query_id", "title")
              .agg(F.sum(add).alias("part"), F.first("limit").alias("limit"), F.first("others").alias("others")))
-    left = materialize(parts.where(F.col("limit").isNull() | (F.col("part") + F.col("others") >= F.col("limit")))
-                       .select("query_id", "title", "part"), "batch-left")
+    left = materialize(parts.where(in_question).select("query_id", "title", "part"), "batch-left")
     # Many documents may be left for many queries: terms first, then what is left.
     rest = join_null_safe(postings.join(hint(held.where(~F.col("essential") & every(on))), on), left.select("query_id", "title"),
                           ["query_id", "title"], "left_semi")

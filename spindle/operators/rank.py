@@ -277,7 +277,14 @@ def rank_batch(index: Index, queries: DataFrame, method: str = "bm25",
         raise ValueError("rank_batch needs a positive k (top-k per query)")
     index = materialize_index(index)
     on, weights = batch_weights(index, queries, id_col, text_col)
-    scores = batch_scores(index.postings.select(*on, "title", "tf"), on, weights, batch_contribution(method), k, decimals).scores
+    # Rows of a title stand together in a materialised index, and in the forward table of a stored one.
+    by_title, n_postings = None, 0
+    if index.materialized:
+        by_title, n_postings = index.flat(), index.postings.count()
+    elif index.forward_df is not None and index.known_scalars is not None:
+        by_title, n_postings = index.forward(), (index.known_scalars.d or 0) * (index.known_scalars.avgdl or 0)
+    scores = batch_scores(index.postings.select(*on, "title", "tf"), on, weights, batch_contribution(method), k, decimals,
+                          by_title, n_postings).scores
     if decimals is not None:
         scores = scores.withColumn("score", F.round("score", decimals))
     return best(scores, k, F.desc("score"), F.asc("title")).select("query_id", "rank", "title", "score")
