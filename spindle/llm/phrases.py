@@ -19,10 +19,10 @@
    without its first word.
 4. Level by level (two words, three, ...) shards return the extensions of
    phrases that are frequent in the whole corpus and whose other part is too,
-   with their local counts. Spark sums them by (first part, last part), keeps
-   those of at least ``least`` occurrences and gives them back to their shards.
-   So every phrase of ``least`` occurrences is found and its count is exact, and
-   a key has at most one row a shard.
+   with their local counts, packed by buckets of (first part, last part). They
+   are summed bucket by bucket, those of at least ``least`` occurrences are kept
+   and given back to their shards, packed. So every phrase of ``least``
+   occurrences is found and its count is exact; a phrase is a row only once.
 5. The counts of all first and last parts follow along the links of the levels;
    the greatest count of a phrase's one-word extensions to the left and to the
    right tells whether a longer candidate has the same count (a phrase within a
@@ -50,7 +50,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spindle.llm.common import THIN_ROWS, Batches, batch_of, blobs, solid
-from spindle.session import drop_scratch
+from spindle.session import drop_scratch, shuffles_dropped
 
 UND = "und"
 BREAKS = b".,;:!?\n\x0b\x0c\r"
@@ -224,20 +224,74 @@ class Index:
         return name[owner[good]], last[good], new_low[good], new_rlow[good], size[good]
 
 
-LEVEL = "shard long, low int, rlow int, n int, prefix long, suffix long, wide boolean, text binary"
-LEVEL_ARROW = pa.schema([("shard", pa.int64()), ("low", pa.int32()), ("rlow", pa.int32()), ("n", pa.int32()), ("prefix", pa.int64()),
-                         ("suffix", pa.int64()), ("wide", pa.bool_()), ("text", pa.binary())])
+LEVEL = "bucket int, shard long, rows binary, wide boolean, text binary"
+LEVEL_ARROW = pa.schema([("bucket", pa.int32()), ("shard", pa.int64()), ("rows", pa.binary()), ("wide", pa.bool_()), ("text", pa.binary())])
+FREQUENT = "shard long, rows binary, name long, prefix long, suffix long, f long"
+FREQUENT_ARROW = pa.schema([("shard", pa.int64()), ("rows", pa.binary()), ("name", pa.int64()), ("prefix", pa.int64()), ("suffix", pa.int64()), ("f", pa.int64())])
 PAIRS = "bucket int, shard long, pairs binary, counts binary"
 PAIRS_ARROW = pa.schema([("bucket", pa.int32()), ("shard", pa.int64()), ("pairs", pa.binary()), ("counts", pa.binary())])
-KEPT = "shard long, at int, name long"
-KEPT_ARROW = pa.schema([("shard", pa.int64()), ("at", pa.int32()), ("name", pa.int64())])
+KEPT = "shard long, pairs binary"
+KEPT_ARROW = pa.schema([("shard", pa.int64()), ("pairs", pa.binary())])
 PAIRS_PER_BUCKET = 1 << 21
 
 
-def extensions(shard: int, found) -> pa.RecordBatch:
+def packed_rows(*columns: np.ndarray) -> bytes:
+    """Columns of whole numbers, byte by byte: all lowest bytes, then the next."""
+    numbers = np.concatenate([c.astype(np.int64) for c in columns])
+    return packed(numbers.view(np.uint8).reshape(-1, 8).T)
+
+
+def unpacked_rows(data: list[bytes], width: int) -> tuple[np.ndarray, list[int]]:
+    """The columns of several packed tables one after another, and their lengths."""
+    found = [np.ascontiguousarray(unpacked(x, np.uint8).reshape(8, -1).T).view(np.int64).reshape(width, -1) for x in data]
+    return np.concatenate([np.empty((width, 0), np.int64), *found], axis=1), [x.shape[1] for x in found]
+
+
+def bucket_runs(key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of sorted hashes, and where each starts. Sorted as signed
+    numbers, each bucket is still one run."""
+    bucket = key.view(np.uint64) >> np.uint64(64 - bits) if bits else np.zeros(len(key), np.uint64)
+    starts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(key) else np.empty(0, np.int64)
+    return bucket[starts].astype(np.int32), starts
+
+
+def extensions(shard: int, found, bits: int) -> pa.RecordBatch:
+    """Phrases of a shard, packed: a row for each of 2 ** ``bits`` buckets of
+    their two parts that has any."""
     prefix, suffix, low, rlow, n = found
-    return batch_of(LEVEL_ARROW, (np.full(len(low), shard, np.int64), low.astype(np.int32), rlow.astype(np.int32), n.astype(np.int32),
-                                  prefix, suffix, pa.nulls(len(low), pa.bool_()), pa.nulls(len(low), pa.binary())))
+    key = hashed(prefix, suffix)
+    order = np.argsort(key)
+    bucket, starts = bucket_runs(key[order], bits)
+    rows = [packed_rows(*(c[part] for c in (low, rlow, n, prefix, suffix))) for part in np.split(order, starts[1:])] if len(starts) else []
+    k = len(rows)
+    return batch_of(LEVEL_ARROW, (bucket, np.full(k, shard, np.int64), rows, pa.nulls(k, pa.bool_()), pa.nulls(k, pa.binary())))
+
+
+def frequent_rows(least: int):
+    """Two kinds of rows for the phrases of a bucket that occur ``least`` times in
+    all. One a shard: its own, packed, with the ``name`` of each: the same number
+    in all shards, that of its least shard and place there. And one a phrase, with
+    its count ``f``."""
+    def run(table: pa.Table) -> pa.Table:
+        (low, rlow, n, prefix, suffix), sizes = unpacked_rows(table["rows"].to_pylist(), 5)
+        place = np.repeat(column(table, "shard"), sizes) << 31 | low
+        order = np.lexsort((suffix, prefix))
+        a, b = prefix[order], suffix[order]
+        first = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]))))
+        f, name = np.add.reduceat(n[order], first), np.minimum.reduceat(place[order], first)
+        of = np.empty(len(order), np.int64)
+        of[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(order))))
+        good = f >= least
+        rows = []
+        for shard, at, size in zip(table["shard"].to_pylist(), np.cumsum(sizes) - sizes, sizes, strict=True):
+            own = at + np.flatnonzero(good[of[at:at + size]])
+            if len(own):
+                rows.append((shard, packed_rows(low[own], rlow[own], n[own], name[of[own]])))
+        k, m = len(rows), int(good.sum())
+        none = pa.nulls(k, pa.int64())
+        return pa.Table.from_batches([batch_of(FREQUENT_ARROW, ([x for x, _ in rows], [x for _, x in rows], none, none, none, none)),
+                                      batch_of(FREQUENT_ARROW, (pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary()), name[good], a[first][good], b[first][good], f[good]))])
+    return run
 
 
 def column(table: pa.Table, name: str) -> np.ndarray:
@@ -278,25 +332,24 @@ def pairs(bits: int):
         pair = hashed(names[1:][word[good]], names[symbol[good]])
         order = np.argsort(pair)
         pair, size = pair[order], size[good][order].astype(np.int32)
-        bucket = pair.view(np.uint64) >> np.uint64(64 - bits) if bits else np.zeros(len(pair), np.uint64)
-        # Sorted as signed numbers, each bucket is still one run.
-        starts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(pair) else np.empty(0, np.int64)
+        bucket, starts = bucket_runs(pair, bits)
         cuts = list(zip(starts, np.append(starts[1:], len(pair)), strict=True))
-        return pa.Table.from_batches([batch_of(PAIRS_ARROW, (bucket[starts].astype(np.int32), np.full(len(cuts), texts["shard"][0].as_py()),
+        return pa.Table.from_batches([batch_of(PAIRS_ARROW, (bucket, np.full(len(cuts), texts["shard"][0].as_py()),
                                                              [packed(np.diff(pair[a:b], prepend=0)) for a, b in cuts], [packed(size[a:b]) for a, b in cuts]))])
     return run
 
 
 def frequent_pairs(least: int):
-    """For each shard of a bucket the hashes that occur ``least`` times in all."""
+    """For each shard of a bucket the hashes that occur ``least`` times in all,
+    packed like those of :func:`pairs`: a row a shard at most."""
     def run(table: pa.Table) -> pa.Table:
         found = [np.cumsum(unpacked(x, np.int64)) for x in table["pairs"].to_pylist()]
         counts = np.concatenate([unpacked(x, np.int32) for x in table["counts"].to_pylist()])
-        shard = np.repeat(column(table, "shard"), [len(x) for x in found])
-        pair = np.concatenate(found)
-        kinds, which = np.unique(pair, return_inverse=True)
-        kept = np.bincount(which, weights=counts)[which] >= least          # sums of whole numbers, exact up to 2^53
-        return pa.Table.from_batches([batch_of(KEPT_ARROW, (shard[kept], pa.nulls(int(kept.sum()), pa.int32()), pair[kept]))])
+        kinds, which = np.unique(np.concatenate(found), return_inverse=True)
+        frequent = np.bincount(which, weights=counts)[which] >= least      # sums of whole numbers, exact up to 2^53
+        kept = [x[good] for x, good in zip(found, np.split(frequent, np.cumsum([len(x) for x in found])[:-1]), strict=True)]
+        rows = [(shard, packed(np.diff(x, prepend=0))) for shard, x in zip(table["shard"].to_pylist(), kept, strict=True) if len(x)]
+        return pa.Table.from_batches([batch_of(KEPT_ARROW, ([x for x, _ in rows], [x for _, x in rows]))])
     return run
 
 
@@ -311,17 +364,17 @@ def cut_at(text: np.ndarray, joined: np.ndarray) -> np.ndarray:
     return out
 
 
-def built(depth: int):
+def built(depth: int, bits: int):
     """Indexes of a shard, and its phrases of two frequent words."""
     def run(texts: pa.Table, given: pa.Table) -> pa.Table:
         if not texts.num_rows or not given.num_rows:
             return LEVEL_ARROW.empty_table()
         shard = texts["shard"][0].as_py()
-        is_word = given["at"].is_valid().to_numpy()
-        text, names = frequent_text(texts, given["at"].drop_null().to_numpy(), column(given, "name")[is_word])
-        pair = np.sort(column(given, "name")[~is_word])
-        if not len(pair):
+        kept = given["pairs"].drop_null().to_pylist()
+        if not kept:
             return LEVEL_ARROW.empty_table()
+        pair = np.sort(np.concatenate([np.cumsum(unpacked(x, np.int64)) for x in kept]))
+        text, names = frequent_text(texts, given["at"].drop_null().to_numpy(), given["name"].drop_null().to_numpy())
         joined = np.zeros(len(text), bool)
         both = np.flatnonzero((text[:-1] != 0) & (text[1:] != 0))
         found = hashed(names[text[both]], names[text[both + 1]])
@@ -332,21 +385,20 @@ def built(depth: int):
         n = np.bincount(text, minlength=len(names))
         low = np.cumsum(n) - n
         found = Index.of(text, depth).extended(low[1:], low[1:], n[1:], names[1:])
-        kept = batch_of(LEVEL_ARROW, ([shard], *([None],) * 5, [text.dtype.itemsize > 2], [packed(text)]))
-        return pa.Table.from_batches([kept, extensions(shard, found)])
+        kept = batch_of(LEVEL_ARROW, ([None], [shard], [None], [text.dtype.itemsize > 2], [packed(text)]))
+        return pa.Table.from_batches([kept, extensions(shard, found, bits)])
     return run
 
 
-def grown(depth: int):
+def grown(depth: int, bits: int):
     """Phrases of a shard that are one word longer than the frequent ones."""
     def run(texts: pa.Table, frequent: pa.Table) -> pa.Table:
         if not texts.num_rows or not frequent.num_rows:
             return LEVEL_ARROW.empty_table()
         text = unpacked(texts["text"][0].as_py(), np.uint32 if texts["wide"][0].as_py() else np.uint16)
-        frequent = frequent.sort_by("low")
-        low, rlow, n = (column(frequent, c).astype(np.int64) for c in ("low", "rlow", "n"))
-        found = Index.of(text, depth).extended(low, rlow, n, column(frequent, "name"))
-        return pa.Table.from_batches([extensions(texts["shard"][0].as_py(), found)])
+        rows, _ = unpacked_rows(frequent["rows"].to_pylist(), 4)
+        found = Index.of(text, depth).extended(*rows[:, np.argsort(rows[0])])
+        return pa.Table.from_batches([extensions(texts["shard"][0].as_py(), found, bits)])
     return run
 
 
@@ -354,14 +406,22 @@ def grown(depth: int):
 # Levels
 # ---------------------------------------------------------------------------
 
-def named(rows: DataFrame, key: list[str], at: str, least: int) -> DataFrame:
-    """``f``: the sum of ``n`` over all shards; ``name``: the same number for
-    all rows of a key (that of its least shard and place there); ``first``
-    marks one row a key. Only keys of ``least`` occurrences stay."""
-    over = Window.partitionBy(*key)
-    place = F.shiftleft(F.col("shard"), 31).bitwiseOR(F.col(at).cast("long"))
-    return (rows.withColumn("place", place).withColumn("f", F.sum("n").over(over)).withColumn("name", F.min("place").over(over))
-            .where(F.col("f") >= least).withColumn("first", F.col("place") == F.col("name")).drop("place"))
+def named(words: DataFrame, least: int) -> DataFrame:
+    """Words of ``least`` occurrences. ``f``: the sum of ``n`` over all shards;
+    ``name``: the same number for all rows of a word (that of its least shard and
+    place there); ``first`` marks one row a word."""
+    over = Window.partitionBy("lang", "word")
+    # Only the place is shuffled: it holds the shard and the place there.
+    place = F.shiftleft(F.col("shard"), 31).bitwiseOR(F.col("at").cast("long"))
+    summed = (words.select(place.alias("place"), "lang", "word", "n").withColumn("f", F.sum("n").over(over)).withColumn("name", F.min("place").over(over))
+              .where(F.col("f") >= least))
+    return summed.select(F.shiftright("place", 31).alias("shard"), F.col("place").bitwiseAND(F.lit((1 << 31) - 1)).cast("int").alias("at"),
+                         "lang", "word", "n", "f", "name", (F.col("place") == F.col("name")).alias("first"))
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete written tables that nothing reads any more."""
+    drop_scratch(tables[0].sparkSession, *{f.rpartition("/")[0] for table in tables for f in table.inputFiles()})
 
 
 def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = 100, most_words: int = 5,
@@ -374,8 +434,9 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     made = solid(shards(docs, text_col, lang_col, shard_words), "phrases-shards")
     words, texts = made.where("text IS NULL").drop("text"), made.where("text IS NOT NULL").select("shard", "text")
     totals = solid(words.groupBy("lang").agg(F.sum("n").alias("total")), "phrases-totals")
-    now = solid(named(words, ["lang", "word"], "at", least), "phrases-words", THIN_ROWS)
-    levels = [now.where("first").select("name", "lang", F.array("word").alias("words"), "f", F.array("f").alias("heads"), F.array("f").alias("tails"))]
+    now = solid(named(words, least), "phrases-words", THIN_ROWS)
+    levels = [solid(now.where("first").select("name", "lang", F.array("word").alias("words"), "f", F.array("f").alias("heads"), F.array("f").alias("tails")),
+                    "phrases-1", THIN_ROWS)]
     numbers = now.select("shard", "at", "name")
     by_shard = texts.groupBy("shard")
     # About PAIRS_PER_BUCKET pairs meet in a task; a shard has no more rows than pairs.
@@ -383,22 +444,26 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     bits = min(30, max(0, (words_left // PAIRS_PER_BUCKET).bit_length()))
     counted = by_shard.cogroup(numbers.groupBy("shard")).applyInArrow(pairs(bits), PAIRS)
     kept = solid(counted.groupBy("bucket").applyInArrow(frequent_pairs(least), KEPT), "phrases-pairs", THIN_ROWS)
-    rows = by_shard.cogroup(numbers.unionByName(kept).groupBy("shard")).applyInArrow(built(most_words), LEVEL)
+    rows = by_shard.cogroup(numbers.unionByName(kept, allowMissingColumns=True).groupBy("shard")).applyInArrow(built(most_words, bits), LEVEL)
+    used = (made, now, kept)
     for size in range(2, most_words + 1):
-        rows = solid(rows, "phrases-extended", THIN_ROWS)
+        extended = solid(rows, "phrases-extended", THIN_ROWS)
+        drop(*used)
         if size == 2:
-            left = rows.where("text IS NOT NULL").select("shard", "wide", "text")
-            drop_scratch(docs.sparkSession, *{f.rpartition("/")[0] for f in made.inputFiles()})
-        rows = rows.where("text IS NULL").select("shard", "low", "rlow", "n", "prefix", "suffix")
-        now = solid(named(rows, ["prefix", "suffix"], "low", least), "phrases-frequent", THIN_ROWS)
-        rows = left.groupBy("shard").cogroup(now.select("shard", "low", "rlow", "n", "name").groupBy("shard")).applyInArrow(grown(most_words), LEVEL)
+            left = solid(extended.where("text IS NOT NULL").select("shard", "wide", "text"), "phrases-texts")
+        buckets = extended.where("rows IS NOT NULL").select("bucket", "shard", "rows").groupBy("bucket")
+        now = solid(buckets.applyInArrow(frequent_rows(least), FREQUENT), "phrases-frequent", THIN_ROWS)
+        drop(extended)
+        used = (now,)
+        rows = left.groupBy("shard").cogroup(now.where("rows IS NOT NULL").select("shard", "rows").groupBy("shard")).applyInArrow(grown(most_words, bits), LEVEL)
         h, t = levels[-1].alias("h"), levels[-1].alias("t")
-        own = now.where("first").select("name", "prefix", "suffix", "f").alias("p")
+        own = now.where("rows IS NULL").select("name", "prefix", "suffix", "f").alias("p")
         linked = own.join(h, F.col("p.prefix") == F.col("h.name")).join(t, F.col("p.suffix") == F.col("t.name"))
         levels.append(solid(linked.select("p.name", "p.prefix", "p.suffix", F.col("h.lang").alias("lang"),
                                           F.concat("h.words", F.slice("t.words", -1, 1)).alias("words"), "p.f",
                                           F.concat("h.heads", F.array("p.f")).alias("heads"),
                                           F.concat("t.tails", F.array("p.f")).alias("tails")), f"phrases-{size}", THIN_ROWS))
+    drop(now, left)
     return totals, levels
 
 
@@ -431,7 +496,8 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
                  top: int = 2000, shard_words: int = 3_000_000) -> DataFrame:
     """The ``top`` phrases of each language: ``lang``, ``rank``, ``phrase``,
     ``a``, ``l``, ``r``, ``n``, ``score``, ``cut`` (words before the cut)."""
-    totals, levels = frequent_phrases(docs, text_col, lang_col, least, most_words, shard_words)
+    with shuffles_dropped(docs.sparkSession):
+        totals, levels = frequent_phrases(docs, text_col, lang_col, least, most_words, shard_words)
     found = None
     for level, longer in zip(levels[1:], [*levels[2:], None], strict=True):
         # An extension of the same count makes the shorter phrase part of a longer candidate.

@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from spindle.llm import phrases as P
@@ -126,3 +127,34 @@ def test_edges(spark, edge_docs, no_docs):
     assert mined(edge_docs, least=10 ** 6) == []
     with pytest.raises(ValueError):
         P.collocations(edge_docs, most_words=1)
+
+
+def test_frequent_pairs_are_one_packed_row_a_shard():
+    """Rows grow with the shards of a bucket, not with the pairs that are frequent."""
+    own = [np.array(x, np.int64) for x in ([-2 ** 62, -5, 7, 2 ** 62], [-5, 7, 9], [9])]
+    table = pa.Table.from_batches([P.batch_of(P.PAIRS_ARROW, ([0] * 3, [4, 5, 6], [P.packed(np.diff(x, prepend=0)) for x in own],
+                                                              [P.packed(np.array(n, np.int32)) for n in ([3, 2, 1, 9], [1, 1, 1], [1])]))])
+    for least, want in ((3, {4: [-2 ** 62, -5, 2 ** 62], 5: [-5]}), (1, {s: x.tolist() for s, x in zip((4, 5, 6), own, strict=True)}), (10, {})):
+        rows = P.frequent_pairs(least)(table).to_pylist()
+        assert {r["shard"]: np.cumsum(P.unpacked(r["pairs"], np.int64)).tolist() for r in rows} == want and len(rows) == len(want)
+
+
+def test_tables_between_levels_are_dropped(spark, monkeypatch):
+    made, gone = [], []
+    whole, dropping = P.solid, P.drop_scratch
+    monkeypatch.setattr(P, "solid", lambda df, name, *a: made.append(name) or whole(df, name, *a))
+    monkeypatch.setattr(P, "drop_scratch", lambda s, *paths: gone.extend(x.rpartition("/")[2].rpartition("-")[0] for x in paths) or dropping(s, *paths))
+    rows = [("en", "a b c a b c a b. c a b")] * 5
+    assert mined(spark.createDataFrame(rows, "lang string, text string"), least=3) == plain(rows, 3)
+    assert sorted(set(made) - set(gone)) == ["phrases-1", "phrases-2", "phrases-3", "phrases-4", "phrases-5", "phrases-totals"]
+
+
+def test_shuffle_files_go_with_each_table(spark):
+    from spindle.session import CLEANUP_CONF, scratch_path, shuffles_dropped
+    tracker, before = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker(), spark.conf.get(CLEANUP_CONF, None)
+    numbers = spark.range(100).repartition(4, "id")
+    with shuffles_dropped(spark):
+        known = set(str(tracker.shuffleStatuses().keySet().mkString(" ")).split())
+        numbers.write.parquet(scratch_path(spark, "numbers"))
+        assert set(str(tracker.shuffleStatuses().keySet().mkString(" ")).split()) <= known
+    assert spark.conf.get(CLEANUP_CONF, None) == before
