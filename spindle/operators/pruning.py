@@ -1,28 +1,33 @@
 """Exact top-k of many queries without scoring every matching document.
 
 A term adds at most its contribution at the largest tf it has anywhere
-(``max_tf``, kept in the lexicon) to a document's score, and never more than 0
-where its idf is negative. For each query:
-
-1. Rare first: the terms of least df that together reach ``SEEDS * k`` documents
-   give candidates; the best ``CANDIDATES * k`` of them by these terms alone are
-   scored in full, and the k-th of these scores is a threshold that the real
-   k-th score reaches too.
-2. Terms in the order of their bounds: while their bounds together stay under
-   the threshold, no document that has only them can enter. Those terms are not
-   essential.
-3. Documents that hold an essential term are scored by the essential terms;
-   those whose score and the bounds of the other terms stay under the threshold
-   are dropped.
-4. Only the documents left are scored by the other terms.
-
-A batch whose essential terms have as many postings as the index (a posting
-counts for each query that asks for it) takes steps 3 and 4 in one pass over the
-postings in title order, where the rows of a document stand together.
+(``max_tf``) to a document's score, and never more than 0 where its idf is
+negative; its levels tell how many postings have at least which tf. For each
+query:
+
+1. The rarest terms that together reach ``SEEDS * k`` documents, and of every term
+   the postings of largest tf (``SEEDS * k`` at most), give candidates; the best
+   ``CANDIDATES * k`` of them by these postings alone are scored in full, and the
+   k-th of these scores is a threshold that the real k-th score reaches too.
+2. The terms of the least bounds, together up to ``IDLE`` of the threshold, are set
+   aside. What is left of the threshold is shared out among the other terms in
+   proportion to their bounds. A document whose postings all stay under their
+   term's share stays under the threshold: only documents that hold a posting of
+   at least the tf that reaches its share (the term's floor) can enter.
+3. Only these documents are scored in full.
+
+Rare terms decide by their idf, common ones by their largest postings (the naive
+ranker divides by idf squared, so there the common terms decide); a threshold from
+either alone is weak for the other. The levels say how many postings reach their
+floors before any is read. With too many of them, documents are scored by the terms
+whose bounds together pass the threshold (essential terms), and by all where that
+leaves them in question; if the essential terms have as many postings as the index,
+both in one pass over the postings in title order, where the rows of a document
+stand together.
 
 So the long posting lists of common terms are scanned and met with documents
 that are still in question, but never summed up for all documents. A query with
-fewer than k candidates has no threshold, and all its terms are essential.
+fewer than k candidates has no threshold, and all its postings count.
 
 One query of a stored index is pruned in its scan: :func:`tf_floors` finds in the
 levels of its terms (how many postings have which tf) the least tf that matters,
@@ -42,7 +47,10 @@ from spindle.functions.scoring import BM25_K, bm25_param, bm25_term, idf, naive_
 from spindle.operators.index import Index
 from spindle.operators.joins import fits_broadcast, join_null_safe, materialize
 
-SEEDS, CANDIDATES = 16, 4
+SEEDS, CANDIDATES, IDLE = 16, 4, 0.1
+# A document in question is met with all its asked postings: about so many rows for
+# each posting that reaches its floor, against a pass over all postings.
+ROWS_PER_HEAD = 16
 
 
 @dataclass(frozen=True)
@@ -62,12 +70,47 @@ def every(on: list[str]) -> Column:
 
 def bounded(weights: DataFrame, contribution: Callable[[Column], Column], k: int) -> DataFrame:
     """``weights`` (a row per query and term) with ``bound``, ``bounds`` (of the
-    query's terms up to this one, in the order of their bounds) and ``seed``."""
+    query's terms up to this one, in the order of their bounds) and ``start``, the
+    least tf of the postings that give candidates."""
     rare = Window.partitionBy("query_id").orderBy("df", "term").rowsBetween(Window.unboundedPreceding, -1)
     light = Window.partitionBy("query_id").orderBy("bound", "term").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seed = F.coalesce(F.sum("df").over(rare), F.lit(0)) < SEEDS * k
+    heads = F.array_min(F.transform(F.filter("levels", lambda x: x["above"] <= SEEDS * k), lambda x: x["tf"]))
     return (weights.withColumn("bound", F.greatest(contribution(F.col("max_tf")), F.lit(0.0)))
             .withColumn("bounds", F.sum("bound").over(light))
-            .withColumn("seed", F.coalesce(F.sum("df").over(rare), F.lit(0)) < SEEDS * k))
+            .withColumn("start", F.when(seed, F.lit(1)).when(F.col("bound") > 0, heads).cast("bigint")))
+
+
+def with_floors(weights: DataFrame, limit: DataFrame, contribution: Callable[[Column], Column]) -> DataFrame:
+    """``weights`` with ``limit`` of their query, the ``floor`` of each term (null:
+    none of its postings brings a document in), how many postings reach it
+    (``heads``), ``essential`` and the bounds of the ``others`` together."""
+    query = Window.partitionBy("query_id")
+    held = join_null_safe(weights, limit, ["query_id"], "left")
+    idle = F.col("bounds") <= F.lit(IDLE) * F.col("limit")
+    essential = F.col("limit").isNull() | (F.col("bounds") >= F.col("limit"))
+
+    def together(chosen: Column) -> Column:
+        return F.coalesce(F.max(F.when(chosen, F.col("bounds"))).over(query), F.lit(0.0))
+
+    held = (held.withColumn("essential", essential).withColumn("others", together(~essential))
+            .withColumn("total", F.sum("bound").over(query)).withColumn("aside", together(idle)))
+    share = (F.col("limit") - F.col("aside")) * F.col("bound") / (F.col("total") - F.col("aside")) * F.lit(1 - 1e-9)
+    reached = (F.when(F.col("limit").isNull() | (F.col("limit") <= 0), F.col("levels"))
+               .when(~idle, F.filter("levels", lambda x: contribution(x["tf"]) >= share)))
+    return (held.withColumn("reached", reached)
+            .withColumn("floor", F.array_min(F.transform("reached", lambda x: x["tf"])))
+            .withColumn("heads", F.array_max(F.transform("reached", lambda x: x["above"])))
+            .drop("reached", "levels", "total", "aside"))
+
+
+def floored(postings: DataFrame, on: list[str], weights: DataFrame, floor: str, hint: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Postings of a tf of at least ``floor``, a row for each query that asks for
+    them; those under all floors of their term meet no query."""
+    asked = weights.where(F.col(floor).isNotNull() & every(on))
+    least = asked.groupBy(*on).agg(F.min(floor).alias("least"))
+    rows = postings.join(hint(least), on).where(F.col("tf") >= F.col("least")).drop("least")
+    return rows.join(hint(asked), on).where(F.col("tf") >= F.col(floor))
 
 
 def with_titles(postings: DataFrame, on: list[str], titles: DataFrame, weights: DataFrame) -> DataFrame:
@@ -80,6 +123,16 @@ def with_titles(postings: DataFrame, on: list[str], titles: DataFrame, weights:
     return join_null_safe(met, weights.select("query_id", *on, *own), ["query_id", *on])
 
 
+def of_pairs(postings: DataFrame, on: list[str], pairs: DataFrame, weights: DataFrame, hint: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The postings that make up the scores of ``pairs`` (query_id, title, stored):
+    those of other titles are left out before queries multiply them."""
+    if not fits_broadcast(pairs):
+        return with_titles(postings, on, pairs, hint(weights))
+    titles = F.broadcast(pairs.select("title").distinct())
+    rows = join_null_safe(postings, titles, ["title"], "left_semi").join(hint(weights.where(every(on))), on)
+    return join_null_safe(rows, F.broadcast(pairs), ["query_id", "title"], "left_semi")
+
+
 def best(scores: DataFrame, k: int, *order: Column) -> DataFrame:
     """The first ``k`` rows of each query (planned with a partial group limit)."""
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(*order))
@@ -89,39 +142,41 @@ def best(scores: DataFrame, k: int, *order: Column) -> DataFrame:
 def batch_scores(postings: DataFrame, on: list[str], weights: DataFrame, contribution: Callable[[Column], Column],
                  k: int, decimals: int | None, by_title: DataFrame | None = None, n_postings: float = 0) -> BatchScores:
     """``postings`` (``on``, title, tf) scored for the queries of ``weights``
-    (query_id, ``on``, df, max_tf and what ``contribution`` of a tf needs).
+    (query_id, ``on``, df, max_tf, levels and what ``contribution`` of a tf needs).
     ``decimals`` is what scores are rounded to afterwards: documents that could
     tie by it stay. ``by_title`` are the same ``n_postings`` rows in title order
     (title, term, tf), read where they are the cheaper ones."""
-    weights = materialize(bounded(weights, contribution, k), "batch-weights")
+    leveled = materialize(bounded(weights, contribution, k), "batch-weights")
+    weights = leveled.drop("levels")
     # Everything that is a part of the weights or has a column more is as small.
     hint = F.broadcast if fits_broadcast(weights) else (lambda df: df)
     add = contribution(F.col("tf"))
 
-    seeds = postings.join(hint(weights.where(F.col("seed") & every(on))), on).groupBy("query_id", "title").agg(F.sum(add).alias("part"))
+    seeds = floored(postings, on, weights, "start", hint).groupBy("query_id", "title").agg(F.sum(add).alias("part"))
     candidates = materialize(best(seeds, CANDIDATES * k, F.desc("part"), F.asc("title")).select("query_id", "title"), "batch-candidates")
-    full = with_titles(postings, on, candidates, hint(weights)).groupBy("query_id", "title").agg(F.sum(add).alias("score"))
+    full = of_pairs(postings, on, candidates, weights, hint).groupBy("query_id", "title").agg(F.sum(add).alias("score"))
     limit = best(full, k, F.desc("score")).where(F.col("rank") == k).select("query_id", F.col("score").alias("limit"))
 
     # Sums in another order and rounding must not cost a document its place.
     slack = F.lit(1e-9) * (1 + F.abs("limit")) + F.lit(10.0 ** -decimals if decimals is not None else 0.0)
-    held = join_null_safe(weights, limit.withColumn("limit", F.col("limit") - slack), ["query_id"], "left")
-    held = held.withColumn("essential", F.col("limit").isNull() | (F.col("bounds") >= F.col("limit")))
-    others = F.max(F.when(~F.col("essential"), F.col("bounds"))).over(Window.partitionBy("query_id"))
-    held = materialize(held.withColumn("others", F.coalesce(others, F.lit(0.0))), "batch-held")
+    held = materialize(with_floors(leveled, limit.withColumn("limit", F.col("limit") - slack), contribution), "batch-held")
 
-    in_question = F.col("limit").isNull() | (F.col("part") + F.col("others") >= F.col("limit"))
-    if by_title is not None and (held.where("essential").agg(F.sum("df")).first()[0] or 0) >= n_postings:
+    heads, dense = held.agg(F.sum("heads"), F.sum(F.when(F.col("essential"), F.col("df")))).first()
+    if (heads or 0) * ROWS_PER_HEAD < n_postings:
+        left = materialize(floored(postings, on, held, "floor", hint).select("query_id", "title").distinct(), "batch-left")
+        scores = of_pairs(postings, on, left, held, hint).groupBy("query_id", "title").agg(F.sum(add).alias("score"))
+        return BatchScores(scores, left, held)
+
+    if by_title is not None and (dense or 0) >= n_postings:
         # So many rows to sum: in term order those of a (query, title) lie far apart,
-        # often in several tasks. In title order they meet where they are read, and
-        # the other terms are summed beside the essential ones.
+        # often in several tasks. In title order they meet where they are read.
         terms = held.drop(*(c for c in on if c != "term"))
-        parts = (by_title.join(hint(terms), "term").groupBy("query_id", "title")
-                 .agg(F.coalesce(F.sum(F.when(F.col("essential"), add)), F.lit(0.0)).alias("part"), F.sum(add).alias("score"),
-                      F.first("limit").alias("limit"), F.first("others").alias("others")))
-        left = materialize(parts.where(in_question).select("query_id", "title", "score"), "batch-left")
+        sums = by_title.join(hint(terms), "term").groupBy("query_id", "title").agg(F.sum(add).alias("score"), F.first("limit").alias("limit"))
+        in_question = F.col("limit").isNull() | (F.col("score") >= F.col("limit"))
+        left = materialize(sums.where(in_question).select("query_id", "title", "score"), "batch-left")
         return BatchScores(left, left, held)
 
+    in_question = F.col("limit").isNull() | (F.col("part") + F.col("others") >= F.col("limit"))
     parts = (postings.join(hint(held.where(F.col("essential") & every(on))), on).groupBy("query_id", "title")
              .agg(F.sum(add).alias("part"), F.first("limit").alias("limit"), F.first("others").alias("others")))
     left = materialize(parts.where(in_question).select("query_id", "title", "part"), "batch-left")

@@ -27,15 +27,16 @@ Semantics kept from the reference, on purpose:
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spindle.functions.scoring import (BM25_B, BM25_K, DEFAULT_TOP_K, bm25_param, bm25_term,
                                        idf, naive_term, okapi_param, tfidf)
 from spindle.functions.text import tokens
-from spindle.operators.index import Index, lexicon_table, materialize_index, term_bucket
-from spindle.operators.joins import broadcast_if_small, join_null_safe
+from spindle.operators.index import Index, materialize_index, term_bucket
+from spindle.operators.joins import broadcast_if_small, fits_broadcast, join_null_safe, materialize
 from spindle.operators.pruning import batch_scores, best, tf_floors
 
 METHODS = ("bm25", "naive")
@@ -226,9 +227,22 @@ def batch_query_terms(queries: DataFrame, id_col: str = "query_id",
     return toks.groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qtf"))
 
 
+def asked_postings(index: Index, queries: DataFrame, id_col: str = "query_id", text_col: str = "text") -> Index:
+    """A materialised index with only the postings of the queries' terms, written
+    once in the same order: a batch reads them several times. Documents and so D
+    and avgdl stay those of the whole index. Too many terms to broadcast: as it is."""
+    terms = materialize(batch_query_terms(queries, id_col, text_col).select("term").distinct(), "asked-terms")
+    if not fits_broadcast(terms):
+        return index
+    asked = materialize(index.flat().join(F.broadcast(terms), "term", "left_semi"), "asked-postings")
+    return replace(index, postings=asked, documents_df=index.documents())
+
+
 def batch_weights(index: Index, queries: DataFrame, id_col: str = "query_id", text_col: str = "text") -> tuple[list[str], DataFrame]:
     """The join columns, and a row per query and term of the index:
-    ``query_id``, the join columns, ``qtf``, ``df``, ``max_tf``, ``idf``, ``param``."""
+    ``query_id``, the join columns, ``qtf``, ``df``, ``max_tf``, ``idf``, ``param`` and
+    ``levels``: for each tf of the term how many postings have it or a larger one
+    (``tf``, ``above``)."""
     qt = batch_query_terms(queries, id_col, text_col)
     c = index.scalars()
     # A stored index is joined on its bucket directories as well: Spark prunes
@@ -239,13 +253,19 @@ def batch_weights(index: Index, queries: DataFrame, id_col: str = "query_id", te
         on, every = ["term_bucket", "term"], F.col("term_bucket") >= 0
         qt = qt.withColumn("term_bucket", term_bucket(F.col("term"), index.n_buckets))
     qt = broadcast_if_small(qt)
-    # Parts of the lexicon are reduced to the queries' terms before they are summed.
-    lex = index.lexicon_parts if index.n_buckets else lexicon_table(index.flat())
-    weights = (lex.select(*on, "df", "max_tf").join(qt.where(every), on)
-               .groupBy("query_id", *on, "qtf").agg(F.sum("df").alias("df"), F.max("max_tf").alias("max_tf"))
-               .select("query_id", *on, "qtf", "df", "max_tf",
-                       idf(c.lit("d"), F.col("df")).alias("idf"),
-                       bm25_param(c.lit("d"), c.lit("avgdl")).alias("param")))
+    # Levels and postings are reduced to the queries' terms before they are summed.
+    asked = qt.where(every).select(*on)
+    if index.level_parts is not None:
+        parts = index.level_parts.select(*on, "tf", "n").join(asked, on, "left_semi")
+        levels = parts.groupBy(*on, "tf").agg(F.sum("n").alias("n")).where("n > 0")
+    else:
+        levels = index.postings.select(*on, "tf").join(asked, on, "left_semi").groupBy(*on, "tf").agg(F.count(F.lit(1)).alias("n"))
+    falling = Window.partitionBy(*on).orderBy(F.desc("tf")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    of_term = (levels.withColumn("above", F.sum("n").over(falling)).groupBy(*on)
+               .agg(F.sum("n").alias("df"), F.max("tf").alias("max_tf"), F.collect_list(F.struct("tf", "above")).alias("levels")))
+    weights = of_term.join(qt, on).select("query_id", *on, "qtf", "df", "max_tf", "levels",
+                                          idf(c.lit("d"), F.col("df")).alias("idf"),
+                                          bm25_param(c.lit("d"), c.lit("avgdl")).alias("param"))
     return on, weights
 
 
@@ -276,6 +296,8 @@ def rank_batch(index: Index, queries: DataFrame, method: str = "bm25",
     if k is None or k < 1:
         raise ValueError("rank_batch needs a positive k (top-k per query)")
     index = materialize_index(index)
+    if index.materialized:
+        index = asked_postings(index, queries, id_col, text_col)
     on, weights = batch_weights(index, queries, id_col, text_col)
     # Rows of a title stand together in a materialised index, and in the forward table of a stored one.
     by_title, n_postings = None, 0
